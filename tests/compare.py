@@ -75,7 +75,10 @@ if __name__ == "__main__":
     import __spark_entry__ as entry
 
     folder = sys.argv[1]
-    wanted = sys.argv[2:]
+    wanted = sys.argv[2:]  # parts of query names, or `section:NAME`
+    sections = [w.split(":")[1] for w in wanted if w.startswith("section:")]
+    if sections:
+        wanted = [f"={n}" for s in entry.SECTIONS if s.__name__.split(".")[-1] in sections for n in s.QUERIES]
     spark = (
         SparkSession.builder.master("local[8]").config("spark.sql.shuffle.partitions", "8")
         .config("spark.ui.enabled", "false").config("spark.sql.session.timeZone", "UTC")
@@ -84,7 +87,7 @@ if __name__ == "__main__":
     spark.sparkContext.setLogLevel("ERROR")
     con, sqls, bad = connect(folder), entry.oracle_sql(), 0
     for name, query in entry.queries().items():
-        if wanted and not any(w in name for w in wanted):
+        if wanted and not any(w in f"={name}" if w[0] != "=" else w == f"={name}" for w in wanted):
             continue
         exact = None
         try:
