@@ -221,7 +221,7 @@ HISTOGRAMS = {
     "rating": (dict(value="review_scores_rating", bins=25, above=0),
                ("review_scores_rating", 25, "review_scores_rating > 0", "listings")),
     "tenure": (dict(value="host_tenure_years", bins=20), ("host_tenure_years", 20)),
-    "price_capped": (dict(value="price", bins=50, upper=300), ("LEAST(price, 300)", 50, "TRUE", "listings")),
+    "price_capped": (dict(value="price", bins=50, upper=300), ("LEAST(price, 300)", 50, "price IS NOT NULL", "listings")),
 }
 for _name, (_options, _sql) in HISTOGRAMS.items():
     QUERIES[f"histogram_{_name}"] = near(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 
-def near(query, sql: str | None, *columns: str, digits: int = 6):
+def near(query, sql: str | None, *columns: str, digits: int = 8):
     """The pair (query, sql) with the named columns rounded; without names, all doubles of the query."""
 
     def rounded(spark, folder):

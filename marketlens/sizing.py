@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 SINGLE_TASK_CONF = "spark.marketlens.singleTaskBytes"
 SINGLE_TASK_DEFAULT = 64 * 1024 * 1024
@@ -23,17 +26,27 @@ def fits_one_task(df: DataFrame) -> bool:
     return scanned_bytes(df) <= limit
 
 
-def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> bool:
-    """Use the folder the cluster names; set `fallback` only where none is set."""
+def checkpoint_dir_known(spark: SparkSession) -> bool:
+    """Use the shared folder the cluster names; fall back to a local one in local mode only."""
     context = spark.sparkContext
     if context._jsc.sc().getCheckpointDir().isDefined():
         return True
-    folder = spark.conf.get("spark.checkpoint.dir", None) or fallback
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir", None)
+    if not folder and context.master.startswith("local"):
+        folder = tempfile.mkdtemp(prefix="marketlens-checkpoint-")
     if folder:
         context.setCheckpointDir(folder)
     return bool(folder)
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint when a checkpoint folder is known; otherwise the frame as it is."""
-    return df.checkpoint() if ensure_checkpoint_dir(df.sparkSession) else df
+    """Reliable checkpoint of a frame that several jobs read; the frame itself where no folder is known."""
+    return df.checkpoint() if checkpoint_dir_known(df.sparkSession) else df
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
+    """Mark a narrow frame for broadcasting after counting it; beyond the bound the join shuffles.
+
+    Call it on a frame whose lineage is cut, so that counting does not compute it twice.
+    """
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
