@@ -13,6 +13,7 @@ from marketlens.operators.areas import enrich_with_areas
 from marketlens.operators.cleaning import days_between, has, host_segment, price_per_bedroom, tenure_years
 from marketlens.operators.quantiles import grouped, scalar_quantile
 from marketlens.operators.summaries import join_all_summaries
+from marketlens.sizing import cut_lineage, fits_one_task
 
 
 def price_tier(price: str | Column = "price") -> Column:
@@ -78,7 +79,9 @@ def engineer_features(df: DataFrame, as_of: date, medians_from: DataFrame | None
 def build_master(clean: dict[str, DataFrame], as_of: date) -> DataFrame:
     """One row per listing with review, calendar and area statistics and all derived columns."""
     joined = join_all_summaries(clean["listings"], clean["reviews"], clean["calendar"])
-    return enrich_with_areas(engineer_features(joined, as_of, medians_from=clean["listings"]))
+    featured = engineer_features(joined, as_of, medians_from=clean["listings"])
+    # The area statistics read the joined table several times once it is large; join it only once.
+    return enrich_with_areas(featured if fits_one_task(featured) else cut_lineage(featured))
 
 
 def tier_distribution(df: DataFrame, tier: str = "price_tier") -> DataFrame:

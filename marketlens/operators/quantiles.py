@@ -16,16 +16,17 @@ _ALL = "_all_rows"
 
 
 def sliced_quantiles(
-    df: DataFrame, by: Sequence[str], value: str, probs: Mapping[str, float], slices: int | None = None
+    df: DataFrame, by: Sequence[str], value: str, probs: Mapping[str, float], slices: int | None = None,
+    weight: str | None = None,
 ) -> DataFrame:
     """One row per group with the exact quantile of `value` for every name in `probs`.
 
-    Works on distinct values with counts, cut into value slices. Only the slices that hold a wanted
+    `weight` names a column that says how many rows a row stands for. Works on distinct values with counts, cut into value slices. Only the slices that hold a wanted
     position are sorted. A group of any size is spread over all slices.
     """
     by = list(by)
     points = cut_points(df, value, slices or slice_count(df))
-    sliced = with_slice(value_counts(df, by, value), value, points)
+    sliced = with_slice(value_counts(df, by, value, weight), value, points)
     totals = shifted_totals(sliced, by, {"_n": "_n"})
 
     wanted = F.array(*[F.struct(F.lit(name).alias("name"), F.lit(float(p)).alias("p")) for name, p in probs.items()])
@@ -67,6 +68,7 @@ def grouped(
     aggregates: Sequence[Column] = (),
     quantiles: Mapping[str, tuple[Column | str, float]] | None = None,
     slices: int | None = None,
+    weight: str | None = None,
 ) -> DataFrame:
     """`groupBy(by).agg(aggregates)` plus exact quantiles `{name: (expression, probability)}`.
 
@@ -77,7 +79,8 @@ def grouped(
     by, quantiles = list(by), dict(quantiles or {})
     columns = {name: F.col(c) if isinstance(c, str) else c for name, (c, _) in quantiles.items()}
     if slices is None and (not quantiles or fits_one_task(df)):
-        exact = [F.percentile(columns[name], p).alias(name) for name, (_, p) in quantiles.items()]
+        counted = F.col(weight) if weight else 1
+        exact = [F.percentile(columns[name], p, counted).alias(name) for name, (_, p) in quantiles.items()]
         return df.groupBy(*by).agg(*aggregates, *exact) if by else df.agg(*aggregates, *exact)
 
     keys = by or [_ALL]
@@ -88,7 +91,8 @@ def grouped(
         by_expression.setdefault(columns[name]._jc.toString(), {})[name] = p
     for names in by_expression.values():
         expression = columns[next(iter(names))]
-        part = sliced_quantiles(base.select(*keys, expression.cast("double").alias("_value")), keys, "_value", names, slices)
+        kept = base.select(*keys, expression.cast("double").alias("_value"), *([weight] if weight else []))
+        part = sliced_quantiles(kept, keys, "_value", names, slices, weight)
         out = (
             out.alias("l").join(part.alias("r"), same_keys("l", "r", keys), "left")
             .select("l.*", *[F.col(f"r.`{n}`") for n in names])

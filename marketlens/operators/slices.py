@@ -51,9 +51,13 @@ def same_keys(left: str, right: str, keys: Sequence[str]) -> Column:
     return condition
 
 
-def value_counts(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
-    """Occurrences of each distinct non-null value per group; repeats collapse before the shuffle."""
-    return df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("_n"))
+def value_counts(df: DataFrame, by: Sequence[str], value: str, weight: str | None = None) -> DataFrame:
+    """Occurrences of each distinct non-null value per group; repeats collapse before the shuffle.
+
+    `weight` names a column that says how many rows a row stands for.
+    """
+    total = F.sum(weight) if weight else F.count(F.lit(1))
+    return df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(total.alias("_n"))
 
 
 def shifted_totals(sliced: DataFrame, by: Sequence[str], measures: dict[str, str]) -> DataFrame:

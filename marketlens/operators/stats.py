@@ -251,36 +251,32 @@ def trendline(df: DataFrame, y: str, x: str, y_quantile: float | None = 0.95) ->
 def lowess_grid(df: DataFrame, y: str, x: str, points: int = 20, frac: float = 0.3) -> DataFrame:
     """Local linear smoothing with tricube weights, evaluated on a grid of x quantiles.
 
-    Weights depend on x alone, so rows are first reduced to count, mean and second moment sums per
-    distinct x. The grid is a fixed number of literals: all grid points are evaluated in one further
-    aggregation over the distinct x, with no copy of the data per point. The bandwidth at a point is
-    the exact distance within which `frac` of the rows lie.
+    Weights depend on x alone, so rows are first reduced to a count and a sum per distinct x, and
+    only those meet the grid, a fixed number of literals. The bandwidth at a grid point is the exact
+    distance within which `frac` of the rows lie.
     """
     known = df.select(F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y")).dropna()
-    probs = {f"g{i}": i / (points - 1) for i in range(points)}
-    # A bounded number of scalars: the grid.
-    grid = sorted(set(grouped(known, [], quantiles={n: ("x", p) for n, p in probs.items()}).first() or []) - {None})
+    per_x = cut_lineage(known.groupBy("x").agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("sy")))
+    probs = {f"g{i}": ("x", i / (points - 1)) for i in range(points)}
+    # At most `points` scalars.
+    grid = sorted(set(grouped(per_x, [], quantiles=probs, weight="n").first() or []) - {None})
     if not grid:
         return df.sparkSession.createDataFrame([], "x double, smoothed double, bandwidth double")
-    reach = {f"h{i}": (F.abs(F.col("x") - g), frac) for i, g in enumerate(grid)}
-    widths = grouped(known, [], quantiles=reach).first()
-    per_x = known.groupBy("x").agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("sy"))
-    sums = []
-    for i, g in enumerate(grid):
-        distance = F.abs(F.col("x") - g)
-        h = widths[f"h{i}"]
-        # A bandwidth of zero means that `frac` of the rows sit on the point itself.
-        w = F.when(distance < h, F.pow(1 - F.pow(distance / h, F.lit(3)), F.lit(3))).otherwise(0.0) if h > 0 else \
-            (distance == 0).cast("double")
-        d = F.col("x") - g
-        sums.append(F.struct(
-            F.lit(g).alias("x"), F.lit(float(h)).alias("bandwidth"), F.sum(w * F.col("n")).alias("w"),
-            F.sum(w * F.col("n") * d).alias("wd"), F.sum(w * F.col("n") * d * d).alias("wdd"),
-            F.sum(w * F.col("sy")).alias("wy"), F.sum(w * F.col("sy") * d).alias("wdy")).alias(f"p{i}"))
-    wide = per_x.agg(*sums)
+    placed = per_x.select("x", "n", "sy", F.explode(F.array(*[F.lit(g) for g in grid])).alias("g")).withColumn(
+        "d", F.col("x") - F.col("g"))
+    widths = grouped(placed.select("g", "n", F.abs("d").alias("_a")), ["g"], quantiles={"h": ("_a", frac)}, weight="n")
+    # One row per grid point: a fixed number, hence safe to broadcast.
+    near = placed.join(F.broadcast(widths), "g")
+    share = F.try_divide(F.abs("d"), F.col("h"))
+    tricube = F.pow(1 - F.pow(share, F.lit(3)), F.lit(3))
+    # A bandwidth of zero means that `frac` of the rows sit on the point itself.
+    weight = F.when(F.col("h") > 0, F.when(share < 1, tricube).otherwise(0.0)).otherwise((F.col("d") == 0).cast("double"))
+    d, wn, ws = F.col("d"), F.col("w") * F.col("n"), F.col("w") * F.col("sy")
+    sums = near.withColumn("w", weight).groupBy("g", "h").agg(
+        F.sum(wn).alias("w"), F.sum(wn * d).alias("wd"), F.sum(wn * d * d).alias("wdd"),
+        F.sum(ws).alias("wy"), F.sum(ws * d).alias("wdy"))
     det = F.col("w") * F.col("wdd") - F.col("wd") * F.col("wd")
     line = (F.col("wdd") * F.col("wy") - F.col("wd") * F.col("wdy")) / det
     # Within a single x the line is undefined and the weighted mean is the answer.
     fit = F.when(det > 1e-9 * F.col("w") * F.col("w"), line).otherwise(F.try_divide("wy", "w"))
-    return wide.select(F.inline(F.array(*[f"p{i}" for i in range(len(grid))]))).select(
-        "x", fit.alias("smoothed"), "bandwidth")
+    return sums.select(F.col("g").alias("x"), fit.alias("smoothed"), F.col("h").alias("bandwidth"))

@@ -75,7 +75,7 @@ if __name__ == "__main__":
     import __spark_entry__ as entry
 
     folder = sys.argv[1]
-    wanted = sys.argv[2:]  # parts of query names, or `section:NAME`
+    wanted = [a for a in sys.argv[2:] if a != "--distributed"]  # parts of query names, or `section:NAME`
     sections = [w.split(":")[1] for w in wanted if w.startswith("section:")]
     if sections:
         wanted = [f"={n}" for s in entry.SECTIONS if s.__name__.split(".")[-1] in sections for n in s.QUERIES]
@@ -85,6 +85,8 @@ if __name__ == "__main__":
         .config("spark.driver.memory", "8g").config("spark.ui.showConsoleProgress", "false").getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
+    if "--distributed" in sys.argv:  # force the plans for inputs that do not fit one task
+        spark.conf.set("spark.marketlens.singleTaskBytes", "0")
     con, sqls, bad = connect(folder), entry.oracle_sql(), 0
     for name, query in entry.queries().items():
         if wanted and not any(w in f"={name}" if w[0] != "=" else w == f"={name}" for w in wanted):
