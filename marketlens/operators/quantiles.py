@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from marketlens.operators.slices import (
     cut_points, same_keys, shifted_totals, slice_count, value_counts, with_slice,
 )
-from marketlens.sizing import fits_one_task
 
 _ALL = "_all_rows"
 
@@ -72,25 +71,30 @@ def grouped(
 ) -> DataFrame:
     """`groupBy(by).agg(aggregates)` plus exact quantiles `{name: (expression, probability)}`.
 
-    While the input fits one task this is one hash aggregation with the built-in exact percentile,
-    whose per-group value map is then bounded too. Beyond that (or with `slices` given) quantiles
-    come from `sliced_quantiles` and are joined to the other aggregates on the group keys.
+    With one slice, the choice while the input fits one task, this is one hash aggregation with the
+    built-in exact percentile, whose per-group value map is then bounded too. With more slices the
+    quantiles come from `sliced_quantiles` and are joined to the other aggregates on the group keys.
     """
     by, quantiles = list(by), dict(quantiles or {})
-    columns = {name: F.col(c) if isinstance(c, str) else c for name, (c, _) in quantiles.items()}
-    if slices is None and (not quantiles or fits_one_task(df)):
+    if slices is None:
+        slices = slice_count(df) if quantiles else 1
+    # Quantiles of one expression share one value map, or one ranking.
+    shared: dict[str, tuple[Column, dict[str, float]]] = {}
+    for name, (c, p) in quantiles.items():
+        c = F.col(c) if isinstance(c, str) else c
+        shared.setdefault(c._jc.toString(), (c, {}))[1][name] = float(p)
+
+    if slices <= 1:
         counted = F.col(weight) if weight else 1
-        exact = [F.percentile(columns[name], p, counted).alias(name) for name, (_, p) in quantiles.items()]
-        return df.groupBy(*by).agg(*aggregates, *exact) if by else df.agg(*aggregates, *exact)
+        maps = [F.percentile(c, list(probs.values()), counted).alias(f"_q{i}") for i, (c, probs) in enumerate(shared.values())]
+        out = df.groupBy(*by).agg(*aggregates, *maps) if by else df.agg(*aggregates, *maps)
+        named = {n: F.col(f"_q{i}")[j] for i, (_, probs) in enumerate(shared.values()) for j, n in enumerate(probs)}
+        return out.withColumns(named).drop(*[f"_q{i}" for i in range(len(maps))]) if named else out
 
     keys = by or [_ALL]
     base = df if by else df.withColumn(_ALL, F.lit(1))
     out = base.groupBy(*keys).agg(*aggregates) if aggregates else base.select(*keys).distinct()
-    by_expression: dict[str, dict[str, float]] = {}
-    for name, (_, p) in quantiles.items():
-        by_expression.setdefault(columns[name]._jc.toString(), {})[name] = p
-    for names in by_expression.values():
-        expression = columns[next(iter(names))]
+    for expression, names in shared.values():
         kept = base.select(*keys, expression.cast("double").alias("_value"), *([weight] if weight else []))
         part = sliced_quantiles(kept, keys, "_value", names, slices, weight)
         out = (

@@ -256,15 +256,16 @@ def lowess_grid(df: DataFrame, y: str, x: str, points: int = 20, frac: float = 0
     distance within which `frac` of the rows lie.
     """
     known = df.select(F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y")).dropna()
+    slices = slice_count(df)
     per_x = cut_lineage(known.groupBy("x").agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("sy")))
     probs = {f"g{i}": ("x", i / (points - 1)) for i in range(points)}
     # At most `points` scalars.
-    grid = sorted(set(grouped(per_x, [], quantiles=probs, weight="n").first() or []) - {None})
+    grid = sorted(set(grouped(per_x, [], quantiles=probs, slices=slices, weight="n").first() or []) - {None})
     if not grid:
         return df.sparkSession.createDataFrame([], "x double, smoothed double, bandwidth double")
     placed = per_x.select("x", "n", "sy", F.explode(F.array(*[F.lit(g) for g in grid])).alias("g")).withColumn(
         "d", F.col("x") - F.col("g"))
-    widths = grouped(placed.select("g", "n", F.abs("d").alias("_a")), ["g"], quantiles={"h": ("_a", frac)}, weight="n")
+    widths = grouped(placed.select("g", "n", F.abs("d").alias("_a")), ["g"], quantiles={"h": ("_a", frac)}, slices=slices, weight="n")
     # One row per grid point: a fixed number, hence safe to broadcast.
     near = placed.join(F.broadcast(widths), "g")
     share = F.try_divide(F.abs("d"), F.col("h"))

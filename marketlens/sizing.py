@@ -39,6 +39,13 @@ def checkpoint_dir_known(spark: SparkSession) -> bool:
     return bool(folder)
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The checkpoint folder, which every executor reaches; for written tables of one run."""
+    if not checkpoint_dir_known(spark):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return spark.sparkContext._jsc.sc().getCheckpointDir().get()
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint of a frame that several jobs read; the frame itself where no folder is known."""
     return df.checkpoint() if checkpoint_dir_known(df.sparkSession) else df
