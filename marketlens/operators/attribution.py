@@ -57,12 +57,12 @@ def attribution_batch(
     gain = F.struct(F.try_element_at("_p.order", F.col("_s")).alias("f"), share.alias("c"))
     loss = F.struct(F.try_element_at("_p.order", F.col("_s") + 1).alias("f"), (-share).alias("c"))
     changes = F.when(F.col("_s") == 0, F.array(loss)).when(F.col("_s") == size, F.array(gain)).otherwise(F.array(gain, loss))
+    moved = scored.select(key, "_x", F.explode(changes).alias("_c")).select(
+        key, F.col("_c.f").alias("_f"), F.col("_c.c").alias("_d"), F.element_at("_x", F.col("_c.f") + 1).alias("_v"))
+    # Plain numbers only, so that this is a hash aggregation; the value is the same in all rows of a group.
+    out = moved.groupBy(key, "_f").agg(F.sum("_d").alias("contribution"), F.max("_v").alias("feature_value"))
     labels = F.array(*[F.lit(n) for n in names])
-    out = scored.select(key, "_x", F.explode(changes).alias("_c")).groupBy(key, F.col("_c.f").alias("_f")).agg(
-        F.sum("_c.c").alias("contribution"), F.first("_x").alias("_x"))
-    return out.select(
-        key, F.element_at(labels, F.col("_f") + 1).alias("feature"),
-        F.element_at("_x", F.col("_f") + 1).alias("feature_value"), "contribution")
+    return out.select(key, F.element_at(labels, F.col("_f") + 1).alias("feature"), "feature_value", "contribution")
 
 
 def global_importance(attributions: DataFrame, k: int = 15) -> DataFrame:

@@ -11,7 +11,7 @@ from marketlens.functions import fixed_values as fixed
 from marketlens.functions.scalar import clip, right_closed_bin, round_half_even
 from marketlens.operators.areas import enrich_with_areas
 from marketlens.operators.cleaning import days_between, has, host_segment, price_per_bedroom, tenure_years
-from marketlens.operators.quantiles import grouped, scalar_quantile
+from marketlens.operators.quantiles import grouped, scalar_quantiles
 from marketlens.operators.summaries import join_all_summaries
 from marketlens.sizing import cut_lineage, fits_one_task
 
@@ -44,8 +44,8 @@ def days_since_last_review(df: DataFrame, as_of: date) -> Column | None:
 
 def high_performer(df: DataFrame, rating: str = "review_scores_rating", reviews: str = "number_of_reviews") -> Column:
     """At or above the median in rating and in reviews; a missing value gives false."""
-    good = F.col(rating) >= scalar_quantile(df, rating, 0.5)
-    busy = F.col(reviews) >= scalar_quantile(df, reviews, 0.5)
+    medians = scalar_quantiles(df, {"rating": (rating, 0.5), "reviews": (reviews, 0.5)})
+    good, busy = F.col(rating) >= medians["rating"], F.col(reviews) >= medians["reviews"]
     return F.coalesce(good & busy, F.lit(False))
 
 
@@ -119,9 +119,8 @@ def map_points(df: DataFrame, color_floor: float = 50.0) -> DataFrame:
         "review_scores_rating", "occupancy_rate",
     )
     size = clip(F.coalesce(F.col("occupancy_rate"), F.lit(0.0)), 0.0, 1.0) * 12 + 3
+    scale = scalar_quantiles(df, {"cap": ("price", 0.95), "lat": ("latitude", 0.5), "lon": ("longitude", 0.5)})
     return located.withColumns({
-        "marker_size": size,
-        "color_cap": F.greatest(F.lit(color_floor), scalar_quantile(df, "price", 0.95)),
-        "center_latitude": scalar_quantile(df, "latitude", 0.5),
-        "center_longitude": scalar_quantile(df, "longitude", 0.5),
+        "marker_size": size, "color_cap": F.greatest(F.lit(color_floor), scale["cap"]),
+        "center_latitude": scale["lat"], "center_longitude": scale["lon"],
     })

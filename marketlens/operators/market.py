@@ -18,7 +18,7 @@ AREA = "neighbourhood_cleansed"
 
 
 def superhost_share(flag: str = "host_is_superhost") -> Column:
-    return F.count_if(F.col(flag)) * 100 / F.count(F.lit(1))
+    return F.try_divide(F.count_if(F.col(flag)) * 100, F.count(F.lit(1)))
 
 
 def kpi_baseline(df: DataFrame) -> DataFrame:
@@ -202,12 +202,18 @@ def histogram(df: DataFrame, value: str, bins: int, upto_quantile: float | None
 
 
 def corr_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Pearson correlation of every pair of columns over the rows that have both, in one pass."""
+    """Pearson correlation of every pair of columns over the rows that have both, in one pass.
+
+    Each row yields its pairs in place and they collapse to one partial result per task and pair
+    before the shuffle. (One aggregate per pair would be too large for generated code.)
+    """
     names = [c for c in columns if c in df.columns]
-    pairs = [(a, b) for i, a in enumerate(names) for b in names[i:]]
-    wide = df.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"p{i}") for i, (a, b) in enumerate(pairs)])
-    cells = []
-    for i, (a, b) in enumerate(pairs):
-        for x, y in {(a, b), (b, a)}:
-            cells.append(F.struct(F.lit(x).alias("column_a"), F.lit(y).alias("column_b"), F.col(f"p{i}").alias("corr")))
-    return wide.select(F.inline(F.array(*cells)))
+    numbers = df.select([F.col(c).cast("double").alias(c) for c in names])
+    pairs = [F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), F.col(names[i]).alias("x"), F.col(names[j]).alias("y"))
+             for i in range(len(names)) for j in range(i, len(names))]
+    found = numbers.select(F.inline(F.array(*pairs))).groupBy("i", "j").agg(F.corr("x", "y").alias("corr"))
+    labels = F.array(*[F.lit(n) for n in names])
+    both = F.when(F.col("i") == F.col("j"), F.array(F.struct("i", "j"))).otherwise(
+        F.array(F.struct("i", "j"), F.struct(F.col("j").alias("i"), F.col("i").alias("j"))))
+    return found.select(F.explode(both).alias("p"), "corr").select(
+        F.element_at(labels, F.col("p.i") + 1).alias("column_a"), F.element_at(labels, F.col("p.j") + 1).alias("column_b"), "corr")

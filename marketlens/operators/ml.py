@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from marketlens.functions import fixed_values as fixed
 from marketlens.functions.scalar import flag_to_int, flag_to_tf, number, right_closed_bin, round_half_even
 from marketlens.operators.cleaning import has
-from marketlens.operators.quantiles import grouped, scalar_quantile
+from marketlens.operators.quantiles import grouped, scalar_quantiles
 from marketlens.sizing import cut_lineage
 
 TARGET = "log_price"
@@ -31,7 +31,9 @@ def mode_of(df: DataFrame, column: str) -> Column:
 
 def fill_median(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Missing values take the exact median of their column."""
-    return df.withColumns({c: F.coalesce(F.col(c), scalar_quantile(df, c, 0.5)) for c in columns if c in df.columns})
+    known = [c for c in columns if c in df.columns]
+    medians = scalar_quantiles(df, {c: (c, 0.5) for c in known})
+    return df.withColumns({c: F.coalesce(F.col(c), medians[c]) for c in known})
 
 
 def fill_mode(df: DataFrame, column: str) -> DataFrame:

@@ -111,3 +111,8 @@ def median(c: Column | str) -> tuple[Column | str, float]:
 def scalar_quantile(df: DataFrame, value: Column | str, p: float) -> Column:
     """An exact quantile of the whole frame as a scalar subquery, for use inside an expression."""
     return grouped(df, [], quantiles={"q": (value, p)}).scalar()
+
+
+def scalar_quantiles(df: DataFrame, quantiles: Mapping[str, tuple[Column | str, float]]) -> Column:
+    """Several exact quantiles as one scalar subquery with a field per name: one pass for all."""
+    return grouped(df, [], quantiles=quantiles).select(F.struct(*quantiles)).scalar()

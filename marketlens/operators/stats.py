@@ -83,11 +83,13 @@ def kruskal_wallis(df: DataFrame, by: str, value: str, min_rows: int = 10, slice
     """H with tie correction, its p, and eta squared over groups of at least `min_rows` rows."""
     known = df.select(F.col(by).alias("g"), F.col(value).cast("double").alias("v")).where(
         F.col("g").isNotNull() & F.col("v").isNotNull())
-    counts = known.groupBy("g", "v").agg(F.count(F.lit(1)).alias("n"))
+    slices = slices or slice_count(known)
+    # Read four times below: count once and keep the counts.
+    counts = cut_lineage(known.groupBy("g", "v").agg(F.count(F.lit(1)).alias("n")))
     large = counts.groupBy("g").agg(F.sum("n").alias("_rows")).where(F.col("_rows") >= min_rows).select("g")
     counts = counts.join(large, "g", "left_semi")
     values = counts.groupBy("v").agg(F.sum("n").alias("n"))
-    sliced = with_slice(values, "v", cut_points(known, "v", slices or slice_count(known)))
+    sliced = with_slice(values, "v", cut_points(known, "v", slices))
     inside = Window.partitionBy("_slice").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
     below = shifted_totals(sliced, [], {"n": "n"}).select("_slice", "n_below")
     # One row per slice, a fixed number: safe to broadcast.
@@ -99,7 +101,8 @@ def kruskal_wallis(df: DataFrame, by: str, value: str, min_rows: int = 10, slice
     totals = per_group.agg(
         F.count(F.lit(1)).alias("groups"), F.sum("n").alias("n"), F.sum(F.col("r") * F.col("r") / F.col("n")).alias("s"))
     total, k = F.col("n"), F.col("groups")
-    h = (12 / (total * (total + 1)) * F.col("s") - 3 * (total + 1)) / (1 - ties["t"] / (total * total * total - total))
+    tied = F.try_divide(ties["t"], total * total * total - total)
+    h = F.try_divide(12 / (total * (total + 1)) * F.col("s") - 3 * (total + 1), 1 - tied)
     return (
         totals.withColumn("h", h)
         .select(k.alias("groups"), total.cast("long").alias("n"), "h", F.try_divide(F.col("h") - k + 1, total - k).alias("eta_squared"))
@@ -220,7 +223,8 @@ def regression_frame(df: DataFrame, columns: Sequence[str], price: str = "price"
 
 def ols(df: DataFrame, target: str, columns: Sequence[str]) -> DataFrame:
     """Coefficients, p-values and percentage effects of a least-squares fit, one row per column."""
-    data = VectorAssembler(inputCols=list(columns), outputCol="_x").transform(df).select("_x", F.col(target).alias("_y"))
+    kept = cut_lineage(df.select(*columns, F.col(target).alias("_y")))
+    data = VectorAssembler(inputCols=list(columns), outputCol="_x").transform(kept).select("_x", "_y")
     model = LinearRegression(featuresCol="_x", labelCol="_y", solver="normal", regParam=0.0).fit(data)
     names, p = ["intercept", *columns], model.summary.pValues
     rows = [(n, float(b), float(q), float(np.expm1(b) * 100), float(model.summary.r2))
@@ -232,7 +236,7 @@ def ols(df: DataFrame, target: str, columns: Sequence[str]) -> DataFrame:
 
 def vif(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Variance inflation factors: the diagonal of the inverse correlation matrix."""
-    data = VectorAssembler(inputCols=list(columns), outputCol="_x").transform(df).select("_x")
+    data = VectorAssembler(inputCols=list(columns), outputCol="_x").transform(cut_lineage(df.select(*columns))).select("_x")
     matrix = Correlation.corr(data, "_x").head()[0].toArray()
     factors = np.diag(np.linalg.pinv(matrix))
     out = df.sparkSession.createDataFrame(

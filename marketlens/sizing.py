@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -47,8 +48,17 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint of a frame that several jobs read; the frame itself where no folder is known."""
-    return df.checkpoint() if checkpoint_dir_known(df.sparkSession) else df
+    """Store a frame that several jobs read in the shared folder and read it back.
+
+    The frame is computed once, its columns can be pruned and its statistics are the real ones. Where
+    no shared folder is known the frame itself is returned and recomputed as needed.
+    """
+    spark = df.sparkSession
+    if not checkpoint_dir_known(spark):
+        return df
+    path = f"{shared_folder(spark)}/stage-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
