@@ -16,7 +16,7 @@ from catalog.oracle import oracle
 from catalog.rounding import near
 from marketlens.functions.fixed_values import CANDIDATE_DEFAULTS, FEATURE_LABELS, MODEL_FEATURES
 from marketlens.operators import attribution, ml
-from marketlens.sizing import cut_lineage
+from marketlens.sizing import cut_lineage, spread
 
 QUERIES = {}
 L = roles.listings
@@ -150,7 +150,7 @@ QUERIES["feature_importance"] = (lambda s, d: ml.feature_importance(ml.fit(ready
 
 
 def attributed(s, d):
-    data = cut_lineage(ready(s, d))
+    data = cut_lineage(spread(ready(s, d), "id"))
     return attribution.attribution_batch(ml.fit(data, small_forest()), data, data)
 
 

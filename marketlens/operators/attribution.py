@@ -15,6 +15,7 @@ from marketlens.functions.scalar import round_half_even
 from marketlens.operators.filters import sample_rows
 from marketlens.operators.ml import model_feature_list
 from marketlens.operators.quantiles import grouped
+from marketlens.sizing import spread
 
 
 def attribution_batch(
@@ -28,8 +29,8 @@ def attribution_batch(
     each order has its own reference row, drawn reproducibly from `background`. Contributions of a
     row add up exactly to its prediction minus the mean prediction of the reference rows (`base`).
 
-    The orders and reference rows are a fixed number of literals. Every row is expanded in place and
-    its differences are summed before the shuffle, so only (row, feature) sums cross it.
+    The orders and reference rows are a fixed number of literals. Rows are hashed by their key once,
+    narrow as they are; each is then expanded, scored and summed in place, with no further shuffle.
     """
     names = model_feature_list(model)
     size = len(names)
@@ -46,7 +47,8 @@ def attribution_batch(
         plans.append(F.struct(
             F.array(*[F.lit(j) for j in order]).alias("order"), F.array(*[F.lit(t) for t in turn]).alias("turn"),
             F.array(*[F.lit(v) for v in references[p % len(references)]]).alias("reference")))
-    steps = df.select(F.col(key), F.array(*[F.col(f"`{n}`").cast("double") for n in names]).alias("_x")).select(
+    rows = df.select(F.col(key), F.array(*[F.col(f"`{n}`").cast("double") for n in names]).alias("_x"))
+    steps = spread(rows, key).select(
         key, "_x", F.explode(F.array(*plans)).alias("_p")).select(
         key, "_x", "_p", F.explode(F.sequence(F.lit(0), F.lit(size))).alias("_s"))
     mixed = F.transform(F.col("_x"), lambda x, j: F.when(

@@ -15,7 +15,7 @@ from marketlens.functions import fixed_values as fixed
 from marketlens.functions.scalar import flag_to_int, flag_to_tf, number, right_closed_bin, round_half_even
 from marketlens.operators.cleaning import has
 from marketlens.operators.quantiles import grouped, scalar_quantiles
-from marketlens.sizing import cut_lineage
+from marketlens.sizing import cut_lineage, spread
 
 TARGET = "log_price"
 
@@ -190,7 +190,7 @@ def cross_validate(df: DataFrame, make: Callable[[int], Estimator], name: str, k
     `make(rows)` gives a fresh estimator for a training set of that size. The predictions of all folds
     stay distributed and are scored together.
     """
-    data = cut_lineage(df.withColumn("_fold", fold_of(key, folds, seed)))
+    data = cut_lineage(spread(df.withColumn("_fold", fold_of(key, folds, seed)), key))
     sizes = {r["_fold"]: r["n"] for r in data.groupBy("_fold").agg(F.count(F.lit(1)).alias("n")).collect()}
     total, parts = sum(sizes.values()), []
     for f in sorted(sizes):
@@ -210,7 +210,7 @@ def best_model(comparison: DataFrame, metric: str = "mae_mean") -> DataFrame:
 
 def holdout_metrics(df: DataFrame, estimator: Estimator, key: str = "id") -> DataFrame:
     """Training and test errors of one holdout fit."""
-    data = cut_lineage(df)
+    data = cut_lineage(spread(df, key))
     train, test = train_test_split(data, key)
     model = fit(train, estimator)
     scored = [score_batch(model, part).withColumn("part", F.lit(name)) for name, part in (("train", train), ("test", test))]

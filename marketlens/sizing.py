@@ -61,6 +61,15 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Hash the rows over all shuffle partitions, ahead of work that is heavy per row.
+
+    A fixed number of partitions keeps the runtime from merging them just because the rows are few,
+    and later groupings by the key need no further shuffle.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")), key)
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
     """Mark a narrow frame for broadcasting after counting it; beyond the bound the join shuffles.
 
