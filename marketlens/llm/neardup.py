@@ -21,8 +21,8 @@ SHINGLE, GROUPS, ROWS = 5, 10, 2
 WHOLE, PART = 100, 75
 #: Members of one block of a bucket; larger buckets are compared block by block.
 BLOCK = 256
-#: A pair is compared in full if so many of its 2 * GROUPS hash groups agree. At 0.75 fewer do with probability 3e-5.
-LEAST_AGREEING = 3
+#: Smallest hashes of a set that are kept, and the share of common ones below which a pair is not compared in full.
+SKETCH, LEAST_SHARE = 256, 0.65
 _FACTORS = mix(np.arange(1, 2 * GROUPS * ROWS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 
 
@@ -52,7 +52,8 @@ def _signatures(batches):
             yield pa.RecordBatch.from_arrays([
                 part.column("doc_id"), pa.array(n.astype(np.int64)), longs(digest[:, 0]), longs(digest[:, 1]),
                 lists(code.ravel().view(np.int64), np.arange(0, code.size + 1, 2 * GROUPS)),
-            ], names=["doc_id", "n_shingles", "h1", "h2", "codes"])
+                pa.array([(values[a:min(b, a + SKETCH)] >> np.uint64(32)).astype("<u4").tobytes() for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())], pa.binary()),
+            ], names=["doc_id", "n_shingles", "h1", "h2", "codes", "sketch"])
 
 
 def _full_sets(batches):
@@ -62,21 +63,45 @@ def _full_sets(batches):
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), lists(values.view(np.int64), bounds)], names=["doc_id", "hashes"])
 
 
+def _alike(x: np.ndarray, others: np.ndarray, n: int, sizes: np.ndarray) -> np.ndarray:
+    """Whether sets may be as similar as a link asks, by their smallest hashes (sketches, padded with the largest value).
+
+    Up to the smaller of the two sketches' ends both sets are known in full. Sets that fit their sketches are judged
+    exactly, others by the share there, which at similarity 0.75 is below LEAST_SHARE with probability 1e-4 at most.
+    """
+    pad = np.iinfo(np.uint32).max
+    end = np.minimum(x[-1], others[:, -1])[:, None]
+    slot = np.minimum(np.searchsorted(x, others), len(x) - 1)
+    inside = (others <= end) & (others != pad)
+    common = ((x[slot] == others) & inside).sum(1)
+    union = inside.sum(1) + ((x[None, :] <= end) & (x[None, :] != pad)).sum(1) - common
+    exact = (n <= SKETCH) & (sizes <= SKETCH)
+    return np.where(exact, WHOLE * common >= PART * union, common >= LEAST_SHARE * union)
+
+
 def _across(table: pa.Table) -> pa.Table:
-    """Pairs of one block pair of a bucket: from different components, of like size, with enough agreeing groups."""
+    """Pairs of one block pair of a bucket: from different components, of like size, alike by their sketches, and in
+    the first table that both share."""
     side = table.column("side").to_numpy()
     ids, comp, n = (table.column(c).to_numpy() for c in ("node", "component", "n_shingles"))
     codes = np.array(table.column("codes").combine_chunks().values).reshape(len(ids), -1)
+    sketches = np.full((len(ids), SKETCH), np.iinfo(np.uint32).max, np.uint32)
+    for row, own in zip(sketches, table.column("sketch").to_pylist()):
+        own = np.frombuffer(own, "<u4")
+        row[:len(own)] = own
+    i, j = divmod(table.column("tab")[0].as_py(), GROUPS) if len(ids) else (0, 0)
     left = np.flatnonzero(side != 1)
     right = np.flatnonzero(side != 0)
     out_a, out_b = [], []
-    for i in left.tolist():
-        others = right[(comp[right] != comp[i]) & (WHOLE * np.minimum(n[right], n[i]) >= PART * np.maximum(n[right], n[i]))]
-        others = others[(codes[others] == codes[i]).sum(1) >= LEAST_AGREEING]
-        if side[i] == 2:
-            others = others[ids[others] > ids[i]]
-        out_a.append(np.minimum(ids[others], ids[i]))
-        out_b.append(np.maximum(ids[others], ids[i]))
+    for k in left.tolist():
+        others = right[(comp[right] != comp[k]) & (WHOLE * np.minimum(n[right], n[k]) >= PART * np.maximum(n[right], n[k]))]
+        if side[k] == 2:
+            others = others[ids[others] > ids[k]]
+        agree = codes[others] == codes[k]
+        others = others[~agree[:, :i].any(1) & ~agree[:, GROUPS:GROUPS + j].any(1)]
+        others = others[_alike(sketches[k], sketches[others], n[k], n[others])]
+        out_a.append(np.minimum(ids[others], ids[k]))
+        out_b.append(np.maximum(ids[others], ids[k]))
     return pa.table({"a": np.concatenate(out_a or [ids[:0]]), "b": np.concatenate(out_b or [ids[:0]])})
 
 
@@ -136,14 +161,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     bucket of mutual near copies costs its size.
     """
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    rows = cut_lineage(source.mapInArrow(_signatures, "doc_id long, n_shingles long, h1 long, h2 long, codes array<long>"))
+    rows = cut_lineage(source.mapInArrow(_signatures, "doc_id long, n_shingles long, h1 long, h2 long, codes array<long>, sketch binary"))
     classes = rows.where("doc_id is not null and n_shingles > 0").groupBy("h1", "h2", "n_shingles").agg(
-        F.min(F.struct("doc_id", "codes")).alias("m"), F.count("*").alias("n_copies"))
-    classes = cut_lineage(classes.select("h1", "h2", "n_shingles", "n_copies", F.col("m.doc_id").alias("node"), F.col("m.codes").alias("codes")))
+        F.min(F.struct("doc_id", "codes", "sketch")).alias("m"), F.count("*").alias("n_copies"))
+    classes = cut_lineage(classes.select("h1", "h2", "n_shingles", "n_copies", F.col("m.doc_id").alias("node"), F.col("m.codes").alias("codes"), F.col("m.sketch").alias("sketch")))
 
     first, second = F.slice("codes", 1, GROUPS), F.slice("codes", GROUPS + 1, GROUPS)
     keys = F.flatten(F.transform(first, lambda x: F.transform(second, lambda y: F.xxhash64(x, y))))
-    met = classes.select("node", F.explode(keys).alias("key"))
+    met = classes.select("node", F.posexplode(keys).alias("tab", "key"))
     buckets = met.groupBy("key").agg(F.min("node").alias("pivot"), F.max("node").alias("last")).where("pivot != last").drop("last")
     members = cut_lineage(met.join(cut_lineage(buckets), "key"))
 
@@ -151,16 +176,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     star = cut_lineage(members.where("node != pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct())
     links = cut_lineage(verified(with_text, star))
     found = components(links)
-    placed = members.select("key", "node").join(found, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
+    placed = members.select("key", "tab", "node").join(found, "node", "left").select("key", "tab", "node", F.coalesce("component", "node").alias("component"))
     open_keys = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("n")).where("lo != hi")
     # Pairs of two were compared as pivot and member.
     open_keys = open_keys.where("n > 2").select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("parts"))
-    facing = placed.join(open_keys, "key").join(classes.select("node", "n_shingles", "codes"), "node")
+    facing = placed.join(open_keys, "key").join(classes.select("node", "n_shingles", "codes", "sketch"), "node")
     own = F.pmod(F.xxhash64("node"), "parts").cast("int")
     facing = facing.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select(
-        "key", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"), "node", "component", "n_shingles", "codes",
+        "key", "tab", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"), "node", "component", "n_shingles", "codes", "sketch",
         F.when(F.col("own") == F.col("other"), 2).when(F.col("own") < F.col("other"), 0).otherwise(1).alias("side"))
-    across = facing.groupBy("key", "p", "q").applyInArrow(_across, "a long, b long").distinct().join(star, ["a", "b"], "left_anti")
+    # Comparing takes longer than its rows' bytes tell, so these are dealt to all partitions.
+    facing = facing.repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")), "key", "p", "q")
+    across = facing.groupBy("key", "p", "q").applyInArrow(_across, "a long, b long").join(star, ["a", "b"], "left_anti")
     across = cut_lineage(across)
     if not across.isEmpty():
         more = cut_lineage(verified(with_text, across))
@@ -170,7 +197,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     placed = classes.select("h1", "h2", "n_shingles", "n_copies", "node").join(found, "node", "left").select(
         "h1", "h2", "n_shingles", "n_copies", F.coalesce("component", "node").alias("component"))
     empty = (F.col("n_shingles") == 0) | F.col("doc_id").isNull()
-    out = rows.drop("codes").join(placed, ["h1", "h2", "n_shingles"], "left")
+    out = rows.drop("codes", "sketch").join(placed, ["h1", "h2", "n_shingles"], "left")
     component = F.when(empty, F.col("doc_id")).otherwise(F.col("component"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"),
                       F.when(empty, F.lit(1)).otherwise(F.col("n_copies")).cast("long").alias("n_copies"))
