@@ -20,7 +20,7 @@ from marketlens.sizing import cut_lineage
 WEIGHTS, SHARE, CEILING = (5, 2, 1), 1.5, 2
 STEPS, TOLERANCE = 60, 1e-6
 #: Documents of one rounding group on average.
-GROUP_ROWS = 20_000
+GROUP_ROWS = 2_000
 
 
 def _sizes(batches):

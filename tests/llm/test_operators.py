@@ -1,0 +1,299 @@
+"""The ten operators on a small fixture: nulls, empty and long texts, ties, repeated rows, clashing columns, empty tables;
+results against brute force."""
+
+import hashlib
+import math
+import re
+import struct
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from marketlens.llm import lines, lm, mixture, neardup, packing, quality, queries, suffixes, topk, toxicity, urls
+
+rng = np.random.default_rng(5)
+WORDS = ["".join(rng.choice(list("abcdeé"), rng.integers(2, 7))) for _ in range(400)]
+
+
+def prose(n, seed):
+    r = np.random.default_rng(seed)
+    return " ".join(r.choice(WORDS, n).tolist())
+
+
+PASSAGE = prose(70, 1)
+BASE = prose(150, 2)
+ROWS = [
+    (0, BASE, "s1"), (1, BASE, "s2"), (2, BASE.replace(WORDS[3], "other", 1) + " end", "s1"), (3, prose(120, 3) + "\n" + PASSAGE + "\n" + prose(30, 4), "s1"),
+    (4, prose(90, 5) + "\n" + PASSAGE + "\nzz\nzz", None), (5, None, "s3"), (6, "", "s3"), (7, " \n\t ", "s2"), (8, "One", "s1"), (9, "ONE", "s1"),
+    (10, prose(6000, 6), "s2"), (11, "word " * 400, "s2"), (None, prose(60, 7), "s1"), (13, prose(60, 8), "s1"), (13, prose(60, 8), "s1"),
+    (14, "#*$%&|<> " * 30, "s1"), (15, "a" * 900, "s4"), (16, "é" * 500 + " x", "é"),
+]
+DDL = "doc_id long, text string, source string, lang string, n_chars long, key string, size long, row string, taken string"
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return spark.createDataFrame([(i, t, s, "en", 0, "k", 1, "r", "t") for i, t, s in ROWS], DDL)
+
+
+@pytest.fixture(scope="module")
+def empty(spark):
+    return spark.createDataFrame([], DDL)
+
+
+def tokens(text, lower=True):
+    text = text or ""
+    if lower:
+        text = re.sub("[A-Z]", lambda m: m[0].lower(), text)
+    return re.findall(r"[^\x20\x09-\x0D]+", text)
+
+
+def test_near_duplicates(docs, empty):
+    got = {}
+    for r in neardup.near_duplicates(docs).collect():
+        got.setdefault(r["doc_id"], []).append(r)
+    sets = {}
+    for i, t, _ in ROWS:
+        w = tokens(t)
+        sets[i] = {tuple(w[k:k + 5]) for k in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)} if w else set()
+    label = {i: i for i in sets if i is not None}
+    for _ in label:
+        for a in label:
+            for b in label:
+                both = len(sets[a] & sets[b])
+                if both and 100 * both >= 75 * (len(sets[a]) + len(sets[b]) - both):
+                    label[a] = label[b] = min(label[a], label[b])
+    for i, rows in got.items():
+        assert all(r["n_shingles"] == len(sets[i]) for r in rows)
+        assert all(r["component_id"] == label.get(i) for r in rows)
+        assert all(r["kept"] == (i is None or label[i] == i) for r in rows)
+    assert sum(map(len, got.values())) == len(ROWS)
+    assert neardup.near_duplicates(empty).count() == 0
+    kept = neardup.kept_documents(docs)
+    assert kept.columns == docs.columns
+    assert Counter(r["doc_id"] for r in kept.collect()) == Counter(i for i in {*label.values()}) + Counter([None])
+
+
+def test_many_mutual_copies(spark):
+    """A bucket with several components: links between members other than its smallest id are found."""
+    texts = [prose(100, 20 + i % 3) + f" tail{i}" for i in range(400)]
+    got = neardup.near_duplicates(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert {r["doc_id"]: r["component_id"] for r in got} == {i: i % 3 for i in range(400)}
+
+
+def test_top_inner_products(spark):
+    r = np.random.default_rng(3)
+    rows = [(i, r.normal(0, 0.2, 8).astype("float32").tolist(), 1) for i in range(300)]
+    rows += [(300, rows[5][1], 1), (301, None, 1), (302, [float("nan")] * 8, 1), (303, [None] * 8, 1), (None, rows[1][1], 1), (7, rows[7][1], 2), (350, [1e30] * 8, 1)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>, score int")
+    got = [tuple(x) for x in topk.top_inner_products(frame).orderBy("query_id", "rank").collect()]
+    valid = {i: [math.floor(256 * float(x)) for x in v] for i, v, _ in rows if i is not None and v and all(x is not None and math.isfinite(x) for x in v)}
+    expected = []
+    for q in sorted(i for i in valid if i % 50 == 0):
+        scores = sorted((-max(-2**63, min(2**63 - 1, sum(a * b for a, b in zip(valid[q], valid[v])))), v) for v in valid if v != q)
+        expected += [(q, k + 1, v, -s) for k, (s, v) in enumerate(scores[:5])]
+    assert [g for g in got if 350 not in (g[0], g[2])] == [e for e in expected if 350 not in (e[0], e[2])]
+    assert topk.top_inner_products(frame.limit(0)).count() == 0
+
+
+def test_lines(docs, empty):
+    got = {r["doc_id"]: r for r in lines.drop_repeated_units(docs).collect()}
+    assert PASSAGE in got[3]["kept_text"] and PASSAGE not in got[4]["kept_text"] and got[1]["kept_text"] == ""
+    for i, t, _ in ROWS:
+        raw, r = (t or "").encode(), got[i]
+        assert r["n_spans"] == len(r["removed_spans"])
+        left = b"".join(raw[a:b] for a, b in zip([0] + [s["stop"] for s in r["removed_spans"]], [s["start"] for s in r["removed_spans"]] + [len(raw)]))
+        assert left.decode() == r["kept_text"]
+    assert lines.drop_repeated_units(empty).count() == 0
+    assert lines.drop_repeated_units(docs, unit="paragraph").count() == len(ROWS)
+
+
+def test_lm(docs, empty):
+    got = sorted(lm.score_texts(docs).collect(), key=lambda r: (r["doc_id"] is None, r["doc_id"] or 0))
+    held = lambda i: zlib.crc32(("" if i is None else str(i)).encode()) % 7 == 2
+    count = Counter(w for i, t, _ in ROWS if not held(i) for w in [*tokens(t), "</end> "])
+    n, v = sum(count.values()), len(count)
+    for r, (i, t, _) in zip(got, sorted(ROWS, key=lambda r: (r[0] is None, r[0] or 0))):
+        w = [*tokens(t), "</end> "]
+        assert (r["doc_id"], r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"]) == (i, held(i), len(w), sum(count[x] > 0 for x in w), n)
+        assert math.isclose(r["base_score"], sum(math.log10((count[x] + 1) / (n + v + 1)) for x in w), rel_tol=1e-9)
+        assert r["score"] < 0
+    assert lm.score_texts(empty).count() == 0
+
+
+def test_lm_is_normalised():
+    noise = np.full(lm.CLASSES, 1 / lm.CLASSES)
+    p = lm.start(noise)
+    every = np.arange(lm.CLASSES)
+    total = 10 ** lm.class_log10(p, every, np.full(lm.CLASSES, 3), np.full(lm.CLASSES, lm.START))
+    assert math.isclose(total.sum(), 1, rel_tol=1e-5)
+
+
+def test_packing(docs, empty):
+    from tokenizers import Tokenizer
+
+    path = queries.tokenizer_path()
+    got = packing.pack_documents(docs, path).collect()
+    coder = Tokenizer.from_file(path)
+    coded = {i: [*coder.encode(t or "", add_special_tokens=False).ids, 2] for i, t, _ in ROWS}
+    seen = Counter()
+    for r in got:
+        ids = coded[r["doc_id"]]
+        assert r["doc_tokens"] == len(ids)
+        part = ids[r["start"]:r["start"] + r["length"]]
+        assert len(part) == r["length"] > 0 and r["ids_crc32"] == zlib.crc32(struct.pack(f"<{len(part)}I", *part))
+        seen.update((r["doc_id"], k) for k in range(r["start"], r["start"] + r["length"]))
+    assert seen == Counter((i, k) for i, _, _ in ROWS for k in range(len(coded[i])))
+    by = {}
+    for r in sorted(got, key=lambda r: r["offset"]):
+        assert by.setdefault(r["sequence_id"], 0) == r["offset"]
+        by[r["sequence_id"]] += r["length"]
+    assert all(n <= 4096 for n in by.values())
+    assert packing.pack_documents(empty, path).count() == 0
+
+
+def test_first_fit_is_first_fit():
+    sizes = sorted(np.random.default_rng(1).integers(1, 4096, 500).tolist(), reverse=True)
+    plain, room = [], []
+    for i, s in enumerate(sizes):
+        k = next((k for k, f in enumerate(room) if f >= s), len(room))
+        if k == len(room):
+            room.append(4096)
+            plain.append([])
+        room[k] -= s
+        plain[k].append(i)
+    assert packing.first_fit(sizes, 4096) == plain
+
+
+def test_urls(spark):
+    rows = [(1, "http://A.Example.net/en/x?q"), (2, "https://example.com/de/1"), (3, "x"), (4, None), (5, "http://net/"), (6, "http://notnet"),
+            (7, "http://b.org/fr/free-bets"), (8, "http://b.org/es/free-bets/"), (8, "http://b.org/es/Free-Bets"), (9, "http://b.org/xfree-bets"), (10, ""),
+            (None, "http://sub.example.net#top/en/"), (12, "http://a.io/?poker-x-bonus"), (13, "a\nb://C.org/fr/\nx")]
+    got = urls.judge_urls(spark.createDataFrame([(*r, "h", "p") for r in rows], "page_id long, url string, host string, path string")).collect()
+    seen = {(r["page_id"], r["host"], r["path"], r["rule"], r["verdict"]) for r in got}
+    assert len(got) == len(rows)
+    assert seen == {
+        (1, "a.example.net", "/en/x", "example.net/en/", "allow"), (2, "example.com", "/de/1", "example.com/de/", "block"), (3, "", "", None, "allow"),
+        (4, "", "", None, "allow"), (5, "net", "/", "net/", "block"), (6, "notnet", "", None, "allow"), (7, "b.org", "/fr/free-bets", "org/fr/", "allow"),
+        (8, "b.org", "/es/free-bets/", None, "block"), (8, "b.org", "/es/Free-Bets", None, "block"), (9, "b.org", "/xfree-bets", None, "allow"),
+        (10, "", "", None, "allow"), (None, "sub.example.net", "", None, "allow"), (12, "a.io", "/", None, "block"), (13, "c.org", "/fr/\nx", "org/fr/", "allow")}
+    assert urls.judge_urls(spark.createDataFrame([], "page_id long, url string")).count() == 0
+    with pytest.raises(ValueError):
+        urls.judge_urls(spark.createDataFrame([], "page_id long, url string"), patterns={"bare": "*ab*"})
+
+
+def cut_by_hand(texts):
+    seen = Counter(b[k:k + 200] for b in texts for k in range(len(b) - 199))
+    out = []
+    for b in texts:
+        gone = np.zeros(len(b) + 1, int)
+        for k in range(len(b) - 199):
+            if seen[b[k:k + 200]] > 1:
+                gone[k] += 1
+                gone[k + 200] -= 1
+        mask = np.cumsum(gone[:-1]) > 0
+        out.append((len(b), int(mask.sum()), int((np.diff(mask.astype(int), prepend=0) == 1).sum()), hashlib.sha256(np.frombuffer(b, np.uint8)[~mask].tobytes()).hexdigest()))
+    return out
+
+
+@pytest.mark.parametrize("many", [suffixes.MANY, 1])
+def test_suffixes(docs, empty, monkeypatch, many):
+    """With MANY = 1 every anchor of several regions is cut into parts and single windows."""
+    monkeypatch.setattr(suffixes, "MANY", many)
+    got = suffixes.drop_repeated_substrings(docs).collect()
+    expected = cut_by_hand([(t or "").encode() for _, t, _ in ROWS])
+    assert Counter((r["doc_id"], r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in got) == Counter((i, *e) for (i, _, _), e in zip(ROWS, expected))
+    assert suffixes.drop_repeated_substrings(empty).count() == 0
+    cut = suffixes.cut_documents(docs)
+    assert cut.columns == docs.columns
+    assert {5, 6, 7, 8, 9, 10} <= {r["doc_id"] for r in cut.collect()} and 0 not in {r["doc_id"] for r in cut.collect()}
+
+
+@pytest.mark.parametrize("alphabet", [2, 4, 200])
+def test_suffix_order(alphabet):
+    r = np.random.default_rng(alphabet)
+    data = r.integers(20, 20 + alphabet, 4000).astype(np.uint8)
+    data[1000:1500], data[2000:2300] = 21, data[100:400]
+    b = data.tobytes()
+    order = suffixes.two_stage_order(data).tolist()
+    assert sorted(order) == list(range(len(b)))
+    keys = [b[k:k + 200] for k in order]
+    assert keys == sorted(keys)
+
+
+def test_mixing(docs, empty):
+    got = mixture.mix_sources(docs).collect()
+    sizes = Counter()
+    for i, t, s in ROWS:
+        sizes[s] += len(tokens(t))
+    order = sorted((s for s in sizes if s is not None), key=lambda s: [ord(c) for c in s]) + [None]
+    weight = {s: (5, 2, 1)[k % 3] for k, s in enumerate(order)}
+    left, target, open_ = 1.5 * sum(sizes.values()), {}, set(order)
+    while open_:
+        level = left / sum(weight[s] for s in open_)
+        full = {s for s in open_ if weight[s] * level >= 2 * sizes[s]}
+        for s in full or open_:
+            target[s] = 2 * sizes[s] if full else weight[s] * level
+        left -= sum(target[s] for s in full)
+        open_ -= full or open_
+    text_source = Counter((i, len(tokens(t)), s) for i, t, s in ROWS)
+    taken = Counter()
+    for r in got:
+        s = next(s for (i, n, s) in text_source if i == r["doc_id"] and n == r["size"])
+        assert r["source_size"] == sizes[s] and math.isclose(r["target"], target[s], rel_tol=1e-9, abs_tol=1e-9)
+        assert 0 <= r["taken"] <= 2 * r["size"]
+        taken[s] += r["taken"]
+    assert len(got) == len(ROWS) and all(abs(taken[s] - target[s]) <= 2 for s in sizes)
+    assert sorted(map(tuple, mixture.mix_sources(docs).drop("rate").collect()), key=repr) == sorted(map(tuple, mixture.mix_sources(docs).drop("rate").collect()), key=repr)
+    assert mixture.mix_sources(empty).count() == 0
+    mixed = mixture.mixed_documents(docs)
+    assert mixed.columns == docs.columns
+    assert abs(sum(len(tokens(r["text"])) for r in mixed.collect()) - sum(taken.values())) <= 2
+
+
+def test_toxicity(spark, docs, empty):
+    r = np.random.default_rng(9)
+    texts = [(i, prose(40, 100 + i) + (" you Idiot, scum!" if i % 4 == 0 else "")) for i in range(400)] + [(400, None), (None, "idiot scum"), (402, "")]
+    labels = [(i, int(r.random() < 0.5), int(i % 4 == 0) if r.random() > 0.05 else 1) for i in range(0, 400, 2)] + [(None, 1, 1), (400, None, None)]
+    frame = spark.createDataFrame([(*t, 1, 1) for t in texts], "doc_id long, text string, toxic int, quality int")
+    label = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    got = {x["doc_id"]: x for x in toxicity.grade_toxicity(frame, label).collect()}
+    wrong = [i for i in range(1, 400, 2) if got[i]["rejected"]] + [i for i in range(0, 400, 4) if not got[i]["rejected"]]
+    assert not wrong and got[None]["rejected"] and not got[400]["rejected"] and not got[402]["rejected"]
+    assert all(0 <= x["severity"] <= 2 for x in got.values())
+    assert toxicity.kept_documents(frame, label).columns == frame.columns
+    assert toxicity.kept_documents(frame, label).count() == sum(not x["rejected"] for x in got.values())
+    assert not any(x["rejected"] for x in toxicity.grade_toxicity(docs, label.limit(0)).collect())
+    assert toxicity.grade_toxicity(empty, label).count() == 0
+
+
+def base_counts(text):
+    text = text or ""
+    w = tokens(text, lower=False)
+    rows, dup, seen = text.split("\n"), 0, set()
+    for line in rows:
+        if tokens(line, lower=False):
+            dup += line in seen
+            seen.add(line)
+    windows = Counter(tuple(w[k:k + 8]) for k in range(len(w) - 7))
+    hit = {j for k in range(len(w) - 7) if windows[tuple(w[k:k + 8])] > 1 for j in range(k, k + 8)}
+    return len(w), sum(map(len, w)), sum(c in "#*$%&|<>" for c in text), dup, len(hit), len(w) < 20 or 100 * len(hit) > 30 * len(w)
+
+
+def test_quality(docs, empty):
+    got = quality.judge_quality(docs).collect()
+    names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
+    assert Counter((r["doc_id"], *(r[n] for n in names)) for r in got) == Counter((i, *base_counts(t)) for i, t, _ in ROWS)
+    assert all(not (r["kept"] and r["base_failed"]) for r in got)
+    assert quality.judge_quality(empty).count() == 0
+
+
+def test_distance():
+    p, q = np.array([[1.0, 3.0], [2.0, 2.0], [0.0, 0.0], [1.0, 0.0]]), np.array([0.0, 4.0])
+    def plain(a, b):
+        m = [(x + y) / 2 for x, y in zip(a, b)]
+        kl = lambda x: sum(v * math.log2(v / w) for v, w in zip(x, m) if v)
+        return math.sqrt((kl(a) + kl(b)) / 2)
+    assert np.allclose(quality.distance(p, q), [plain([0.25, 0.75], [0, 1]), plain([0.5, 0.5], [0, 1]), 0, 1])
