@@ -132,11 +132,11 @@ QUERIES["train_test_sizes"] = (
 RIDGE = ml.ridge
 
 
-def small_forest(_=0):
+def small_forest(*_):
     return ml.random_forest(trees=20, depth=6)
 
 
-def small_boost(_=0):
+def small_boost(*_):
     return ml.boosted_trees(rounds=10, rate=0.3, depth=4)
 
 

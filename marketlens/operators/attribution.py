@@ -36,6 +36,8 @@ def attribution_batch(
     size = len(names)
     # At most `permutations` rows.
     references = [[float(r[n]) for n in names] for r in sample_rows(background, key, permutations, seed).collect()]
+    if not references:
+        raise ValueError("the background has no rows to take references from")
     draw = random.Random(seed)
     orders: list[list[int]] = []
     while len(orders) < permutations:

@@ -102,9 +102,12 @@ def scoring_features(candidates: DataFrame, room_types: Sequence[str] = fixed.RO
 # Models
 
 
-def ridge(rows: int, alpha: float = 10.0) -> LinearRegression:
-    """L2 regression on standardised features; the penalty is per row in MLlib, hence alpha / rows."""
-    return LinearRegression(labelCol=TARGET, elasticNetParam=0.0, regParam=alpha / max(rows, 1), solver="normal")
+def ridge(rows: int, label_sd: float = 1.0, alpha: float = 10.0) -> LinearRegression:
+    """L2 regression on standardised features, the solution of (Z'Z + alpha I) b = Z'y.
+
+    MLlib's penalty is per row and divided by the label's population deviation, hence both factors.
+    """
+    return LinearRegression(labelCol=TARGET, elasticNetParam=0.0, regParam=alpha * label_sd / max(rows, 1), solver="normal")
 
 
 def random_forest(trees: int = 200, depth: int = 12, min_leaf: int = 5, seed: int = 42) -> RandomForestRegressor:
@@ -183,18 +186,24 @@ def regression_metrics(df: DataFrame, by: Sequence[str] = (), actual: str = "pri
     )
 
 
-def cross_validate(df: DataFrame, make: Callable[[int], Estimator], name: str, key: str = "id", folds: int = 5,
+def cross_validate(df: DataFrame, make: Callable[[int, float], Estimator], name: str, key: str = "id", folds: int = 5,
                    seed: int = 42) -> DataFrame:
     """Mean and population deviation of the fold errors in price units, one row.
 
-    `make(rows)` gives a fresh estimator for a training set of that size. The predictions of all folds
+    `make(rows, label_sd)` gives a fresh estimator for a training set of that size and label deviation. The predictions of all folds
     stay distributed and are scored together.
     """
     data = cut_lineage(spread(df.withColumn("_fold", fold_of(key, folds, seed)), key))
-    sizes = {r["_fold"]: r["n"] for r in data.groupBy("_fold").agg(F.count(F.lit(1)).alias("n")).collect()}
-    total, parts = sum(sizes.values()), []
-    for f in sorted(sizes):
-        model = fit(data.where(F.col("_fold") != f), make(total - sizes[f]))
+    label = F.col(TARGET)
+    moments = {r["_fold"]: r for r in data.groupBy("_fold").agg(
+        F.count(F.lit(1)).alias("n"), F.avg(label).alias("mean"), F.var_pop(label).alias("var")).collect()}
+    parts = []
+    for f in sorted(moments):
+        rest = [m for g, m in moments.items() if g != f]
+        rows = sum(m["n"] for m in rest)
+        mean = sum(m["n"] * m["mean"] for m in rest) / max(rows, 1)
+        sd = (sum(m["n"] * (m["var"] + (m["mean"] - mean) ** 2) for m in rest) / max(rows, 1)) ** 0.5
+        model = fit(data.where(F.col("_fold") != f), make(rows, sd))
         parts.append(model.transform(data.where(F.col("_fold") == f)).select(
             "_fold", F.expm1(TARGET).alias("price"), F.expm1("prediction").alias("predicted")))
     per_fold = regression_metrics(reduce(DataFrame.unionByName, parts), ["_fold"])

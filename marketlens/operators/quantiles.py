@@ -82,6 +82,7 @@ def grouped(
     shared: dict[str, tuple[Column, dict[str, float]]] = {}
     for name, (c, p) in quantiles.items():
         c = F.col(c) if isinstance(c, str) else c
+        c = F.nanvl(c.cast("double"), F.lit(None).cast("double"))  # NaN is no value in either plan
         shared.setdefault(c._jc.toString(), (c, {}))[1][name] = float(p)
 
     if slices <= 1:
@@ -93,7 +94,10 @@ def grouped(
 
     keys = by or [_ALL]
     base = df if by else df.withColumn(_ALL, F.lit(1))
-    out = base.groupBy(*keys).agg(*aggregates) if aggregates else base.select(*keys).distinct()
+    if by:
+        out = base.groupBy(*keys).agg(*aggregates) if aggregates else base.select(*keys).distinct()
+    else:  # one row, also for an empty frame
+        out = df.agg(*aggregates).withColumn(_ALL, F.lit(1)) if aggregates else df.sparkSession.range(1).select(F.lit(1).alias(_ALL))
     for expression, names in shared.values():
         kept = base.select(*keys, expression.cast("double").alias("_value"), *([weight] if weight else []))
         part = sliced_quantiles(kept, keys, "_value", names, slices, weight)

@@ -235,14 +235,25 @@ def ols(df: DataFrame, target: str, columns: Sequence[str]) -> DataFrame:
 
 
 def vif(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Variance inflation factors: the diagonal of the inverse correlation matrix."""
-    data = VectorAssembler(inputCols=list(columns), outputCol="_x").transform(cut_lineage(df.select(*columns))).select("_x")
-    matrix = Correlation.corr(data, "_x").head()[0].toArray()
-    factors = np.diag(np.linalg.pinv(matrix))
-    out = df.sparkSession.createDataFrame(
-        [(c, float(v)) for c, v in zip(columns, factors)], "feature string, vif double")
+    """Variance inflation factors: the diagonal of the inverse correlation matrix.
+
+    A column that the others determine has an infinite factor, flagged high; a constant one has none (null).
+    """
+    kept = cut_lineage(df.select(*columns))
+    ends = kept.agg(*[F.struct(F.min(c).alias("low"), F.max(c).alias("high")).alias(c) for c in columns]).first()
+    varying = [c for c in columns if ends[c]["low"] is not None and ends[c]["low"] < ends[c]["high"]]
+    own = np.zeros((0, 0))
+    if varying:
+        data = VectorAssembler(inputCols=varying, outputCol="_x").transform(kept).select("_x")
+        own = Correlation.corr(data, "_x").head()[0].toArray()
+    values, vectors = np.linalg.eigh(own)
+    null = values < 1e-10 * max(1, len(values))
+    factors = np.diag(vectors[:, ~null] / values[~null] @ vectors[:, ~null].T)
+    factors = np.where((np.abs(vectors[:, null]) > 1e-6).any(1), np.inf, factors)
+    by_name = dict(zip(varying, factors.tolist()))
+    out = df.sparkSession.createDataFrame([(c, by_name.get(c)) for c in columns], "feature string, vif double")
     flag = F.when(F.col("vif") > 10, F.lit("high")).when(F.col("vif") > 5, F.lit("moderate")).otherwise(F.lit(""))
-    return out.withColumn("flag", flag).orderBy(F.col("vif").desc())
+    return out.withColumn("flag", flag).orderBy(F.col("vif").desc_nulls_last())
 
 
 def trendline(df: DataFrame, y: str, x: str, y_quantile: float | None = 0.95) -> DataFrame:

@@ -65,5 +65,5 @@ def run_pipeline(
             log(row["table_name"], "published", row["row_count"])
         return tables
     except Exception as error:
-        log("pipeline", "FAILED", 0, str(error)[:500])
+        log("pipeline", "FAILED", 0, str(error))
         raise

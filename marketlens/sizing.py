@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -35,6 +37,7 @@ def checkpoint_dir_known(spark: SparkSession) -> bool:
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir", None)
     if not folder and context.master.startswith("local"):
         folder = tempfile.mkdtemp(prefix="marketlens-checkpoint-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
     if folder:
         context.setCheckpointDir(folder)
     return bool(folder)
@@ -50,12 +53,10 @@ def shared_folder(spark: SparkSession) -> str:
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Store a frame that several jobs read in the shared folder and read it back.
 
-    The frame is computed once, its columns can be pruned and its statistics are the real ones. Where
-    no shared folder is known the frame itself is returned and recomputed as needed.
+    The frame is computed once, its columns can be pruned and its statistics are the real ones. A
+    cluster must name the folder in spark.checkpoint.dir.
     """
     spark = df.sparkSession
-    if not checkpoint_dir_known(spark):
-        return df
     path = f"{shared_folder(spark)}/stage-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
@@ -70,9 +71,9 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")), key)
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
-    """Mark a narrow frame for broadcasting after counting it; beyond the bound the join shuffles.
+def broadcast_if_small(df: DataFrame, max_rows: int = 1_000_000, max_bytes: int = 64 * 1024 * 1024) -> DataFrame:
+    """Mark a narrow frame for broadcasting if its stored bytes and rows allow; else the join shuffles.
 
-    Call it on a frame whose lineage is cut, so that counting does not compute it twice.
+    Call it on a frame whose lineage is cut, so that its bytes are known and counting reads footers only.
     """
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+    return F.broadcast(df) if scanned_bytes(df) <= max_bytes and df.count() <= max_rows else df

@@ -247,7 +247,7 @@ def test_attribution_of_a_linear_model_is_exact(spark, model_data):
 
 def test_cross_validation_and_holdout(spark, model_data):
     ridge = ml.cross_validate(model_data, ml.ridge, "ridge")
-    flat = ml.cross_validate(model_data, lambda n: ml.ridge(1, alpha=1e9), "flat")
+    flat = ml.cross_validate(model_data, lambda n, sd: ml.ridge(1, alpha=1e9), "flat")
     row = ridge.first()
     assert row.mae_mean < flat.first().mae_mean and row.mae_std >= 0
     assert ml.best_model(ridge.unionByName(flat)).first().model == "ridge"
