@@ -29,7 +29,7 @@ class TokenTable:
     The tokenizer splits at white space before anything else, so a text's ids are its words' ids in turn.
     """
 
-    LIMIT = 4_000_000
+    LIMIT = 1_500_000
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
