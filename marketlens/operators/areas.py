@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from marketlens.functions.scalar import ratio, round_half_even
 from marketlens.operators.quantiles import grouped
+from marketlens.sizing import join_small
 
 
 def area_stats(df: DataFrame, area: str = "neighbourhood_cleansed", slices: int | None = None) -> DataFrame:
@@ -75,10 +76,9 @@ def price_vs_area_median(price: str = "price", area_median: str = "neighbourhood
 def join_area_stats(df: DataFrame, stats: DataFrame, area: str = "neighbourhood_cleansed") -> DataFrame:
     """Left join of the area statistics and the deviation of each price from its area.
 
-    The statistics are small; the optimizer broadcasts them when their measured size allows it and
-    otherwise falls back to a sort-merge join, in which a large area is split at run time.
+    The statistics are stored and their size is checked: small ones are broadcast and the listings stay where they are.
     """
-    return df.join(stats, area, "left").withColumn("price_vs_neighbourhood_median", price_vs_area_median())
+    return join_small(df, stats, area).withColumn("price_vs_neighbourhood_median", price_vs_area_median())
 
 
 def enrich_with_areas(df: DataFrame, area: str = "neighbourhood_cleansed") -> DataFrame:

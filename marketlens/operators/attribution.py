@@ -15,7 +15,7 @@ from marketlens.functions.scalar import round_half_even
 from marketlens.operators.filters import sample_rows
 from marketlens.operators.ml import model_feature_list
 from marketlens.operators.quantiles import grouped
-from marketlens.sizing import spread
+from marketlens.sizing import join_small, spread
 
 
 def attribution_batch(
@@ -27,7 +27,7 @@ def attribution_batch(
     Monte Carlo over feature orders: a reference row turns into the explained row one feature at a
     time, and a feature's contribution is the change at its turn. Orders come in opposite pairs and
     each order has its own reference row, drawn reproducibly from `background`. Contributions of a
-    row add up exactly to its prediction minus the mean prediction of the reference rows (`base`).
+    row add up exactly to its prediction minus `base`, the mean prediction of the reference rows over the orders.
 
     The orders and reference rows are a fixed number of literals. Rows are hashed by their key once,
     narrow as they are; each is then expanded, scored and summed in place, with no further shuffle.
@@ -49,6 +49,9 @@ def attribution_batch(
         plans.append(F.struct(
             F.array(*[F.lit(j) for j in order]).alias("order"), F.array(*[F.lit(t) for t in turn]).alias("turn"),
             F.array(*[F.lit(v) for v in references[p % len(references)]]).alias("reference")))
+    used = [(references[p % len(references)],) for p in range(permutations)]
+    started = df.sparkSession.createDataFrame(used, "x array<double>").select(array_to_vector("x").alias("features"))
+    base = model.stages[-1].transform(started).agg(F.avg("prediction")).first()[0]
     rows = df.select(F.col(key), F.array(*[F.col(f"`{n}`").cast("double") for n in names]).alias("_x"))
     steps = spread(rows, key).select(
         key, "_x", F.explode(F.array(*plans)).alias("_p")).select(
@@ -66,7 +69,7 @@ def attribution_batch(
     # Plain numbers only, so that this is a hash aggregation; the value is the same in all rows of a group.
     out = moved.groupBy(key, "_f").agg(F.sum("_d").alias("contribution"), F.max("_v").alias("feature_value"))
     labels = F.array(*[F.lit(n) for n in names])
-    return out.select(key, F.element_at(labels, F.col("_f") + 1).alias("feature"), "feature_value", "contribution")
+    return out.select(key, F.element_at(labels, F.col("_f") + 1).alias("feature"), "feature_value", "contribution", F.lit(base).alias("base"))
 
 
 def global_importance(attributions: DataFrame, k: int = 15) -> DataFrame:
@@ -144,7 +147,7 @@ def valuation(predicted: DataFrame, market: DataFrame, area: str = "neighbourhoo
     bounds = grouped(market, [], quantiles={"median": ("price", 0.5), "p35": ("price", 0.35), "p85": ("price", 0.85)}, slices=slices)
     overall = bounds.select(F.struct("median", "p35", "p85")).scalar()
     price, base = F.col("predicted_price"), F.col("area_median")
-    out = predicted.join(medians, area, "left").withColumn("predicted_price", F.greatest(F.col("predicted"), F.lit(10.0)))
+    out = join_small(predicted, medians, area).withColumn("predicted_price", F.greatest(F.col("predicted"), F.lit(10.0)))
     out = out.withColumn("area_median", F.coalesce(F.col("_area_median"), overall["median"])).drop("_area_median")
     out = out.withColumn("price_difference", price - base).withColumn(
         "difference_pct", F.try_divide(F.col("price_difference"), base) * 100)

@@ -22,6 +22,9 @@ TARGET = "log_price"
 
 # Preparation
 
+#: Columns that one_hot makes at most from values it finds itself.
+MAX_CATEGORIES = 1000
+
 
 def mode_of(df: DataFrame, column: str) -> Column:
     """The most frequent known value (smallest on ties) as a scalar subquery, from per-value counts."""
@@ -53,10 +56,14 @@ def prepare_model_table(master: DataFrame, key: str = "id") -> DataFrame:
 def one_hot(df: DataFrame, column: str, prefix: str, categories: Sequence[str] | None = None) -> DataFrame:
     """0/1 columns for all but the first category in order.
 
-    Each category becomes a column, so the list is a schema; it is read from the data when not given.
+    Each category becomes a column, so the list is a schema. It is read from the data when not given; a column with more
+    than MAX_CATEGORIES values is refused.
     """
     if categories is None:
-        categories = [r[0] for r in df.where(F.col(column).isNotNull()).select(column).distinct().collect()]
+        found = df.where(F.col(column).isNotNull()).select(column).distinct().limit(MAX_CATEGORIES + 1).collect()
+        if len(found) > MAX_CATEGORIES:
+            raise ValueError(f"{column} has more than {MAX_CATEGORIES} values: name the categories")
+        categories = [r[0] for r in found]
     return df.withColumns({
         f"{prefix}_{c}": F.coalesce(F.col(column) == c, F.lit(False)).cast("int") for c in sorted(categories)[1:]
     })

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketlens.functions.fixed_values import ROOM_CATEGORIES
-from marketlens.functions.scalar import map_category
+from marketlens.functions.scalar import calendar_parts, map_category
 
 HOST_ATTRIBUTES = [
     "host_name", "host_since", "host_is_superhost", "host_response_rate", "host_response_time",
@@ -80,8 +80,10 @@ def dim_room_type(master: DataFrame, mode: str = "keyed") -> DataFrame:
 
 
 def dim_date(calendar: DataFrame) -> DataFrame:
-    """Distinct dates first, then their parts: only the date itself is shuffled."""
-    return build_dim(calendar, ["date"], DATE_ATTRIBUTES, mode="keyed")
+    """Distinct dates first, then their parts: only the date itself is shuffled, in a hash aggregation."""
+    parts = calendar_parts("date")
+    dates = calendar.where(F.col("date").isNotNull()).select("date").distinct()
+    return dates.select("date", *[parts[a].alias(a) for a in present(calendar, DATE_ATTRIBUTES)])
 
 
 def fact_listings(master: DataFrame) -> DataFrame:

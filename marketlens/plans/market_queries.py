@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketlens.operators.quantiles import grouped, median
+from marketlens.sizing import join_small
 
 
 def q1_area_price_ranking(dim_neighbourhood: DataFrame) -> DataFrame:
@@ -20,7 +21,7 @@ def q1_area_price_ranking(dim_neighbourhood: DataFrame) -> DataFrame:
 
 
 def q2_room_type_pricing(fact_listings: DataFrame, dim_room_type: DataFrame, slices: int | None = None) -> DataFrame:
-    joined = fact_listings.where("_is_valid").join(dim_room_type, "room_type")
+    joined = join_small(fact_listings.where("_is_valid"), dim_room_type, "room_type", "inner")
     out = grouped(
         joined, ["room_type", "room_category"],
         [

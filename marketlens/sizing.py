@@ -71,6 +71,15 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")), key)
 
 
+def join_small(df: DataFrame, side: DataFrame, keys: str | list[str], how: str = "left") -> DataFrame:
+    """Join an aggregate of a large table to that table without moving the table, where the aggregate is small.
+
+    The aggregate is stored, so that its real size is known: its static estimate is the size of the table it comes from.
+    Beyond the bound of broadcast_if_small both sides are shuffled, and adaptive execution splits a hot key.
+    """
+    return df.join(broadcast_if_small(cut_lineage(side)), keys, how)
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = 1_000_000, max_bytes: int = 64 * 1024 * 1024) -> DataFrame:
     """Mark a narrow frame for broadcasting if its stored bytes and rows allow; else the join shuffles.
 

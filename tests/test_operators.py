@@ -167,6 +167,13 @@ def test_exact_duplicates_and_keys(spark):
     assert (row.duplicate_rows, row.duplicate_rows_pct, row.duplicate_keys) == (2, 40.0, 3)
 
 
+def test_exact_duplicates_tell_nulls_microseconds_and_signs(spark):
+    df = spark.sql("""SELECT * FROM VALUES (1, '', 0D, timestamp'2024-01-01 00:00:00.000001'), (1, null, 0D, timestamp'2024-01-01 00:00:00.000001'),
+        (1, '', -0D, timestamp'2024-01-01 00:00:00.000001'), (1, '', 0D, timestamp'2024-01-01 00:00:00.000002') AS t(id, v, x, at)""")
+    assert profile.exact_duplicates(df, "id", "t").first().duplicate_rows == 1
+    assert profile.exact_duplicates(df.limit(0), "id", "t").first().duplicate_keys == 0
+
+
 def test_validation_short_circuits(spark):
     missing = quality.validate_dataset(spark.createDataFrame([(1,)], "id int"), "listings").first()
     assert not missing.passed and missing.rule == "required columns"
@@ -231,11 +238,30 @@ def test_attribution_adds_up(spark, model_data):
     total = out.groupBy("id").agg(F.sum("contribution").alias("c"))
     for r in total.join(model.transform(some), "id").select("c", "prediction").collect():
         assert base + r.c == pytest.approx(r.prediction, abs=1e-9)
+    assert out.agg(F.min("base"), F.max("base")).first() == pytest.approx((base, base), abs=1e-9)
     values = {(r.id, r.feature): r.feature_value for r in out.collect()}
     for r in some.collect():
         assert values[(r.id, "beds")] == r["beds"]
 
 
+def test_one_hot_refuses_unbounded_columns(spark):
+    with pytest.raises(ValueError):
+        ml.one_hot(spark.range(ml.MAX_CATEGORIES + 1), "id", "id")
+
+
+def test_small_sides_are_broadcast_whatever_their_source(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = spark.range(1000).select((F.col("id") % 3).alias("area"), F.col("id").cast("double").alias("price"))
+        stats = rows.groupBy("area").agg(F.avg("price").alias("neighbourhood_median_price"))
+        joined = areas.join_area_stats(rows, stats, "area")
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+        assert joined.count() == 1000
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_attribution_of_a_linear_model_is_exact(spark, model_data):
     data = model_data.withColumn("log_price", 3 + 0.2 * F.col("accommodates") - 0.1 * F.col("beds"))
     model = ml.fit(data, ml.ridge(1, alpha=0.0))
