@@ -148,6 +148,25 @@ def components(links: DataFrame) -> DataFrame:
         links = cut_lineage(links.join(one, "a").join(two, "b").where("am != bm").select(F.least("am", "bm").alias("a"), F.greatest("am", "bm").alias("b")).distinct())
 
 
+def shared_codes(classes: DataFrame) -> DataFrame:
+    """node, codes and shared, the bits of its 2 * GROUPS codes that another node has too, of the nodes with any.
+
+    A table's key is shared by two nodes only if they share both its codes, so all other keys need not be made.
+    """
+    single = classes.select("node", F.posexplode("codes").alias("pos", "code"))
+    repeated = single.groupBy("code").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo != hi").select("code")
+    bits = single.join(repeated, "code", "left_semi").groupBy("node").agg(F.bit_or(F.expr("shiftleft(1, pos)")).alias("shared"))
+    return classes.select("node", "codes").join(bits, "node")
+
+
+def tables(nodes: DataFrame) -> DataFrame:
+    """node, tab, key: one row per table of which both codes are shared."""
+    first, second = F.slice("codes", 1, GROUPS), F.slice("codes", GROUPS + 1, GROUPS)
+    keys = F.flatten(F.transform(first, lambda x: F.transform(second, lambda y: F.xxhash64(x, y))))
+    both = f"shiftright(shared, cast(tab div {GROUPS} as int)) & shiftright(shared, {GROUPS} + tab % {GROUPS}) & 1"
+    return nodes.select("node", "shared", F.posexplode(keys).alias("tab", "key")).where(f"({both}) = 1").drop("shared")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id, kept and n_copies (documents of the same set) of every document, one row per row.
 
@@ -155,8 +174,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     and it is kept. Rows that share an id are one node of the links; each row's own set decides its component. Empty
     tables give no rows; further columns are ignored.
 
-    Equal sets meet by a digest and count as one document from then on, so a group of copies costs a row per task. In
-    each table's bucket all are first compared with its smallest id; after linking these, members of a bucket that still
+    Equal sets meet by a digest and count as one document from then on, so a group of copies costs a row per task. Keys are
+    made of codes that at least two of them share. In each table's bucket all are first compared with its smallest id; after linking these, members of a bucket that still
     are in different components are compared across them, in blocks. So no link between components is lost, and a
     bucket of mutual near copies costs its size.
     """
@@ -166,9 +185,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.min(F.struct("doc_id", "codes", "sketch")).alias("m"), F.count("*").alias("n_copies"))
     classes = cut_lineage(classes.select("h1", "h2", "n_shingles", "n_copies", F.col("m.doc_id").alias("node"), F.col("m.codes").alias("codes"), F.col("m.sketch").alias("sketch")))
 
-    first, second = F.slice("codes", 1, GROUPS), F.slice("codes", GROUPS + 1, GROUPS)
-    keys = F.flatten(F.transform(first, lambda x: F.transform(second, lambda y: F.xxhash64(x, y))))
-    met = classes.select("node", F.posexplode(keys).alias("tab", "key"))
+    met = tables(cut_lineage(shared_codes(classes)))
     buckets = met.groupBy("key").agg(F.min("node").alias("pivot"), F.max("node").alias("last")).where("pivot != last").drop("last")
     members = cut_lineage(met.join(cut_lineage(buckets), "key"))
 
