@@ -33,18 +33,25 @@ def _sets(part, text: str = "text"):
     return distinct_shingles(word_hashes(data, starts, ends), first, SHINGLE)
 
 
+def _digests(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Two sums over each set's hashes; empty sets have 0."""
+    digest, full = np.zeros((len(bounds) - 1, 2), np.uint64), np.flatnonzero(np.diff(bounds) > 0)
+    if len(full):
+        digest[full, 0] = np.add.reduceat(values, bounds[full])
+        digest[full, 1] = np.add.reduceat(mix(values + np.uint64(1)), bounds[full])
+    return digest
+
+
 def _signatures(batches):
     for batch in batches:
         for part in blocks(batch):
             values, bounds = _sets(part)
             n, full = np.diff(bounds), np.flatnonzero(np.diff(bounds) > 0)
             minima = np.zeros((len(n), 2 * GROUPS * ROWS), np.uint64)
-            digest = np.zeros((len(n), 2), np.uint64)
             if len(full):
                 for j, factor in enumerate(_FACTORS):
                     minima[full, j] = np.minimum.reduceat(values * factor, bounds[full])
-                digest[full, 0] = np.add.reduceat(values, bounds[full])
-                digest[full, 1] = np.add.reduceat(mix(values + np.uint64(1)), bounds[full])
+            digest = _digests(values, bounds)
             grouped = minima.reshape(len(n), 2 * GROUPS, ROWS)
             code = mix(np.arange(2 * GROUPS, dtype=np.uint64)) + np.zeros((len(n), 1), np.uint64)
             for r in range(ROWS):
@@ -52,8 +59,18 @@ def _signatures(batches):
             yield pa.RecordBatch.from_arrays([
                 part.column("doc_id"), pa.array(n.astype(np.int64)), longs(digest[:, 0]), longs(digest[:, 1]),
                 lists(code.ravel().view(np.int64), np.arange(0, code.size + 1, 2 * GROUPS)),
-                pa.array([(values[a:min(b, a + SKETCH)] >> np.uint64(32)).astype("<u4").tobytes() for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())], pa.binary()),
-            ], names=["doc_id", "n_shingles", "h1", "h2", "codes", "sketch"])
+            ], names=["doc_id", "n_shingles", "h1", "h2", "codes"])
+
+
+def _sketches(batches):
+    """The smallest hashes of each set, with the digests that tell rows of one id apart."""
+    for batch in batches:
+        for part in blocks(batch):
+            values, bounds = _sets(part)
+            digest = _digests(values, bounds)
+            smallest = [(values[a:min(b, a + SKETCH)] >> np.uint64(32)).astype("<u4").tobytes() for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), longs(digest[:, 0]), longs(digest[:, 1]), pa.array(smallest, pa.binary())],
+                                             names=["node", "h1", "h2", "sketch"])
 
 
 def _full_sets(batches):
@@ -180,10 +197,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     bucket of mutual near copies costs its size.
     """
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    rows = cut_lineage(source.mapInArrow(_signatures, "doc_id long, n_shingles long, h1 long, h2 long, codes array<long>, sketch binary"))
+    rows = cut_lineage(source.mapInArrow(_signatures, "doc_id long, n_shingles long, h1 long, h2 long, codes array<long>"))
     classes = rows.where("doc_id is not null and n_shingles > 0").groupBy("h1", "h2", "n_shingles").agg(
-        F.min(F.struct("doc_id", "codes", "sketch")).alias("m"), F.count("*").alias("n_copies"))
-    classes = cut_lineage(classes.select("h1", "h2", "n_shingles", "n_copies", F.col("m.doc_id").alias("node"), F.col("m.codes").alias("codes"), F.col("m.sketch").alias("sketch")))
+        F.min(F.struct("doc_id", "codes")).alias("m"), F.count("*").alias("n_copies"))
+    classes = cut_lineage(classes.select("h1", "h2", "n_shingles", "n_copies", F.col("m.doc_id").alias("node"), F.col("m.codes").alias("codes")))
 
     met = tables(cut_lineage(shared_codes(classes)))
     buckets = met.groupBy("key").agg(F.min("node").alias("pivot"), F.max("node").alias("last")).where("pivot != last").drop("last")
@@ -197,7 +214,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     open_keys = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("n")).where("lo != hi")
     # Pairs of two were compared as pivot and member.
     open_keys = open_keys.where("n > 2").select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("parts"))
-    facing = placed.join(open_keys, "key").join(classes.select("node", "n_shingles", "codes", "sketch"), "node")
+    opened = cut_lineage(placed.join(open_keys, "key"))
+    # Only the members of open buckets are sketched, so no sketches are stored.
+    sketches = with_text.join(opened.select(F.col("node").alias("doc_id")).distinct(), "doc_id", "left_semi").mapInArrow(
+        _sketches, "node long, h1 long, h2 long, sketch binary").dropDuplicates(["node", "h1", "h2"])
+    facing = opened.join(classes.select("node", "h1", "h2", "n_shingles", "codes").join(sketches, ["node", "h1", "h2"]), "node")
     own = F.pmod(F.xxhash64("node"), "parts").cast("int")
     facing = facing.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select(
         "key", "tab", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"), "node", "component", "n_shingles", "codes", "sketch",
@@ -214,7 +235,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     placed = classes.select("h1", "h2", "n_shingles", "n_copies", "node").join(found, "node", "left").select(
         "h1", "h2", "n_shingles", "n_copies", F.coalesce("component", "node").alias("component"))
     empty = (F.col("n_shingles") == 0) | F.col("doc_id").isNull()
-    out = rows.drop("codes", "sketch").join(placed, ["h1", "h2", "n_shingles"], "left")
+    out = rows.drop("codes").join(placed, ["h1", "h2", "n_shingles"], "left")
     component = F.when(empty, F.col("doc_id")).otherwise(F.col("component"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"),
                       F.when(empty, F.lit(1)).otherwise(F.col("n_copies")).cast("long").alias("n_copies"))
