@@ -1,9 +1,10 @@
 """Exact top-k inner products: norm-sorted blocks, SVD-rotated partial sums, Cauchy-Schwarz residual bounds.
 
-Vectors become integers, are sorted by descending length over the whole table and cut into blocks. A block of queries
-meets a block of vectors in one task: first whole blocks, then vectors, are dropped by |q||v|; for the rest the leading
-rotated coordinates give a partial sum, and the product of the residual lengths bounds what is missing. What may still
-enter a query's top k is scored in exact integers.
+Vectors become integers, are sorted by descending length over the whole table and cut into blocks. All queries first meet
+the block of the longest vectors; each query's k-th score there is its floor. A block of vectors too short for the floors
+of a block of queries is not sent to it. Of the others, vectors are dropped by |q||v|; for the rest the leading rotated
+coordinates give a partial sum, and the product of the residual lengths bounds what is missing. What may still enter a
+query's top k is scored in exact integers.
 """
 
 from __future__ import annotations
@@ -71,12 +72,13 @@ def exact_scores(q: np.ndarray, v: np.ndarray) -> np.ndarray:
     return np.clip(exact, -(1 << 63), (1 << 63) - 1).astype(np.int64)
 
 
-def search_block(q_ids, q, v_ids, v, axes, k: int, leading: int = LEADING):
-    """(query position, vector position, score) of whatever can be among the k best of a query within the block.
+def search_block(q_ids, q, v_ids, v, axes, k: int, floors=None, leading: int = LEADING):
+    """Scores and ids, k a query, of whatever can be among the k best of a query within the block.
 
     v is sorted by descending length; slices of it are visited in this order, and a slice that no query can profit from
-    ends the search.
+    ends the search. Scores below a query's floor are of no use to it.
     """
+    floors = np.full(len(q), -np.inf) if floors is None else floors
     qn, vn = np.sqrt((q * q).sum(1)), np.sqrt((v * v).sum(1))
     qr, vr = q @ axes, v @ axes
     head_q, head_v = qr[:, :leading], vr[:, :leading]
@@ -87,7 +89,7 @@ def search_block(q_ids, q, v_ids, v, axes, k: int, leading: int = LEADING):
     step = 512
     for a in range(0, len(v), step):
         b = min(a + step, len(v))
-        kth = best[:, -1].astype(float)
+        kth = np.maximum(best[:, -1].astype(float), floors)
         live = np.flatnonzero(qn * vn[a] + slack >= kth)
         if not len(live):
             break
@@ -106,21 +108,41 @@ def search_block(q_ids, q, v_ids, v, axes, k: int, leading: int = LEADING):
     return best, best_id
 
 
+def _ordered(row, width: int):
+    """Ids and vectors of a block, longest first."""
+    ids, v = np.asarray(row.v_ids, np.int64), np.asarray(row.v, np.float64).reshape(-1, width)
+    order = np.lexsort((ids, -(v * v).sum(1)))
+    return ids[order], v[order]
+
+
+def _search_first(frame: pd.DataFrame, axes: np.ndarray, k: int) -> pd.DataFrame:
+    """The query blocks with what they find among the longest vectors, their queries' floors, and `need`, the length
+    below which no vector can enter any top k of the block."""
+    width, out = axes.shape[0], []
+    for row in frame.itertuples():
+        q_ids, q = np.asarray(row.q_ids, np.int64), np.asarray(row.q, np.float64).reshape(-1, width)
+        v_ids, v = _ordered(row, width)
+        best, ids = search_block(q_ids, q, v_ids, v, axes, k)
+        floors = np.where(ids[:, -1] != np.iinfo(np.int64).max, best[:, -1].astype(float), -np.inf)
+        qn, longest = np.sqrt((q * q).sum(1)), np.sqrt((v * v).sum(1)).max(initial=0)
+        need = np.where(floors > 0, (floors - 1e-6 * (1 + qn * longest)) / np.maximum(qn, 1e-300), 0.0).min(initial=np.inf)
+        out.append((row.q_block, q_ids, q.ravel(), floors, need, np.repeat(q_ids, k), ids.ravel(), best.ravel()))
+    return pd.DataFrame(out, columns=["q_block", "q_ids", "q", "floors", "need", "query_id", "vec_id", "score"])
+
+
 def _search(frame: pd.DataFrame, axes: np.ndarray, k: int) -> pd.DataFrame:
-    width = axes.shape[0]
-    out = []
+    width, out = axes.shape[0], []
     for row in frame.itertuples():
-        q_ids, v_ids = np.asarray(row.q_ids, np.int64), np.asarray(row.v_ids, np.int64)
-        q, v = np.asarray(row.q, np.float64).reshape(-1, width), np.asarray(row.v, np.float64).reshape(-1, width)
-        order = np.lexsort((v_ids, -(v * v).sum(1)))
-        best, ids = search_block(q_ids, q, v_ids[order], v[order], axes, k)
+        q_ids, q = np.asarray(row.q_ids, np.int64), np.asarray(row.q, np.float64).reshape(-1, width)
+        v_ids, v = _ordered(row, width)
+        best, ids = search_block(q_ids, q, v_ids, v, axes, k, np.asarray(row.floors, np.float64))
         rows, cols = np.nonzero(ids != np.iinfo(np.int64).max)
         out.append(pd.DataFrame({"query_id": q_ids[rows], "vec_id": ids[rows, cols], "score": best[rows, cols]}))
     return pd.concat(out) if out else pd.DataFrame({"query_id": [], "vec_id": [], "score": []}, dtype="int64")
 
 
 def _blocks(rows: DataFrame, size: int, order: list, width: int) -> DataFrame:
-    """block, ids and numbers of consecutive rows of a frame sorted over all partitions."""
+    """block, length of the longest, ids and numbers of consecutive rows of a frame sorted over all partitions."""
     def cut(batches):
         from pyspark import TaskContext
 
@@ -135,10 +157,12 @@ def _blocks(rows: DataFrame, size: int, order: list, width: int) -> DataFrame:
             yield one(made, ids, xs)
 
     def one(number, ids, xs):
-        return pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), pa.array([ids], pa.list_(pa.int64())), pa.array([dense(xs, width).ravel()], pa.list_(pa.float64()))],
-                                          names=["block", "ids", "x"])
+        x = dense(xs, width)
+        longest = np.sqrt((x * x).sum(1)).max(initial=0)
+        return pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), pa.array([longest]), pa.array([ids], pa.list_(pa.int64())), pa.array([x.ravel()], pa.list_(pa.float64()))],
+                                          names=["block", "longest", "ids", "x"])
 
-    return rows.orderBy(*order).mapInArrow(cut, "block long, ids array<long>, x array<double>")
+    return rows.orderBy(*order).mapInArrow(cut, "block long, longest double, ids array<long>, x array<double>")
 
 
 def top_inner_products(vectors: DataFrame, k: int = 5, id_col: str = "vec_id", vector_col: str = "embedding", scale: float = 256.0,
@@ -148,8 +172,8 @@ def top_inner_products(vectors: DataFrame, k: int = 5, id_col: str = "vec_id", v
     `is_query` is a column over vec_id (default: divisible by 50). Null vectors, those with null or non-finite components
     and null ids take no part; vectors of different widths end in zeros; rows that repeat an id count once, by their
     smallest vector; a query's own id is no candidate. Scores beyond a long are clipped to its range. Empty tables give
-    no rows; further columns are ignored. Every (query block, vector block) is one row of the join, so no task holds more
-    than one of each at a time.
+    no rows; further columns are ignored. Every (query block, vector block) that the floors leave is one row of the join, so
+    no task holds more than one of each at a time.
     """
     is_query = F.col("vec_id") % 50 == 0 if is_query is None else is_query
     rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("vector"))
@@ -162,18 +186,31 @@ def top_inner_products(vectors: DataFrame, k: int = 5, id_col: str = "vec_id", v
     shared = vectors.sparkSession.sparkContext.broadcast(axes)  # width x width
     v_blocks = cut_lineage(_blocks(table, BLOCK_ROWS, [F.desc("norm"), "vec_id"], width))
     q_blocks = cut_lineage(_blocks(table.where(is_query), QUERY_ROWS, [F.desc("norm"), "vec_id"], width))
+    # One block, of BLOCK_ROWS vectors at most.
+    head = v_blocks.agg(F.min("block")).first()[0]
+    longest = v_blocks.where(F.col("block") == head).select(F.col("ids").alias("v_ids"), F.col("x").alias("v"))
+
+    def meet_longest(frames):
+        for frame in frames:
+            yield _search_first(frame, shared.value, k)
+
+    queries = cut_lineage(q_blocks.select(F.col("block").alias("q_block"), F.col("ids").alias("q_ids"), F.col("x").alias("q")).join(F.broadcast(longest)).mapInPandas(
+        meet_longest, "q_block long, q_ids array<long>, q array<double>, floors array<double>, need double, query_id array<long>, vec_id array<long>, score array<long>"))
+    ahead = queries.select(F.inline(F.arrays_zip("query_id", "vec_id", "score"))).where(F.col("vec_id") != (1 << 63) - 1)
     # Both sides name the pairs of block numbers they take part in, so the join is one by key and evenly dealt.
-    v_names, q_names = v_blocks.select(F.col("block").alias("v_block")), q_blocks.select(F.col("block").alias("q_block"))
-    every_v = v_names.agg(F.collect_list("v_block").alias("of"))
-    every_q = q_names.agg(F.collect_list("q_block").alias("of"))
-    left = v_blocks.join(F.broadcast(every_q)).select(F.col("block").alias("v_block"), F.explode("of").alias("q_block"), F.col("ids").alias("v_ids"), F.col("x").alias("v"))
-    right = q_blocks.join(F.broadcast(every_v)).select(F.col("block").alias("q_block"), F.explode("of").alias("v_block"), F.col("ids").alias("q_ids"), F.col("x").alias("q"))
+    v_rest = v_blocks.where(F.col("block") != head).withColumnRenamed("block", "v_block")
+    every_v = v_rest.agg(F.collect_list(F.struct("v_block", "longest")).alias("of"))
+    every_q = queries.agg(F.collect_list(F.struct("q_block", "need")).alias("of"))
+    left = v_rest.join(F.broadcast(every_q)).select(
+        "v_block", F.explode(F.expr("transform(filter(of, b -> b.need <= longest), b -> b.q_block)")).alias("q_block"), F.col("ids").alias("v_ids"), F.col("x").alias("v"))
+    right = queries.join(F.broadcast(every_v)).select(
+        "q_block", F.explode(F.expr("transform(filter(of, b -> need <= b.longest), b -> b.v_block)")).alias("v_block"), "q_ids", "q", "floors")
     pairs = left.join(right, ["v_block", "q_block"])
 
     def run(frames):
         for frame in frames:
             yield _search(frame, shared.value, k)
 
-    found = pairs.mapInPandas(run, "query_id long, vec_id long, score long")
+    found = ahead.unionByName(pairs.mapInPandas(run, "query_id long, vec_id long, score long"))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -98,6 +98,24 @@ def test_top_inner_products(spark):
     assert topk.top_inner_products(frame.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("spread", [0.0, 2.0])
+def test_top_inner_products_in_blocks(spark, monkeypatch, spread):
+    """Vectors of like and of very different lengths, in many blocks of which the floors may drop some; with ties."""
+    monkeypatch.setattr(topk, "BLOCK_ROWS", 16)
+    monkeypatch.setattr(topk, "QUERY_ROWS", 2)
+    r = np.random.default_rng(5)
+    rows = [(i, (r.normal(0, 0.3, 6) * np.exp(spread * r.normal())).round(1).tolist()) for i in range(400)]
+    rows += [(400 + i, rows[i][1]) for i in range(0, 100, 3)] + [(500, [0.0] * 6)]
+    got = topk.top_inner_products(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+    whole = {i: [math.floor(256 * x) for x in v] for i, v in rows}
+    expected = set()
+    for q in (i for i in whole if i % 50 == 0):
+        scores = sorted((-sum(a * b for a, b in zip(whole[q], whole[v])), v) for v in whole if v != q)
+        expected |= {(q, k + 1, v, -s) for k, (s, v) in enumerate(scores[:5])}
+    found = [tuple(x) for x in got.collect()]
+    assert len(found) == len(expected) and set(found) == expected
+
+
 def test_lines(docs, empty):
     got = {r["doc_id"]: r for r in lines.drop_repeated_units(docs).collect()}
     assert PASSAGE in got[3]["kept_text"] and PASSAGE not in got[4]["kept_text"] and got[1]["kept_text"] == ""
