@@ -24,24 +24,27 @@ LEADING = 16
 def _integers(batches, scale: float):
     """floor(scale * x) of every valid vector, with its length; others are left out."""
     for batch in batches:
-        ids, vectors = batch.column("vec_id"), batch.column("vector").to_pylist()
-        keep, out, norms = [], [], []
-        for i, v in enumerate(vectors):
-            if v is None or not ids[i].is_valid or any(x is None for x in v):
-                continue
-            x = np.floor(scale * np.asarray(v, np.float64))
-            if np.isfinite(x).all() and np.isfinite(np.asarray(v, np.float64)).all():
-                keep.append(i)
-                out.append(x)
-                norms.append(float(np.sqrt((x * x).sum())))
-        yield pa.RecordBatch.from_arrays([ids.take(pa.array(keep, pa.int64())), pa.array(out, pa.list_(pa.float64())), pa.array(norms, pa.float64())],
+        ids, vectors = batch.column("vec_id"), batch.column("vector")
+        bounds = vectors.offsets.to_numpy()
+        raw = vectors.values.to_numpy(zero_copy_only=False)[bounds[0]:bounds[-1]].astype(np.float64)  # null components are NaN
+        bounds = bounds - bounds[0]
+        with np.errstate(over="ignore", invalid="ignore"):
+            x = np.floor(scale * raw)
+        wrong = np.concatenate([[0], np.cumsum(~np.isfinite(x))])
+        keep = np.flatnonzero(ids.is_valid().to_numpy(zero_copy_only=False) & vectors.is_valid().to_numpy(zero_copy_only=False) & (wrong[bounds[1:]] == wrong[bounds[:-1]]))
+        norms, full = np.zeros(len(ids)), np.flatnonzero(np.diff(bounds) > 0)
+        if len(full):
+            finite = np.where(np.isfinite(x), x, 0.0)
+            norms[full] = np.sqrt(np.add.reduceat(finite * finite, bounds[:-1][full]))
+        kept = pa.array(keep, pa.int64())
+        yield pa.RecordBatch.from_arrays([ids.take(kept), pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(x)).take(kept), pa.array(norms[keep])],
                                          names=["vec_id", "x", "norm"])
 
 
 def _gram(batches, width: int):
     total = np.zeros((width, width))
     for batch in batches:
-        x = dense(batch.column("x").to_pylist(), width)
+        x = packed(batch.column("x"), width)
         total += x.T @ x
     yield pa.RecordBatch.from_arrays([pa.array(np.arange(width)), pa.array(list(total), pa.list_(pa.float64()))], names=["i", "row"])
 
@@ -54,6 +57,14 @@ def dense(vectors, width: int) -> np.ndarray:
     return out
 
 
+def packed(column: pa.ListArray, width: int) -> np.ndarray:
+    """dense() of an Arrow column, in one step where all rows have the width."""
+    bounds = column.offsets.to_numpy()
+    if (np.diff(bounds) == width).all():
+        return column.values.to_numpy(zero_copy_only=False)[bounds[0]:bounds[-1]].reshape(-1, width)
+    return dense(column.to_pylist(), width)
+
+
 def rotation(vectors: DataFrame, width: int) -> np.ndarray:
     """Right singular vectors of the table, largest first, from its Gram matrix: width x width numbers on the driver."""
     rows = vectors.mapInArrow(lambda batches: _gram(batches, width), "i long, row array<double>")
