@@ -144,8 +144,14 @@ QUERIES["cv_ridge"] = (lambda s, d: ml.cross_validate(ready(s, d), RIDGE, "ridge
 QUERIES["cv_random_forest"] = (lambda s, d: ml.cross_validate(ready(s, d), small_forest, "random_forest"), None)
 QUERIES["cv_boosted_trees"] = (lambda s, d: ml.cross_validate(ready(s, d), small_boost, "boosted_trees"), None)
 QUERIES["holdout_metrics"] = (lambda s, d: ml.holdout_metrics(ready(s, d), small_boost()), None)
-QUERIES["score_batch"] = (
-    lambda s, d: ml.score_batch(ml.fit(ready(s, d), ml.ridge(10000)), ready(s, d)).select("id", "price", "predicted", "residual"), None)
+
+
+def scored(s, d):
+    data = cut_lineage(ready(s, d))
+    return ml.score_batch(ml.fit(data, ml.ridge_for(data)), data).select("id", "price", "predicted", "residual")
+
+
+QUERIES["score_batch"] = (scored, None)
 QUERIES["feature_importance"] = (lambda s, d: ml.feature_importance(ml.fit(ready(s, d), small_forest())), None)
 
 

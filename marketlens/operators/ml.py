@@ -117,6 +117,12 @@ def ridge(rows: int, label_sd: float = 1.0, alpha: float = 10.0) -> LinearRegres
     return LinearRegression(labelCol=TARGET, elasticNetParam=0.0, regParam=alpha * label_sd / max(rows, 1), solver="normal")
 
 
+def ridge_for(df: DataFrame, alpha: float = 10.0) -> LinearRegression:
+    """ridge() for the rows and label deviation of a training set, from one aggregate over it."""
+    rows, sd = df.agg(F.count(TARGET), F.stddev_pop(TARGET)).first()
+    return ridge(rows, sd if sd is not None else 1.0, alpha)
+
+
 def random_forest(trees: int = 200, depth: int = 12, min_leaf: int = 5, seed: int = 42) -> RandomForestRegressor:
     return RandomForestRegressor(labelCol=TARGET, numTrees=trees, maxDepth=depth, minInstancesPerNode=min_leaf,
                                  featureSubsetStrategy="all", seed=seed)
