@@ -14,8 +14,6 @@ from pyspark.sql import functions as F
 from marketlens.llm.text import LOWER, _BASE, blocks, longs, mix, utf8, word_hashes, words
 from marketlens.sizing import cut_lineage
 
-#: Units of fewer words are left alone: headings, bylines and list items repeat without being copies.
-MIN_WORDS = 8
 UNITS = "doc long, key binary, unit int, start int, stop int, d1 long, d2 long"
 
 
@@ -94,12 +92,13 @@ def _cut(batches):
 
 
 def drop_repeated_units(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", unit: str = "line",
-                        min_words: int = MIN_WORDS) -> DataFrame:
+                        min_words: int = 1) -> DataFrame:
     """doc_id, n_spans, removed_spans (byte offsets in the original, line feed included, adjacent ones merged), kept_text.
 
     `unit`: "line", or "paragraph" (ends with an empty line). One row per input row. Null text counts as empty; a null id
     ranks last; rows equal in id and text count as one document and share their result; ties cannot occur beyond that. A
-    unit that repeats inside one document goes too, all but its first. Empty tables give no rows; further columns are
+    unit that repeats inside one document goes too, all but its first. Every unit that holds a word counts; those of fewer
+    than `min_words` words can be left alone, blank ones always are. Empty tables give no rows; further columns are
     ignored. Only digests are shuffled for grouping, with partial minima first, so a unit of a third of all documents
     is one row per task; the join back on it is one that adaptive execution can split.
     """

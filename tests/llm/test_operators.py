@@ -128,6 +128,22 @@ def test_lines(docs, empty):
     assert lines.drop_repeated_units(docs, unit="paragraph").count() == len(ROWS)
 
 
+def test_every_repeated_line_goes(docs):
+    """Lines of one to seven words too; all spans against brute force."""
+    digest = lambda i, t: hashlib.md5(f"{'-' if i is None else i}:{t or ''}".encode()).digest()
+    seen, expected = set(), {}
+    for _, i, d, t in sorted({(i is None, i or 0, digest(i, t), t or "") for i, t, _ in ROWS}):
+        kept = ""
+        for line in re.findall(r"[^\n]*\n|[^\n]+", t):
+            w = tuple(tokens(line))
+            kept += "" if w and w in seen else line
+            seen.add(w)
+        expected[d] = kept
+    got = lines.drop_repeated_units(docs).collect()
+    assert Counter((r["doc_id"], r["kept_text"]) for r in got) == Counter((i, expected[digest(i, t)]) for i, t, _ in ROWS)
+    assert {r["doc_id"]: r["kept_text"] for r in lines.drop_repeated_units(docs, min_words=8).collect()}[9] == "ONE"
+
+
 def test_lm(docs, empty):
     got = sorted(lm.score_texts(docs).collect(), key=lambda r: (r["doc_id"] is None, r["doc_id"] or 0))
     held = lambda i: zlib.crc32(("" if i is None else str(i)).encode()) % 7 == 2
