@@ -127,23 +127,23 @@ QUERIES["train_test_sizes"] = (
         F.count(F.lit(1)).alias("rows"), F.count_distinct("id").alias("ids")),
     "SELECT COUNT(*) AS rows, COUNT(*) AS ids FROM orders")
 
-# Fits. Tree counts are small to keep a run short; the defaults of the library are the full ones.
+# Fits, of the library's full sizes.
 
 RIDGE = ml.ridge
 
 
-def small_forest(*_):
-    return ml.random_forest(trees=20, depth=6)
+def full_forest(*_):
+    return ml.random_forest()
 
 
-def small_boost(*_):
-    return ml.boosted_trees(rounds=10, rate=0.3, depth=4)
+def full_boost(*_):
+    return ml.boosted_trees()
 
 
 QUERIES["cv_ridge"] = (lambda s, d: ml.cross_validate(ready(s, d), RIDGE, "ridge"), None)
-QUERIES["cv_random_forest"] = (lambda s, d: ml.cross_validate(ready(s, d), small_forest, "random_forest"), None)
-QUERIES["cv_boosted_trees"] = (lambda s, d: ml.cross_validate(ready(s, d), small_boost, "boosted_trees"), None)
-QUERIES["holdout_metrics"] = (lambda s, d: ml.holdout_metrics(ready(s, d), small_boost()), None)
+QUERIES["cv_random_forest"] = (lambda s, d: ml.cross_validate(ready(s, d), full_forest, "random_forest"), None)
+QUERIES["cv_boosted_trees"] = (lambda s, d: ml.cross_validate(ready(s, d), full_boost, "boosted_trees"), None)
+QUERIES["holdout_metrics"] = (lambda s, d: ml.holdout_metrics(ready(s, d), full_boost()), None)
 
 
 def scored(s, d):
@@ -152,12 +152,12 @@ def scored(s, d):
 
 
 QUERIES["score_batch"] = (scored, None)
-QUERIES["feature_importance"] = (lambda s, d: ml.feature_importance(ml.fit(ready(s, d), small_forest())), None)
+QUERIES["feature_importance"] = (lambda s, d: ml.feature_importance(ml.fit(ready(s, d), full_forest())), None)
 
 
 def attributed(s, d):
     data = cut_lineage(spread(ready(s, d), "id"))
-    return attribution.attribution_batch(ml.fit(data, small_forest()), data, data)
+    return attribution.attribution_batch(ml.fit(data, full_forest()), data, data)
 
 
 QUERIES["attribution_batch"] = (attributed, None)

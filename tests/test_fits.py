@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry
 from marketlens.operators import attribution, ml, stats
 from marketlens.operators.quantiles import grouped
 
@@ -67,3 +68,20 @@ def test_attribution_needs_a_background(spark):
     model = ml.fit(df, ml.ridge(20))
     with pytest.raises(ValueError, match="background"):
         attribution.attribution_batch(model, df, df.limit(0)).collect()
+
+
+@pytest.mark.parametrize("name, size", [(n, (200, 12)) for n in ("cv_random_forest", "feature_importance", "attribution_batch", "attribution_importance")]
+                         + [(n, (400, 6, 0.05)) for n in ("cv_boosted_trees", "holdout_metrics")])
+def test_registered_models_are_full_size(spark, monkeypatch, name, size):
+    class Seen(Exception):
+        pass
+
+    def fit(df, estimator):
+        raise Seen(estimator)
+
+    monkeypatch.setattr(ml, "fit", fit)
+    with pytest.raises(Seen) as seen:
+        entry.queries()[name](spark, "/root/testdata/sf0.001")
+    e = seen.value.args[0]
+    got = (e.getNumTrees(), e.getMaxDepth()) if len(size) == 2 else (e.getMaxIter(), e.getMaxDepth(), e.getStepSize())
+    assert got == size
