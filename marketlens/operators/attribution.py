@@ -19,57 +19,60 @@ from marketlens.sizing import join_small, spread
 
 
 def attribution_batch(
-    model: PipelineModel, df: DataFrame, background: DataFrame, key: str = "id", permutations: int = 4,
-    seed: int = 42,
+    model: PipelineModel, df: DataFrame, background: DataFrame, key: str = "id", references: int = 100, orders: int = 32,
+    seed: int = 42, permutations: int | None = None,
 ) -> DataFrame:
-    """Shapley contributions of every feature to the model output of every row.
+    """Shapley contributions of every feature to the model output of every row, with their standard errors.
 
-    Monte Carlo over feature orders: a reference row turns into the explained row one feature at a
-    time, and a feature's contribution is the change at its turn. Orders come in opposite pairs and
-    each order has its own reference row, drawn reproducibly from `background`. Contributions of a
-    row add up exactly to its prediction minus `base`, the mean prediction of the reference rows over the orders.
+    Monte Carlo over walks: a reference row turns into the explained row one feature at a time, and a
+    feature's contribution is the change at its turn. There are as many walks as the larger of `references`
+    and `orders`, so that each reference row, drawn reproducibly from `background`, and each order is walked;
+    orders come in opposite pairs. Contributions of a row add up exactly to its prediction minus `base`, the
+    mean prediction of the reference rows over the walks. `std_error` is that of the mean over the pairs of
+    walks, null where there is only one. `permutations` sets both numbers.
 
-    The orders and reference rows are a fixed number of literals. Rows are hashed by their key once,
-    narrow as they are; each is then expanded, scored and summed in place, with no further shuffle.
+    Walks are a small broadcast table. Rows are hashed by their key once, narrow as they are; each is then
+    expanded, scored and summed in place, with no further shuffle, and only its sums become a row per feature.
     """
+    references, orders = (references, orders) if permutations is None else (permutations, permutations)
     names = model_feature_list(model)
     size = len(names)
-    # At most `permutations` rows.
-    references = [[float(r[n]) for n in names] for r in sample_rows(background, key, permutations, seed).collect()]
-    if not references:
+    # At most `references` rows.
+    drawn = [[float(r[n]) for n in names] for r in sample_rows(background, key, references, seed).collect()]
+    if not drawn:
         raise ValueError("the background has no rows to take references from")
     draw = random.Random(seed)
-    orders: list[list[int]] = []
-    while len(orders) < permutations:
+    turns: list[list[int]] = []
+    while len(turns) < orders:
         order = draw.sample(range(size), size)
-        orders += [order, order[::-1]]
-    plans = []
-    for p, order in enumerate(orders[:permutations]):
-        turn = [order.index(j) + 1 for j in range(size)]
-        plans.append(F.struct(
-            F.array(*[F.lit(j) for j in order]).alias("order"), F.array(*[F.lit(t) for t in turn]).alias("turn"),
-            F.array(*[F.lit(v) for v in references[p % len(references)]]).alias("reference")))
-    used = [(references[p % len(references)],) for p in range(permutations)]
-    started = df.sparkSession.createDataFrame(used, "x array<double>").select(array_to_vector("x").alias("features"))
-    base = model.stages[-1].transform(started).agg(F.avg("prediction")).first()[0]
+        turns += [[o.index(j) + 1 for j in range(size)] for o in (order, order[::-1])]
+    turns = turns[:orders]
+    count = max(references, orders)
+    walks = [(p // 2, min(2, count - p // 2 * 2), turns[p % orders], drawn[p % len(drawn)]) for p in range(count)]
+    plans = df.sparkSession.createDataFrame(walks, "_u int, _n int, _turn array<int>, _ref array<double>")
+    base = model.stages[-1].transform(plans.select(array_to_vector("_ref").alias("features"))).agg(F.avg("prediction")).first()[0]
+
     rows = df.select(F.col(key), F.array(*[F.col(f"`{n}`").cast("double") for n in names]).alias("_x"))
-    steps = spread(rows, key).select(
-        key, "_x", F.explode(F.array(*plans)).alias("_p")).select(
-        key, "_x", "_p", F.explode(F.sequence(F.lit(0), F.lit(size))).alias("_s"))
-    mixed = F.transform(F.col("_x"), lambda x, j: F.when(
-        F.element_at(F.col("_p.turn"), j + 1) <= F.col("_s"), x).otherwise(F.element_at(F.col("_p.reference"), j + 1)))
+    steps = spread(rows, key).crossJoin(F.broadcast(plans)).select("*", F.explode(F.sequence(F.lit(0), F.lit(size))).alias("_s"))
+    mixed = F.zip_with(F.col("_x"), F.zip_with("_turn", "_ref", lambda t, r: F.struct(t.alias("t"), r.alias("r"))),
+                       lambda x, p: F.when(p["t"] <= F.col("_s"), x).otherwise(p["r"]))
     scored = model.stages[-1].transform(steps.withColumn("features", array_to_vector(mixed)))
 
-    share = F.col("prediction") / permutations
-    gain = F.struct(F.try_element_at("_p.order", F.col("_s")).alias("f"), share.alias("c"))
-    loss = F.struct(F.try_element_at("_p.order", F.col("_s") + 1).alias("f"), (-share).alias("c"))
-    changes = F.when(F.col("_s") == 0, F.array(loss)).when(F.col("_s") == size, F.array(gain)).otherwise(F.array(gain, loss))
-    moved = scored.select(key, "_x", F.explode(changes).alias("_c")).select(
-        key, F.col("_c.f").alias("_f"), F.col("_c.c").alias("_d"), F.element_at("_x", F.col("_c.f") + 1).alias("_v"))
-    # Plain numbers only, so that this is a hash aggregation; the value is the same in all rows of a group.
-    out = moved.groupBy(key, "_f").agg(F.sum("_d").alias("contribution"), F.max("_v").alias("feature_value"))
-    labels = F.array(*[F.lit(n) for n in names])
-    return out.select(key, F.element_at(labels, F.col("_f") + 1).alias("feature"), "feature_value", "contribution", F.lit(base).alias("base"))
+    # Plain numbers only, so that these are hash aggregations; a value is the same in all rows of a group.
+    def change(j: int) -> Column:
+        turn, out = F.element_at("_turn", j + 1), F.col("prediction")
+        return F.when(turn == F.col("_s"), out).when(turn == F.col("_s") + 1, -out).otherwise(0.0)
+
+    pairs = scored.groupBy(key, "_u", "_n").agg(
+        *[F.sum(change(j)).alias(f"_c{j}") for j in range(size)], *[F.max(F.element_at("_x", j + 1)).alias(f"_v{j}") for j in range(size)])
+    sums = pairs.groupBy(key).agg(
+        *[F.sum(f"_c{j}").alias(f"_c{j}") for j in range(size)], *[F.max(f"_v{j}").alias(f"_v{j}") for j in range(size)],
+        *[F.var_samp(F.col(f"_c{j}") / F.col("_n")).alias(f"_e{j}") for j in range(size)], F.count(F.lit(1)).alias("_pairs"))
+    each = F.explode(F.array(*[F.struct(
+        F.lit(n).alias("feature"), F.col(f"_v{j}").alias("feature_value"), (F.col(f"_c{j}") / count).alias("contribution"),
+        F.sqrt(F.col(f"_e{j}") / F.col("_pairs")).alias("std_error")) for j, n in enumerate(names)]))
+    return sums.select(key, each.alias("_f")).select(
+        key, "_f.feature", "_f.feature_value", "_f.contribution", F.lit(base).alias("base"), "_f.std_error")
 
 
 def global_importance(attributions: DataFrame, k: int = 15) -> DataFrame:

@@ -4,6 +4,7 @@ import itertools
 import json
 import math
 import random
+import statistics
 from datetime import date
 from difflib import SequenceMatcher
 
@@ -244,6 +245,24 @@ def test_attribution_adds_up(spark, model_data):
         assert values[(r.id, "beds")] == r["beds"]
 
 
+def test_attribution_of_a_linear_model(spark, model_data):
+    """By default 100 references; contributions and standard errors against their closed forms."""
+    model = ml.fit(model_data, ml.ridge(model_data.count()))
+    some = model_data.limit(3)
+    names = ml.model_feature_list(model)
+    slopes = dict(zip(names, model.stages[-1].coefficients))
+    reference = filters.sample_rows(model_data, "id", 100).collect()
+    assert len(reference) == 100
+    rows = {r.id: r for r in some.collect()}
+    out = attribution.attribution_batch(model, some, model_data).collect()
+    assert len(out) == 3 * len(names)
+    for r in out:
+        each = [slopes[r.feature] * (rows[r.id][r.feature] - x[r.feature]) for x in reference]
+        pairs = [(a + b) / 2 for a, b in zip(each[::2], each[1::2])]
+        assert r.contribution == pytest.approx(sum(each) / 100, abs=1e-9)
+        assert r.std_error == pytest.approx(statistics.stdev(pairs) / 50 ** 0.5, abs=1e-9)
+
+
 def test_one_hot_refuses_unbounded_columns(spark):
     with pytest.raises(ValueError):
         ml.one_hot(spark.range(ml.MAX_CATEGORIES + 1), "id", "id")
