@@ -1,10 +1,15 @@
 """LM scoring with a log-bilinear model trained by noise-contrastive estimation.
 
-The model predicts one of CLASSES token classes: the commonest training tokens, the end of a text among them, and one
-class for all others, inside which a token has its add-one share. The context vector is the sum of the two preceding
-tokens' vectors, each scaled by its position; a class scores context . vector + bias. Training is by NCE in numpy on each
-partition of the training texts, from the same start, and averages the partitions' parameters by their tokens; scoring
-normalises over all classes with batched matrix products.
+Every token that the training texts hold MIN_COUNT times or more has vectors of its own. The context vector is the sum of
+the two preceding tokens' vectors, each scaled by its position. A token's probability has two levels: a softmax over classes
+(the commonest tokens, the end of a text among them, and one class for all others), and inside that class a binary tree,
+whose nodes each decide by context . vector + bias: first between the modelled tokens and the rarest tail, then along the
+bits of the token's hash, of which the leading ones are its ending's. Only in the tail have tokens no more than their
+add-one share. Both levels are normalised by themselves, at the price of the classes and of one path.
+
+Texts are dealt into groups; counts and vectors are tables keyed by token or node, joined to the groups that use them.
+Training runs in numpy on each group, by NCE over the classes and by likelihood in the tree, from the same start, and
+averages each vector over the groups by the tokens that moved it.
 """
 
 from __future__ import annotations
@@ -17,15 +22,18 @@ from pyspark.sql import functions as F
 from marketlens.llm.text import LOWER, Slices, blocks, lists, longs, mix, utf8, words
 from marketlens.sizing import cut_lineage
 
-#: Classes, buckets that stand for other words as context (by their last two bytes), vector width.
-CLASSES, ENDINGS, WIDTH = 512, 32, 16
+#: Classes at most, buckets that stand for tail words as context (by their last two bytes), vector width.
+CLASSES, ENDINGS, WIDTH = 256, 32, 16
+#: Contexts without a table: classes, endings, the start of a text. Those of the tree's tokens follow in each group.
 CONTEXTS = CLASSES + ENDINGS + 1
 START = CONTEXTS - 1
-#: Tokens whose counts every task holds; counts of rarer ones are joined.
-COMMON = 1 << 19
-BATCH, NOISE, RATE, ROUNDS = 512, 48, 0.07, 1
-#: Tokens of one block of training and scoring.
-TOKENS = 1 << 20
+#: Tokens of fewer training occurrences are the tail.
+MIN_COUNT = 5
+BATCH, NOISE, RATE = 2048, 48, 0.07
+#: Text bytes of one group; tokens of one block of training and scoring; tokens of one subtree that a task builds.
+GROUP_BYTES, TOKENS, SUBTREE = 1 << 24, 1 << 16, 1 << 16
+#: Kinds of rows: counts; vectors of contexts, nodes, contexts without a table, classes, positions.
+COUNTS, CONTEXT, NODE, FIXED, CLASS, SCALE = range(6)
 HELD_OUT, FOLDS = 2, 7
 END = np.uint64(0x5851F42D4C957F2D)
 
@@ -42,6 +50,7 @@ def _tokens(texts):
     if len(starts):
         two = data[ends - 1].astype(np.uint64) << np.uint64(8) | data[np.maximum(ends - 2, starts)].astype(np.uint64)
         ending[where] = mix(two) % np.uint64(ENDINGS)
+        h[where] = mix(two) << np.uint64(58) | h[where] >> np.uint64(6)
     return h, ending, first + np.arange(docs + 1)
 
 
@@ -63,155 +72,244 @@ def _counts(batches):
         yield flush()
 
 
-def _coded(batches, common):
-    """Context codes, log10(count + 1) sums and the rare tokens of each text."""
-    table, counts, code_of = common
-    logs = np.log10(counts + 1.0)
+def _grouped(batches):
+    """One row for each GROUP_BYTES of texts: their distinct tokens and each text's tokens as numbers of these."""
+    held, size = [], 0
+
+    def flush():
+        part = pa.Table.from_batches([x[0] for x in held]).combine_chunks()
+        h, ending = np.concatenate([x[1] for x in held]), np.concatenate([x[2] for x in held])
+        n = np.concatenate([np.diff(x[3]) for x in held])
+        own, at, code = np.unique(h, return_index=True, return_inverse=True)
+        one = lambda x: pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x)
+        columns = [one(pa.concat_arrays(part.column(c).chunks)) for c in ("row", "doc_id", "held_out")]
+        return pa.RecordBatch.from_arrays([
+            part.column("row").chunk(0)[:1], *columns, one(pa.array(n)), one(longs(own)),
+            pa.array([ending[at].astype("u1").tobytes()], pa.binary()), pa.array([code.astype("<u4").tobytes()], pa.binary()),
+        ], names=["g", "row", "doc_id", "held_out", "n", "own", "ending", "code"])
+
     for batch in batches:
         for part in blocks(batch):
-            h, ending, bounds = _tokens(part.column("text"))
-            slot = np.minimum(np.searchsorted(table, h), max(len(table) - 1, 0))
-            known = table[slot] == h if len(table) else np.zeros(len(h), bool)
-            code = np.where(known, code_of[slot] if len(table) else 0, 0)
-            code = np.where(code > 0, code, CLASSES + ending).astype("<u2")
-            log = np.where(known, logs[slot] if len(table) else 0, 0.0)
-            add = lambda x: np.add.reduceat(x, bounds[:-1])  # noqa: E731  each text has its end at least
-            rare = ~known
-            doc = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
-            order = np.lexsort((h[rare], doc[rare]))
-            rh, rd = h[rare][order], doc[rare][order]
-            new = np.ones(len(rh), bool)
-            new[1:] = (rh[1:] != rh[:-1]) | (rd[1:] != rd[:-1])
-            at = np.flatnonzero(new)
-            n = np.diff(np.append(at, len(rh)))
-            edges = np.searchsorted(rd[at], np.arange(len(bounds)))
-            raw = code.tobytes()
-            yield pa.RecordBatch.from_arrays([
-                part.column("row"), part.column("doc_id"), part.column("held_out"), pa.array(np.diff(bounds)), pa.array(add(known.astype(np.int64))),
-                pa.array(add(log)), pa.array(add(np.where(code < CLASSES, log, 0.0))), pa.array(add((code >= CLASSES).astype(np.int64))),
-                lists(rh[at].view(np.int64), edges), lists(n.astype(np.int64), edges),
-                pa.array([raw[2 * a:2 * b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())], pa.binary()),
-            ], names=["row", "doc_id", "held_out", "n_tokens", "n_common", "log_all", "log_classes", "n_other", "rare", "rare_n", "codes"])
-
-
-CODED = ("row long, doc_id {id}, held_out boolean, n_tokens long, n_common long, log_all double, log_classes double, n_other long, "
-         "rare array<long>, rare_n array<long>, codes binary")
-
-
-def stream(batches, limit: int):
-    """Codes of about `limit` tokens at a time, with the two codes before each and the bounds of the texts."""
-    for batch in batches:
-        held, size = [], 0
-        for codes in batch.column("codes"):
-            held.append(np.frombuffer(codes.as_buffer(), "<u2").astype(np.int64))
-            size += len(held[-1])
-            if size >= limit:
-                yield _contexts(held)
+            held.append((part.select(["row", "doc_id", "held_out"]), *_tokens(part.column("text"))))
+            size += len(utf8(part.column("text"))[0])
+            if size >= GROUP_BYTES:
+                yield flush()
                 held, size = [], 0
-        if held:
-            yield _contexts(held)
+    if held:
+        yield flush()
 
 
-def _contexts(held):
-    code = np.concatenate(held)
-    bounds = np.concatenate([[0], np.cumsum([len(x) for x in held])])
-    one, two = np.empty_like(code), np.empty_like(code)
-    one[1:], two[2:] = code[:-1], code[:-2]
-    one[bounds[:-1]] = START
-    two[bounds[:-1]] = START
-    second = bounds[:-1][np.diff(bounds) > 1] + 1
-    two[second] = START
-    return np.where(code < CLASSES, code, 0), one, two, bounds
+GROUPS = "g long, row array<long>, doc_id array<{id}>, held_out array<boolean>, n array<long>, own array<long>, ending binary, code binary"
+
+
+def branches(h: np.ndarray, c: np.ndarray, depths: range) -> tuple[np.ndarray, np.ndarray]:
+    """Of each of the sorted tokens, the depths at which the tree of their hashes forks, and the log odds of bit 1 there."""
+    forks, odds = np.zeros((len(h), 64), bool), np.zeros((len(h), 64), np.float32)
+    sums = np.concatenate([[0], np.cumsum(c)])
+    for d in depths:
+        prefix = h >> np.uint64(1) >> np.uint64(63 - d)
+        a = np.flatnonzero(np.concatenate([[True], prefix[1:] != prefix[:-1]]))
+        if len(a) == len(h):
+            break
+        b = np.append(a[1:], len(h))
+        middle = b - np.add.reduceat((h >> np.uint64(63 - d) & np.uint64(1)).astype(np.int64), a)
+        fork = (middle > a) & (middle < b)
+        left, right = sums[middle] - sums[a], sums[b] - sums[middle]
+        forks[:, d] = np.repeat(fork, b - a)
+        odds[:, d] = np.repeat(np.where(fork, np.log(np.maximum(right, 1) / np.maximum(left, 1)), 0), b - a)
+    return forks, odds
+
+
+def _subtree(table: pa.Table, bits: int, above) -> pa.Table:
+    h, c = table.column("h").to_numpy().view(np.uint64), table.column("c").to_numpy()
+    order = np.argsort(h)
+    h, c = h[order], c[order]
+    forks, odds = branches(h, c, range(bits, 64))
+    if bits:
+        at = np.searchsorted(above[0], h[0] >> np.uint64(64 - bits))
+        forks[:, :bits], odds[:, :bits] = above[1][at, :bits], above[2][at, :bits]
+    mask = (forks.astype(np.uint64) << np.arange(63, -1, -1, dtype=np.uint64)).sum(1, dtype=np.uint64)
+    bounds = np.concatenate([[0], np.cumsum(forks.sum(1))])
+    return pa.table({"h": longs(h), "c": pa.array(c), "mask": longs(mask), "odds": lists(odds[forks], bounds, pa.float32())})
+
+
+def vocabulary(counts: DataFrame, min_count: int) -> DataFrame:
+    """h, c, and for tokens of `min_count` or more the depths of their forks (mask) and the log odds at these."""
+    modelled = counts.where(F.col("c") >= min_count)
+    bits = max(0, int(np.ceil(np.log2(max(1, modelled.count()) / SUBTREE))))
+    branch, above = F.lit(0).cast("long"), None
+    if bits:  # the tree above the subtrees, of about as many leaves as there are tasks
+        branch = F.shiftrightunsigned("h", 64 - bits)
+        top = modelled.groupBy(branch.alias("b")).agg(F.sum("c").alias("c")).orderBy("b").toArrow()
+        b = top.column("b").to_numpy().astype(np.uint64)
+        above = (b, *branches(b << np.uint64(64 - bits), top.column("c").to_numpy(), range(bits)))
+    kind = "h long, c long, mask long, odds array<float>"
+    tree = modelled.withColumn("b", branch).groupBy("b").applyInArrow(lambda t: _subtree(t.select(["h", "c"]), bits, above), kind)
+    return tree.unionByName(counts.where(F.col("c") < min_count).select("h", "c", F.lit(None).cast("long").alias("mask"), F.lit(None).cast("array<float>").alias("odds")))
+
+
+def unit(ids: np.ndarray) -> np.ndarray:
+    """Start of context vectors: small, drawn from the token."""
+    x = mix(ids[:, None] + np.arange(1, WIDTH + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    return (((x >> np.uint64(11)).astype(np.float64) / 2**53 - 0.5) * 12**0.5 * 0.1).astype(np.float32)
 
 
 def start(noise: np.ndarray) -> list[np.ndarray]:
     """Context vectors, class vectors, position scales, biases: small, and at the unigram model."""
     rng = np.random.default_rng(7)
-    return [rng.normal(0, 0.1, (CONTEXTS, WIDTH)).astype(np.float32), rng.normal(0, 0.1, (CLASSES, WIDTH)).astype(np.float32),
+    return [rng.normal(0, 0.1, (CONTEXTS, WIDTH)).astype(np.float32), rng.normal(0, 0.1, (len(noise), WIDTH)).astype(np.float32),
             np.ones((2, WIDTH), np.float32), np.log(noise).astype(np.float32)]
 
 
-def _gathered(index: np.ndarray, rows: np.ndarray, size: int) -> np.ndarray:
-    """Sum of the rows of each index; the rows are sorted by it, a few at a time are added."""
-    index = index.astype(np.uint16)  # sorted by radix
+class Group:
+    """A group's distinct tokens: class, context and path of each, and the ids and start odds of the nodes it uses.
+
+    `inner` tells the modelled ones of the tokens `h`; `head` is the hashes of the tokens that are classes, sorted, with counts and classes; `root` the log odds of the
+    modelled tokens against the tail, None where none are modelled.
+    """
+
+    def __init__(self, own, ending, h, c, inner, mask, odds, head, root):
+        self.count, self.target = np.zeros(len(own), np.int64), np.zeros(len(own), np.int64)
+        at = np.searchsorted(own, h)
+        self.count[at] = c
+        slot = np.minimum(np.searchsorted(head[0], own), max(len(head[0]) - 1, 0))
+        if len(head[0]):
+            known = head[0][slot] == own
+            self.count[known], self.target[known] = head[1][slot[known]], head[2][slot[known]]
+        self.ids, at = h[inner], at[inner]
+        self.context = np.where(self.target > 0, self.target, CLASSES + ending.astype(np.int64))
+        self.context[at] = CONTEXTS + np.arange(len(at))
+        tail = self.target == 0
+        tail[at] = False
+        self.tail = tail
+        bits = (mask[inner][:, None] >> np.arange(63, -1, -1, dtype=np.uint64) & np.uint64(1)).astype(bool)
+        token, depth = np.nonzero(bits)
+        of, d = self.ids[token], depth.astype(np.uint64)
+        node = np.uint64(1) << d | of >> np.uint64(1) >> (np.uint64(63) - d)
+        self.nodes, first, node = np.unique(np.append(node, np.uint64(0)), return_index=True, return_inverse=True)
+        node = node[:-1]
+        self.odds = np.append(odds, np.float32(0 if root is None else root))[first]
+        top = np.flatnonzero(self.target == 0) if root is not None else np.zeros(0, np.int64)
+        token = np.concatenate([top, at[token]])
+        order = np.argsort(token, kind="stable")
+        self.node = np.concatenate([np.zeros(len(top), np.int64), node])[order]
+        self.sign = np.concatenate([np.where(tail[top], -1, 1), (of >> (np.uint64(63) - d) & np.uint64(1)).astype(np.int64) * 2 - 1])[order].astype(np.float32)
+        self.length = np.bincount(token, minlength=len(own))
+        self.first = np.cumsum(self.length) - self.length
+
+    def path(self, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Node and sign of every decision on the tokens' paths, and which of `tokens` it belongs to."""
+        n = self.length[tokens]
+        whose = np.repeat(np.arange(len(tokens)), n)
+        at = np.arange(len(whose)) - np.repeat(np.cumsum(n) - n, n) + self.first[tokens][whose]
+        return self.node[at], self.sign[at], whose
+
+
+def _group(left: pa.Table, right: pa.Table, head, root) -> tuple[Group, np.ndarray, np.ndarray]:
+    """The group, the token numbers of all its texts and their bounds."""
+    flat = lambda name: left.column(name).combine_chunks().flatten()
+    right = right.sort_by("id").combine_chunks()
+    longs_of = lambda name: right.column(name).fill_null(0).to_numpy().view(np.uint64)
+    odds = right.column("odds").drop_null().combine_chunks()
+    odds = odds.flatten().to_numpy(zero_copy_only=False) if len(odds) else np.zeros(0, np.float32)
+    own = flat("own").to_numpy().view(np.uint64)
+    group = Group(own, np.frombuffer(left.column("ending")[0].as_py(), "u1"), longs_of("id"), right.column("c").to_numpy(),
+                  right.column("mask").is_valid().to_numpy(), longs_of("mask"), odds, head, root)
+    return group, np.frombuffer(left.column("code")[0].as_py(), "<u4").astype(np.int64), np.concatenate([[0], np.cumsum(flat("n").to_numpy())])
+
+
+def _before(group: Group, code: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Contexts of every token: the one before it and the one before that."""
+    context = group.context[code]
+    one, two = np.full(len(code), START), np.full(len(code), START)
+    one[1:], two[2:] = context[:-1], context[:-2]
+    one[bounds[:-1]] = START
+    two[bounds[:-1]] = START
+    two[bounds[:-1][np.diff(bounds) > 1] + 1] = START
+    return one, two
+
+
+def _move(x: np.ndarray, power: np.ndarray, index: np.ndarray, rows: np.ndarray) -> None:
+    """AdaGrad step of the indexed rows by their summed gradients."""
     order = np.argsort(index, kind="stable")
     index = index[order]
     at = np.flatnonzero(np.concatenate([[True], index[1:] != index[:-1]]))
-    out = np.zeros((size, rows.shape[1]), np.float32)
-    out[index[at]] = np.add.reduceat(rows[order], at)
-    return out
+    g, k = np.add.reduceat(rows[order], at), index[at]
+    s = power[k] + g * g
+    power[k] = s
+    x[k] += RATE * g / np.sqrt(s)
 
 
-def nce_step(p: list[np.ndarray], power: list[np.ndarray], target, one, two, weight, noise: np.ndarray, drawn: np.ndarray) -> None:
-    """One AdaGrad step on a batch of weighted tokens against noise classes that all of them share."""
-    r, q, scale, bias = p
-    a, b = r[one], r[two]
+def _sure(x: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(np.clip(x, -30, 30)))
+
+
+def train_step(p: list[np.ndarray], power: list[np.ndarray], group: Group, token, one, two, noise: np.ndarray, drawn: np.ndarray) -> None:
+    """One step on a batch of tokens: classes against noise that all of them share, then the decisions on their paths."""
+    r, q, scale, bias, nodes = p
+    a, b, target = r[one], r[two], group.target[token]
     u = a * scale[0] + b * scale[1]
     shift = bias - np.log(NOISE * noise)
-    own = (u * q[target]).sum(1) + shift[target]
-    other = u @ q[drawn].T + shift[drawn]
-    up = weight / (1 + np.exp(np.clip(own, -30, 30)))  # how far the data's class is from certain
-    down = -weight[:, None] / (1 + np.exp(np.clip(-other, -30, 30)))
+    up = _sure((u * q[target]).sum(1) + shift[target])  # how far the data's class is from certain
+    down = -_sure(-(u @ q[drawn].T + shift[drawn]))
     du = up[:, None] * q[target] + down @ q[drawn]
-    dq = _gathered(target, up[:, None] * u, CLASSES)
-    np.add.at(dq, drawn, down.T @ u)
-    db = np.bincount(target, up, CLASSES).astype(np.float32)
-    np.add.at(db, drawn, down.sum(0))
-    dr = _gathered(one, du * scale[0], CONTEXTS) + _gathered(two, du * scale[1], CONTEXTS)
-    total = weight.sum()
+    classes = np.concatenate([target, drawn])
+    dq = np.concatenate([up[:, None] * u, down.T @ u])
+    db = np.concatenate([up, down.sum(0)])
+    node, sign, whose = group.path(token)
+    if len(node):
+        v, x = nodes[node], u[whose]
+        off = sign * _sure(sign * ((v[:, :-1] * x).sum(1) + v[:, -1]))
+        rows = off[:, None] * np.concatenate([x, np.ones((len(x), 1), np.float32)], 1)
+        at = np.flatnonzero(np.concatenate([[True], whose[1:] != whose[:-1]]))
+        du[whose[at]] += np.add.reduceat(off[:, None] * v[:, :-1], at)
+        _move(nodes, power[4], node, rows)
+    _move(q, power[1], classes, dq)
+    _move(bias, power[3], classes, db)
+    _move(r, power[0], np.concatenate([one, two]), np.concatenate([du * scale[0], du * scale[1]]))
     ds = np.stack([(du * a).sum(0), (du * b).sum(0)])
-    for x, s, g in zip(p, power, (dr, dq, ds, db)):
-        g = g / total
-        s += g * g
-        x += RATE * g / np.sqrt(s + 1e-8)
-
-
-def train_partition(batches, parameters: list[np.ndarray], noise: np.ndarray):
-    """One pass over a partition's tokens; gives the parameters times the tokens, and the tokens."""
-    p = [x.copy() for x in parameters]
-    power = [np.full(x.shape, 1e-5, np.float32) for x in p]
-    rng, seen = np.random.default_rng(11), 0
-    for target, one, two, _ in stream(batches, TOKENS):
-        # Tokens of equal contexts and class have equal gradients: each kind is visited once, with its number as weight.
-        kinds, n = np.unique((one * CONTEXTS + two) * CLASSES + target, return_counts=True)
-        mixed = rng.permutation(len(kinds))
-        for a in range(0, len(kinds), BATCH):
-            kind = kinds[mixed[a:a + BATCH]]
-            pair, drawn = kind // CLASSES, rng.choice(CLASSES, NOISE, p=noise)
-            nce_step(p, power, kind % CLASSES, pair // CONTEXTS, pair % CONTEXTS, n[mixed[a:a + BATCH]].astype(np.float32), noise.astype(np.float32), drawn)
-        seen += len(target)
-    if seen:
-        flat = np.concatenate([x.ravel() for x in p]).astype(np.float64) * seen
-        yield pa.RecordBatch.from_arrays([pa.array([flat], pa.list_(pa.float64())), pa.array([seen], pa.int64())], names=["sums", "tokens"])
-
-
-def _added(table: pa.Table) -> pa.Table:
-    total = np.sum(np.array(table.column("sums").to_pylist()), 0)
-    return pa.table({"sums": pa.array([total], pa.list_(pa.float64())), "tokens": pa.array([sum(table.column("tokens").to_pylist())], pa.int64())})
-
-
-def train(coded: DataFrame, noise: np.ndarray, rounds: int = ROUNDS) -> list[np.ndarray]:
-    """Passes over all training tokens. A partition gives one row of parameters; these are added in groups first."""
+    power[2] += ds * ds
+    scale += RATE * ds / np.sqrt(power[2])
+
+
+VECTORS = "g long, kind int, id long, w double, x array<float>"
+
+
+def train_group(left: pa.Table, right: pa.Table, noise: np.ndarray, head, root) -> pa.Table:
+    """One pass over the training tokens of a group; every vector it uses, with the tokens that moved it as weight."""
+    group, code, bounds = _group(left, right, head, root)
     p = start(noise)
-    codes = coded.where("not held_out").select("codes")
-    context, kind = coded.sparkSession.sparkContext, "sums array<double>, tokens long"
-    for _ in range(rounds):
-        shared = context.broadcast((p, noise))  # of fixed size
-        rows = codes.mapInArrow(lambda batches, shared=shared: train_partition(batches, *shared.value), kind)
-        groups = rows.groupBy(F.pmod(F.spark_partition_id(), F.lit(64)).alias("g")).applyInArrow(_added, kind)
-        total = groups.groupBy(F.lit(0).alias("g")).applyInArrow(_added, kind).collect()
-        if not total:
-            break
-        flat, edges = np.array(total[0]["sums"]) / total[0]["tokens"], np.cumsum([x.size for x in p])
-        p = [x.reshape(y.shape).astype(np.float32) for x, y in zip(np.split(flat, edges[:-1]), p)]
-    return p
+    p[0] = np.concatenate([p[0], unit(group.ids)])
+    p.append(np.concatenate([np.zeros((len(group.nodes), WIDTH), np.float32), group.odds[:, None]], 1).astype(np.float32))
+    power = [np.full(x.shape, 0.1, np.float32) for x in p]
+    one, two = _before(group, code, bounds)
+    learnt = np.flatnonzero(np.repeat(~left.column("held_out").combine_chunks().flatten().to_numpy(zero_copy_only=False), np.diff(bounds)))
+    rng, light = np.random.default_rng(11), noise.astype(np.float32)
+    rng.shuffle(learnt)
+    for a in range(0, len(learnt), BATCH):
+        at = learnt[a:a + BATCH]
+        train_step(p, power, group, code[at], one[at], two[at], light, rng.choice(len(noise), NOISE, p=noise))
+    least = 1e-6  # what no token moved is at its start in every group
+    used = np.bincount(one[learnt], minlength=len(p[0])) + np.bincount(two[learnt], minlength=len(p[0])) + least
+    uses = np.bincount(code[learnt], minlength=len(group.length))
+    passed = np.bincount(group.node, np.repeat(uses, group.length), len(group.nodes)) + least
+    wide = lambda x: np.concatenate([x, np.zeros((len(x), 1), np.float32)], 1)
+    all_of = np.full(max(CONTEXTS, len(noise)), len(learnt) + least)
+    parts = [(CONTEXT, group.ids, used[CONTEXTS:], wide(p[0][CONTEXTS:])), (NODE, group.nodes, passed, p[4]),
+             (FIXED, np.arange(CONTEXTS), used[:CONTEXTS], wide(p[0][:CONTEXTS])),
+             (CLASS, np.arange(len(noise)), all_of[:len(noise)], np.concatenate([p[1], p[3][:, None]], 1)), (SCALE, np.arange(2), all_of[:2], wide(p[2]))]
+    rows = np.concatenate([x for *_, x in parts])
+    return pa.table({
+        "g": pa.array(np.full(len(rows), left.column("g")[0].as_py(), np.int64)), "kind": pa.array(np.repeat([k for k, *_ in parts], [len(x) for *_, x in parts]).astype(np.int32)),
+        "id": longs(np.concatenate([i.astype(np.uint64) for _, i, *_ in parts])), "w": pa.array(np.concatenate([w for *_, w, _ in parts])),
+        "x": lists(rows.ravel(), np.arange(len(rows) + 1) * (WIDTH + 1), pa.float32())})
 
 
 def class_log10(p: list[np.ndarray], target, one, two, step: int = 4096) -> np.ndarray:
     """log10 of the normalised class probability of each token; equal contexts are normalised once."""
-    r, q, scale, bias = p
-    pair, at = np.unique(one * CONTEXTS + two, return_inverse=True)
-    u = r[pair // CONTEXTS] * scale[0] + r[pair % CONTEXTS] * scale[1]
+    r, q, scale, bias = p[:4]
+    pair, at = np.unique(one * len(r) + two, return_inverse=True)
+    u = r[pair // len(r)] * scale[0] + r[pair % len(r)] * scale[1]
     z = np.empty(len(pair), np.float64)
     for a in range(0, len(pair), step):
         s = u[a:a + step] @ q.T + bias
@@ -222,18 +320,39 @@ def class_log10(p: list[np.ndarray], target, one, two, step: int = 4096) -> np.n
     return ((u[at] * q[target]).sum(1, dtype=np.float64) + bias[target] - z[at]) / np.log(10)
 
 
-def _scored(batches, p):
-    for batch in batches:
-        sums = []
-        for target, one, two, bounds in stream([batch], TOKENS):
-            sums.append(np.add.reduceat(class_log10(p, target, one, two), bounds[:-1]))
-        yield pa.RecordBatch.from_arrays([batch.column(c) for c in SMALL] + [pa.array(np.concatenate(sums))], names=[*SMALL, "classes"])
-
-
-SMALL = ["row", "doc_id", "held_out", "n_tokens", "n_common", "log_all", "log_classes", "n_other"]
-
-
-def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def token_log10(p: list[np.ndarray], group: Group, token, one, two, tail: float) -> np.ndarray:
+    """log10 of the probability of each token; `tail` is what the tail's add-one shares add up to."""
+    r, _, scale, _, nodes = p
+    out = class_log10(p, group.target[token], one, two)
+    node, sign, whose = group.path(token)
+    u = (r[one] * scale[0] + r[two] * scale[1])[whose]
+    v = nodes[node]
+    score = sign * ((v[:, :-1] * u).sum(1) + v[:, -1]).astype(np.float64)
+    out -= np.bincount(whose, np.logaddexp(0, -score), len(token)) / np.log(10)
+    return out + np.where(group.tail[token], np.log10((group.count[token] + 1.0) / tail), 0.0)
+
+
+def score_group(left: pa.Table, right: pa.Table, p: list[np.ndarray], head, root, tail: float, total: int) -> pa.Table:
+    kind = right.column("kind").to_numpy()
+    group, code, bounds = _group(left, right.filter(pa.array(kind == COUNTS)), head, root)
+    vectors = {}
+    for k, ids in ((CONTEXT, group.ids), (NODE, group.nodes)):
+        rows = right.filter(pa.array(kind == k)).combine_chunks()
+        x = rows.column("x").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, WIDTH + 1) if rows.num_rows else np.zeros((0, WIDTH + 1), np.float32)
+        of = rows.column("id").to_numpy().view(np.uint64)
+        order = np.argsort(of)
+        vectors[k] = x[order][np.searchsorted(of[order], ids)] if len(ids) else x
+    p = [np.concatenate([p[0], vectors[CONTEXT][:, :-1]]), *p[1:], vectors[NODE]]
+    one, two = _before(group, code, bounds)
+    logs = np.concatenate([token_log10(p, group, code[a:a + TOKENS], one[a:a + TOKENS], two[a:a + TOKENS], tail) for a in range(0, len(code), TOKENS)])
+    add = lambda x: np.add.reduceat(x, bounds[:-1])  # noqa: E731  each text has its end at least
+    known = group.count[code]
+    columns = {c: left.column(c).combine_chunks().flatten() for c in ("doc_id", "held_out")}
+    return pa.table(columns | {"n_tokens": pa.array(np.diff(bounds)), "n_known": pa.array(add((known > 0).astype(np.int64))),
+                               "base_score": pa.array(add(np.log10((known + 1.0) / total))), "score": pa.array(add(logs))})
+
+
+def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", classes: int = CLASSES, min_count: int = MIN_COUNT) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every document, one row per row.
 
     Documents whose crc32 of the id as text is HELD_OUT modulo FOLDS are scored but not learnt from. A null text counts
@@ -244,27 +363,37 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     fold = F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit(""))) % FOLDS
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("doc_id"), (fold == HELD_OUT).alias("held_out"), F.col(text_col).alias("text"))
     counts = cut_lineage(rows.where("not held_out").select("text").mapInArrow(_counts, "h long, c long").groupBy("h").agg(F.sum("c").alias("c")))
-    total = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
-    n, v = total["n"], total["v"]
-    top = counts.orderBy(F.desc("c"), "h").limit(COMMON).toArrow()
+    top = counts.orderBy(F.desc("c"), "h").limit(min(classes, CLASSES) - 1).toArrow()
     h, c = top.column("h").to_numpy().view(np.uint64), top.column("c").to_numpy()
-    code = np.where(np.arange(len(h)) < CLASSES - 1, np.arange(len(h)) + 1, 0)
-    in_classes = int(c[:CLASSES - 1].sum())
-    noise = np.concatenate([[n - in_classes], c[:CLASSES - 1], np.zeros(max(0, CLASSES - 1 - len(c)))]) + 0.5
+    least = (int(c[-1]), int(h.view(np.int64)[-1])) if len(h) else (0, 0)
+    rest = counts.where((F.col("c") < least[0]) | ((F.col("c") == least[0]) & (F.col("h") > least[1])))
+    many = F.col("c") >= min_count
+    sums = rest.agg(F.coalesce(F.sum(F.when(many, F.col("c"))), F.lit(0)).alias("inner"), F.count_if(many).alias("v_inner"),
+                    F.coalesce(F.sum(F.when(~many, F.col("c"))), F.lit(0)).alias("tail"), F.count_if(~many).alias("v_tail")).first()
+    n, v = int(c.sum()) + sums["inner"] + sums["tail"], len(h) + sums["v_inner"] + sums["v_tail"]
+    noise = np.concatenate([[sums["inner"] + sums["tail"]], c]) + 0.5
     noise = noise / noise.sum()
+    root = float(np.log((sums["inner"] + 0.5) / (sums["tail"] + 0.5))) if sums["v_inner"] else None
+    tail = float(sums["tail"] + sums["v_tail"] + 1)
     order = np.argsort(h)
-    common = spark.sparkContext.broadcast((h[order], c[order], code[order]))  # at most COMMON entries
-
-    kind = CODED.format(id=rows.schema["doc_id"].dataType.simpleString())
-    coded = cut_lineage(rows.mapInArrow(lambda batches: _coded(batches, common.value), kind))
-    model = spark.sparkContext.broadcast(train(coded, noise))
-    rare = coded.select("row", F.explode(F.arrays_zip("rare", "rare_n")).alias("x")).select("row", F.col("x.rare").alias("h"), F.col("x.rare_n").alias("m"))
-    found = rare.join(counts, "h").groupBy("row").agg(F.sum("m").alias("n_rare"), F.sum(F.col("m") * F.log10(F.col("c") + 1)).alias("log_rare"))
-    scored = coded.select(*SMALL, "codes").mapInArrow(
-        lambda batches: _scored(batches, model.value), kind.split(", rare ")[0] + ", classes double")
-    log_all = F.col("log_all") + F.coalesce("log_rare", F.lit(0.0))
-    others = float(np.log10(max(1, n - in_classes + max(0, v - (CLASSES - 1)) + 1)))
-    return scored.join(found, "row", "left").select(
-        "doc_id", "held_out", "n_tokens", (F.col("n_common") + F.coalesce("n_rare", F.lit(0))).alias("n_known"), F.lit(n).cast("long").alias("train_tokens"),
-        (log_all - F.col("n_tokens") * F.lit(float(np.log10(n + v + 1)))).alias("base_score"),
-        (F.col("classes") + log_all - F.col("log_classes") - F.col("n_other") * F.lit(others)).alias("score"))
+    head = (h[order], c[order], order + 1)  # fewer than CLASSES
+
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    groups = cut_lineage(rows.mapInArrow(_grouped, GROUPS.format(id=kind)))
+    found = groups.select("g", F.explode("own").alias("h")).join(vocabulary(rest, min_count), "h")
+    found = cut_lineage(found.select("g", F.lit(COUNTS).alias("kind"), F.col("h").alias("id"), "c", "mask", "odds"))
+    moved = cut_lineage(groups.groupBy("g").cogroup(found.groupBy("g")).applyInArrow(lambda a, b: train_group(a, b, noise, head, root), VECTORS))
+    means = [F.sum(F.col("w") * F.col("x")[j]) / F.sum("w") for j in range(WIDTH + 1)]
+    learnt = cut_lineage(moved.groupBy("kind", "id").agg(F.array(*means).cast("array<float>").alias("x")))
+    p = start(noise)
+    for r in learnt.where(F.col("kind") >= FIXED).collect():  # of fixed size
+        k, i, x = r["kind"], r["id"], np.array(r["x"], np.float32)
+        p[{FIXED: 0, CLASS: 1, SCALE: 2}[k]][i] = x[:-1]
+        if k == CLASS:
+            p[3][i] = x[-1]
+    vectors = moved.where(F.col("kind") < FIXED).select("g", "kind", "id").join(learnt, ["kind", "id"])
+    given = found.withColumn("x", F.lit(None).cast("array<float>")).unionByName(vectors, allowMissingColumns=True)
+    shared = spark.sparkContext.broadcast(p)  # of fixed size
+    scored = groups.groupBy("g").cogroup(given.groupBy("g")).applyInArrow(
+        lambda a, b: score_group(a, b, shared.value, head, root, tail, n + v + 1), f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, base_score double, score double")
+    return scored.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"), "base_score", "score")

@@ -165,6 +165,35 @@ def test_lm_is_normalised():
     assert math.isclose(total.sum(), 1, rel_tol=1e-5)
 
 
+@pytest.mark.parametrize("modelled", [0, 1, 40])
+def test_lm_tree_is_normalised_and_knows_its_context(modelled):
+    """Over classes, modelled tokens, tail and unseen: a sum of 1 in any context; modelled tokens are told apart by context."""
+    import pyarrow as pa
+
+    r = np.random.default_rng(8)
+    own = np.unique(r.integers(1, 1 << 63, 60, dtype=np.uint64) * np.uint64(2) + np.uint64(1))
+    c = np.where(np.arange(60) < 10 + modelled, 9, 2)
+    rest = own[10:]
+    tree = lm._subtree(pa.table({"h": lm.longs(rest[:modelled]), "c": pa.array(c[10:10 + modelled])}), 0, None) if modelled else None
+    mask = np.zeros(50, np.uint64)
+    odds = np.zeros(0, np.float32)
+    if modelled:
+        mask[:modelled] = tree.column("mask").to_numpy().view(np.uint64)
+        odds = tree.column("odds").combine_chunks().flatten().to_numpy()
+    group = lm.Group(own, np.zeros(60, "u1"), rest, c[10:], np.arange(50) < modelled, mask, odds, (own[:10], c[:10], np.arange(1, 11)), 0.3 if modelled else None)
+    p = [x + r.normal(0, 1, x.shape).astype(np.float32) for x in lm.start(np.full(11, 1 / 11))]
+    p[0] = np.concatenate([p[0], r.normal(0, 1, (modelled, lm.WIDTH)).astype(np.float32)])
+    p.append(r.normal(0, 1, (len(group.nodes), lm.WIDTH + 1)).astype(np.float32))
+    tail = float((c[10 + modelled:] + 1).sum() + 1)
+    given = []
+    for context in (3, lm.START):
+        logs = lm.token_log10(p, group, np.arange(60), np.full(60, context), np.full(60, 5), tail)
+        unseen = 10 ** logs[-1] / (c[-1] + 1)
+        assert math.isclose((10 ** logs).sum() + unseen, 1, rel_tol=1e-5)
+        given.append(logs - lm.class_log10(p, group.target, np.full(60, context), np.full(60, 5)))
+    assert np.all(np.abs(given[0] - given[1])[10:10 + modelled] > 1e-6)
+
+
 def test_packing(docs, empty):
     from tokenizers import Tokenizer
 
