@@ -146,12 +146,12 @@ QUERIES["cv_boosted_trees"] = (lambda s, d: ml.cross_validate(ready(s, d), full_
 QUERIES["holdout_metrics"] = (lambda s, d: ml.holdout_metrics(ready(s, d), full_boost()), None)
 
 
-def scored(s, d):
+def ridge_scored(s, d):
     data = cut_lineage(ready(s, d))
     return ml.score_batch(ml.fit(data, ml.ridge_for(data)), data).select("id", "price", "predicted", "residual")
 
 
-QUERIES["score_batch"] = (scored, None)
+QUERIES["score_batch"] = (ridge_scored, None)
 QUERIES["feature_importance"] = (lambda s, d: ml.feature_importance(ml.fit(ready(s, d), full_forest())), None)
 
 

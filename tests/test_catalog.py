@@ -1,5 +1,8 @@
 """Registered queries against their SQL on the smallest tables, in both kinds of plan."""
 
+import ast
+from pathlib import Path
+
 import pytest
 
 import __spark_entry__ as entry
@@ -31,3 +34,11 @@ def test_matches_sql_distributed(spark, duck, distributed, name):
 
 def test_flagship(spark):
     assert entry.entry(spark).count() > 0
+
+
+def test_no_name_is_bound_twice():
+    """A later function of the same name would silently replace the one that earlier queries call."""
+    for section in entry.SECTIONS:
+        bodies = ast.parse(Path(section.__file__).read_text()).body
+        names = [b.name for b in bodies if isinstance(b, ast.FunctionDef)]
+        assert len(names) == len(set(names)), section.__name__
