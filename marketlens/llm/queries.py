@@ -1,10 +1,10 @@
-"""The ten operators applied to their whole tables with production parameters, as registered queries."""
+"""The operators applied to their whole tables with production parameters, as registered queries."""
 
 from __future__ import annotations
 
 from pathlib import Path
 
-from marketlens.llm import lines, lm, mixture, neardup, packing, quality, suffixes, topk, toxicity, urls
+from marketlens.llm import lexical, lines, lm, mixture, neardup, packing, periodic, quality, suffixes, topk, toxicity, urls, warc
 
 ROOT = str(Path(__file__).resolve().parents[2])
 TOKENIZER = "word_bpe_49k.json"
@@ -69,6 +69,19 @@ def op10_quality_rules(spark, folder):
     return quality.judge_quality(documents(spark, folder))
 
 
+def op11_warc_bundles(spark, folder):
+    index = warc.write_archives(table(spark, folder, "pages"))
+    return warc.read_archives(index, payloads=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op12_lexical_search(spark, folder):
+    return lexical.best_documents(documents(spark, folder), table(spark, folder, "benchmark"))
+
+
+def op13_periodic_runs(spark, folder):
+    return periodic.run_digests(periodic.find_runs(periodic.plant_periods(documents(spark, folder))))
+
+
 _UPPER, _LOWER = urls.UPPER, urls.LOWER
 OP1_SQL = f"""
 WITH RECURSIVE w AS (
@@ -110,6 +123,26 @@ WITH h AS (SELECT page_id, translate(COALESCE(url, ''), '{_UPPER}', '{_LOWER}')
 r AS (SELECT *, {_RULE} AS rule, rtrim({_BY_PATTERN}, ',') AS patterns FROM h)
 SELECT page_id, host, path, rule, CASE {_VERDICTS} WHEN patterns <> '' THEN 'block' ELSE 'allow' END AS verdict, patterns FROM r"""
 
+OP11_SQL = """
+WITH p AS (SELECT page_id, strlen(COALESCE(html, '')) AS payload_bytes, sha1(COALESCE(html, '')) AS payload_digest FROM pages),
+r AS (SELECT *, MAX(page_id) OVER (PARTITION BY payload_digest) AS first, payload_bytes >= 1000 AND page_id IS DISTINCT FROM first AS again FROM p)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN again THEN first END AS refers_to FROM r"""
+
+_TERMS = rf"regexp_extract_all(translate(COALESCE(text, ''), '{_UPPER}', '{_LOWER}'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+OP12_SQL = rf"""
+WITH d AS (SELECT doc_id, {_TERMS} AS l FROM documents),
+c AS (SELECT COUNT(*) AS docs, CAST(SUM(len(l)) AS BIGINT) AS terms FROM d WHERE len(l) > 0),
+i AS (SELECT DISTINCT item_id, unnest({_TERMS}) AS t FROM benchmark),
+tf AS (SELECT doc_id, t, n, COUNT(*) AS tf FROM (SELECT doc_id, unnest(l) AS t, len(l) AS n FROM d) GROUP BY ALL),
+df AS (SELECT t, COUNT(*) AS df FROM tf GROUP BY t),
+w AS (SELECT doc_id, tf.t, CAST(floor(1000 * ln((2 * docs + 2) / (2 * df + 1))) AS BIGINT)
+             * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * n * docs) // terms))) AS part
+      FROM tf JOIN df USING (t), c WHERE tf.t IN (SELECT t FROM i)),
+s AS (SELECT item_id, doc_id, CAST(SUM(part) AS BIGINT) AS score FROM i JOIN w USING (t) GROUP BY ALL HAVING SUM(part) > 0)
+SELECT item_id, CAST(ROW_NUMBER() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+FROM s QUALIFY rank <= 50"""
+
 #: name: (query, reference SQL or None)
 QUERIES = {
     "op1_near_dedup": (op1_near_dedup, OP1_SQL),
@@ -122,4 +155,7 @@ QUERIES = {
     "op8_mixing": (op8_mixing, None),
     "op9_toxicity": (op9_toxicity, None),
     "op10_quality_rules": (op10_quality_rules, None),
+    "op11_warc_bundles": (op11_warc_bundles, OP11_SQL),
+    "op12_lexical_search": (op12_lexical_search, OP12_SQL),
+    "op13_periodic_runs": (op13_periodic_runs, None),
 }
