@@ -16,7 +16,7 @@ from catalog.oracle import oracle
 from catalog.rounding import near
 from marketlens.functions.fixed_values import CANDIDATE_DEFAULTS, FEATURE_LABELS, MODEL_FEATURES
 from marketlens.operators import attribution, ml
-from marketlens.sizing import cut_lineage, spread
+from marketlens.sizing import cut_lineage
 
 QUERIES = {}
 L = roles.listings
@@ -152,17 +152,39 @@ def ridge_scored(s, d):
 
 
 QUERIES["score_batch"] = (ridge_scored, None)
-QUERIES["feature_importance"] = (lambda s, d: ml.feature_importance(ml.fit(ready(s, d), full_forest())), None)
+
+
+def fitted_forest(data):
+    """The forest of full size over stored rows."""
+    return ml.fit(ml.dealt_out(data, full_forest()), full_forest())
+
+
+QUERIES["feature_importance"] = (lambda s, d: ml.feature_importance(fitted_forest(cut_lineage(ready(s, d)))), None)
 
 
 def attributed(s, d):
-    data = cut_lineage(spread(ready(s, d), "id"))
-    return attribution.attribution_batch(ml.fit(data, full_forest()), data, data)
+    data = cut_lineage(ready(s, d))
+    return attribution.attribution_batch(fitted_forest(data), data, data)
 
 
 QUERIES["attribution_batch"] = (attributed, None)
 QUERIES["attribution_importance"] = (lambda s, d: attribution.global_importance(attributed(s, d)), None)
 
+
+def attribution_gaps(s, d):
+    """Rows whose contributions and base do not add up to the model's prediction."""
+    data = cut_lineage(ready(s, d))
+    model = ml.fit(ml.dealt_out(data, ml.random_forest(20, 8)), ml.random_forest(20, 8))
+    sums = attribution.attribution_batch(model, data, data).groupBy("id").agg(
+        F.count(F.lit(1)).alias("n"), (F.sum("contribution") + F.first("base")).alias("total"))
+    rows = model.transform(data).select("id", "prediction").join(sums, "id", "left")
+    return rows.agg(F.count(F.lit(1)).alias("rows"), F.sum("n").alias("contributions"),
+                    F.count_if(~F.coalesce(F.abs(F.col("prediction") - F.col("total")) < 1e-9, F.lit(False))).alias("gaps"))
+
+
+QUERIES["attribution_adds_up"] = (
+    attribution_gaps, o(f"SELECT COUNT(*) AS rows, {len(MODEL_FEATURES)} * COUNT(*) AS contributions, 0 AS gaps FROM ready"))
+
 # Reports over contributions by formula
 
 DRIVERS = {"accommodates": 8, "bedrooms": 2, "beds": 3, "minimum_nights": 15, "number_of_reviews": 60, "review_scores_rating": 4}

@@ -15,14 +15,44 @@ from marketlens.functions.scalar import round_half_even
 from marketlens.operators.filters import sample_rows
 from marketlens.operators.ml import model_feature_list
 from marketlens.operators.quantiles import grouped
+from marketlens.operators.trees import explain_rows, has_exact_contributions
 from marketlens.sizing import join_small, spread
 
 
-def attribution_batch(
+def _references(background: DataFrame, key: str, names: Sequence[str], references: int, seed: int) -> list[list[float]]:
+    """At most `references` rows of the background, drawn reproducibly."""
+    drawn = [[float(r[n]) for n in names] for r in sample_rows(background, key, references, seed).collect()]
+    if not drawn:
+        raise ValueError("the background has no rows to take references from")
+    return drawn
+
+
+def attribution_batch(model: PipelineModel, df: DataFrame, background: DataFrame, key: str = "id", references: int = 100,
+                      seed: int = 42) -> DataFrame:
+    """Shapley contributions of every feature to the model output of every row, against `references` background rows.
+
+    Exact for forests, boosted and single regression trees (`trees`) and for linear models: the mean over all orders of
+    features and over all reference rows, so `std_error` is 0. Other models are walked (`attribution_walks`). A row's
+    contributions add up to its prediction minus `base`, the mean prediction of the reference rows.
+
+    Model and references are broadcast, a row is explained where it lies; a hash of the key spreads the rows first.
+    """
+    fitted, names = model.stages[-1], model_feature_list(model)
+    if not has_exact_contributions(fitted):
+        return attribution_walks(model, df, background, key, references, seed=seed)
+    drawn = _references(background, key, names, references, seed)
+    rows = df.select(F.col(key), F.array(*[F.col(f"`{n}`").cast("double") for n in names]).alias("_x"))
+    explained, base = explain_rows(fitted, spread(rows, key), key, names, drawn)
+    labels = F.array(*[F.lit(n) for n in names])
+    each = F.explode(F.arrays_zip(labels.alias("feature"), F.col("_x").alias("feature_value"), F.col("_c").alias("contribution")))
+    return explained.select(key, each.alias("_f")).select(key, "_f.*", F.lit(base).alias("base"), F.lit(0.0).alias("std_error"))
+
+
+def attribution_walks(
     model: PipelineModel, df: DataFrame, background: DataFrame, key: str = "id", references: int = 100, orders: int = 32,
     seed: int = 42, permutations: int | None = None,
 ) -> DataFrame:
-    """Shapley contributions of every feature to the model output of every row, with their standard errors.
+    """Estimated Shapley contributions for any model, with their standard errors.
 
     Monte Carlo over walks: a reference row turns into the explained row one feature at a time, and a
     feature's contribution is the change at its turn. There are as many walks as the larger of `references`
@@ -37,10 +67,7 @@ def attribution_batch(
     references, orders = (references, orders) if permutations is None else (permutations, permutations)
     names = model_feature_list(model)
     size = len(names)
-    # At most `references` rows.
-    drawn = [[float(r[n]) for n in names] for r in sample_rows(background, key, references, seed).collect()]
-    if not drawn:
-        raise ValueError("the background has no rows to take references from")
+    drawn = _references(background, key, names, references, seed)
     draw = random.Random(seed)
     turns: list[list[int]] = []
     while len(turns) < orders:

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
@@ -15,9 +17,11 @@ from marketlens.functions import fixed_values as fixed
 from marketlens.functions.scalar import flag_to_int, flag_to_tf, number, right_closed_bin, round_half_even
 from marketlens.operators.cleaning import has
 from marketlens.operators.quantiles import grouped, scalar_quantiles
-from marketlens.sizing import cut_lineage, spread
+from marketlens.sizing import cut_lineage, scanned_bytes
 
 TARGET = "log_price"
+#: Rows of a task in a fit over fewer rows than the cluster's tasks can hold.
+ROWS_PER_TASK, FOREST_ROWS_PER_TASK = 16_384, 1024
 
 
 # Preparation
@@ -139,7 +143,12 @@ def feature_names(df: DataFrame) -> list[str]:
 
 
 def pipeline(df: DataFrame, estimator: Estimator) -> Pipeline:
-    """Assembler and estimator; the fitted pipeline carries the ordered feature list with it."""
+    """Assembler and estimator; the fitted pipeline carries the ordered feature list with it.
+
+    A frame that has its features already (`assembled`) needs the estimator alone.
+    """
+    if "features" in df.columns:
+        return Pipeline(stages=[estimator])
     return Pipeline(stages=[VectorAssembler(inputCols=feature_names(df), outputCol="features"), estimator])
 
 
@@ -199,26 +208,51 @@ def regression_metrics(df: DataFrame, by: Sequence[str] = (), actual: str = "pri
     )
 
 
+def assembled(df: DataFrame) -> DataFrame:
+    """The features put together once and stored, for fits that read the same rows many times."""
+    return cut_lineage(VectorAssembler(inputCols=feature_names(df), outputCol="features").transform(df))
+
+
+def dealt_out(stored: DataFrame, estimator: Estimator, key: str = "id", fits: int = 1) -> DataFrame:
+    """Stored training rows, dealt out by key over as many tasks as the fit keeps busy beside `fits` - 1 others.
+
+    A fit runs a short job for every level of every tree. Boosting grows one tree at a time, so few rows stay in few tasks; a
+    forest grows all trees at once and spreads earlier. Rows that fill the cluster's tasks as stored are left as they lie.
+    """
+    cores = stored.sparkSession.sparkContext.defaultParallelism
+    if scanned_bytes(stored) >= cores * 64 * 1024 * 1024:
+        return stored
+    per_task = FOREST_ROWS_PER_TASK if isinstance(estimator, RandomForestRegressor) else ROWS_PER_TASK
+    return stored.repartition(max(1, min(-(-cores // fits), -(-stored.count() // per_task))), key)
+
+
 def cross_validate(df: DataFrame, make: Callable[[int, float], Estimator], name: str, key: str = "id", folds: int = 5,
-                   seed: int = 42) -> DataFrame:
+                   seed: int = 42, parallelism: int = 5) -> DataFrame:
     """Mean and population deviation of the fold errors in price units, one row.
 
-    `make(rows, label_sd)` gives a fresh estimator for a training set of that size and label deviation. The predictions of all folds
-    stay distributed and are scored together.
+    `make(rows, label_sd)` gives a fresh estimator for a training set of that size and label deviation. Folds are fitted
+    side by side, `parallelism` at a time, over one assembled and stored frame, so that the many small jobs of one fit
+    fill the gaps of the others. The predictions of all folds stay distributed and are scored together.
     """
-    data = cut_lineage(spread(df.withColumn("_fold", fold_of(key, folds, seed)), key))
+    data = assembled(df.withColumn("_fold", fold_of(key, folds, seed)))
     label = F.col(TARGET)
     moments = {r["_fold"]: r for r in data.groupBy("_fold").agg(
         F.count(F.lit(1)).alias("n"), F.avg(label).alias("mean"), F.var_pop(label).alias("var")).collect()}
-    parts = []
+    estimators = {}
     for f in sorted(moments):
         rest = [m for g, m in moments.items() if g != f]
         rows = sum(m["n"] for m in rest)
         mean = sum(m["n"] * m["mean"] for m in rest) / max(rows, 1)
         sd = (sum(m["n"] * (m["var"] + (m["mean"] - mean) ** 2) for m in rest) / max(rows, 1)) ** 0.5
-        model = fit(data.where(F.col("_fold") != f), make(rows, sd))
-        parts.append(model.transform(data.where(F.col("_fold") == f)).select(
-            "_fold", F.expm1(TARGET).alias("price"), F.expm1("prediction").alias("predicted")))
+        estimators[f] = make(rows, sd)
+
+    def predictions(f: int) -> DataFrame:
+        model = fit(dealt_out(data.where(F.col("_fold") != f), estimators[f], key, min(parallelism, len(estimators))), estimators[f])
+        return model.transform(data.where(F.col("_fold") == f)).select(
+            "_fold", F.expm1(TARGET).alias("price"), F.expm1("prediction").alias("predicted"))
+
+    with ThreadPoolExecutor(max(1, parallelism)) as pool:
+        parts = list(pool.map(inheritable_thread_target(df.sparkSession)(predictions), estimators))
     per_fold = regression_metrics(reduce(DataFrame.unionByName, parts), ["_fold"])
     return per_fold.agg(
         F.lit(name).alias("model"),
@@ -232,9 +266,8 @@ def best_model(comparison: DataFrame, metric: str = "mae_mean") -> DataFrame:
 
 def holdout_metrics(df: DataFrame, estimator: Estimator, key: str = "id") -> DataFrame:
     """Training and test errors of one holdout fit."""
-    data = cut_lineage(spread(df, key))
-    train, test = train_test_split(data, key)
-    model = fit(train, estimator)
+    train, test = train_test_split(assembled(df), key)
+    model = fit(dealt_out(train, estimator, key), estimator)
     scored = [score_batch(model, part).withColumn("part", F.lit(name)) for name, part in (("train", train), ("test", test))]
     return regression_metrics(scored[0].unionByName(scored[1]), ["part"])
 

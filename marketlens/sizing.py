@@ -6,6 +6,7 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -62,6 +63,16 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def let_workers_import(spark: SparkSession) -> None:
+    """Python workers of this session find the package beside this one's parent folder, where they have none of their own.
+
+    Call it before a function that refers to the package becomes part of a plan.
+    """
+    root, known = str(Path(__file__).resolve().parents[1]), spark.sparkContext.environment
+    if root not in known.get("PYTHONPATH", "").split(":"):
+        known["PYTHONPATH"] = ":".join(filter(None, [known.get("PYTHONPATH"), root]))
+
+
 def spread(df: DataFrame, key: str) -> DataFrame:
     """Hash the rows over all shuffle partitions, ahead of work that is heavy per row.
 

@@ -232,7 +232,7 @@ def model_data(spark):
 def test_attribution_adds_up(spark, model_data):
     model = ml.fit(model_data, ml.random_forest(trees=5, depth=4))
     some = model_data.limit(20)
-    out = attribution.attribution_batch(model, some, model_data, permutations=4)
+    out = attribution.attribution_batch(model, some, model_data, references=4)
     assert out.count() == 20 * len(fixed.MODEL_FEATURES)
     reference = filters.sample_rows(model_data, "id", 4)
     base = model.transform(reference).agg(F.avg("prediction")).first()[0]
@@ -246,7 +246,7 @@ def test_attribution_adds_up(spark, model_data):
 
 
 def test_attribution_of_a_linear_model(spark, model_data):
-    """By default 100 references; contributions and standard errors against their closed forms."""
+    """Walks: by default 100 references; contributions and standard errors against their closed forms."""
     model = ml.fit(model_data, ml.ridge(model_data.count()))
     some = model_data.limit(3)
     names = ml.model_feature_list(model)
@@ -254,7 +254,7 @@ def test_attribution_of_a_linear_model(spark, model_data):
     reference = filters.sample_rows(model_data, "id", 100).collect()
     assert len(reference) == 100
     rows = {r.id: r for r in some.collect()}
-    out = attribution.attribution_batch(model, some, model_data).collect()
+    out = attribution.attribution_walks(model, some, model_data).collect()
     assert len(out) == 3 * len(names)
     for r in out:
         each = [slopes[r.feature] * (rows[r.id][r.feature] - x[r.feature]) for x in reference]
@@ -285,7 +285,7 @@ def test_attribution_of_a_linear_model_is_exact(spark, model_data):
     data = model_data.withColumn("log_price", 3 + 0.2 * F.col("accommodates") - 0.1 * F.col("beds"))
     model = ml.fit(data, ml.ridge(1, alpha=0.0))
     reference = filters.sample_rows(data, "id", 2).agg(F.avg("accommodates")).first()[0]
-    out = attribution.attribution_batch(model, data, data, permutations=2).where("feature = 'accommodates'")
+    out = attribution.attribution_batch(model, data, data, references=2).where("feature = 'accommodates'")
     for r in out.collect():
         assert r.contribution == pytest.approx(0.2 * (r.feature_value - reference), abs=1e-6)
 
