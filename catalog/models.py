@@ -6,6 +6,7 @@ engines can derive from the tables.
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -15,8 +16,9 @@ from catalog import roles
 from catalog.oracle import oracle
 from catalog.rounding import near
 from marketlens.functions.fixed_values import CANDIDATE_DEFAULTS, FEATURE_LABELS, MODEL_FEATURES
-from marketlens.operators import attribution, ml
-from marketlens.sizing import cut_lineage
+from marketlens.operators import attribution, feature_pipeline as fp, ml
+from marketlens.plans import model_run
+from marketlens.sizing import cut_lineage, shared_folder
 
 QUERIES = {}
 L = roles.listings
@@ -64,10 +66,15 @@ def scored(s, d):
 
 QUERIES["prepared_model_table"] = (prepared, o("SELECT * FROM prepared"))
 QUERIES["model_ready"] = near(ready, o("SELECT * FROM ready"), "log_price", "guests_per_bedroom")
-QUERIES["one_hot_property_type"] = (
+QUERIES["one_hot_room_type"] = (
     lambda s, d: ml.one_hot(L(s, d).select("id", "room_type"), "room_type", "room"),
     oracle("""SELECT id, room_type, CAST(room_type = 'Hotel room' AS INT) AS "room_Hotel room", CAST(room_type = 'Other' AS INT) AS "room_Other",
         CAST(room_type = 'Private room' AS INT) AS "room_Private room", CAST(room_type = 'Shared room' AS INT) AS "room_Shared room" FROM listings"""))
+# The property types that the role of listings has: five priorities times twenty.
+PROPERTIES = sorted(f"{p}/{k}" for p in ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW") for k in range(20))
+QUERIES["one_hot_property_type"] = (
+    lambda s, d: ml.one_hot(L(s, d).select("id", "property_type"), "property_type", "property", PROPERTIES),
+    oracle("SELECT id, property_type, " + ", ".join(f"""CAST(property_type = '{p}' AS INT) AS "property_{p}\"""" for p in PROPERTIES[1:]) + " FROM listings"))
 QUERIES["fill_mode"] = (
     lambda s, d: ml.fill_mode(L(s, d).select("id", "beds"), "beds"),
     oracle("""SELECT id, COALESCE(beds, (SELECT beds FROM listings WHERE beds IS NOT NULL GROUP BY beds
@@ -116,6 +123,35 @@ QUERIES["residual_summary"] = near(
     o("""SELECT COUNT(*) AS n, AVG(residual) AS mean_residual, STDDEV_POP(residual) AS std_residual,
         COUNT(*) FILTER (WHERE price <= 300) AS rows_within_price_cap,
         COUNT(*) FILTER (WHERE abs(residual) <= 20) AS rows_within_residual_cap FROM scored"""), "mean_residual", "std_residual")
+QUERIES["category_dummies"] = (
+    lambda s, d: fp.feature_values(features := fp.fit_features(L(s, d)), L(s, d), fp.feature_labels(features)).where(
+        "feature RLIKE '^(room|property|neighbourhood)_'"),
+    oracle(" UNION ALL ".join(
+        f"SELECT id, '{prefix}_' || {c} AS feature, CAST(1 AS DOUBLE) AS value FROM listings WHERE {c} > (SELECT MIN({c}) FROM listings)"
+        for c, prefix in fp.CATEGORIES.items())))
+QUERIES["pipeline_numbers"] = near(
+    lambda s, d: fp.feature_values(fp.fit_features(L(s, d), ()), L(s, d), [*fp.NUMBERS, *fp.DERIVED], nonzero=False)
+    .groupBy("id").pivot("feature", [*fp.NUMBERS, *fp.DERIVED]).agg(F.max("value")),
+    oracle("SELECT id, " + ", ".join(fp.NUMBERS) + f""", {RATIOS}, CAST(host_is_superhost AS DOUBLE) AS is_superhost,
+        CAST(number_of_reviews > 0 AS DOUBLE) AS has_reviews, CAST(number_of_reviews >= 20 AS DOUBLE) AS is_popular
+        FROM (SELECT * REPLACE (""" + ", ".join(f"COALESCE({c}, MEDIAN({c}) OVER ()) AS {c}" for c in fp.NUMBERS) + ") FROM listings)"),
+    "guests_per_bedroom")
+
+
+def reloaded_scores(s, d):
+    """Raw candidates scored by a model and by its stored copy, beside the prices they are scored without."""
+    raw = cut_lineage(L(s, d))
+    model = fp.fit_price_model(raw, ml.ridge(raw.where("price > 0").count()))
+    path = f"{shared_folder(s)}/price-model-{uuid.uuid4().hex}"
+    ml.save_model(model, path)
+    inputs = raw.select("id", *fp.NUMBERS, "host_is_superhost", *fp.CATEGORIES)
+    here, there = (fp.score_raw(m, inputs).select("id", "predicted") for m in (model, ml.load_model(path)))
+    both = here.join(there.withColumnRenamed("predicted", "reloaded"), "id", "full")
+    return both.agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col("predicted") > 0).alias("priced"),
+                    F.count_if(~F.col("predicted").eqNullSafe(F.col("reloaded"))).alias("differences"))
+
+
+QUERIES["pipeline_model_reloaded"] = (reloaded_scores, "SELECT COUNT(*) AS rows, COUNT(*) AS priced, 0 AS differences FROM orders")
 QUERIES["attach_attributes"] = near(
     lambda s, d: ml.attach_attributes(scored(s, d).select("id", "predicted"), L(s, d).select("id", "room_type")),
     o("SELECT id, predicted, room_type FROM scored"), "predicted")
@@ -191,15 +227,16 @@ DRIVERS = {"accommodates": 8, "bedrooms": 2, "beds": 3, "minimum_nights": 15, "n
 
 
 def contributions(s, d):
-    known = L(s, d).select("id", *DRIVERS).dropna()
+    """Every listing, its missing inputs filled as for scoring."""
+    known = ml.scoring_features(L(s, d)).select("id", *DRIVERS)
     long = known.unpivot("id", list(DRIVERS), "feature", "feature_value")
     middle = F.create_map(*[F.lit(x) for kv in DRIVERS.items() for x in kv])[F.col("feature")]
     return long.withColumn("contribution", (F.col("feature_value") - middle) / 100.0)
 
 
 CONTRIB = {"contributions": " UNION ALL ".join(
-    f"SELECT id, '{c}' AS feature, {c} AS feature_value, ({c} - {m}) / CAST(100 AS DOUBLE) AS contribution FROM listings WHERE "
-    + " AND ".join(f"{x} IS NOT NULL" for x in DRIVERS) for c, m in DRIVERS.items()),
+    f"SELECT id, '{c}' AS feature, CAST(COALESCE({c}, {CANDIDATE_DEFAULTS[c]}) AS DOUBLE) AS feature_value, "
+    f"(COALESCE({c}, {CANDIDATE_DEFAULTS[c]}) - {m}) / CAST(100 AS DOUBLE) AS contribution FROM listings" for c, m in DRIVERS.items()),
     "placed": """SELECT *, CASE WHEN contribution > 0.02 THEN 'up' WHEN contribution < -0.02 THEN 'down' END AS direction,
         ROW_NUMBER() OVER (PARTITION BY id, contribution > 0.02, contribution < -0.02 ORDER BY abs(contribution) DESC, feature) AS place FROM contributions"""}
 
@@ -266,4 +303,28 @@ QUERIES["valuation"] = near(
         CASE WHEN (predicted_price - area_median) / area_median * 100 > 15 THEN 'Premium Pricing'
              WHEN (predicted_price - area_median) / area_median * 100 < -15 THEN 'Underpriced Opportunity' ELSE 'Highly Competitive' END AS recommendation
         FROM guesses""", VALUED), "area_median", "price_difference", "difference_pct")
+
+
+def candidate_bundles(s, d):
+    """Every listing as a candidate: price by ridge, contributions by a small forest; sums and bounds that must hold."""
+    data = cut_lineage(ready(s, d))
+    forest = ml.random_forest(20, 6)
+    models = ml.fit(data, ml.ridge_for(data)), ml.fit(ml.dealt_out(data, forest), forest)
+    inputs = L(s, d).drop("price").withColumn("is_superhost", F.col("host_is_superhost"))
+    out = model_run.value_candidates(inputs, *models, data, L(s, d))
+    scored = models[1].transform(ml.scoring_features(inputs)).select("id", "prediction")
+    total = F.log1p("base_price") + F.aggregate("contributions", F.lit(0.0), lambda a, c: a + c["contribution"])
+    falling = F.forall(F.sequence(F.lit(1), F.size("contributions") - 1), lambda i: F.abs(F.get("contributions", i - 1)["contribution"])
+                       >= F.abs(F.get("contributions", i)["contribution"]))
+    checked = out.join(scored, "id").select("id", "neighbourhood_cleansed", "area_median", F.size("contributions").alias("n"), F.length("explanation").alias("e"),
+                                            (F.abs(total - F.col("prediction")) < 1e-9).alias("adds_up"), falling.alias("sorted"),
+                                            (F.col("predicted_price") >= 10).alias("floored"))
+    return checked.groupBy("neighbourhood_cleansed").agg(
+        F.count(F.lit(1)).alias("candidates"), F.max("area_median").alias("area_median"), F.sum("n").alias("contributions"),
+        F.count_if(F.col("adds_up") & F.col("sorted") & F.col("floored") & (F.col("e") > 0)).alias("sound"))
+
+
+QUERIES["value_candidates"] = near(
+    candidate_bundles, oracle(f"""SELECT neighbourhood_cleansed, COUNT(*) AS candidates, COALESCE(MEDIAN(price), (SELECT MEDIAN(price) FROM listings)) AS area_median,
+        {len(MODEL_FEATURES)} * COUNT(*) AS contributions, COUNT(*) AS sound FROM listings GROUP BY neighbourhood_cleansed"""), "area_median")
 QUERIES["valuation_report"] = (lambda s, d: attribution.valuation_report(valued(s, d), ["accommodates", "bedrooms"]), None)

@@ -132,6 +132,26 @@ QUERIES["trendline"] = near(
     oracle("""SELECT regr_count(price, accommodates) AS n, regr_slope(price, accommodates) AS slope,
         regr_intercept(price, accommodates) AS intercept, regr_r2(price, accommodates) AS r2 FROM listings
         WHERE price <= (SELECT quantile_cont(price, 0.95) FROM listings)"""), "slope", "intercept", "r2")
+
+
+def lowess_sql(x: str, kept: str, rounds: int = 3, points: int = 20, frac: float = 0.3) -> str:
+    """Robust smoothing round by round: lines at the grid, residuals along it, bisquare weights."""
+    probs = ", ".join(f"CAST({i} AS DOUBLE) / {points - 1}" for i in range(points))
+    parts = {"k0": f"SELECT {x} AS x, price AS y, CAST(1 AS DOUBLE) AS rw FROM listings WHERE {kept} AND {x} IS NOT NULL",
+             "grid": f"SELECT DISTINCT unnest(quantile_cont(x, [{probs}])) AS g FROM k0",
+             "widths": f"SELECT g, quantile_cont(abs(x - g), {frac}) AS h FROM k0, grid GROUP BY g"}
+    for i in range(rounds + 1):
+        parts[f"w{i}"] = f"""SELECT g, h, x - g AS d, y, rw * CASE WHEN h > 0 THEN CASE WHEN abs(x - g) / h < 1 THEN pow(1 - pow(abs(x - g) / h, 3), 3)
+            ELSE 0 END ELSE CAST(x = g AS DOUBLE) END AS w FROM k{i}, widths"""
+        parts[f"s{i}"] = f"""SELECT g, h, SUM(w) AS w, SUM(w * d) AS wd, SUM(w * d * d) AS wdd, SUM(w * y) AS wy, SUM(w * d * y) AS wdy FROM w{i} GROUP BY g, h"""
+        parts[f"c{i}"] = f"""SELECT g, h, CASE WHEN w * wdd - wd * wd > 1e-9 * w * w THEN (wdd * wy - wd * wdy) / (w * wdd - wd * wd) ELSE wy / w END AS v FROM s{i}"""
+        parts[f"e{i}"] = f"SELECT g AS a, v AS va, lead(g) OVER (ORDER BY g) AS b, lead(v) OVER (ORDER BY g) AS vb, row_number() OVER (ORDER BY g) AS i FROM c{i}"
+        parts[f"r{i}"] = f"SELECT x, y, abs(y - (va + (x - a) * (vb - va) / (b - a))) AS r FROM k{i} JOIN e{i} ON b IS NOT NULL AND x <= b AND (x > a OR i = 1)"
+        parts[f"k{i + 1}"] = f"SELECT x, y, CASE WHEN r / (6 * m) < 1 THEN pow(1 - pow(r / (6 * m), 2), 2) ELSE 0 END AS rw FROM r{i}, (SELECT MEDIAN(r) AS m FROM r{i})"
+    return oracle(f"SELECT g AS x, v AS smoothed, h AS bandwidth FROM c{rounds}", parts)
+
+
 for _x, _limit in (("accommodates", ""), ("number_of_reviews", " AND number_of_reviews <= 200"), ("review_scores_rating", "")):
-    QUERIES[f"lowess_{_x}"] = (
-        lambda s, d, x=_x, w=_limit: stats.lowess_grid(L(s, d).where("_is_valid AND price <= 800" + w), "price", x), None)
+    _kept = "_is_valid AND price <= 800" + _limit
+    QUERIES[f"lowess_{_x}"] = near(lambda s, d, x=_x, w=_kept: stats.lowess_grid(L(s, d).where(w), "price", x),
+                                   lowess_sql(_x, _kept), "x", "smoothed", "bandwidth", digits=6)

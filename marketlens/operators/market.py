@@ -7,8 +7,10 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from marketlens.operators.moments import pair_correlations
 from marketlens.operators.profile import value_counts
 from marketlens.operators.quantiles import grouped, median, scalar_quantile
+from marketlens.sizing import join_small
 
 REVENUE = "estimated_annual_revenue_computed"
 AREA = "neighbourhood_cleansed"
@@ -169,7 +171,7 @@ def box_stats(df: DataFrame, by: str, value: str = "price", slices: int | None =
     quartiles = grouped(known, [by], [F.count("_v").alias("n")],
                         {"q1": ("_v", 0.25), "median": ("_v", 0.5), "q3": ("_v", 0.75)}, slices)
     reach = 1.5 * (F.col("q3") - F.col("q1"))
-    whiskers = known.join(quartiles, by).groupBy(by).agg(
+    whiskers = join_small(known, quartiles, by, "inner").groupBy(by).agg(
         F.min(F.when(F.col("_v") >= F.col("q1") - reach, F.col("_v"))).alias("whisker_low"),
         F.max(F.when(F.col("_v") <= F.col("q3") + reach, F.col("_v"))).alias("whisker_high"),
     )
@@ -202,18 +204,5 @@ def histogram(df: DataFrame, value: str, bins: int, upto_quantile: float | None
 
 
 def corr_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Pearson correlation of every pair of columns over the rows that have both, in one pass.
-
-    Each row yields its pairs in place and they collapse to one partial result per task and pair
-    before the shuffle. (One aggregate per pair would be too large for generated code.)
-    """
-    names = [c for c in columns if c in df.columns]
-    numbers = df.select([F.col(c).cast("double").alias(c) for c in names])
-    pairs = [F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), F.col(names[i]).alias("x"), F.col(names[j]).alias("y"))
-             for i in range(len(names)) for j in range(i, len(names))]
-    found = numbers.select(F.inline(F.array(*pairs))).groupBy("i", "j").agg(F.corr("x", "y").alias("corr"))
-    labels = F.array(*[F.lit(n) for n in names])
-    both = F.when(F.col("i") == F.col("j"), F.array(F.struct("i", "j"))).otherwise(
-        F.array(F.struct("i", "j"), F.struct(F.col("j").alias("i"), F.col("i").alias("j"))))
-    return found.select(F.explode(both).alias("p"), "corr").select(
-        F.element_at(labels, F.col("p.i") + 1).alias("column_a"), F.element_at(labels, F.col("p.j") + 1).alias("column_b"), "corr")
+    """Pearson correlation of every pair of columns over the rows that have both, in one pass (`pair_correlations`)."""
+    return pair_correlations(df, [c for c in columns if c in df.columns])

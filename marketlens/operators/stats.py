@@ -14,9 +14,11 @@ from pyspark.sql import functions as F
 
 from marketlens.functions.scalar import effect_label
 from marketlens.functions.tails import chi2_upper_tail, normal_upper_tail, t_quantile_975
+from marketlens.operators.moments import pair_correlations
 from marketlens.operators.quantiles import grouped, scalar_quantile
+from marketlens.operators.ranges import range_parts, range_ranks
 from marketlens.operators.slices import cut_points, shifted_totals, slice_count, with_slice
-from marketlens.sizing import broadcast_if_small, cut_lineage
+from marketlens.sizing import broadcast_if_small, cut_lineage, join_small
 
 COHEN_BOUNDS = (0.2, 0.5, 0.8)
 ETA_BOUNDS = (0.01, 0.06, 0.14)
@@ -56,18 +58,20 @@ def group_comparison(groups: DataFrame, slices: int | None = None) -> DataFrame:
 def mann_whitney_u(groups: DataFrame, slices: int | None = None) -> DataFrame:
     """U of the first group, tie term, and the one-sided p (first group larger), on all rows.
 
-    Ranks need a global order. Values are counted first, then cut into slices: ranks inside a slice
-    come from a running count there, and the rows of the lower slices are added per slice.
+    Ranks need a global order. Values are counted first; beyond one task their counts are ranked by range partition.
     """
     counts = groups.groupBy("v").agg(F.count(F.lit(1)).alias("n"), F.count_if("in_first").alias("n1"))
-    sliced = with_slice(counts, "v", cut_points(groups, "v", slices or slice_count(groups)))
-    before = F.sum("n").over(Window.partitionBy("_slice").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)) - F.col("n")
-    n = F.col("n").cast("double")
-    inner = sliced.withColumn("_r", F.col("n1") * (before + (n + 1) / 2)).withColumn("_t", n * n * n - n)
-    per_slice = shifted_totals(inner, [], {"r": "_r", "t": "_t", "n": "n", "n1": "n1"})
-    totals = per_slice.agg(
-        F.sum(F.col("r_in") + F.col("n1_in") * F.col("n_below")).alias("rank_sum"), F.sum("t_in").alias("tie_term"),
-        F.sum("n_in").cast("double").alias("n"), F.sum("n1_in").cast("double").alias("n1"),
+    slices = slices or slice_count(groups)
+    if slices <= 1:
+        upto = F.sum("n").over(Window.orderBy("v").rowsBetween(Window.unboundedPreceding, 0))
+        ranked = counts.select("n", "n1", (upto - F.col("n") + (F.col("n") + 1) / 2).alias("rank"), F.col("n").alias("ties"))
+    else:
+        counts = cut_lineage(counts)
+        ranked = range_ranks(counts, "v", weight="n", parts=max(slices, range_parts(counts)))
+    n, ties = F.col("n").cast("double"), F.col("ties").cast("double")
+    totals = ranked.agg(
+        F.sum(F.col("n1") * F.col("rank")).alias("rank_sum"), F.sum(n * (ties * ties - 1)).alias("tie_term"),
+        F.sum("n").cast("double").alias("n"), F.sum("n1").cast("double").alias("n1"),
     )
     n1, total = F.col("n1"), F.col("n")
     n2 = total - n1
@@ -84,24 +88,25 @@ def kruskal_wallis(df: DataFrame, by: str, value: str, min_rows: int = 10, slice
     known = df.select(F.col(by).alias("g"), F.col(value).cast("double").alias("v")).where(
         F.col("g").isNotNull() & F.col("v").isNotNull())
     slices = slices or slice_count(known)
-    # Read four times below: count once and keep the counts.
+    # Read three times below: count once and keep the counts.
     counts = cut_lineage(known.groupBy("g", "v").agg(F.count(F.lit(1)).alias("n")))
     large = counts.groupBy("g").agg(F.sum("n").alias("_rows")).where(F.col("_rows") >= min_rows).select("g")
-    counts = counts.join(large, "g", "left_semi")
-    values = counts.groupBy("v").agg(F.sum("n").alias("n"))
-    sliced = with_slice(values, "v", cut_points(known, "v", slices))
-    inside = Window.partitionBy("_slice").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    below = shifted_totals(sliced, [], {"n": "n"}).select("_slice", "n_below")
-    # One row per slice, a fixed number: safe to broadcast.
-    ranks = sliced.withColumn("_upto", F.sum("n").over(inside)).join(F.broadcast(below), "_slice").select(
-        "v", (F.col("n_below") + F.col("_upto") - F.col("n") + (F.col("n") + 1) / 2).alias("rank"))
-    n = F.col("n").cast("double")
-    ties = values.agg(F.struct(F.sum(n * n * n - n).alias("t"), F.sum(n).alias("n"))).scalar()
-    per_group = counts.join(ranks, "v").groupBy("g").agg(F.sum("n").cast("double").alias("n"), F.sum(n * F.col("rank")).alias("r"))
+    counts = join_small(counts, large, "g", "left_semi")
+    if slices <= 1:
+        upto = F.sum("n").over(Window.orderBy("v").rowsBetween(Window.unboundedPreceding, 0))
+        values = counts.groupBy("v").agg(F.sum("n").alias("n"))
+        ranks = values.select("v", (upto - F.col("n") + (F.col("n") + 1) / 2).alias("rank"), F.col("n").alias("ties"))
+        ranked = counts.join(ranks, "v")
+    else:
+        ranked = range_ranks(counts, "v", weight="n", parts=max(slices, range_parts(counts)))
+    n, ties = F.col("n").cast("double"), F.col("ties").cast("double")
+    # A value of t rows adds t (t^2 - 1) to the tie term: t^2 - 1 for each of them.
+    per_group = cut_lineage(ranked.groupBy("g").agg(
+        F.sum("n").cast("double").alias("n"), F.sum(n * F.col("rank")).alias("r"), F.sum(n * (ties * ties - 1)).alias("t")))
     totals = per_group.agg(
-        F.count(F.lit(1)).alias("groups"), F.sum("n").alias("n"), F.sum(F.col("r") * F.col("r") / F.col("n")).alias("s"))
+        F.count(F.lit(1)).alias("groups"), F.sum("n").alias("n"), F.sum(F.col("r") * F.col("r") / F.col("n")).alias("s"), F.sum("t").alias("t"))
     total, k = F.col("n"), F.col("groups")
-    tied = F.try_divide(ties["t"], total * total * total - total)
+    tied = F.try_divide(F.col("t"), total * total * total - total)
     h = F.try_divide(12 / (total * (total + 1)) * F.col("s") - 3 * (total + 1), 1 - tied)
     return (
         totals.withColumn("h", h)
@@ -183,22 +188,25 @@ def average_ranks(df: DataFrame, value: str, out: str, slices: int | None = None
 def corr_spearman(df: DataFrame, columns: Sequence[str], slices: int | None = None) -> DataFrame:
     """Rank correlation of every pair over complete rows, as (column_a, column_b, rho).
 
-    Each column's ranks are computed per distinct value and joined back on the value. Rank tables of
-    countable columns are small and broadcast after their rows are counted; a larger one is joined by
-    shuffle, where a value that holds much of the table is split at run time.
+    While the input fits one task each column's ranks are computed per distinct value and joined back on the value. Beyond
+    it all columns are ranked together: one ordered shuffle of (column, value), one to bring a row's ranks together.
     """
     names = [c for c in columns if c in df.columns]
     slices = slices or slice_count(df)
-    complete = cut_lineage(df.select([F.col(c).cast("double").alias(c) for c in names]).dropna())
-    ranked = complete
-    for i, c in enumerate(names):
-        ranks = cut_lineage(average_ranks(complete, c, f"_rank{i}", slices))
-        ranked = ranked.join(broadcast_if_small(ranks), c).drop(c)
-    pairs = [(i, j) for i in range(len(names)) for j in range(i, len(names))]
-    wide = ranked.agg(*[F.corr(f"_rank{i}", f"_rank{j}").alias(f"p{i}_{j}") for i, j in pairs])
-    cells = [F.struct(F.lit(names[a]).alias("column_a"), F.lit(names[b]).alias("column_b"), F.col(f"p{i}_{j}").alias("rho"))
-             for i, j in pairs for a, b in {(i, j), (j, i)}]
-    return wide.select(F.inline(F.array(*cells)))
+    complete = df.select([F.col(c).cast("double").alias(c) for c in names]).dropna()
+    if slices <= 1:
+        ranked = complete = cut_lineage(complete)
+        for i, c in enumerate(names):
+            ranks = cut_lineage(average_ranks(complete, c, f"_rank{i}", slices))
+            ranked = ranked.join(broadcast_if_small(ranks), c).drop(c)
+    else:
+        numbered = cut_lineage(complete.withColumn("_row", F.monotonically_increasing_id()))
+        cells = F.inline(F.array(*[F.struct(F.lit(i).alias("_i"), F.col(c).alias("_v")) for i, c in enumerate(names)]))
+        long = range_ranks(numbered.select("_row", cells), "_v", by="_i", parts=range_parts(numbered) * len(names))
+        ranked = long.groupBy("_row").agg(*[F.max(F.when(F.col("_i") == i, F.col("rank"))).alias(f"_rank{i}") for i in range(len(names))])
+    found = pair_correlations(ranked, [f"_rank{i}" for i in range(len(names))])
+    labels = F.create_map(*[x for i, c in enumerate(names) for x in (F.lit(f"_rank{i}"), F.lit(c))])
+    return found.select(labels[F.col("column_a")].alias("column_a"), labels[F.col("column_b")].alias("column_b"), F.col("corr").alias("rho"))
 
 
 def strongest_with(matrix: DataFrame, column: str = "price", k: int = 8) -> DataFrame:
@@ -263,24 +271,9 @@ def trendline(df: DataFrame, y: str, x: str, y_quantile: float | None = 0.95) ->
                     F.regr_intercept(y, x).alias("intercept"), F.regr_r2(y, x).alias("r2"))
 
 
-def lowess_grid(df: DataFrame, y: str, x: str, points: int = 20, frac: float = 0.3) -> DataFrame:
-    """Local linear smoothing with tricube weights, evaluated on a grid of x quantiles.
-
-    Weights depend on x alone, so rows are first reduced to a count and a sum per distinct x, and
-    only those meet the grid, a fixed number of literals. The bandwidth at a grid point is the exact
-    distance within which `frac` of the rows lie.
-    """
-    known = df.select(F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y")).dropna()
-    slices = slice_count(df)
-    per_x = cut_lineage(known.groupBy("x").agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("sy")))
-    probs = {f"g{i}": ("x", i / (points - 1)) for i in range(points)}
-    # At most `points` scalars.
-    grid = sorted(set(grouped(per_x, [], quantiles=probs, slices=slices, weight="n").first() or []) - {None})
-    if not grid:
-        return df.sparkSession.createDataFrame([], "x double, smoothed double, bandwidth double")
-    placed = per_x.select("x", "n", "sy", F.explode(F.array(*[F.lit(g) for g in grid])).alias("g")).withColumn(
-        "d", F.col("x") - F.col("g"))
-    widths = grouped(placed.select("g", "n", F.abs("d").alias("_a")), ["g"], quantiles={"h": ("_a", frac)}, slices=slices, weight="n")
+def _grid_lines(per_x: DataFrame, widths: DataFrame, grid: Sequence[float]) -> DataFrame:
+    """Weighted local lines at every grid point, from weights `n` and weighted sums `sy` per distinct x."""
+    placed = per_x.select("x", "n", "sy", F.explode(F.array(*[F.lit(g) for g in grid])).alias("g")).withColumn("d", F.col("x") - F.col("g"))
     # One row per grid point: a fixed number, hence safe to broadcast.
     near = placed.join(F.broadcast(widths), "g")
     share = F.try_divide(F.abs("d"), F.col("h"))
@@ -296,3 +289,48 @@ def lowess_grid(df: DataFrame, y: str, x: str, points: int = 20, frac: float = 0
     # Within a single x the line is undefined and the weighted mean is the answer.
     fit = F.when(det > 1e-9 * F.col("w") * F.col("w"), line).otherwise(F.try_divide("wy", "w"))
     return sums.select(F.col("g").alias("x"), fit.alias("smoothed"), F.col("h").alias("bandwidth"))
+
+
+def _along(x: Column, points: Sequence[tuple[float, float]]) -> Column:
+    """The line through ascending (x, y) points, as literals; flat beyond both ends."""
+    out = F.when(x <= points[0][0], F.lit(points[0][1]))
+    for (x0, y0), (x1, y1) in zip(points, points[1:]):
+        out = out.when(x <= x1, F.lit(y0) + (x - F.lit(x0)) * F.lit((y1 - y0) / (x1 - x0)))
+    return out.when(x.isNotNull(), F.lit(points[-1][1]))
+
+
+def lowess_grid(df: DataFrame, y: str, x: str, points: int = 20, frac: float = 0.3, iterations: int = 3) -> DataFrame:
+    """Robust local linear smoothing with tricube weights, evaluated on a grid of x quantiles.
+
+    Tricube weights depend on x alone, so rows are first reduced to a weight and a weighted sum per distinct x, and only
+    those meet the grid, a fixed number of literals. The bandwidth at a grid point is the exact distance within which `frac`
+    of the rows lie.
+
+    `iterations` rounds then make it robust: a row's residual is its distance from the curve through the grid, its weight
+    the bisquare of the residual over six times the exact median of all absolute residuals; where that median is 0, rows off
+    the curve weigh nothing. Each round reads the stored rows twice and hands on one number per grid point.
+    """
+    known = df.select(F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y")).dropna()
+    slices = slice_count(df)
+    known = cut_lineage(known) if iterations else known
+    per_x = cut_lineage(known.groupBy("x").agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("sy")))
+    probs = {f"g{i}": ("x", i / (points - 1)) for i in range(points)}
+    # At most `points` scalars.
+    grid = sorted(set(grouped(per_x, [], quantiles=probs, slices=slices, weight="n").first() or []) - {None})
+    if not grid:
+        return df.sparkSession.createDataFrame([], "x double, smoothed double, bandwidth double")
+    away = per_x.select("n", F.explode(F.array(*[F.struct(F.lit(g).alias("g"), F.abs(F.col("x") - g).alias("_a")) for g in grid])).alias("_p"))
+    widths = cut_lineage(grouped(away.select("_p.g", "n", "_p._a"), ["g"], quantiles={"h": ("_a", frac)}, slices=slices, weight="n"))
+    curve = _grid_lines(per_x, widths, grid)
+    for _ in range(iterations):
+        # At most `points` rows.
+        fitted = sorted((r["x"], r["smoothed"]) for r in curve.collect() if r["smoothed"] is not None)
+        residual = F.abs(F.col("y") - _along(F.col("x"), fitted))
+        middle = grouped(known.select(residual.alias("_r")), [], quantiles={"m": ("_r", 0.5)}, slices=slices).first()["m"]
+        # Below this a distance is rounding.
+        least = 1e-12 * max(abs(v) for _, v in fitted)
+        share = residual / F.lit(6 * middle) if middle > least else (residual > least).cast("double")
+        weight = F.when(share < 1, F.pow(1 - share * share, F.lit(2))).otherwise(F.lit(0.0))
+        weighted = known.select("x", weight.alias("_w"), (weight * F.col("y")).alias("_wy"))
+        curve = _grid_lines(weighted.groupBy("x").agg(F.sum("_w").alias("n"), F.sum("_wy").alias("sy")), widths, grid)
+    return curve
