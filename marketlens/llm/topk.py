@@ -181,15 +181,15 @@ def top_inner_products(vectors: DataFrame, k: int = 5, id_col: str = "vec_id", v
     """query_id, rank (from 1), vec_id, score of each query's k highest integer inner products, ties to the smaller id.
 
     `is_query` is a column over vec_id (default: divisible by 50). Null vectors, those with null or non-finite components
-    and null ids take no part; vectors of different widths end in zeros; rows that repeat an id count once, by their
-    smallest vector; a query's own id is no candidate. Scores beyond a long are clipped to its range. Empty tables give
+    and null ids take no part; vectors of different widths end in zeros; rows that repeat an id are vectors of their own,
+    queries and candidates alike, so an id may be ranked more than once; a query's own id is no candidate. Scores beyond a long are clipped to its range. Empty tables give
     no rows; further columns are ignored. Every (query block, vector block) that the floors leave is one row of the join, so
     no task holds more than one of each at a time.
     """
     is_query = F.col("vec_id") % 50 == 0 if is_query is None else is_query
     rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("vector"))
     valid = rows.mapInArrow(lambda batches: _integers(batches, scale), "vec_id long, x array<double>, norm double")
-    table = cut_lineage(valid.groupBy("vec_id").agg(F.min(F.struct("x", "norm")).alias("m")).select("vec_id", "m.x", "m.norm"))
+    table = cut_lineage(valid)
     width = table.agg(F.max(F.size("x"))).first()[0]
     if not width:
         return table.select(F.col("vec_id").alias("query_id"), F.lit(1).alias("rank"), "vec_id", F.lit(0).cast("long").alias("score")).limit(0)
