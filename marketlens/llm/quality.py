@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketlens.llm.text import SPACE, Slices, blocks, longs, mix, utf8, words, _BASE
+from marketlens.sizing import cut_lineage
 
 #: Classes of bytes: small letters, capitals, digits, sentence punctuation, symbols, bytes of non-ASCII characters.
 CLASSES = 6
@@ -24,8 +25,8 @@ _CLASS[[ord(c) for c in ".,;:'\"-?()"]] = 3
 SYMBOLS = np.zeros(256, bool)
 SYMBOLS[[ord(c) for c in "#*$%&|<>"]] = True
 COMMON_WORDS = 64
-#: Languages with the most words that get a reference; documents of any other are held to the base rules only.
-MAX_LANGUAGES = 1000
+#: Languages with the most words whose references every task holds; documents of the others get theirs by a join.
+HELD_LANGUAGES = 1000
 MIN_REFERENCE_WORDS, MIN_WORDS = 2000, 60
 MAX_CLASS_DISTANCE, MAX_WORD_DISTANCE = 0.28, 0.46
 REPEAT_WIDTH = 8
@@ -63,21 +64,22 @@ def _corpus(batches):
 
 
 def references(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", common: int = COMMON_WORDS) -> DataFrame:
-    """lang, classes (share of each class), items and shares (of the commonest words), over all documents of a language.
+    """lang, total (words), classes (counts of each class), items and shares (of the commonest words), over all documents of
+    a language that has MIN_REFERENCE_WORDS words.
 
-    Only word hashes and counts are shuffled, summed per block and task first; the ranking is cut to `common` words per
-    task before it meets. At most MAX_LANGUAGES rows of bounded width: the result may be broadcast.
+    Only word hashes and counts are shuffled, summed per block and task first, and stored; the ranking is cut to `common`
+    words per task before it meets.
     """
     rows = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("")).alias("lang"), F.col(text_col).alias("text"))
-    counts = rows.mapInArrow(_corpus, "lang string, is_class boolean, item long, n long").groupBy("lang", "is_class", "item").agg(F.sum("n").alias("n"))
+    counts = cut_lineage(rows.mapInArrow(_corpus, "lang string, is_class boolean, item long, n long").groupBy("lang", "is_class", "item").agg(F.sum("n").alias("n")))
     top = counts.withColumn("r", F.row_number().over(Window.partitionBy("lang", "is_class").orderBy(F.desc("n"), "item"))).where(F.col("r") <= common)
     totals = counts.where("not is_class").groupBy("lang").agg(F.sum("n").alias("total"))
-    totals = totals.where(F.col("total") >= MIN_REFERENCE_WORDS).orderBy(F.desc("total"), "lang").limit(MAX_LANGUAGES)
+    totals = totals.where(F.col("total") >= MIN_REFERENCE_WORDS)
     wide = top.groupBy("lang").agg(
         F.sort_array(F.collect_list(F.when(F.col("is_class"), F.struct("item", "n")))).alias("classes"),
         F.sort_array(F.collect_list(F.when(~F.col("is_class"), F.struct("item", "n")))).alias("words"))
     return wide.join(totals, "lang").select(
-        "lang", F.transform("classes", lambda x: x["n"].cast("double")).alias("classes"), F.transform("words", lambda x: x["item"]).alias("items"),
+        "lang", "total", F.transform("classes", lambda x: x["n"].cast("double")).alias("classes"), F.transform("words", lambda x: x["item"]).alias("items"),
         F.transform("words", lambda x: x["n"] / F.col("total")).alias("shares"))
 
 
@@ -132,6 +134,29 @@ def duplicate_lines(data: np.ndarray, bounds: np.ndarray, slices: Slices) -> np.
     return np.bincount(d[again], minlength=len(bounds) - 1).astype(np.int64)
 
 
+def by_item(ref: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Class counts, word hashes in order and their shares."""
+    items = np.array(ref["items"], np.int64).view(np.uint64)
+    order = np.argsort(items)
+    return np.array(ref["classes"]), items[order], np.array(ref["shares"])[order]
+
+
+def with_references(rows: DataFrame, refs: DataFrame) -> tuple[DataFrame, dict[str, dict]]:
+    """The references of the HELD_LANGUAGES languages of most words, and rows with `ref`, that of any other language.
+
+    The other languages' references are joined by language. None of those has more than its share of all words, and rows
+    of the held languages, or of none, get a key of their own there, so no key is hot.
+    """
+    held = {r["lang"]: r.asDict() for r in refs.orderBy(F.desc("total"), "lang").limit(HELD_LANGUAGES).collect()}
+    kind = "struct<classes:array<double>,items:array<bigint>,shares:array<double>>"
+    if len(held) < HELD_LANGUAGES:
+        return rows.withColumn("ref", F.lit(None).cast(kind)), held
+    others = refs.where(~F.col("lang").isin(list(held))).select(F.col("lang").alias("_key"), F.struct("classes", "items", "shares").alias("ref"))
+    alone = F.concat(F.lit("\u0000"), F.monotonically_increasing_id().cast("string"))
+    keyed = rows.withColumn("_key", F.when(F.col("lang").isin(list(held)), alone).otherwise(F.col("lang")))
+    return keyed.join(others, "_key", "left").select("doc_id", "lang", "text", "ref"), held
+
+
 def _judged(batches, refs):
     for batch in batches:
         for part in blocks(batch):
@@ -148,9 +173,13 @@ def _judged(batches, refs):
             by_class, by_word = np.full(len(n_words), np.nan), np.full(len(n_words), np.nan)
             langs = np.array(part.column("lang").fill_null("").to_pylist(), object)
             doc = np.repeat(np.arange(len(n_words)), n_words)
-            for lang in set(langs.tolist()) & refs.keys():
-                expected, items, shares = refs[lang]
+            own = part.column("ref")
+            for lang in set(langs.tolist()):
                 at = np.flatnonzero(langs == lang)
+                ref = refs.get(lang) or own[int(at[0])].as_py()
+                if ref is None:
+                    continue
+                expected, items, shares = by_item(ref)
                 by_class[at] = distance(classes[at], expected)
                 slot = np.minimum(np.searchsorted(items, h), len(items) - 1)
                 known = np.where(items[slot] == h, slot, len(items))
@@ -172,11 +201,7 @@ def judge_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     Ids are carried as they are, also null or repeated; further columns are ignored; empty tables give no rows.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(lang_col).cast("string"), F.lit("")).alias("lang"), F.col(text_col).alias("text"))
-    refs = {r["lang"]: (np.array(r["classes"]), np.array(r["items"], np.int64).view(np.uint64), np.array(r["shares"]))
-            for r in references(docs, lang_col, text_col).collect()}  # at most MAX_LANGUAGES rows of COMMON_WORDS words
-    for lang, (c, items, shares) in refs.items():
-        order = np.argsort(items)
-        refs[lang] = (c, items[order], shares[order])
+    rows, refs = with_references(rows, cut_lineage(references(docs, lang_col, text_col)))
     shared = docs.sparkSession.sparkContext.broadcast(refs)
     return rows.mapInArrow(
         lambda batches: _judged(batches, shared.value),
