@@ -23,6 +23,8 @@ from marketlens.sizing import cut_lineage
 MATCH, GRAM = 200, 80
 #: Bytes of text of one bucket; different regions of one anchor from which on they are cut; widths of the cuts in windows.
 BUCKET_BYTES, MANY, WIDTHS = 512 << 10, 512, (16, 1)
+#: Text whose regions are found together: each byte takes some twenty numbers while they are.
+REGION_BYTES = 256 << 10
 
 
 def sliding_minimum(x: np.ndarray, width: int) -> np.ndarray:
@@ -69,7 +71,7 @@ REGION = "key binary, s0 int, windows int, off int, a long, r long"
 
 def _regions(batches):
     for batch in batches:
-        for part in blocks(batch):
+        for part in blocks(batch, limit=REGION_BYTES):
             doc, start, count, off, a, r = regions_of(*utf8(part.column("text")))
             yield pa.RecordBatch.from_arrays(
                 [part.column("key").take(pa.array(doc)), *(pa.array(x.astype(np.int32)) for x in (start, count, off)), longs(a), longs(r)],
@@ -79,13 +81,13 @@ def _regions(batches):
 def _anchors(batches):
     """Each anchor's number of regions in a block."""
     for batch in batches:
-        for part in blocks(batch):
+        for part in blocks(batch, limit=REGION_BYTES):
             a, n = np.unique(regions_of(*utf8(part.column("text")))[4], return_counts=True)
             yield pa.RecordBatch.from_arrays([longs(a), pa.array(n)], names=["a", "n"])
 
 
 def _extract(batches):
-    for batch in batches:
+    for batch in (part for whole in batches for part in blocks(whole)):
         rows = []
         for text, wanted in zip(batch.column("text"), batch.column("wanted").to_pylist()):
             raw = text.as_buffer().to_pybytes() if text.is_valid else b""
@@ -259,7 +261,7 @@ def _marked(regions: DataFrame) -> DataFrame:
 
 
 def _cut(batches):
-    for batch in batches:
+    for batch in (part for whole in batches for part in blocks(whole)):
         n_bytes, n_removed, n_spans, sha, spans, kept = [], [], [], [], [], []
         for text, marks in zip(batch.column("text"), batch.column("marks").to_pylist()):
             raw = text.as_buffer().to_pybytes() if text.is_valid else b""
