@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketlens.llm.text import LOWER, blocks, distinct_shingles, lists, longs, mix, utf8, word_hashes, words
-from marketlens.sizing import cut_lineage
+from marketlens.sizing import broadcast_if_small, cut_lineage
 
 SHINGLE, GROUPS, ROWS = 5, 10, 2
 #: Links need PART * union <= WHOLE * intersection.
@@ -127,7 +127,7 @@ def verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
 
     Only the documents that pairs name are shingled again, so no sets are stored.
     """
-    named = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
+    named = broadcast_if_small(cut_lineage(pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()))
     sets = docs.join(named, "doc_id", "left_semi").mapInArrow(_full_sets, "doc_id long, hashes array<long>")
 
     def check(batches):
@@ -196,6 +196,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     are in different components are compared across them, in blocks. So no link between components is lost, and a
     bucket of mutual near copies costs its size.
     """
+    return _judged(docs, id_col, text_col).drop("h1", "h2")
+
+
+def _judged(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """near_duplicates() with the digests of each row's set."""
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     rows = cut_lineage(source.mapInArrow(_signatures, "doc_id long, n_shingles long, h1 long, h2 long, codes array<long>"))
     classes = rows.where("doc_id is not null and n_shingles > 0").groupBy("h1", "h2", "n_shingles").agg(
@@ -206,7 +211,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     buckets = met.groupBy("key").agg(F.min("node").alias("pivot"), F.max("node").alias("last")).where("pivot != last").drop("last")
     members = cut_lineage(met.join(cut_lineage(buckets), "key"))
 
-    with_text = source.where("doc_id is not null")
+    # The texts that any comparison below reads, once: only documents that share a bucket.
+    shared = cut_lineage(members.select(F.col("node").alias("doc_id")).distinct())
+    with_text = cut_lineage(source.where("doc_id is not null").join(broadcast_if_small(shared), "doc_id", "left_semi"))
     star = cut_lineage(members.where("node != pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct())
     links = cut_lineage(verified(with_text, star))
     found = components(links)
@@ -216,7 +223,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     open_keys = open_keys.where("n > 2").select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("parts"))
     opened = cut_lineage(placed.join(open_keys, "key"))
     # Only the members of open buckets are sketched, so no sketches are stored.
-    sketches = with_text.join(opened.select(F.col("node").alias("doc_id")).distinct(), "doc_id", "left_semi").mapInArrow(
+    asked = broadcast_if_small(cut_lineage(opened.select(F.col("node").alias("doc_id")).distinct()))
+    sketches = with_text.join(asked, "doc_id", "left_semi").mapInArrow(
         _sketches, "node long, h1 long, h2 long, sketch binary").dropDuplicates(["node", "h1", "h2"])
     facing = opened.join(classes.select("node", "h1", "h2", "n_shingles", "codes").join(sketches, ["node", "h1", "h2"]), "node")
     own = F.pmod(F.xxhash64("node"), "parts").cast("int")
@@ -238,14 +246,37 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     out = rows.drop("codes").join(placed, ["h1", "h2", "n_shingles"], "left")
     component = F.when(empty, F.col("doc_id")).otherwise(F.col("component"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"),
-                      F.when(empty, F.lit(1)).otherwise(F.col("n_copies")).cast("long").alias("n_copies"))
+                      F.when(empty, F.lit(1)).otherwise(F.col("n_copies")).cast("long").alias("n_copies"), "h1", "h2")
+
+
+def _with_sets(batches):
+    """Rows, as they are, with the digests of their sets."""
+    for batch in batches:
+        for part in blocks(batch):
+            values, bounds = _sets(part)
+            digest = _digests(values, bounds)
+            yield pa.RecordBatch.from_arrays([part.column("row"), pa.array(np.diff(bounds)), longs(digest[:, 0]), longs(digest[:, 1])],
+                                             names=["row", "n_shingles", "h1", "h2"])
 
 
 def kept_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents, with all their columns, that near_duplicates() keeps; rows equal in id and text stay once."""
-    found = near_duplicates(docs, id_col, text_col).where("doc_id is not null").groupBy("doc_id").agg(
-        F.max(~F.col("kept")).alias("gone"), F.count("*").alias("n"))
+    """The documents, with all their columns, that near_duplicates() keeps.
+
+    Rows without an id stay. Of rows that share an id each is judged by its own text: of those kept, rows of one set of
+    shingles stay once, rows without shingles once for each text.
+    """
+    judged = _judged(docs, id_col, text_col).where("doc_id is not null")
+    found = judged.groupBy("doc_id").agg(F.max(~F.col("kept")).alias("gone"), F.count("*").alias("n"))
     flags = cut_lineage(found.where("gone or n > 1"))
-    marked = docs.alias("d").join(flags.alias("f"), F.col(f"d.{id_col}") == F.col("f.doc_id"), "left").where("f.gone is null or not f.gone")
-    single = marked.where("f.n is null").select("d.*")
-    return single.unionByName(marked.where("f.n is not null").select("d.*").dropDuplicates([id_col, text_col]))
+    marked = docs.alias("d").join(flags.alias("f"), F.col(f"d.{id_col}") == F.col("f.doc_id"), "left")
+    single = marked.where("f.n is null or (f.n = 1 and not f.gone)").select("d.*")
+    # Rows that share an id: few, unless the table is made of them.
+    row = F.struct(*[F.col(f"d.`{c}`") for c in docs.columns])
+    several = marked.where("f.n > 1").select(row.alias("row"), F.col(f"d.{text_col}").alias("text"))
+    sets = several.mapInArrow(_with_sets, f"row {several.schema['row'].dataType.simpleString()}, n_shingles long, h1 long, h2 long")
+    verdicts = judged.where("kept").select("doc_id", "n_shingles", "h1", "h2").distinct()
+    own = F.col(f"s.row.`{id_col}`").cast("long") == F.col("v.doc_id")
+    same = own & (F.col("s.n_shingles") == F.col("v.n_shingles")) & F.col("s.h1").eqNullSafe(F.col("v.h1")) & F.col("s.h2").eqNullSafe(F.col("v.h2"))
+    kept = sets.alias("s").join(verdicts.alias("v"), same, "left_semi")
+    each = kept.withColumns({"_id": F.col(f"row.`{id_col}`"), "_text": F.when(F.col("n_shingles") == 0, F.col(f"row.`{text_col}`"))})
+    return single.unionByName(each.dropDuplicates(["_id", "n_shingles", "h1", "h2", "_text"]).select("row.*"))

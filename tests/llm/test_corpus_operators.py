@@ -76,6 +76,17 @@ def test_near_duplicates(docs, empty):
     assert Counter(r["doc_id"] for r in kept.collect()) == Counter(i for i in {*label.values()}) + Counter([None])
 
 
+def test_rows_of_one_id_are_judged_by_their_own_text(spark):
+    """The probe rows (3, Y), (5, X), (5, Y): X exists nowhere else and stays."""
+    x, y, z = prose(80, 31), prose(80, 32), prose(80, 33)
+    rows = [(3, y, 1), (5, x, 2), (5, y, 3), (6, z, 4), (6, z.replace("a", "A"), 5), (6, z, 6), (7, "", 7), (7, "", 8), (7, None, 9), (8, x, 10), (None, x, 11), (None, x, 12)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, h1 int")
+    kept = neardup.kept_documents(docs)
+    assert kept.columns == docs.columns
+    got = Counter((r["doc_id"], r["text"] and r["text"].lower()) for r in kept.collect())
+    assert got == Counter([(3, y), (5, x), (6, z), (7, ""), (7, None), (None, x), (None, x)])
+
+
 def test_many_mutual_copies(spark):
     """A bucket with several components: links between members other than its smallest id are found."""
     texts = [prose(100, 20 + i % 3) + f" tail{i}" for i in range(400)]
@@ -89,15 +100,21 @@ def test_top_inner_products(spark):
     rows += [(300, rows[5][1], 1), (301, None, 1), (302, [float("nan")] * 8, 1), (303, [None] * 8, 1), (None, rows[1][1], 1), (7, rows[7][1], 2), (350, [1e30] * 8, 1)]
     frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>, score int")
     got = [tuple(x) for x in topk.top_inner_products(frame).orderBy("query_id", "rank").collect()]
-    valid = {i: [math.floor(256 * float(x)) for x in v] for i, v, _ in rows if i is not None and v and all(x is not None and math.isfinite(x) for x in v)}
+    valid = [(i, [math.floor(256 * float(x)) for x in v]) for i, v, _ in rows if i is not None and v and all(x is not None and math.isfinite(x) for x in v)]
     expected = []
-    for q in sorted(i for i in valid if i % 50 == 0):
-        scores = sorted((-max(-2**63, min(2**63 - 1, sum(a * b for a, b in zip(valid[q], valid[v])))), v) for v in valid if v != q)
+    for q in sorted({i for i, _ in valid if i % 50 == 0}):
+        scores = sorted((-max(-2**63, min(2**63 - 1, sum(a * b for a, b in zip(x, y)))), v) for i, x in valid if i == q for v, y in valid if v != q)
         expected += [(q, k + 1, v, -s) for k, (s, v) in enumerate(scores[:5])]
     assert [g for g in got if 350 not in (g[0], g[2])] == [e for e in expected if 350 not in (e[0], e[2])]
     assert topk.top_inner_products(frame.limit(0)).count() == 0
 
 
+def test_rows_of_one_id_are_vectors_of_their_own(spark):
+    rows = [(50, [1.0, 0.0]), (7, [0.1, 0.0]), (7, [0.9, 0.0]), (8, [0.5, 0.0]), (100, [0.0, 1.0]), (100, [1.0, 1.0]), (50, [-1.0, 0.0])]
+    got = [tuple(x) for x in topk.top_inner_products(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect() if x["query_id"] == 50]
+    assert got[:3] == [(50, 1, 100, 65536), (50, 2, 7, 58880), (50, 3, 8, 32768)] and len(got) == 5
+
+
 @pytest.mark.parametrize("spread", [0.0, 2.0])
 def test_top_inner_products_in_blocks(spark, monkeypatch, spread):
     """Vectors of like and of very different lengths, in many blocks of which the floors may drop some; with ties."""
@@ -353,6 +370,22 @@ def test_quality(docs, empty):
     assert quality.judge_quality(empty).count() == 0
 
 
+def test_every_language_is_judged(spark, monkeypatch):
+    """Languages beyond those that every task holds get the same verdicts by a join."""
+    def speak(lang, i, n=80):
+        r = np.random.default_rng(1000 * len(lang) + i)
+        return " ".join(r.choice([f"{lang}{k}" for k in range(40)], n).tolist())
+
+    rows = [(100 * k + i, speak(lang, i), lang) for k, lang in enumerate(["xx", "yyy", "zzzz", "wwwww"]) for i in range(30 + 5 * k)]
+    rows += [(900 + i, "QQ! " * 30 + prose(60, i).upper(), lang) for i, lang in enumerate(["xx", "yyy", "zzzz", "wwwww", None, "rare"])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    held = sorted(map(tuple, quality.judge_quality(docs).collect()))
+    monkeypatch.setattr(quality, "HELD_LANGUAGES", 2)
+    joined = sorted(map(tuple, quality.judge_quality(docs).collect()))
+    assert str(joined) == str(held)
+    assert {r[0] for r in held if r[0] >= 900 and not r[7]} >= {900, 901, 902, 903}
+
+
 def test_distance():
     p, q = np.array([[1.0, 3.0], [2.0, 2.0], [0.0, 0.0], [1.0, 0.0]]), np.array([0.0, 4.0])
     def plain(a, b):
