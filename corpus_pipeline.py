@@ -20,11 +20,11 @@ ORACLE_SQL = None
 
 #: Texts that a Python worker holds at a time, unless the session says otherwise. They may be long, and their arrays take
 #: several times their bytes.
-BATCH_ROWS, BATCH_CONF = 1000, "spark.sql.execution.arrow.maxRecordsPerBatch"
+BATCH_ROWS, BATCH_CONF = 100, "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def _in_small_batches(stage):
-    """The stage under a session that hands whole texts to Python workers a thousand at a time."""
+    """The stage under a session that hands whole texts to Python workers a hundred at a time."""
     @functools.wraps(stage)
     def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         if spark.conf.get(BATCH_CONF) == "10000":  # Spark's default
