@@ -10,6 +10,7 @@ from catalog.rounding import near
 from marketlens.functions.fixed_values import PEARSON_COLUMNS, SERVING_DEFAULTS
 from marketlens.operators import filters, market
 from marketlens.operators.cleaning import serving_defaults
+from marketlens.operators.cube import report_cube
 
 QUERIES = {}
 L = roles.listings
@@ -232,3 +233,19 @@ QUERIES["corr_matrix"] = near(
     lambda s, d: market.corr_matrix(featured(s, d), CORR),
     oracle(" UNION ALL ".join(f"SELECT '{a}' AS column_a, '{b}' AS column_b, corr({a}, {b}) AS corr FROM featured"
                               for a in CORR for b in CORR)), "corr")
+
+# All reports of three dimensions from one scan
+
+CUBE_DIMS = ["neighbourhood_cleansed", "room_type", "host_is_superhost"]
+CUBE_METRICS = ["price", "occupancy_rate", market.REVENUE, "review_scores_rating"]
+CUBE_SETS = [["neighbourhood_cleansed"], ["room_type"], ["host_is_superhost"], ["room_type", "host_is_superhost"], []]
+_MELTED = " UNION ALL ".join(f"SELECT {', '.join(CUBE_DIMS)}, '{m}' AS metric, {m} AS value FROM featured" for m in CUBE_METRICS)
+_NAMES = " ".join(
+    f"WHEN GROUPING({', '.join(CUBE_DIMS)}) = {sum(4 >> i for i, d in enumerate(CUBE_DIMS) if d not in s)} THEN '{', '.join(s) or 'all'}'"
+    for s in CUBE_SETS)
+QUERIES["report_cube"] = near(
+    lambda s, d: report_cube(featured(s, d), CUBE_DIMS, CUBE_METRICS, CUBE_SETS),
+    oracle(f"""SELECT CASE {_NAMES} END AS slice, {', '.join(CUBE_DIMS)}, metric, COUNT(*) AS listings, COUNT(value) AS valued,
+        AVG(value) AS mean, MIN(value) AS min, MAX(value) AS max, MEDIAN(value) AS median FROM ({_MELTED})
+        GROUP BY GROUPING SETS ({', '.join(f"({', '.join([*s, 'metric'])})" for s in CUBE_SETS)})"""),
+    "mean", "median", digits=6)

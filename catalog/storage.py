@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+import functools
 import uuid
 from datetime import datetime
 
+from pyspark.errors import PySparkException
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from catalog import core, quality, roles
 from catalog.oracle import oracle
 from catalog.rounding import near
-from marketlens.operators import attribution, cleaning, ml, profile
+from marketlens.operators import attribution, cleaning, ml, profile, sketches
+from marketlens.operators.quality import land_checked
 from marketlens.sizing import shared_folder
 from marketlens.sources import raw, sinks
 
@@ -172,3 +176,102 @@ def reloaded_model(s, d):
 
 # A least-squares fit with intercept reproduces the mean of its target.
 QUERIES["model_save_load"] = near(reloaded_model, oracle("SELECT AVG(price) AS mean_prediction FROM listings"), "mean_prediction", digits=4)
+
+# Loads that arrive one after the other
+
+LOADED = {"l_orderkey": "long", "l_quantity": "double", "l_extendedprice": "double", "l_returnflag": "string"}
+LOAD_QUARTERS = (1, 2, 3, 4)
+
+
+def by_quarter(s, d):
+    """Lineitem as four loads, each with a gap of nulls."""
+    line = roles.table(s, d, "lineitem").select(F.quarter("l_shipdate").alias("q"), *LOADED)
+    return line.withColumn("l_quantity", F.when(F.col("l_orderkey") % 9 != 0, F.col("l_quantity").cast("double")))
+
+
+def merged_profile(s, d):
+    """Sketches of four loads, stored load by load and the third one twice, merged and held against exact figures."""
+    path, line = f"{scratch(s)}/sketches", by_quarter(s, d)
+    for q in (*LOAD_QUARTERS, 3):
+        sketches.save_sketches(sketches.sketch_columns(line.where(F.col("q") == q).drop("q"), "lineitem", f"q{q}"), path)
+    found = sketches.profile_from_sketches(sketches.merge_sketches(sketches.read_sketches(s, path)))
+    exact = profile.uniqueness(line.drop("q")).select("column", F.col("unique_values").alias("_exact"))
+    within = F.abs(F.col("unique_values") - F.col("_exact")) <= 5 * sketches.DISTINCT_ERROR * F.col("_exact") + 0.5
+    numbers = [c for c, t in line.drop("q").dtypes if t != "string"]
+    middle = found.where(F.col("median").isNotNull()).select("column", F.col("median").alias("_median"))
+    rank = line.select([F.col(c).cast("double").alias(c) for c in numbers]).unpivot([], numbers, "column", "value").join(
+        F.broadcast(middle), "column").groupBy("column").agg(  # one row per column
+        F.count("value").alias("_n"), F.count_if(F.col("value") < F.col("_median")).alias("_below"),
+        F.count_if(F.col("value") <= F.col("_median")).alias("_upto"))
+    reach = 5 * sketches.RANK_ERROR * F.col("_n") + 1
+    centred = (F.col("_below") - reach <= F.col("_n") / 2) & (F.col("_n") / 2 <= F.col("_upto") + reach)
+    return found.join(exact, "column").join(rank, "column", "left").select(
+        "column", "row_count", "null_count", "min", "max", "mean", "std", within.alias("distinct_within_bound"),
+        centred.alias("median_within_bound"))
+
+
+def _load_sql(column: str) -> str:
+    value = "CASE WHEN l_orderkey % 9 <> 0 THEN l_quantity END" if column == "l_quantity" else column
+    numeric = LOADED[column] != "string"
+    number = f"CAST({value} AS DOUBLE)" if numeric else "CAST(NULL AS DOUBLE)"
+    return f"""SELECT '{column}' AS "column", COUNT(*) AS row_count, COUNT(*) - COUNT({value}) AS null_count, round(MIN({number}), 4) AS min,
+        round(MAX({number}), 4) AS max, AVG({number}) AS mean, stddev_samp({number}) AS std, TRUE AS distinct_within_bound,
+        {'TRUE' if numeric else 'CAST(NULL AS BOOLEAN)'} AS median_within_bound FROM lineitem"""
+
+
+QUERIES["profile_merged_loads"] = near(merged_profile, " UNION ALL ".join(_load_sql(c) for c in LOADED), "mean", "std", digits=3)
+
+
+def checked_landing(s, d):
+    """Raw data sets checked while they are landed; the rows stored beside the rows observed."""
+    parts = []
+    for name, df in quality.raw_all(s, d).items():
+        stored, rows, checks = land_checked(df, name, f"{scratch(s)}/{name}")
+        told = stored.agg(F.lit(name).alias("dataset"), F.lit("rows observed").alias("rule"),
+                          F.lit(float(rows)).alias("measured"), (F.count(F.lit(1)) != rows).alias("is_issue"))
+        parts += [told, checks.select("dataset", "rule", "measured", "is_issue")]
+    return functools.reduce(DataFrame.unionByName, parts)
+
+
+def landing_sql():
+    checks = " UNION ALL ".join(
+        f"SELECT '{name}' AS dataset, rule, measured, is_issue FROM ({quality.QUERIES[f'validate_{name}'][1]})"
+        for name in ("listings", "calendar", "reviews"))
+    rows = " UNION ALL ".join(
+        f"SELECT '{name}', 'rows observed', CAST(COUNT(*) AS DOUBLE), FALSE FROM {table}"
+        for name, table in (("listings", "orders"), ("calendar", "lineitem"), ("reviews", "events"), ("neighbourhoods", "nation")))
+    return f"{checks} UNION ALL {rows}"
+
+
+QUERIES["landing_checks"] = (checked_landing, landing_sql())
+
+
+def rerun_month(s, d):
+    """The calendar stored by month, then the Februaries once more with every day booked."""
+    folder, days = scratch(s), roles.calendar(s, d)
+    sinks.save_cleaned({"calendar": days}, folder)
+    again = days.where("month = 2").withColumn("available", F.lit(False))
+    sinks.save_cleaned({"calendar": again}, folder, keep_other_months=True)
+    return raw.read_table(s, f"{folder}/calendar_clean.parquet").groupBy("year", "month").agg(
+        F.count(F.lit(1)).alias("days"), F.count_if("available").alias("free"))
+
+
+QUERIES["rerun_month"] = (rerun_month, oracle("""SELECT year, month, COUNT(*) AS days,
+    COUNT(*) FILTER (WHERE available AND month <> 2) AS free FROM calendar GROUP BY year, month"""))
+
+
+def published_runs(s, d):
+    """What readers see after a whole run and one that fails at its second table."""
+    folder, rooms = scratch(s), L(s, d).groupBy("room_type").agg(F.count(F.lit(1)).alias("n"))
+    sinks.publish_tables(s, {"rooms": rooms, "listings": L(s, d)}, folder, "one")
+    broken = L(s, d).select(F.raise_error(F.lit("stopped on purpose")).alias("id"))
+    try:
+        sinks.publish_tables(s, {"rooms": rooms.limit(0), "listings": broken}, folder, "two")
+    except PySparkException:
+        pass
+    tables = sinks.current_tables(s, folder)
+    return tables["rooms"].join(tables["listings"].groupBy("room_type").agg(F.count("price").alias("priced")), "room_type")
+
+
+QUERIES["published_runs"] = (published_runs, oracle(
+    "SELECT room_type, COUNT(*) AS n, COUNT(price) AS priced FROM listings GROUP BY room_type"))

@@ -14,6 +14,8 @@ from marketlens.functions.scalar import parse_money, round_half_even
 from marketlens.operators.fuzzy import fuzzy_duplicates
 from marketlens.operators.features import column_quantiles
 from marketlens.operators.quality import domain_violations, surplus_rows
+from marketlens.operators.sketches import merge_sketches, profile_from_sketches, sketch_columns
+from marketlens.sizing import cut_lineage
 
 # Columns per aggregate: beyond this the generated code of one aggregation becomes too large.
 COLUMNS_PER_PASS = 40
@@ -85,14 +87,19 @@ def sample_values(values: DataFrame, k: int = 3) -> DataFrame:
 
 
 def profile_columns(df: DataFrame, dataset: str, approximate: bool = False) -> DataFrame:
-    """Type, nulls, distinct values, samples and numeric summary per column."""
+    """Type, nulls, distinct values, samples and numeric summary per column.
+
+    `approximate=True` takes distinct values and samples from sketches (see `profile_from_sketches`), without a shuffle of
+    values; profiles that grow load by load store `sketch_columns` and merge.
+    """
+    if approximate:
+        merged = profile_from_sketches(merge_sketches(sketch_columns(df, dataset, "")))
+        return merged.select("dataset", "column", "dtype", "null_count", "null_pct", "unique_values", "sample_values",
+                             "min", "max", "mean", "std")
     types = F.create_map(*[F.lit(x) for name_type in df.dtypes for x in name_type])
     values = distinct_values(df)
     nulls = null_counts(df).drop("row_count")
-    if approximate:
-        distinct = uniqueness(df, approximate=True).select("column", "unique_values")
-    else:
-        distinct = values.groupBy("column").agg(F.count(F.lit(1)).alias("unique_values"))
+    distinct = values.groupBy("column").agg(F.count(F.lit(1)).alias("unique_values"))
     out = nulls.join(distinct, "column", "left").join(sample_values(values), "column", "left")
     numbers = numeric_columns(df)
     stats = {"min": F.min, "max": F.max, "mean": F.avg, "std": F.stddev_samp}
@@ -218,13 +225,13 @@ def describe_numbers(
 
 def describe_categories(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Count, distinct values, most frequent value (smallest on ties) and its frequency per column."""
-    # The minimum over (-count, value) is the most frequent value, the smallest text among equals.
-    values = distinct_values(df, columns)
-    top = values.groupBy("column").agg(
-        F.sum("n").alias("count"), F.count(F.lit(1)).alias("unique"), F.max("n").alias("freq"),
-        F.min(F.struct((-F.col("n")).alias("neg"), "value"))["value"].alias("top"),
-    )
-    return top.select("column", "count", "unique", "top", "freq")
+    # At most one row per column and task is ranked: the most frequent value, the smallest text among equals.
+    values = cut_lineage(distinct_values(df, columns))
+    order = Window.partitionBy("column").orderBy(F.col("n").desc(), "value")
+    top = values.withColumn("_r", F.row_number().over(order)).where("_r = 1").select(
+        "column", F.col("value").alias("top"), F.col("n").alias("freq"))
+    sums = values.groupBy("column").agg(F.sum("n").alias("count"), F.count(F.lit(1)).alias("unique"))
+    return sums.join(top, "column").select("column", "count", "unique", "top", "freq")
 
 
 def value_counts(df: DataFrame, column: str, k: int | None = None) -> DataFrame:

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from marketlens.functions import fixed_values as fixed
@@ -22,6 +22,8 @@ class Rule:
     action: str = ""
     limit: float = 0.0
     floor: float | None = None
+    #: Columns of a rule over distinct values; None where plain sums over the rows are enough.
+    distinct_of: str | None = None
 
 
 def outside(c: str, low: float, high: float) -> Column:
@@ -53,7 +55,7 @@ def validation_rules(df: DataFrame, dataset: str) -> list[Rule]:
             Rule("price unparseable", F.count_if(price.isNull())),
             Rule("latitude outside the country", outside("latitude", lat_low, lat_high)),
             Rule("longitude outside the country", outside("longitude", lon_low, lon_high)),
-            Rule("duplicate listing ids", surplus_rows("id")),
+            Rule("duplicate listing ids", surplus_rows("id"), distinct_of="id"),
         ]
         if "availability_365" in df.columns:
             rules.append(Rule("availability_365 out of range", outside("availability_365", 0, 365)))
@@ -72,7 +74,7 @@ def validation_rules(df: DataFrame, dataset: str) -> list[Rule]:
         return rules
     if dataset == "reviews":
         return [
-            Rule("duplicate review ids", surplus_rows("id")),
+            Rule("duplicate review ids", surplus_rows("id"), distinct_of="id"),
             Rule("comments null %", null_share("comments"), limit=10),
             Rule("unparseable dates", F.count_if(parse_date("date").isNull())),
         ]
@@ -108,19 +110,23 @@ def domain_rules(df: DataFrame, dataset: str) -> list[Rule]:
     return []
 
 
+def rule_entries(dataset: str, rules: Sequence[Rule], measured: Sequence[Column]) -> list[Column]:
+    """One struct per rule from its measured value: data set, rule, measured value, issue flag, action."""
+    entries = []
+    for r, v in zip(rules, measured):
+        issue = v > r.limit if r.floor is None else v < r.floor
+        entries.append(F.struct(F.lit(dataset).alias("dataset"), F.lit(r.name).alias("rule"), v.alias("measured"),
+                                F.coalesce(issue, F.lit(False)).alias("is_issue"), F.lit(r.action).alias("action")))
+    return entries
+
+
 def measure_rules(df: DataFrame, dataset: str, rules: Sequence[Rule]) -> DataFrame:
     """All rules in one pass; one row per rule: data set, rule, measured value, issue flag, action."""
     if not rules:
         return df.sparkSession.createDataFrame(
             [], "dataset string, rule string, measured double, is_issue boolean, action string")
     wide = df.agg(*[r.value.cast("double").alias(f"r{i}") for i, r in enumerate(rules)])
-    entries = []
-    for i, r in enumerate(rules):
-        v = F.col(f"r{i}")
-        issue = v > r.limit if r.floor is None else v < r.floor
-        entries.append(F.struct(F.lit(r.name).alias("rule"), v.alias("measured"),
-                                F.coalesce(issue, F.lit(False)).alias("is_issue"), F.lit(r.action).alias("action")))
-    return wide.select(F.lit(dataset).alias("dataset"), F.inline(F.array(*entries)))
+    return wide.select(F.inline(F.array(*rule_entries(dataset, rules, [F.col(f"r{i}") for i in range(len(rules))]))))
 
 
 def domain_violations(df: DataFrame, dataset: str) -> DataFrame:
@@ -128,19 +134,48 @@ def domain_violations(df: DataFrame, dataset: str) -> DataFrame:
     return measured.select("dataset", "rule", F.col("measured").cast("long").alias("violations"), "action")
 
 
+CHECKS = "dataset string, rule string, measured double, is_issue boolean, action string, passed boolean"
+
+
+def failed_check(spark: SparkSession, dataset: str, rule: str, measured: float, action: str = "") -> DataFrame:
+    return spark.createDataFrame([(dataset, rule, measured, True, action, False)], CHECKS)
+
+
 def validate_dataset(df: DataFrame, dataset: str) -> DataFrame:
     """One row per check. A data set without rows or required columns fails without running its rules."""
-    spark = df.sparkSession
-    schema = "dataset string, rule string, measured double, is_issue boolean, action string, passed boolean"
     missing = missing_columns(df, dataset)
     if missing:
-        return spark.createDataFrame(
-            [(dataset, "required columns", float(len(missing)), True, ", ".join(missing), False)], schema)
+        return failed_check(df.sparkSession, dataset, "required columns", float(len(missing)), ", ".join(missing))
     if df.isEmpty():
-        return spark.createDataFrame([(dataset, "has rows", 0.0, True, "", False)], schema)
+        return failed_check(df.sparkSession, dataset, "has rows", 0.0)
     return measure_rules(df, dataset, validation_rules(df, dataset)).withColumn("passed", F.lit(True))
 
 
+def land_checked(df: DataFrame, dataset: str, path: str) -> tuple[DataFrame, int, DataFrame]:
+    """Write a data set as Parquet and check it while it is written: the stored frame, its rows, the checks.
+
+    Rows and all rules that are sums over rows are observed in the write itself, so the source is read once. A rule over
+    distinct values reads the one column it needs from the stored frame. The checks are those of `validate_dataset`.
+    """
+    spark, missing = df.sparkSession, missing_columns(df, dataset)
+    rules = [] if missing else validation_rules(df, dataset)
+    summed = {i: r.value.cast("double").alias(f"r{i}") for i, r in enumerate(rules) if r.distinct_of is None}
+    seen = Observation()
+    df.observe(seen, F.count(F.lit(1)).alias("rows"), *summed.values()).write.mode("overwrite").parquet(path)
+    found, stored = seen.get, spark.read.parquet(path)
+    rows = int(found.get("rows") or 0)
+    if missing:
+        return stored, rows, failed_check(spark, dataset, "required columns", float(len(missing)), ", ".join(missing))
+    if not rows:
+        return stored, rows, failed_check(spark, dataset, "has rows", 0.0)
+    if not rules:
+        return stored, rows, spark.createDataFrame([], CHECKS)
+    wide = stored.agg(F.lit(None).alias("_none"), *[r.value.cast("double").alias(f"r{i}") for i, r in enumerate(rules) if r.distinct_of])
+    measured = [F.col(f"r{i}") if r.distinct_of else F.lit(found[f"r{i}"]).cast("double") for i, r in enumerate(rules)]
+    checks = wide if len(summed) < len(rules) else spark.range(1)
+    return stored, rows, checks.select(F.inline(F.array(*rule_entries(dataset, rules, measured)))).withColumn("passed", F.lit(True))
+
+
 def validate_all(frames: dict[str, DataFrame]) -> DataFrame:
     """Checks of all data sets. Issues warn; only missing rows or columns fail a data set."""
     return reduce(DataFrame.unionByName, [validate_dataset(df, name) for name, df in frames.items()])

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from datetime import date
+import uuid
+from datetime import date, datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -12,15 +14,18 @@ from marketlens.sources import raw, sinks
 
 
 def publish(
-    spark: SparkSession, master: DataFrame, calendar: DataFrame | None, folder: str, mode: str = "keyed"
+    spark: SparkSession, master: DataFrame, calendar: DataFrame | None, folder: str, mode: str = "keyed",
+    run_id: str | None = None,
 ) -> dict[str, DataFrame]:
-    """Write the star schema and give back the stored tables, registered as views of the same names."""
-    stored = {}
-    for name, df in star.build_star(master, calendar, mode).items():
-        path = f"{folder}/{name}.parquet"
-        sinks.save_parquet(df, path, ["year", "month"] if name == "fact_calendar" else None)
-        stored[name] = raw.read_table(spark, path)
-        sinks.register_table(stored[name], name, view=True)
+    """Write the star schema into a folder of this run, make it the current one, and give back the stored tables.
+
+    They are registered as views of the same names. Readers of `sinks.current_tables` see whole runs only.
+    """
+    run_id = run_id or f"{datetime.now():%Y%m%d_%H%M%S}_{uuid.uuid4().hex[:8]}"
+    built = star.build_star(master, calendar, mode)
+    stored = sinks.publish_tables(spark, built, folder, run_id, {"fact_calendar": ["year", "month"]})
+    for name, df in stored.items():
+        sinks.register_table(df, name, view=True)
     return stored
 
 
@@ -38,14 +43,15 @@ def run_pipeline(
         sinks.append_run_metadata(spark, ledger, dataset, stage, rows, notes)
 
     try:
-        # Gzip exports are not splittable: land them once as Parquet, then everything runs in parallel.
-        landed = {}
+        # Gzip exports are not splittable: land them once as Parquet, then everything runs in parallel. Rows are counted
+        # and checked while they are written.
+        landed, checks = {}, []
         for name, df in raw.load_all(spark, raw_folder).items():
-            sinks.save_parquet(df, f"{out}/raw/{name}.parquet")
-            landed[name] = raw.read_table(spark, f"{out}/raw/{name}.parquet")
-            log(name, "loaded", landed[name].count())
+            landed[name], rows, found = quality.land_checked(df, name, f"{out}/raw/{name}.parquet")
+            checks.append(found)
+            log(name, "loaded", rows)
 
-        checks = quality.validate_all(landed)
+        checks = reduce(DataFrame.unionByName, checks)
         sinks.save_csv(checks, f"{out}/reports/validation.csv", single_file=True)
         log("all", "validated", len(landed))
 

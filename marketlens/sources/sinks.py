@@ -21,13 +21,17 @@ LEDGER_SCHEMA = StructType([
 ])
 
 
-def save_parquet(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
-    writer = df.write.mode("overwrite")
+def save_parquet(df: DataFrame, path: str, partition_by: list[str] | None = None, keep_other_parts: bool = False) -> None:
+    """Replace what is stored; with `keep_other_parts` only the partitions that `df` has rows for."""
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic" if keep_other_parts else "static")
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
 
 
-def save_cleaned(frames: Mapping[str, DataFrame], folder: str) -> None:
-    """One Parquet folder per cleaned data set; the calendar is laid out by year and month."""
+def save_cleaned(frames: Mapping[str, DataFrame], folder: str, keep_other_months: bool = False) -> None:
+    """One Parquet folder per cleaned data set; the calendar is laid out by year and month.
+
+    With `keep_other_months` a rerun over some months rewrites those of the calendar and leaves the others as they are.
+    """
     for name, df in frames.items():
         parts = ["year", "month"] if name == "calendar" and {"year", "month"} <= set(df.columns) else None
         # One file per month and task would be many small files: bring each month together first,
@@ -36,7 +40,7 @@ def save_cleaned(frames: Mapping[str, DataFrame], folder: str) -> None:
             spread = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
             keyed = F.pmod(F.xxhash64("listing_id"), F.lit(max(1, spread // 24)))
             df = df.repartition(*parts, keyed)
-        save_parquet(df, f"{folder.rstrip('/')}/{name}_clean.parquet", parts)
+        save_parquet(df, f"{folder.rstrip('/')}/{name}_clean.parquet", parts, keep_other_months and parts is not None)
 
 
 def save_master(master: DataFrame, folder: str) -> None:
@@ -100,6 +104,31 @@ def run_sql(spark: SparkSession, sql: str, views: Mapping[str, DataFrame] | None
     return spark.sql(sql)
 
 
+POINTER_SCHEMA = "run_id string, published_at timestamp, tables array<string>"
+
+
+def publish_tables(spark: SparkSession, tables: Mapping[str, DataFrame], folder: str, run_id: str,
+                   partition_by: Mapping[str, list[str]] | None = None) -> dict[str, DataFrame]:
+    """Write all tables into the run's own folder and then make it the current one by one pointer row.
+
+    Nothing is renamed or replaced that readers may be at: a run that fails before its last table leaves them on the run
+    before it, and repeating a run id writes its folder anew. The tables are written one after the other.
+    """
+    root = folder.rstrip("/")
+    for name, df in tables.items():
+        save_parquet(df, f"{root}/run={run_id}/{name}.parquet", (partition_by or {}).get(name))
+    spark.createDataFrame([(run_id, datetime.now(), list(tables))], POINTER_SCHEMA).coalesce(1).write.mode("append").parquet(
+        f"{root}/current")
+    return current_tables(spark, root)
+
+
+def current_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    """The tables of the run that was published last."""
+    root = folder.rstrip("/")
+    pointer = spark.read.schema(POINTER_SCHEMA).parquet(f"{root}/current").orderBy(F.desc("published_at"), F.desc("run_id")).first()
+    return {name: spark.read.parquet(f"{root}/run={pointer['run_id']}/{name}.parquet") for name in pointer["tables"]}
+
+
 def append_run_metadata(
     spark: SparkSession, path: str, dataset: str, stage: str, row_count: int, notes: str = "",
     at: datetime | None = None,
