@@ -1,57 +1,53 @@
 """LM scoring with a log-bilinear model trained by noise-contrastive estimation.
 
-Every token that the training texts hold MIN_COUNT times or more has vectors of its own. The context vector is the sum of
-the two preceding tokens' vectors, each scaled by its position. A token's probability has two levels: a softmax over classes
-(the commonest tokens, the end of a text among them, and one class for all others), and inside that class a binary tree,
-whose nodes each decide by context . vector + bias: first between the modelled tokens and the rarest tail, then along the
-bits of the token's hash, of which the leading ones are its ending's. Only in the tail have tokens no more than their
-add-one share. Both levels are normalised by themselves, at the price of the classes and of one path.
-
-Texts are dealt into groups; counts and vectors are tables keyed by token or node, joined to the groups that use them.
-Training runs in numpy on each group, by NCE over the classes and by likelihood in the tree, from the same start, and
-averages each vector over the groups by the tokens that moved it.
+Every token has a slot: the commonest ones have one of their own, all others share theirs with tokens of the same hash and
+have their add-one share of it. Slots number up to SLOTS and grow with the vocabulary below that; they form a grid of about
+as many classes as members in a class. A context vector is the sum of the two preceding tokens' vectors, each scaled by its
+position. A token's probability is a softmax over the classes times a softmax over the members of its class, both products
+of the context vector with a matrix, times its share of the slot. All three are normalised.
+
+Both levels are trained by noise-contrastive estimation in numpy: a task runs over its texts block by block from the same
+start, and the vectors are averaged over the tasks by the steps that moved them, for several rounds. The model is of bounded
+size and broadcast. Counts of all tokens are a table: the tail's are joined to the texts that hold them.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketlens.llm.text import LOWER, Slices, blocks, lists, longs, mix, utf8, words
+from marketlens.llm.text import LOWER, Slices, blocks, lists, longs, utf8, words
 from marketlens.sizing import cut_lineage
 
-#: Classes at most, buckets that stand for tail words as context (by their last two bytes), vector width.
-CLASSES, ENDINGS, WIDTH = 256, 32, 16
-#: Contexts without a table: classes, endings, the start of a text. Those of the tree's tokens follow in each group.
-CONTEXTS = CLASSES + ENDINGS + 1
-START = CONTEXTS - 1
-#: Tokens of fewer training occurrences are the tail.
+#: Slots at most (a power of two; 2 x 17 floats each), the share of them that tokens may have for their own, vector width.
+SLOTS, OWN_SHARE, WIDTH = 1 << 16, 0.75, 16
+#: Tokens of fewer training occurrences have no slot of their own.
 MIN_COUNT = 5
-BATCH, NOISE, RATE = 2048, 48, 0.07
-#: Text bytes of one group; tokens of one block of training and scoring; tokens of one subtree that a task builds.
-GROUP_BYTES, TOKENS, SUBTREE = 1 << 24, 1 << 16, 1 << 16
-#: Kinds of rows: counts; vectors of contexts, nodes, contexts without a table, classes, positions.
-COUNTS, CONTEXT, NODE, FIXED, CLASS, SCALE = range(6)
+#: Tokens of a step, noise classes that a step shares, noise members of each token, rate, rounds of averaging.
+BATCH, NOISE, DRAWS, RATE, ROUNDS = 4096, 48, 6, 0.07, 2
+#: Tokens scored at a time; tokens after which a task hands over its vectors and starts again.
+TOKENS, HANDOVER = 1 << 16, 1 << 25
+#: Parts of an octave by which counts are ranked for the slots of their own.
+OCTAVE = 32
+#: Kinds of vectors: contexts, members, classes, positions.
+CONTEXT, MEMBER, CLASS, SCALE = range(4)
 HELD_OUT, FOLDS = 2, 7
 END = np.uint64(0x5851F42D4C957F2D)
 
 
 def _tokens(texts):
-    """Hash and ending bucket of every token, with an end after each text's words, and the bounds of each text's."""
+    """Hash of every token, with an end after each text's words, and the bounds of each text's."""
     raw, bounds = utf8(texts)
     data = LOWER[raw]
     starts, ends, first = words(data, bounds)
     docs = len(bounds) - 1
-    where = np.arange(len(starts)) + np.repeat(np.arange(docs), np.diff(first))
-    h, ending = np.full(len(starts) + docs, END), np.zeros(len(starts) + docs, np.int64)
-    h[where] = Slices(data)(starts, ends)
-    if len(starts):
-        two = data[ends - 1].astype(np.uint64) << np.uint64(8) | data[np.maximum(ends - 2, starts)].astype(np.uint64)
-        ending[where] = mix(two) % np.uint64(ENDINGS)
-        h[where] = mix(two) << np.uint64(58) | h[where] >> np.uint64(6)
-    return h, ending, first + np.arange(docs + 1)
+    h = np.full(len(starts) + docs, END)
+    h[np.arange(len(starts)) + np.repeat(np.arange(docs), np.diff(first))] = Slices(data)(starts, ends)
+    return h, first + np.arange(docs + 1)
 
 
 def _counts(batches):
@@ -65,167 +61,76 @@ def _counts(batches):
         for part in blocks(batch):
             held.append(_tokens(part.column("text"))[0])
             size += len(held[-1])
-            if size > 1 << 21:
-                yield flush()
-                held, size = [], 0
-    if held:
-        yield flush()
-
-
-def _grouped(batches):
-    """One row for each GROUP_BYTES of texts: their distinct tokens and each text's tokens as numbers of these."""
-    held, size = [], 0
-
-    def flush():
-        part = pa.Table.from_batches([x[0] for x in held]).combine_chunks()
-        h, ending = np.concatenate([x[1] for x in held]), np.concatenate([x[2] for x in held])
-        n = np.concatenate([np.diff(x[3]) for x in held])
-        own, at, code = np.unique(h, return_index=True, return_inverse=True)
-        one = lambda x: pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x)
-        columns = [one(pa.concat_arrays(part.column(c).chunks)) for c in ("row", "doc_id", "held_out")]
-        return pa.RecordBatch.from_arrays([
-            part.column("row").chunk(0)[:1], *columns, one(pa.array(n)), one(longs(own)),
-            pa.array([ending[at].astype("u1").tobytes()], pa.binary()), pa.array([code.astype("<u4").tobytes()], pa.binary()),
-        ], names=["g", "row", "doc_id", "held_out", "n", "own", "ending", "code"])
-
-    for batch in batches:
-        for part in blocks(batch):
-            held.append((part.select(["row", "doc_id", "held_out"]), *_tokens(part.column("text"))))
-            size += len(utf8(part.column("text"))[0])
-            if size >= GROUP_BYTES:
+            if size > 1 << 20:
                 yield flush()
                 held, size = [], 0
     if held:
         yield flush()
 
 
-GROUPS = "g long, row array<long>, doc_id array<{id}>, held_out array<boolean>, n array<long>, own array<long>, ending binary, code binary"
-
+@dataclass
+class Space:
+    """Where tokens lie: hashes, counts and places of those with slots of their own, and the slots' training mass.
 
-def branches(h: np.ndarray, c: np.ndarray, depths: range) -> tuple[np.ndarray, np.ndarray]:
-    """Of each of the sorted tokens, the depths at which the tree of their hashes forks, and the log odds of bit 1 there."""
-    forks, odds = np.zeros((len(h), 64), bool), np.zeros((len(h), 64), np.float32)
-    sums = np.concatenate([[0], np.cumsum(c)])
-    for d in depths:
-        prefix = h >> np.uint64(1) >> np.uint64(63 - d)
-        a = np.flatnonzero(np.concatenate([[True], prefix[1:] != prefix[:-1]]))
-        if len(a) == len(h):
-            break
-        b = np.append(a[1:], len(h))
-        middle = b - np.add.reduceat((h >> np.uint64(63 - d) & np.uint64(1)).astype(np.int64), a)
-        fork = (middle > a) & (middle < b)
-        left, right = sums[middle] - sums[a], sums[b] - sums[middle]
-        forks[:, d] = np.repeat(fork, b - a)
-        odds[:, d] = np.repeat(np.where(fork, np.log(np.maximum(right, 1) / np.maximum(left, 1)), 0), b - a)
-    return forks, odds
-
-
-def _subtree(table: pa.Table, bits: int, above) -> pa.Table:
-    h, c = table.column("h").to_numpy().view(np.uint64), table.column("c").to_numpy()
-    order = np.argsort(h)
-    h, c = h[order], c[order]
-    forks, odds = branches(h, c, range(bits, 64))
-    if bits:
-        at = np.searchsorted(above[0], h[0] >> np.uint64(64 - bits))
-        forks[:, :bits], odds[:, :bits] = above[1][at, :bits], above[2][at, :bits]
-    mask = (forks.astype(np.uint64) << np.arange(63, -1, -1, dtype=np.uint64)).sum(1, dtype=np.uint64)
-    bounds = np.concatenate([[0], np.cumsum(forks.sum(1))])
-    return pa.table({"h": longs(h), "c": pa.array(c), "mask": longs(mask), "odds": lists(odds[forks], bounds, pa.float32())})
-
-
-def vocabulary(counts: DataFrame, min_count: int) -> DataFrame:
-    """h, c, and for tokens of `min_count` or more the depths of their forks (mask) and the log odds at these."""
-    modelled = counts.where(F.col("c") >= min_count)
-    bits = max(0, int(np.ceil(np.log2(max(1, modelled.count()) / SUBTREE))))
-    branch, above = F.lit(0).cast("long"), None
-    if bits:  # the tree above the subtrees, of about as many leaves as there are tasks
-        branch = F.shiftrightunsigned("h", 64 - bits)
-        top = modelled.groupBy(branch.alias("b")).agg(F.sum("c").alias("c")).orderBy("b").toArrow()
-        b = top.column("b").to_numpy().astype(np.uint64)
-        above = (b, *branches(b << np.uint64(64 - bits), top.column("c").to_numpy(), range(bits)))
-    kind = "h long, c long, mask long, odds array<float>"
-    tree = modelled.withColumn("b", branch).groupBy("b").applyInArrow(lambda t: _subtree(t.select(["h", "c"]), bits, above), kind)
-    return tree.unionByName(counts.where(F.col("c") < min_count).select("h", "c", F.lit(None).cast("long").alias("mask"), F.lit(None).cast("array<float>").alias("odds")))
-
-
-def unit(ids: np.ndarray) -> np.ndarray:
-    """Start of context vectors: small, drawn from the token."""
-    x = mix(ids[:, None] + np.arange(1, WIDTH + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-    return (((x >> np.uint64(11)).astype(np.float64) / 2**53 - 0.5) * 12**0.5 * 0.1).astype(np.float32)
-
-
-def start(noise: np.ndarray) -> list[np.ndarray]:
-    """Context vectors, class vectors, position scales, biases: small, and at the unigram model."""
-    rng = np.random.default_rng(7)
-    return [rng.normal(0, 0.1, (CONTEXTS, WIDTH)).astype(np.float32), rng.normal(0, 0.1, (len(noise), WIDTH)).astype(np.float32),
-            np.ones((2, WIDTH), np.float32), np.log(noise).astype(np.float32)]
-
-
-class Group:
-    """A group's distinct tokens: class, context and path of each, and the ids and start odds of the nodes it uses.
-
-    `inner` tells the modelled ones of the tokens `h`; `head` is the hashes of the tokens that are classes, sorted, with counts and classes; `root` the log odds of the
-    modelled tokens against the tail, None where none are modelled.
+    Slots are numbered class by class, `members` to a class. `shared` and `kinds` are the occurrences and the distinct tokens
+    of each of the shared slots, which follow `own` in the order of dealing.
     """
 
-    def __init__(self, own, ending, h, c, inner, mask, odds, head, root):
-        self.count, self.target = np.zeros(len(own), np.int64), np.zeros(len(own), np.int64)
-        at = np.searchsorted(own, h)
-        self.count[at] = c
-        slot = np.minimum(np.searchsorted(head[0], own), max(len(head[0]) - 1, 0))
-        if len(head[0]):
-            known = head[0][slot] == own
-            self.count[known], self.target[known] = head[1][slot[known]], head[2][slot[known]]
-        self.ids, at = h[inner], at[inner]
-        self.context = np.where(self.target > 0, self.target, CLASSES + ending.astype(np.int64))
-        self.context[at] = CONTEXTS + np.arange(len(at))
-        tail = self.target == 0
-        tail[at] = False
-        self.tail = tail
-        bits = (mask[inner][:, None] >> np.arange(63, -1, -1, dtype=np.uint64) & np.uint64(1)).astype(bool)
-        token, depth = np.nonzero(bits)
-        of, d = self.ids[token], depth.astype(np.uint64)
-        node = np.uint64(1) << d | of >> np.uint64(1) >> (np.uint64(63) - d)
-        self.nodes, first, node = np.unique(np.append(node, np.uint64(0)), return_index=True, return_inverse=True)
-        node = node[:-1]
-        self.odds = np.append(odds, np.float32(0 if root is None else root))[first]
-        top = np.flatnonzero(self.target == 0) if root is not None else np.zeros(0, np.int64)
-        token = np.concatenate([top, at[token]])
-        order = np.argsort(token, kind="stable")
-        self.node = np.concatenate([np.zeros(len(top), np.int64), node])[order]
-        self.sign = np.concatenate([np.where(tail[top], -1, 1), (of >> (np.uint64(63) - d) & np.uint64(1)).astype(np.int64) * 2 - 1])[order].astype(np.float32)
-        self.length = np.bincount(token, minlength=len(own))
-        self.first = np.cumsum(self.length) - self.length
-
-    def path(self, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Node and sign of every decision on the tokens' paths, and which of `tokens` it belongs to."""
-        n = self.length[tokens]
-        whose = np.repeat(np.arange(len(tokens)), n)
-        at = np.arange(len(whose)) - np.repeat(np.cumsum(n) - n, n) + self.first[tokens][whose]
-        return self.node[at], self.sign[at], whose
-
-
-def _group(left: pa.Table, right: pa.Table, head, root) -> tuple[Group, np.ndarray, np.ndarray]:
-    """The group, the token numbers of all its texts and their bounds."""
-    flat = lambda name: left.column(name).combine_chunks().flatten()
-    right = right.sort_by("id").combine_chunks()
-    longs_of = lambda name: right.column(name).fill_null(0).to_numpy().view(np.uint64)
-    odds = right.column("odds").drop_null().combine_chunks()
-    odds = odds.flatten().to_numpy(zero_copy_only=False) if len(odds) else np.zeros(0, np.float32)
-    own = flat("own").to_numpy().view(np.uint64)
-    group = Group(own, np.frombuffer(left.column("ending")[0].as_py(), "u1"), longs_of("id"), right.column("c").to_numpy(),
-                  right.column("mask").is_valid().to_numpy(), longs_of("mask"), odds, head, root)
-    return group, np.frombuffer(left.column("code")[0].as_py(), "<u4").astype(np.int64), np.concatenate([[0], np.cumsum(flat("n").to_numpy())])
-
-
-def _before(group: Group, code: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    own: np.ndarray
+    count: np.ndarray
+    classes: int
+    members: int
+    shared: np.ndarray
+    kinds: np.ndarray
+
+    def __post_init__(self):
+        order = np.lexsort((self.own, -self.count))  # dealt to the classes by count, so that each has some common ones
+        dealt = np.empty(len(order), np.int64)
+        dealt[order] = np.arange(len(order))
+        by_hash = np.argsort(self.own)
+        self.own, self.count, self.place = self.own[by_hash], self.count[by_hash], self._slot(dealt[by_hash])
+        rest = self._slot(len(self.own) + np.arange(len(self.shared)))
+        mass, self.log_rest = np.zeros(self.classes * self.members), np.zeros(self.classes * self.members)
+        mass[self.place], mass[rest] = self.count, self.shared
+        self.log_rest[rest] = np.log10(self.shared + self.kinds + 1.0)
+        mass = (mass + 0.5) / (mass + 0.5).sum()
+        self.cum = np.cumsum(mass)
+        self.edge = np.concatenate([[0.0], self.cum[self.members - 1::self.members]])
+        self.class_p = mass.reshape(self.classes, -1).sum(1)
+        self.member_p = (mass.reshape(self.classes, -1) / self.class_p[:, None]).ravel()
+        self.class_cum = np.cumsum(self.class_p)
+
+    def _slot(self, dealt: np.ndarray) -> np.ndarray:
+        return dealt % self.classes * self.members + dealt // self.classes
+
+    def places(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Slot of each token, and its count where it has the slot for its own (else 0)."""
+        out = self._slot(len(self.own) + ((h >> np.uint64(40)) % np.uint64(len(self.shared))).astype(np.int64))
+        count = np.zeros(len(h), np.int64)
+        if len(self.own):
+            at = np.minimum(np.searchsorted(self.own, h), len(self.own) - 1)
+            mine = self.own[at] == h
+            out[mine], count[mine] = self.place[at[mine]], self.count[at[mine]]
+        return out, count
+
+    def start(self) -> list[np.ndarray]:
+        """Vectors of contexts (the last one precedes a text), members, classes and positions: small, at the unigram model.
+
+        Members' and classes' last entries are biases.
+        """
+        rng = np.random.default_rng(7)
+        small = lambda n: rng.normal(0, 0.1, (n, WIDTH)).astype(np.float32)
+        biased = lambda p: np.concatenate([small(len(p)), np.log(p)[:, None].astype(np.float32)], 1)
+        return [small(len(self.cum) + 1), biased(self.member_p), biased(self.class_p), np.ones((2, WIDTH), np.float32)]
+
+
+def _before(place: np.ndarray, bounds: np.ndarray, start: int) -> tuple[np.ndarray, np.ndarray]:
     """Contexts of every token: the one before it and the one before that."""
-    context = group.context[code]
-    one, two = np.full(len(code), START), np.full(len(code), START)
-    one[1:], two[2:] = context[:-1], context[:-2]
-    one[bounds[:-1]] = START
-    two[bounds[:-1]] = START
-    two[bounds[:-1][np.diff(bounds) > 1] + 1] = START
+    one, two = np.full(len(place), start), np.full(len(place), start)
+    one[1:], two[2:] = place[:-1], place[:-2]
+    one[bounds[:-1]] = start
+    two[bounds[:-1]] = start
+    two[bounds[:-1][np.diff(bounds) > 1] + 1] = start
     return one, two
 
 
@@ -244,156 +149,199 @@ def _sure(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(np.clip(x, -30, 30)))
 
 
-def train_step(p: list[np.ndarray], power: list[np.ndarray], group: Group, token, one, two, noise: np.ndarray, drawn: np.ndarray) -> None:
-    """One step on a batch of tokens: classes against noise that all of them share, then the decisions on their paths."""
-    r, q, scale, bias, nodes = p
-    a, b, target = r[one], r[two], group.target[token]
+def train_step(p: list[np.ndarray], power: list[np.ndarray], space: Space, token, one, two, rng) -> np.ndarray:
+    """One step on a batch: classes against noise that all tokens share, members against noise from their class.
+
+    Gives back the slots whose members it moved.
+    """
+    r, members, classes, scale = p
+    a, b, own = r[one], r[two], token // space.members
     u = a * scale[0] + b * scale[1]
-    shift = bias - np.log(NOISE * noise)
-    up = _sure((u * q[target]).sum(1) + shift[target])  # how far the data's class is from certain
-    down = -_sure(-(u @ q[drawn].T + shift[drawn]))
-    du = up[:, None] * q[target] + down @ q[drawn]
-    classes = np.concatenate([target, drawn])
-    dq = np.concatenate([up[:, None] * u, down.T @ u])
-    db = np.concatenate([up, down.sum(0)])
-    node, sign, whose = group.path(token)
-    if len(node):
-        v, x = nodes[node], u[whose]
-        off = sign * _sure(sign * ((v[:, :-1] * x).sum(1) + v[:, -1]))
-        rows = off[:, None] * np.concatenate([x, np.ones((len(x), 1), np.float32)], 1)
-        at = np.flatnonzero(np.concatenate([[True], whose[1:] != whose[:-1]]))
-        du[whose[at]] += np.add.reduceat(off[:, None] * v[:, :-1], at)
-        _move(nodes, power[4], node, rows)
-    _move(q, power[1], classes, dq)
-    _move(bias, power[3], classes, db)
+    wide = np.concatenate([u, np.ones((len(u), 1), np.float32)], 1)
+
+    drawn = np.minimum(np.searchsorted(space.class_cum, rng.random(NOISE)), space.classes - 1)
+    odds = np.log(NOISE * space.class_p).astype(np.float32)
+    up = _sure((wide * classes[own]).sum(1) - odds[own])  # how far the data's class is from certain
+    down = -_sure(-(wide @ classes[drawn].T - odds[drawn]))
+    du = up[:, None] * classes[own][:, :-1] + down @ classes[drawn][:, :-1]
+
+    low = space.edge[own]
+    at = low[:, None] + rng.random((len(token), DRAWS)) * (space.edge[own + 1] - low)[:, None]
+    noise = np.clip(np.searchsorted(space.cum, at), (own * space.members)[:, None], ((own + 1) * space.members - 1)[:, None])
+    slots = np.concatenate([token[:, None], noise], 1)
+    v = members[slots]
+    score = np.matmul(v, wide[:, :, None])[:, :, 0] - np.log(DRAWS * space.member_p[slots]).astype(np.float32)
+    off = -_sure(-score)
+    off[:, 0] += 1
+    du += np.matmul(off[:, None, :], v[:, :, :-1])[:, 0]
+
+    _move(members, power[1], slots.ravel(), (off[:, :, None] * wide[:, None, :]).reshape(-1, WIDTH + 1))
+    _move(classes, power[2], np.concatenate([own, drawn]), np.concatenate([up[:, None] * wide, down.T @ wide]))
     _move(r, power[0], np.concatenate([one, two]), np.concatenate([du * scale[0], du * scale[1]]))
     ds = np.stack([(du * a).sum(0), (du * b).sum(0)])
-    power[2] += ds * ds
-    scale += RATE * ds / np.sqrt(power[2])
-
-
-VECTORS = "g long, kind int, id long, w double, x array<float>"
-
-
-def train_group(left: pa.Table, right: pa.Table, noise: np.ndarray, head, root) -> pa.Table:
-    """One pass over the training tokens of a group; every vector it uses, with the tokens that moved it as weight."""
-    group, code, bounds = _group(left, right, head, root)
-    p = start(noise)
-    p[0] = np.concatenate([p[0], unit(group.ids)])
-    p.append(np.concatenate([np.zeros((len(group.nodes), WIDTH), np.float32), group.odds[:, None]], 1).astype(np.float32))
-    power = [np.full(x.shape, 0.1, np.float32) for x in p]
-    one, two = _before(group, code, bounds)
-    learnt = np.flatnonzero(np.repeat(~left.column("held_out").combine_chunks().flatten().to_numpy(zero_copy_only=False), np.diff(bounds)))
-    rng, light = np.random.default_rng(11), noise.astype(np.float32)
-    rng.shuffle(learnt)
-    for a in range(0, len(learnt), BATCH):
-        at = learnt[a:a + BATCH]
-        train_step(p, power, group, code[at], one[at], two[at], light, rng.choice(len(noise), NOISE, p=noise))
-    least = 1e-6  # what no token moved is at its start in every group
-    used = np.bincount(one[learnt], minlength=len(p[0])) + np.bincount(two[learnt], minlength=len(p[0])) + least
-    uses = np.bincount(code[learnt], minlength=len(group.length))
-    passed = np.bincount(group.node, np.repeat(uses, group.length), len(group.nodes)) + least
-    wide = lambda x: np.concatenate([x, np.zeros((len(x), 1), np.float32)], 1)
-    all_of = np.full(max(CONTEXTS, len(noise)), len(learnt) + least)
-    parts = [(CONTEXT, group.ids, used[CONTEXTS:], wide(p[0][CONTEXTS:])), (NODE, group.nodes, passed, p[4]),
-             (FIXED, np.arange(CONTEXTS), used[:CONTEXTS], wide(p[0][:CONTEXTS])),
-             (CLASS, np.arange(len(noise)), all_of[:len(noise)], np.concatenate([p[1], p[3][:, None]], 1)), (SCALE, np.arange(2), all_of[:2], wide(p[2]))]
-    rows = np.concatenate([x for *_, x in parts])
-    return pa.table({
-        "g": pa.array(np.full(len(rows), left.column("g")[0].as_py(), np.int64)), "kind": pa.array(np.repeat([k for k, *_ in parts], [len(x) for *_, x in parts]).astype(np.int32)),
-        "id": longs(np.concatenate([i.astype(np.uint64) for _, i, *_ in parts])), "w": pa.array(np.concatenate([w for *_, w, _ in parts])),
-        "x": lists(rows.ravel(), np.arange(len(rows) + 1) * (WIDTH + 1), pa.float32())})
-
-
-def class_log10(p: list[np.ndarray], target, one, two, step: int = 4096) -> np.ndarray:
-    """log10 of the normalised class probability of each token; equal contexts are normalised once."""
-    r, q, scale, bias = p[:4]
-    pair, at = np.unique(one * len(r) + two, return_inverse=True)
-    u = r[pair // len(r)] * scale[0] + r[pair % len(r)] * scale[1]
-    z = np.empty(len(pair), np.float64)
-    for a in range(0, len(pair), step):
-        s = u[a:a + step] @ q.T + bias
-        top = s.max(1)
-        s -= top[:, None]
-        np.exp(s, out=s)
-        z[a:a + step] = top + np.log(s.sum(1, dtype=np.float64))
-    return ((u[at] * q[target]).sum(1, dtype=np.float64) + bias[target] - z[at]) / np.log(10)
-
-
-def token_log10(p: list[np.ndarray], group: Group, token, one, two, tail: float) -> np.ndarray:
-    """log10 of the probability of each token; `tail` is what the tail's add-one shares add up to."""
-    r, _, scale, _, nodes = p
-    out = class_log10(p, group.target[token], one, two)
-    node, sign, whose = group.path(token)
-    u = (r[one] * scale[0] + r[two] * scale[1])[whose]
-    v = nodes[node]
-    score = sign * ((v[:, :-1] * u).sum(1) + v[:, -1]).astype(np.float64)
-    out -= np.bincount(whose, np.logaddexp(0, -score), len(token)) / np.log(10)
-    return out + np.where(group.tail[token], np.log10((group.count[token] + 1.0) / tail), 0.0)
-
-
-def score_group(left: pa.Table, right: pa.Table, p: list[np.ndarray], head, root, tail: float, total: int) -> pa.Table:
-    kind = right.column("kind").to_numpy()
-    group, code, bounds = _group(left, right.filter(pa.array(kind == COUNTS)), head, root)
-    vectors = {}
-    for k, ids in ((CONTEXT, group.ids), (NODE, group.nodes)):
-        rows = right.filter(pa.array(kind == k)).combine_chunks()
-        x = rows.column("x").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, WIDTH + 1) if rows.num_rows else np.zeros((0, WIDTH + 1), np.float32)
-        of = rows.column("id").to_numpy().view(np.uint64)
-        order = np.argsort(of)
-        vectors[k] = x[order][np.searchsorted(of[order], ids)] if len(ids) else x
-    p = [np.concatenate([p[0], vectors[CONTEXT][:, :-1]]), *p[1:], vectors[NODE]]
-    one, two = _before(group, code, bounds)
-    logs = np.concatenate([token_log10(p, group, code[a:a + TOKENS], one[a:a + TOKENS], two[a:a + TOKENS], tail) for a in range(0, len(code), TOKENS)])
-    add = lambda x: np.add.reduceat(x, bounds[:-1])  # noqa: E731  each text has its end at least
-    known = group.count[code]
-    columns = {c: left.column(c).combine_chunks().flatten() for c in ("doc_id", "held_out")}
-    return pa.table(columns | {"n_tokens": pa.array(np.diff(bounds)), "n_known": pa.array(add((known > 0).astype(np.int64))),
-                               "base_score": pa.array(add(np.log10((known + 1.0) / total))), "score": pa.array(add(logs))})
-
-
-def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", classes: int = CLASSES, min_count: int = MIN_COUNT) -> DataFrame:
+    power[3] += ds * ds
+    scale += RATE * ds / np.sqrt(power[3])
+    return slots.ravel()
+
+
+VECTORS = "kind int, id long, w double, x array<float>"
+
+
+def train(batches, space: Space, first: list[np.ndarray]):
+    """One pass over a task's texts; the vectors it moved, with the steps that moved each as weight."""
+    def anew():
+        return ([x.copy() for x in first], [np.full(x.shape, 0.1, np.float32) for x in first],
+                [np.zeros(len(x)) for x in first], np.random.default_rng(11))
+
+    def flush():
+        for kind, (x, w) in enumerate(zip(p, used)):
+            at = np.flatnonzero(w)
+            x = x[at] if x.shape[1] > WIDTH else np.concatenate([x[at], np.zeros((len(at), 1), np.float32)], 1)
+            for a in range(0, len(at), 1 << 14):
+                n = len(at[a:a + (1 << 14)])
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(np.full(n, kind, np.int32)), pa.array(at[a:a + n]), pa.array(w[at[a:a + n]]),
+                    lists(x[a:a + n].ravel(), np.arange(n + 1) * (WIDTH + 1), pa.float32())], names=["kind", "id", "w", "x"])
+
+    (p, power, used, rng), done = anew(), 0
+    for batch in batches:
+        for part in blocks(batch):
+            h, bounds = _tokens(part.column("text"))
+            place, _ = space.places(h)
+            one, two = _before(place, bounds, len(space.cum))
+            order = rng.permutation(len(place))
+            for a in range(0, len(order), BATCH):
+                at = order[a:a + BATCH]
+                moved = train_step(p, power, space, place[at], one[at], two[at], rng)
+                used[MEMBER] += np.bincount(moved, minlength=len(used[MEMBER]))
+            used[CONTEXT] += np.bincount(one, minlength=len(used[CONTEXT])) + np.bincount(two, minlength=len(used[CONTEXT]))
+            used[CLASS] += len(place)
+            used[SCALE] += len(place)
+            done += len(place)
+            if done >= HANDOVER:
+                yield from flush()
+                (p, power, used, rng), done = anew(), 0
+    if done:
+        yield from flush()
+
+
+def _softmax_log10(u: np.ndarray, matrix: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+    """log10 of the normalised probability of the chosen row of `matrix` (bias last) in each context."""
+    s = u @ matrix[:, :-1].T
+    s += matrix[:, -1]
+    s -= s.max(1, keepdims=True)
+    mine = s[np.arange(len(s)), chosen].astype(np.float64)
+    np.exp(s, out=s)
+    return (mine - np.log(s.sum(1, dtype=np.float64))) / np.log(10)
+
+
+def slot_log10(p: list[np.ndarray], space: Space, place, one, two) -> np.ndarray:
+    """log10 of the probability of each token's slot: its class, and its place inside."""
+    r, members, classes, scale = p
+    u = r[one] * scale[0] + r[two] * scale[1]
+    own, out = place // space.members, np.empty(len(place), np.float64)
+    for a in range(0, len(place), 4096):
+        out[a:a + 4096] = _softmax_log10(u[a:a + 4096], classes, own[a:a + 4096])
+    order = np.argsort(own, kind="stable")
+    cuts = np.searchsorted(own[order], np.arange(space.classes + 1))
+    for c in np.flatnonzero(np.diff(cuts)):
+        inside = members[c * space.members:(c + 1) * space.members]
+        for a in range(cuts[c], cuts[c + 1], 4096):
+            at = order[a:min(a + 4096, cuts[c + 1])]
+            out[at] += _softmax_log10(u[at], inside, place[at] % space.members)
+    return out
+
+
+def score(batches, space: Space, p: list[np.ndarray], total: int):
+    """Per text what the tokens with slots of their own give, and the hashes of all others, repeats included."""
+    for batch in batches:
+        for part in blocks(batch):
+            h, bounds = _tokens(part.column("text"))
+            place, count = space.places(h)
+            one, two = _before(place, bounds, len(space.cum))
+            logs = np.concatenate([slot_log10(p, space, place[a:a + TOKENS], one[a:a + TOKENS], two[a:a + TOKENS])
+                                   for a in range(0, len(place), TOKENS)])
+            tail = count == 0
+            add = lambda x: np.add.reduceat(x, bounds[:-1])  # noqa: E731  each text has its end at least
+            yield pa.RecordBatch.from_arrays([
+                part.column("row"), part.column("doc_id"), part.column("held_out"), pa.array(np.diff(bounds)),
+                pa.array(add((~tail).astype(np.int64))), pa.array(add(np.log10((count + 1.0) / total))),
+                pa.array(add(logs - space.log_rest[place])),
+                lists(h[tail].view(np.int64), np.concatenate([[0], np.cumsum(tail)])[bounds], pa.int64()),
+            ], names=["row", "doc_id", "held_out", "n_tokens", "n_known", "base_score", "score", "tail"])
+
+
+@dataclass
+class Model:
+    space: Space
+    vectors: list[np.ndarray]
+    #: Training tokens, distinct ones, and the table (h, c) of those that share slots.
+    n: int
+    v: int
+    rest: DataFrame
+
+
+def fit(texts: DataFrame, slots: int = SLOTS, min_count: int = MIN_COUNT, rounds: int = ROUNDS) -> Model:
+    """The model of a frame with the column `text`."""
+    spark = texts.sparkSession
+    counts = cut_lineage(texts.mapInArrow(_counts, "h long, c long").groupBy("h").agg(F.sum("c").alias("c")))
+    sums = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
+    # Tokens from the commonest down by parts of an octave, as many whole parts as there are slots for.
+    step, often = F.floor(F.log2("c") * OCTAVE), F.col("c") >= min_count
+    sizes = counts.where(often).groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("n")).collect()  # at most 64 octaves
+    least, taken = None, 0
+    for s in sorted(sizes, key=lambda s: -s["step"]):
+        if taken + s["n"] > slots * OWN_SHARE:
+            break
+        least, taken = s["step"], taken + s["n"]
+    mine = often & (step >= least) if least is not None else F.lit(False)
+    own = counts.where(mine).toArrow()  # at most OWN_SHARE of the slots
+    rest = counts.where(~mine)
+    bits = min(int(np.log2(slots)), max(4, int(np.ceil(np.log2(max(taken, sums["v"] / 8, 1) / OWN_SHARE + 1)))))
+    classes, members = 1 << (bits + 1) // 2, 1 << bits // 2
+    free = classes * members - taken
+    shared, kinds = np.zeros(free), np.zeros(free)
+    parts = rest.groupBy((F.shiftrightunsigned("h", 40) % free).alias("slot")).agg(F.sum("c").alias("c"), F.count(F.lit(1)).alias("n")).toArrow()
+    at = parts.column("slot").to_numpy().astype(np.int64)
+    shared[at], kinds[at] = parts.column("c").to_numpy(), parts.column("n").to_numpy()
+    space = Space(own.column("h").to_numpy().view(np.uint64).copy(), own.column("c").to_numpy().copy(), classes, members, shared, kinds)
+
+    p = space.start()
+    for _ in range(rounds):
+        given = spark.sparkContext.broadcast((space, p))  # of bounded size
+        moved = texts.mapInArrow(lambda batches, given=given: train(batches, *given.value), VECTORS)
+        means = [F.sum(F.col("w") * F.col("x")[j]) / F.sum("w") for j in range(WIDTH + 1)]
+        learnt = moved.groupBy("kind", "id").agg(F.array(*means).cast("array<float>").alias("x")).toArrow()
+        p = [x.copy() for x in p]
+        if learnt.num_rows:
+            kind, at = learnt.column("kind").to_numpy(), learnt.column("id").to_numpy()
+            x = learnt.column("x").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, WIDTH + 1)
+            for k in range(len(p)):
+                p[k][at[kind == k]] = x[kind == k][:, :p[k].shape[1]]
+    return Model(space, p, sums["n"], sums["v"], rest)
+
+
+def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", slots: int = SLOTS, min_count: int = MIN_COUNT,
+                rounds: int = ROUNDS) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every document, one row per row.
 
     Documents whose crc32 of the id as text is HELD_OUT modulo FOLDS are scored but not learnt from. A null text counts
     as empty and is its end token; a null id counts as the empty text for the fold; repeated rows count each. An empty
     table gives no rows, one without training documents the uniform scores of no counts; further columns are ignored.
     """
-    spark = docs.sparkSession
     fold = F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit(""))) % FOLDS
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("doc_id"), (fold == HELD_OUT).alias("held_out"), F.col(text_col).alias("text"))
-    counts = cut_lineage(rows.where("not held_out").select("text").mapInArrow(_counts, "h long, c long").groupBy("h").agg(F.sum("c").alias("c")))
-    top = counts.orderBy(F.desc("c"), "h").limit(min(classes, CLASSES) - 1).toArrow()
-    h, c = top.column("h").to_numpy().view(np.uint64), top.column("c").to_numpy()
-    least = (int(c[-1]), int(h.view(np.int64)[-1])) if len(h) else (0, 0)
-    rest = counts.where((F.col("c") < least[0]) | ((F.col("c") == least[0]) & (F.col("h") > least[1])))
-    many = F.col("c") >= min_count
-    sums = rest.agg(F.coalesce(F.sum(F.when(many, F.col("c"))), F.lit(0)).alias("inner"), F.count_if(many).alias("v_inner"),
-                    F.coalesce(F.sum(F.when(~many, F.col("c"))), F.lit(0)).alias("tail"), F.count_if(~many).alias("v_tail")).first()
-    n, v = int(c.sum()) + sums["inner"] + sums["tail"], len(h) + sums["v_inner"] + sums["v_tail"]
-    noise = np.concatenate([[sums["inner"] + sums["tail"]], c]) + 0.5
-    noise = noise / noise.sum()
-    root = float(np.log((sums["inner"] + 0.5) / (sums["tail"] + 0.5))) if sums["v_inner"] else None
-    tail = float(sums["tail"] + sums["v_tail"] + 1)
-    order = np.argsort(h)
-    head = (h[order], c[order], order + 1)  # fewer than CLASSES
-
-    kind = rows.schema["doc_id"].dataType.simpleString()
-    groups = cut_lineage(rows.mapInArrow(_grouped, GROUPS.format(id=kind)))
-    found = groups.select("g", F.explode("own").alias("h")).join(vocabulary(rest, min_count), "h")
-    found = cut_lineage(found.select("g", F.lit(COUNTS).alias("kind"), F.col("h").alias("id"), "c", "mask", "odds"))
-    moved = cut_lineage(groups.groupBy("g").cogroup(found.groupBy("g")).applyInArrow(lambda a, b: train_group(a, b, noise, head, root), VECTORS))
-    means = [F.sum(F.col("w") * F.col("x")[j]) / F.sum("w") for j in range(WIDTH + 1)]
-    learnt = cut_lineage(moved.groupBy("kind", "id").agg(F.array(*means).cast("array<float>").alias("x")))
-    p = start(noise)
-    for r in learnt.where(F.col("kind") >= FIXED).collect():  # of fixed size
-        k, i, x = r["kind"], r["id"], np.array(r["x"], np.float32)
-        p[{FIXED: 0, CLASS: 1, SCALE: 2}[k]][i] = x[:-1]
-        if k == CLASS:
-            p[3][i] = x[-1]
-    vectors = moved.where(F.col("kind") < FIXED).select("g", "kind", "id").join(learnt, ["kind", "id"])
-    given = found.withColumn("x", F.lit(None).cast("array<float>")).unionByName(vectors, allowMissingColumns=True)
-    shared = spark.sparkContext.broadcast(p)  # of fixed size
-    scored = groups.groupBy("g").cogroup(given.groupBy("g")).applyInArrow(
-        lambda a, b: score_group(a, b, shared.value, head, root, tail, n + v + 1), f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, base_score double, score double")
-    return scored.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"), "base_score", "score")
+    model = fit(rows.where("not held_out").select("text"), slots, min_count, rounds)
+    kind, total = rows.schema["doc_id"].dataType.simpleString(), model.n + model.v + 1
+    given = docs.sparkSession.sparkContext.broadcast((model.space, model.vectors))  # of bounded size
+    scored = cut_lineage(rows.mapInArrow(
+        lambda batches: score(batches, *given.value, total),
+        f"row long, doc_id {kind}, held_out boolean, n_tokens long, n_known long, base_score double, score double, tail array<long>"))
+    # What training texts never hold adds nothing to either sum; the others are no hot keys, being rare in training.
+    met = scored.select("row", F.explode("tail").alias("h")).join(model.rest, "h").groupBy("row").agg(
+        F.count(F.lit(1)).alias("_known"), F.sum(F.log10(F.col("c") + 1.0)).alias("_more"))
+    more = F.coalesce("_more", F.lit(0.0))
+    return scored.join(met, "row", "left").select(
+        "doc_id", "held_out", "n_tokens", (F.col("n_known") + F.coalesce("_known", F.lit(0))).alias("n_known"),
+        F.lit(model.n).cast("long").alias("train_tokens"), (F.col("base_score") + more).alias("base_score"),
+        (F.col("score") + more).alias("score"))

@@ -9,7 +9,9 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from marketlens.llm import lines, lm, mixture, neardup, packing, quality, queries, suffixes, topk, toxicity, urls
 
@@ -175,40 +177,55 @@ def test_lm(docs, empty):
 
 
 def test_lm_is_normalised():
-    noise = np.full(lm.CLASSES, 1 / lm.CLASSES)
-    p = lm.start(noise)
-    every = np.arange(lm.CLASSES)
-    total = 10 ** lm.class_log10(p, every, np.full(lm.CLASSES, 3), np.full(lm.CLASSES, lm.START))
-    assert math.isclose(total.sum(), 1, rel_tol=1e-5)
-
+    """Slots of their own and shared ones, with the share of what was never met, add up to 1 in any context."""
+    r = np.random.default_rng(8)
+    own = np.unique(r.integers(1, 1 << 63, 40, dtype=np.uint64))
+    space = lm.Space(own, r.integers(5, 90, len(own)), 8, 8, r.integers(0, 9, 64 - len(own)).astype(float), np.ones(64 - len(own)))
+    p = [x + r.normal(0, 1, x.shape).astype(np.float32) for x in space.start()]
+    assert sorted({*space.places(own)[0]}) == sorted(space.place) and len({*space.place}) == len(own)
+    for one, two in ((3, 64), (64, 64), (5, 9)):
+        logs = lm.slot_log10(p, space, np.arange(64), np.full(64, one), np.full(64, two))
+        assert math.isclose((10 ** logs).sum(), 1, rel_tol=1e-5)
 
-@pytest.mark.parametrize("modelled", [0, 1, 40])
-def test_lm_tree_is_normalised_and_knows_its_context(modelled):
-    """Over classes, modelled tokens, tail and unseen: a sum of 1 in any context; modelled tokens are told apart by context."""
-    import pyarrow as pa
 
-    r = np.random.default_rng(8)
-    own = np.unique(r.integers(1, 1 << 63, 60, dtype=np.uint64) * np.uint64(2) + np.uint64(1))
-    c = np.where(np.arange(60) < 10 + modelled, 9, 2)
-    rest = own[10:]
-    tree = lm._subtree(pa.table({"h": lm.longs(rest[:modelled]), "c": pa.array(c[10:10 + modelled])}), 0, None) if modelled else None
-    mask = np.zeros(50, np.uint64)
-    odds = np.zeros(0, np.float32)
-    if modelled:
-        mask[:modelled] = tree.column("mask").to_numpy().view(np.uint64)
-        odds = tree.column("odds").combine_chunks().flatten().to_numpy()
-    group = lm.Group(own, np.zeros(60, "u1"), rest, c[10:], np.arange(50) < modelled, mask, odds, (own[:10], c[:10], np.arange(1, 11)), 0.3 if modelled else None)
-    p = [x + r.normal(0, 1, x.shape).astype(np.float32) for x in lm.start(np.full(11, 1 / 11))]
-    p[0] = np.concatenate([p[0], r.normal(0, 1, (modelled, lm.WIDTH)).astype(np.float32)])
-    p.append(r.normal(0, 1, (len(group.nodes), lm.WIDTH + 1)).astype(np.float32))
-    tail = float((c[10 + modelled:] + 1).sum() + 1)
-    given = []
-    for context in (3, lm.START):
-        logs = lm.token_log10(p, group, np.arange(60), np.full(60, context), np.full(60, 5), tail)
-        unseen = 10 ** logs[-1] / (c[-1] + 1)
-        assert math.isclose((10 ** logs).sum() + unseen, 1, rel_tol=1e-5)
-        given.append(logs - lm.class_log10(p, group.target, np.full(60, context), np.full(60, 5)))
-    assert np.all(np.abs(given[0] - given[1])[10:10 + modelled] > 1e-6)
+def test_lm_score_equals_a_plain_sum(spark):
+    """Each token's probability worked out by itself; blocks of texts and steps of tokens make no difference."""
+    r = np.random.default_rng(3)
+    vocabulary = [f"w{i}" for i in range(60)]
+    rows = [(i, " ".join(vocabulary[int(x)] for x in r.zipf(1.4, 30) % 60)) for i in range(60)] + [(60, "never met before"), (61, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {x["doc_id"]: x["score"] for x in lm.score_texts(docs, slots=64, min_count=4).collect()}
+    learnt = docs.where(F.crc32(F.col("doc_id").cast("string")) % 7 != 2).select("text")
+    model = lm.fit(learnt, slots=64, min_count=4)
+    space, (c, m, k, scale) = model.space, [x.astype(float) for x in model.vectors]
+    rest = {x["h"]: x["c"] for x in model.rest.collect()}
+    assert rest and len(space.own)
+    for i, text in rows:
+        h, _ = lm._tokens(pa.array([text], pa.string()))
+        place, count = space.places(h)
+        total, before = 0.0, [len(space.cum)] * 2
+        for token, slot, n in zip(h.view(np.int64).tolist(), place.tolist(), count.tolist()):
+            u = c[before[1]] * scale[0] + c[before[0]] * scale[1]
+            for matrix, at in ((k, slot // space.members), (m[slot // space.members * space.members:][:space.members], slot % space.members)):
+                e = np.exp(matrix[:, :-1] @ u + matrix[:, -1])
+                total += math.log10(e[at] / e.sum())
+            if not n:
+                total += math.log10(rest.get(token, 0) + 1) - space.log_rest[slot]
+            before = [before[1], slot]
+        assert math.isclose(got[i], total, rel_tol=1e-4)
+
+
+def test_lm_learns_from_context(spark, monkeypatch):
+    """Texts of fixed word order score far above their unigrams, held-out ones too, also when tasks hand over often."""
+    monkeypatch.setattr(lm, "HANDOVER", 1 << 12)
+    r = np.random.default_rng(5)
+    texts = []
+    for i in range(600):
+        x = int(r.integers(0, 50))
+        texts.append((i, " ".join(f"t{(x + j) % 50}" for j in range(40))))
+    docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(2)
+    held = lm.score_texts(docs).where("held_out").agg(F.sum("score"), F.sum("base_score")).first()
+    assert held[0] > 0.6 * held[1]
 
 
 def test_packing(docs, empty):
