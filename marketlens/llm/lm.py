@@ -27,10 +27,10 @@ from marketlens.sizing import cut_lineage
 SLOTS, OWN_SHARE, WIDTH = 1 << 16, 0.75, 16
 #: Tokens of fewer training occurrences have no slot of their own.
 MIN_COUNT = 5
-#: Tokens of a step, noise classes that a step shares, noise members of each token, rate, rounds of averaging.
-BATCH, NOISE, DRAWS, RATE, ROUNDS = 4096, 48, 6, 0.07, 2
+#: Tokens of a step at most, noise that a step shares, rate, rounds of averaging.
+BATCH, NOISE, RATE, ROUNDS = 4096, 48, 0.07, 2
 #: Tokens scored at a time; tokens after which a task hands over its vectors and starts again.
-TOKENS, HANDOVER = 1 << 16, 1 << 25
+TOKENS, HANDOVER = 1 << 18, 1 << 25
 #: Parts of an octave by which counts are ranked for the slots of their own.
 OCTAVE = 32
 #: Kinds of vectors: contexts, members, classes, positions.
@@ -94,11 +94,10 @@ class Space:
         mass[self.place], mass[rest] = self.count, self.shared
         self.log_rest[rest] = np.log10(self.shared + self.kinds + 1.0)
         mass = (mass + 0.5) / (mass + 0.5).sum()
-        self.cum = np.cumsum(mass)
-        self.edge = np.concatenate([[0.0], self.cum[self.members - 1::self.members]])
         self.class_p = mass.reshape(self.classes, -1).sum(1)
         self.member_p = (mass.reshape(self.classes, -1) / self.class_p[:, None]).ravel()
         self.class_cum = np.cumsum(self.class_p)
+        self.before = int(self.places(np.array([END]))[0][0])
 
     def _slot(self, dealt: np.ndarray) -> np.ndarray:
         return dealt % self.classes * self.members + dealt // self.classes
@@ -114,14 +113,14 @@ class Space:
         return out, count
 
     def start(self) -> list[np.ndarray]:
-        """Vectors of contexts (the last one precedes a text), members, classes and positions: small, at the unigram model.
+        """Vectors of contexts, members, classes and positions: small, at the unigram model. An end precedes each text.
 
         Members' and classes' last entries are biases.
         """
         rng = np.random.default_rng(7)
         small = lambda n: rng.normal(0, 0.1, (n, WIDTH)).astype(np.float32)
         biased = lambda p: np.concatenate([small(len(p)), np.log(p)[:, None].astype(np.float32)], 1)
-        return [small(len(self.cum) + 1), biased(self.member_p), biased(self.class_p), np.ones((2, WIDTH), np.float32)]
+        return [small(len(self.member_p)), biased(self.member_p), biased(self.class_p), np.ones((2, WIDTH), np.float32)]
 
 
 def _before(place: np.ndarray, bounds: np.ndarray, start: int) -> tuple[np.ndarray, np.ndarray]:
@@ -136,7 +135,7 @@ def _before(place: np.ndarray, bounds: np.ndarray, start: int) -> tuple[np.ndarr
 
 def _move(x: np.ndarray, power: np.ndarray, index: np.ndarray, rows: np.ndarray) -> None:
     """AdaGrad step of the indexed rows by their summed gradients."""
-    order = np.argsort(index, kind="stable")
+    order = np.argsort(index.astype(np.uint16) if len(x) <= 1 << 16 else index, kind="stable")  # short keys sort by digits
     index = index[order]
     at = np.flatnonzero(np.concatenate([[True], index[1:] != index[:-1]]))
     g, k = np.add.reduceat(rows[order], at), index[at]
@@ -146,42 +145,54 @@ def _move(x: np.ndarray, power: np.ndarray, index: np.ndarray, rows: np.ndarray)
 
 
 def _sure(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(np.clip(x, -30, 30)))
+    x = np.exp(np.minimum(x, 30))
+    x += 1
+    return np.reciprocal(x, out=x)
 
 
-def train_step(p: list[np.ndarray], power: list[np.ndarray], space: Space, token, one, two, rng) -> np.ndarray:
-    """One step on a batch: classes against noise that all tokens share, members against noise from their class.
+def _contrast(wide: np.ndarray, matrix: np.ndarray, power: np.ndarray, noise_p: np.ndarray, target, drawn) -> np.ndarray:
+    """One NCE step of a softmax: the rows of `matrix` (bias last) that are meant or drawn, against noise that all tokens share.
 
-    Gives back the slots whose members it moved.
+    Moves the matrix and gives back the gradient of the contexts.
     """
+    odds = np.log(len(drawn) * noise_p).astype(np.float32)
+    mine, others = matrix[target], matrix[drawn]
+    up = _sure((wide * mine).sum(1) - odds[target])  # how far the data is from certain
+    down = wide @ others.T
+    down -= odds[drawn]
+    down = -_sure(-down)
+    du = up[:, None] * mine[:, :-1] + down @ others[:, :-1]
+    _move(matrix, power, np.concatenate([target, drawn]), np.concatenate([up[:, None] * wide, down.T @ wide]))
+    return du
+
+
+def train_block(p: list[np.ndarray], power: list[np.ndarray], space: Space, place, one, two, rng) -> None:
+    """One pass over a block: all tokens' classes in batches of random order, then class by class the members inside."""
     r, members, classes, scale = p
-    a, b, own = r[one], r[two], token // space.members
-    u = a * scale[0] + b * scale[1]
-    wide = np.concatenate([u, np.ones((len(u), 1), np.float32)], 1)
-
-    drawn = np.minimum(np.searchsorted(space.class_cum, rng.random(NOISE)), space.classes - 1)
-    odds = np.log(NOISE * space.class_p).astype(np.float32)
-    up = _sure((wide * classes[own]).sum(1) - odds[own])  # how far the data's class is from certain
-    down = -_sure(-(wide @ classes[drawn].T - odds[drawn]))
-    du = up[:, None] * classes[own][:, :-1] + down @ classes[drawn][:, :-1]
-
-    low = space.edge[own]
-    at = low[:, None] + rng.random((len(token), DRAWS)) * (space.edge[own + 1] - low)[:, None]
-    noise = np.clip(np.searchsorted(space.cum, at), (own * space.members)[:, None], ((own + 1) * space.members - 1)[:, None])
-    slots = np.concatenate([token[:, None], noise], 1)
-    v = members[slots]
-    score = np.matmul(v, wide[:, :, None])[:, :, 0] - np.log(DRAWS * space.member_p[slots]).astype(np.float32)
-    off = -_sure(-score)
-    off[:, 0] += 1
-    du += np.matmul(off[:, None, :], v[:, :, :-1])[:, 0]
-
-    _move(members, power[1], slots.ravel(), (off[:, :, None] * wide[:, None, :]).reshape(-1, WIDTH + 1))
-    _move(classes, power[2], np.concatenate([own, drawn]), np.concatenate([up[:, None] * wide, down.T @ wide]))
-    _move(r, power[0], np.concatenate([one, two]), np.concatenate([du * scale[0], du * scale[1]]))
-    ds = np.stack([(du * a).sum(0), (du * b).sum(0)])
-    power[3] += ds * ds
-    scale += RATE * ds / np.sqrt(power[3])
-    return slots.ravel()
+
+    def step(at, contrast):
+        a, b = r[one[at]], r[two[at]]
+        wide = np.ones((len(at), WIDTH + 1), np.float32)
+        wide[:, :-1] = a * scale[0] + b * scale[1]
+        du = contrast(wide, at)
+        _move(r, power[0], np.concatenate([one[at], two[at]]), np.concatenate([du * scale[0], du * scale[1]]))
+        ds = np.stack([(du * a).sum(0), (du * b).sum(0)])
+        power[3][:] += ds * ds
+        scale[:] += RATE * ds / np.sqrt(power[3])
+
+    own, inside = place // space.members, place % space.members
+    order = rng.permutation(len(place))
+    for i in range(0, len(order), BATCH):
+        drawn = np.minimum(np.searchsorted(space.class_cum, rng.random(NOISE)), space.classes - 1)
+        step(order[i:i + BATCH], lambda wide, at: _contrast(wide, classes, power[2], space.class_p, own[at], drawn))
+    order = order[np.argsort(own[order].astype(np.uint16), kind="stable")]
+    cuts = np.searchsorted(own[order], np.arange(space.classes + 1))
+    for c in rng.permutation(np.flatnonzero(np.diff(cuts))):
+        part = slice(c * space.members, (c + 1) * space.members)
+        matrix, past, noise_p = members[part], power[1][part], space.member_p[part]
+        for i in range(cuts[c], cuts[c + 1], BATCH):
+            drawn = np.minimum(np.searchsorted(np.cumsum(noise_p), rng.random(NOISE)), space.members - 1)
+            step(order[i:min(i + BATCH, cuts[c + 1])], lambda wide, at: _contrast(wide, matrix, past, noise_p, inside[at], drawn))
 
 
 VECTORS = "kind int, id long, w double, x array<float>"
@@ -208,12 +219,9 @@ def train(batches, space: Space, first: list[np.ndarray]):
         for part in blocks(batch):
             h, bounds = _tokens(part.column("text"))
             place, _ = space.places(h)
-            one, two = _before(place, bounds, len(space.cum))
-            order = rng.permutation(len(place))
-            for a in range(0, len(order), BATCH):
-                at = order[a:a + BATCH]
-                moved = train_step(p, power, space, place[at], one[at], two[at], rng)
-                used[MEMBER] += np.bincount(moved, minlength=len(used[MEMBER]))
+            one, two = _before(place, bounds, space.before)
+            train_block(p, power, space, place, one, two, rng)
+            used[MEMBER] += np.bincount(place, minlength=len(used[MEMBER]))
             used[CONTEXT] += np.bincount(one, minlength=len(used[CONTEXT])) + np.bincount(two, minlength=len(used[CONTEXT]))
             used[CLASS] += len(place)
             used[SCALE] += len(place)
@@ -225,30 +233,31 @@ def train(batches, space: Space, first: list[np.ndarray]):
         yield from flush()
 
 
-def _softmax_log10(u: np.ndarray, matrix: np.ndarray, chosen: np.ndarray) -> np.ndarray:
-    """log10 of the normalised probability of the chosen row of `matrix` (bias last) in each context."""
-    s = u @ matrix[:, :-1].T
-    s += matrix[:, -1]
-    s -= s.max(1, keepdims=True)
-    mine = s[np.arange(len(s)), chosen].astype(np.float64)
+def _softmax_log10(wide: np.ndarray, matrix: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+    """log10 of the normalised probability of the chosen row of `matrix` (bias last) in each context (1 last)."""
+    s = wide @ matrix.T
+    top = s.max(1)
+    mine = s[np.arange(len(s)), chosen]
+    s -= top[:, None]
     np.exp(s, out=s)
-    return (mine - np.log(s.sum(1, dtype=np.float64))) / np.log(10)
+    return ((mine - top).astype(np.float64) - np.log(s.sum(1).astype(np.float64))) / np.log(10)
 
 
 def slot_log10(p: list[np.ndarray], space: Space, place, one, two) -> np.ndarray:
     """log10 of the probability of each token's slot: its class, and its place inside."""
     r, members, classes, scale = p
-    u = r[one] * scale[0] + r[two] * scale[1]
+    wide = np.ones((len(place), WIDTH + 1), np.float32)
+    wide[:, :-1] = r[one] * scale[0] + r[two] * scale[1]
     own, out = place // space.members, np.empty(len(place), np.float64)
-    for a in range(0, len(place), 4096):
-        out[a:a + 4096] = _softmax_log10(u[a:a + 4096], classes, own[a:a + 4096])
-    order = np.argsort(own, kind="stable")
+    for a in range(0, len(place), 1024):  # small enough for the caches
+        out[a:a + 1024] = _softmax_log10(wide[a:a + 1024], classes, own[a:a + 1024])
+    order = np.argsort(own.astype(np.uint16), kind="stable")
     cuts = np.searchsorted(own[order], np.arange(space.classes + 1))
     for c in np.flatnonzero(np.diff(cuts)):
         inside = members[c * space.members:(c + 1) * space.members]
-        for a in range(cuts[c], cuts[c + 1], 4096):
-            at = order[a:min(a + 4096, cuts[c + 1])]
-            out[at] += _softmax_log10(u[at], inside, place[at] % space.members)
+        for a in range(cuts[c], cuts[c + 1], 1024):
+            at = order[a:min(a + 1024, cuts[c + 1])]
+            out[at] += _softmax_log10(wide[at], inside, place[at] % space.members)
     return out
 
 
@@ -258,7 +267,7 @@ def score(batches, space: Space, p: list[np.ndarray], total: int):
         for part in blocks(batch):
             h, bounds = _tokens(part.column("text"))
             place, count = space.places(h)
-            one, two = _before(place, bounds, len(space.cum))
+            one, two = _before(place, bounds, space.before)
             logs = np.concatenate([slot_log10(p, space, place[a:a + TOKENS], one[a:a + TOKENS], two[a:a + TOKENS])
                                    for a in range(0, len(place), TOKENS)])
             tail = count == 0

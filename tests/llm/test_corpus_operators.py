@@ -183,7 +183,7 @@ def test_lm_is_normalised():
     space = lm.Space(own, r.integers(5, 90, len(own)), 8, 8, r.integers(0, 9, 64 - len(own)).astype(float), np.ones(64 - len(own)))
     p = [x + r.normal(0, 1, x.shape).astype(np.float32) for x in space.start()]
     assert sorted({*space.places(own)[0]}) == sorted(space.place) and len({*space.place}) == len(own)
-    for one, two in ((3, 64), (64, 64), (5, 9)):
+    for one, two in ((3, 63), (0, 0), (5, 9)):
         logs = lm.slot_log10(p, space, np.arange(64), np.full(64, one), np.full(64, two))
         assert math.isclose((10 ** logs).sum(), 1, rel_tol=1e-5)
 
@@ -203,7 +203,7 @@ def test_lm_score_equals_a_plain_sum(spark):
     for i, text in rows:
         h, _ = lm._tokens(pa.array([text], pa.string()))
         place, count = space.places(h)
-        total, before = 0.0, [len(space.cum)] * 2
+        total, before = 0.0, [space.before] * 2
         for token, slot, n in zip(h.view(np.int64).tolist(), place.tolist(), count.tolist()):
             u = c[before[1]] * scale[0] + c[before[0]] * scale[1]
             for matrix, at in ((k, slot // space.members), (m[slot // space.members * space.members:][:space.members], slot % space.members)):
