@@ -42,11 +42,11 @@ def _units(batches, breaks: int, min_words: int):
             doc = np.searchsorted(bounds, head, "right") - 1
             number = np.arange(len(head)) - np.searchsorted(head, bounds[:-1])[doc]
             keep = count >= max(1, min_words)
-            h = word_hashes(data, starts, ends)
-            place = np.arange(len(h)) - np.repeat(first[:-1], count)
+            place = np.arange(len(starts)) - np.repeat(first[:-1], count)
             wide = place >> 16
             digests = []
-            for w in (ones, twos):
+            for which, w in enumerate((ones, twos)):
+                h = word_hashes(data, starts, ends, which)
                 sums = np.concatenate([[np.uint64(0)], np.cumsum(mix(h + wide.astype(np.uint64)) * w[place & 65535])])
                 digests.append(mix(sums[first[1:]] - sums[first[:-1]] + count.astype(np.uint64)))
             at = doc[keep]

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketlens.llm.text import LOWER, Slices, blocks, lists, longs, utf8, words
+from marketlens.llm.text import LOWER, blocks, lists, longs, utf8, word_hashes, words
 from marketlens.sizing import cut_lineage
 
 #: Slots at most (a power of two; 2 x 17 floats each), the share of them that tokens may have for their own, vector width.
@@ -46,7 +46,7 @@ def _tokens(texts):
     starts, ends, first = words(data, bounds)
     docs = len(bounds) - 1
     h = np.full(len(starts) + docs, END)
-    h[np.arange(len(starts)) + np.repeat(np.arange(docs), np.diff(first))] = Slices(data)(starts, ends)
+    h[np.arange(len(starts)) + np.repeat(np.arange(docs), np.diff(first))] = word_hashes(data, starts, ends)
     return h, first + np.arange(docs + 1)
 
 

@@ -14,7 +14,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketlens.llm.text import Slices, blocks, utf8, words
+from marketlens.llm.text import blocks, utf8, word_hashes, words
 
 CAPACITY, END_ID = 4096, 2
 #: Text bytes of one group, and the free tokens from which on a bin is taken apart to fill others.
@@ -43,7 +43,7 @@ class TokenTable:
     def encode(self, data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, each followed by END_ID, and the bounds of each text's."""
         starts, ends, first = words(data, bounds)
-        found, at, place = np.unique(Slices(data)(starts, ends), return_index=True, return_inverse=True)
+        found, at, place = np.unique(word_hashes(data, starts, ends), return_index=True, return_inverse=True)
         if len(self.hashes) > self.LIMIT:
             self.clear()
         slot = np.searchsorted(self.hashes, found)

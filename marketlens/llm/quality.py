@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from marketlens.llm.text import SPACE, Slices, blocks, longs, mix, utf8, words, _BASE
+from marketlens.llm.text import SPACE, blocks, longs, mix, utf8, word_hashes, words, _BASE
 from marketlens.sizing import cut_lineage
 
 #: Classes of bytes: small letters, capitals, digits, sentence punctuation, symbols, bytes of non-ASCII characters.
@@ -49,7 +49,7 @@ def _corpus(batches):
         for part in blocks(batch):
             data, bounds = utf8(part.column("text"))
             starts, ends, first = words(data, bounds)
-            h = Slices(data)(starts, ends)
+            h = word_hashes(data, starts, ends)
             langs = part.column("lang").fill_null("").dictionary_encode()
             code = langs.indices.to_numpy().astype(np.int64)
             of_word = np.repeat(code, np.diff(first))
@@ -115,7 +115,7 @@ def repeated_words(h: np.ndarray, first: np.ndarray) -> np.ndarray:
     return _sums(np.cumsum(cover[:-1]) > 0, first)
 
 
-def duplicate_lines(data: np.ndarray, bounds: np.ndarray, slices: Slices) -> np.ndarray:
+def duplicate_lines(data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     """Of each text, the lines that hold a word and equal an earlier one of it."""
     feeds = np.flatnonzero(data == 10)
     head = np.unique(np.concatenate([bounds[:-1], feeds + 1]))
@@ -126,7 +126,7 @@ def duplicate_lines(data: np.ndarray, bounds: np.ndarray, slices: Slices) -> np.
     full = inked[stop] > inked[head]
     head, stop = head[full], stop[full]
     doc = np.searchsorted(bounds, head, "right") - 1
-    h = slices(head, stop)
+    h = word_hashes(data, head, stop)
     order = np.lexsort((h, doc))
     h, d = h[order], doc[order]
     again = np.zeros(len(order), bool)
@@ -162,8 +162,7 @@ def _judged(batches, refs):
         for part in blocks(batch):
             data, bounds = utf8(part.column("text"))
             starts, ends, first = words(data, bounds)
-            slices = Slices(data)
-            h = slices(starts, ends)
+            h = word_hashes(data, starts, ends)
             n_words = np.diff(first)
             characters = _sums(~SPACE[data] & ((data & 0xC0) != 0x80), bounds)
             symbols = _sums(SYMBOLS[data], bounds)
@@ -188,7 +187,7 @@ def _judged(batches, refs):
             far = (n_words >= MIN_WORDS) & ((by_class > MAX_CLASS_DISTANCE) | (by_word > MAX_WORD_DISTANCE))
             nan = lambda x: pa.array(x, mask=np.isnan(x))
             yield pa.RecordBatch.from_arrays([
-                part.column("doc_id"), *(pa.array(x.astype(np.int64)) for x in (n_words, characters, symbols, duplicate_lines(data, bounds, slices), repeats)),
+                part.column("doc_id"), *(pa.array(x.astype(np.int64)) for x in (n_words, characters, symbols, duplicate_lines(data, bounds), repeats)),
                 pa.array(failed), pa.array(~failed & ~far), nan(by_class), nan(by_word),
             ], names=["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "class_distance", "word_distance"])
 

@@ -45,7 +45,7 @@ def regions_of(data: np.ndarray, bounds: np.ndarray):
     none = np.zeros(0, np.int64)
     if len(data) < MATCH:
         return none, none, none, none, none.view(np.uint64), none.view(np.uint64)
-    slices = Slices(data)
+    slices = Slices(data, grouped=True)
     at = np.arange(len(data) - GRAM + 1)
     grams = slices(at, at + GRAM)
     bits = np.uint64(max(22, len(data).bit_length()))
@@ -104,7 +104,7 @@ def _parts(batches, width: int):
         for part in blocks(batch):
             data, bounds = utf8(part.column("text"))
             windows, off = (part.column(c).to_numpy().astype(np.int64) for c in ("windows", "off"))
-            slices, rows = Slices(data), []
+            slices, rows = Slices(data, grouped=True), []
             for i in range(part.num_rows):
                 back = off[i] - np.arange(windows[i]) + MATCH * 4
                 edge = np.flatnonzero(np.diff(back // width, prepend=-1))

@@ -1,7 +1,8 @@
 """Whole-batch text work on the raw UTF-8 bytes of Arrow columns: words, word hashes, slice hashes.
 
 Words are maximal runs of bytes other than space and 0x09-0x0D; lower-casing touches A-Z only. Both are byte-wise, so
-nothing is decoded. Hashes are 64-bit polynomial prefix sums with a finishing mix.
+nothing is decoded. Hashes of words are 64-bit sums of one random number for each byte and place; those of slices, which may
+overlap, are polynomial prefix sums. Both end in a finishing mix.
 """
 
 from __future__ import annotations
@@ -20,6 +21,9 @@ LOWER[ord("A"):ord("Z") + 1] += 32
 _BYTE = np.random.default_rng(20240607).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BASE = 0x9E3779B97F4A7C15
 _POWERS: dict[str, np.ndarray] = {}
+#: A random number for each byte at each of PLACES places, for two independent hashes.
+PLACES = 64
+_GRIDS = np.random.default_rng(20260101).integers(0, 1 << 64, (2, PLACES * 256), dtype=np.uint64)
 
 
 def _powers(name: str, base: int, n: int) -> np.ndarray:
@@ -80,22 +84,53 @@ def words(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return starts, ends, np.searchsorted(starts, bounds)
 
 
+def eights(data: np.ndarray) -> np.ndarray:
+    """The eight bytes from each position as one number, zeros beyond the end."""
+    out = np.zeros(len(data) + 8, np.uint64)
+    out[:len(data)] = data
+    for width in (1, 2, 4):
+        out[:-width] |= out[width:] << np.uint64(8 * width)
+    return out[:len(data)]
+
+
 class Slices:
-    """Hashes of arbitrary slices of a byte array in constant time each."""
+    """Hashes of arbitrary slices of a byte array in constant time each.
+
+    Sums of powers modulo 2**64 meet for some patterned strings of bytes, those of Thue and Morse. With `grouped` a slice,
+    then of eight bytes at least, is hashed as its overlapping groups of eight bytes, each mixed, where they do not.
+    """
 
-    def __init__(self, data: np.ndarray):
+    def __init__(self, data: np.ndarray, grouped: bool = False):
         n = len(data)
+        self.beyond = 7 if grouped else 0
         self.inverse = _powers("inverse", pow(_BASE, -1, 1 << 64), n)
         self.sums = np.zeros(n + 1, np.uint64)
-        np.cumsum(_BYTE[data] * _powers("base", _BASE, n)[:n], out=self.sums[1:])
+        symbols = mix(eights(data)) if grouped else _BYTE[data]
+        np.cumsum(symbols * _powers("base", _BASE, n)[:n], out=self.sums[1:])
 
     def __call__(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        value = (self.sums[ends] - self.sums[starts]) * self.inverse[starts]
+        value = (self.sums[ends - self.beyond] - self.sums[starts]) * self.inverse[starts]
         return mix(value + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
 
-def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    return Slices(data)(starts, ends)
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, which: int = 0) -> np.ndarray:
+    """Hashes of slices that follow one another without overlap; `which` of two independent ones.
+
+    Every byte adds a random number of its own for its place in the slice; from PLACES on the numbers come again under
+    another odd factor for each round.
+    """
+    if not len(starts):
+        return np.zeros(0, np.uint64)
+    place = np.arange(len(data), dtype=np.uint32)
+    place[starts[0]:] -= np.repeat(starts.astype(np.uint32), np.diff(np.append(starts, len(data))))
+    value = _GRIDS[which][(place & np.uint32(PLACES - 1)) << np.uint32(8) | data]
+    longest = int((ends - starts).max())
+    if longest > PLACES:
+        factors = mix(np.arange(-(-longest // PLACES), dtype=np.uint64)) | np.uint64(1)
+        value *= factors[np.minimum(place // np.uint32(PLACES), len(factors) - 1)]
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(value, out=sums[1:])
+    return mix(sums[ends] - sums[starts] + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
 
 def distinct_shingles(hashes: np.ndarray, first: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
