@@ -13,10 +13,12 @@ from pyspark.sql import functions as F
 from catalog import core, quality, roles
 from catalog.oracle import oracle
 from catalog.rounding import near
-from marketlens.operators import attribution, cleaning, ml, profile, sketches
-from marketlens.operators.quality import land_checked
+from marketlens.operators import attribution, cleaning, features, ml, profile, sketches, star, summaries
+from marketlens.operators.quality import land_checked, validate_all
+from marketlens.plans import market_queries as mq
+from marketlens.plans.pipeline import run_pipeline
 from marketlens.sizing import shared_folder
-from marketlens.sources import raw, sinks
+from marketlens.sources import clustered, raw, sinks
 
 QUERIES = {}
 L = roles.listings
@@ -65,10 +67,21 @@ def saved_calendar(s, d):
 
 
 QUERIES["save_cleaned_calendar"] = (
-    lambda s, d: saved_calendar(s, d).where("year = 2000 AND month IN (1, 2)").groupBy("year", "month").agg(
-        F.count(F.lit(1)).alias("days"), F.count_if("available").alias("free")),
-    oracle("""SELECT year, month, COUNT(*) AS days, COUNT(*) FILTER (WHERE available) AS free FROM calendar
-              WHERE year = 2000 AND month IN (1, 2) GROUP BY year, month"""))
+    lambda s, d: saved_calendar(s, d).groupBy("listing_id", "year", "month").agg(
+        F.count(F.lit(1)).alias("days"), F.count_if("available").alias("free"), F.count("price").alias("priced"),
+        F.min("date").alias("first_day"), F.sum("minimum_nights").alias("nights")),
+    oracle("""SELECT listing_id, year, month, COUNT(*) AS days, COUNT(*) FILTER (WHERE available) AS free, COUNT(price) AS priced,
+              MIN(date) AS first_day, SUM(minimum_nights) AS nights FROM calendar GROUP BY ALL"""))
+
+
+def saved_cleaned(s, d, name):
+    folder = scratch(s)
+    sinks.save_cleaned({name: roles.clean(s, d)[name]}, folder)
+    return raw.read_table(s, f"{folder}/{name}_clean.parquet")
+
+
+QUERIES["save_cleaned_listings"] = (lambda s, d: saved_cleaned(s, d, "listings"), oracle("SELECT * FROM listings"))
+QUERIES["save_cleaned_reviews"] = (lambda s, d: saved_cleaned(s, d, "reviews"), oracle("SELECT * FROM reviews"))
 
 
 def saved_master(s, d):
@@ -275,3 +288,64 @@ def published_runs(s, d):
 
 QUERIES["published_runs"] = (published_runs, oracle(
     "SELECT room_type, COUNT(*) AS n, COUNT(price) AS priced FROM listings GROUP BY room_type"))
+
+# Tables clustered by listing
+
+
+def clustered_tables(s, d):
+    """Listings, reviews and calendar in buckets by listing; the catalog forgets them once they are read."""
+    prefix, parts = f"catalog_{uuid.uuid4().hex}_", roles.clean(s, d)
+    keys = {"listings": "id", "reviews": "listing_id", "calendar": "listing_id"}
+    tables = clustered.save_clustered_tables({n: (parts[n], k) for n, k in keys.items()}, scratch(s), prefix)
+    clustered.forget_tables(s, [f"{prefix}{n}" for n in tables])
+    return tables
+
+
+def clustered_featured(s, d):
+    tables = clustered_tables(s, d)
+    joined = summaries.join_all_summaries(tables["listings"], tables["reviews"], tables["calendar"])
+    return features.engineer_features(joined, roles.AS_OF, medians_from=tables["listings"])
+
+
+QUERIES["clustered_features"] = (clustered_featured, oracle("SELECT * FROM featured"))
+QUERIES["clustered_q6"] = (
+    lambda s, d: mq.q6_top_revenue_areas(star.fact_listings(clustered_featured(s, d))), core.QUERIES["q6_top_revenue_areas"][1])
+
+# Failing data sets
+
+
+def failing_checks(s, d):
+    """Listings without two required columns and a calendar without rows fail; reviews are checked as ever."""
+    frames = quality.raw_all(s, d)
+    checks = validate_all({"listings": frames["listings"].drop("price", "latitude"), "calendar": frames["calendar"].where("listing_id IS NULL"),
+                           "reviews": frames["reviews"]})
+    return checks.withColumn("action", F.when(~F.col("passed"), F.col("action")))
+
+
+QUERIES["validate_failing"] = (failing_checks, f"""
+SELECT 'listings' AS dataset, 'required columns' AS rule, CAST(2 AS DOUBLE) AS measured, TRUE AS is_issue, 'price, latitude' AS action, FALSE AS passed
+UNION ALL SELECT 'calendar', 'has rows', CAST(COUNT(l_orderkey) - COUNT(*) AS DOUBLE), TRUE, '', FALSE FROM lineitem
+UNION ALL SELECT 'reviews', rule, measured, is_issue, NULL, TRUE FROM ({quality.QUERIES["validate_reviews"][1]})""")
+
+# The batch run
+
+
+def batch_run(s, d):
+    """From raw exports to the star schema; its tables' rows, and what the ledger says of them."""
+    source = scratch(s)
+    for name, df in quality.raw_all(s, d).items():
+        write_raw(df, f"{source}/{raw.RAW_FILES[name][0]}")
+    tables = run_pipeline(s, source, f"{source}/out", roles.AS_OF, "Sample City")
+    told = raw.read_table(s, f"{source}/out/pipeline_metadata").where("stage = 'published'").select(
+        F.col("dataset_name").alias("table_name"), F.col("row_count").alias("ledger_rows"))
+    return star.row_counts(tables).join(told, "table_name")
+
+
+_RUN_ROWS = {
+    "dim_host": "SELECT COUNT(DISTINCT host_id) FROM cleaned", "dim_neighbourhood": "SELECT COUNT(DISTINCT neighbourhood_cleansed) FROM cleaned",
+    "dim_room_type": "SELECT COUNT(DISTINCT room_type) FROM cleaned", "fact_listings": "SELECT COUNT(*) FROM cleaned",
+    "dim_date": "SELECT COUNT(DISTINCT date) FROM calendar WHERE listing_id % 1000 <> 3",
+    "fact_calendar": "SELECT COUNT(*) FROM calendar WHERE listing_id % 1000 <> 3",
+}
+QUERIES["batch_run"] = (batch_run, quality.o(" UNION ALL ".join(
+    f"SELECT '{name}' AS table_name, ({rows}) AS row_count, ({rows}) AS ledger_rows" for name, rows in _RUN_ROWS.items())))

@@ -98,10 +98,18 @@ def table_exists(spark: SparkSession, name: str) -> bool:
 
 
 def run_sql(spark: SparkSession, sql: str, views: Mapping[str, DataFrame] | None = None) -> DataFrame:
-    """Run SQL text over registered tables and, optionally, frames passed by name."""
-    for name, df in (views or {}).items():
-        df.createOrReplaceTempView(name)
-    return spark.sql(sql)
+    """Run SQL text over registered tables and, optionally, frames passed by name.
+
+    The names of the frames hold for this statement only. They hide tables, but may not be those of the session's views.
+    """
+    views = views or {}
+    for name, df in views.items():
+        df.createTempView(name)
+    try:
+        return spark.sql(sql)
+    finally:
+        for name in views:
+            spark.catalog.dropTempView(name)
 
 
 POINTER_SCHEMA = "run_id string, published_at timestamp, tables array<string>"

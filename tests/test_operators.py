@@ -5,6 +5,7 @@ import json
 import math
 import random
 import statistics
+from collections import Counter
 from datetime import date
 from difflib import SequenceMatcher
 
@@ -162,6 +163,31 @@ def test_fuzzy_join_loses_no_pair(spark, threshold):
     assert all(abs(got[k] - expected[k]) <= 0.001 for k in got)
 
 
+@pytest.mark.parametrize("threshold", [0.6, 0.8])
+def test_positions_bound_the_pairs_that_meet(spark, threshold):
+    """Every pair that shares enough meets once; fewer meet than share a token of their prefixes."""
+    draw = random.Random(4)
+    syllables = ["ka", "lo", "mi", "ster", "dam", "ou", "brug", "zee", "vel", "hof"]
+    names = sorted({" ".join("".join(draw.choice(syllables) for _ in range(draw.randint(1, 4))) for _ in range(draw.randint(1, 3))) for _ in range(600)})
+    q = 2 if threshold > 2 / 3 else 1
+    values = spark.createDataFrame([(n, len(n)) for n in names], "value string, size int")
+    prefixes = fuzzy._prefixes(fuzzy._tokens(values, q), threshold, q)
+    met = [(r.value_a, r.value_b) for r in fuzzy.meeting_pairs(prefixes, threshold, q).collect()]
+    assert len(met) == len(set(met))
+    grams = {n: Counter(n[i:i + q] for i in range(len(n) - q + 1)) for n in names}
+
+    def must_meet(a, b):
+        total = len(a) + len(b)
+        asked = total * threshold / 2 if q == 1 else 1.5 * threshold * total - total - 1
+        return asked > 1e-6 and 2 * min(len(a), len(b)) >= threshold * total and (grams[a] & grams[b]).total() >= asked
+
+    pairs = {tuple(sorted(p, key=lambda v: (len(v), v))) for p in itertools.combinations(names, 2)}
+    needed = {p for p in pairs if must_meet(*p)}
+    heads = {r.value: set(r.prefix) for r in prefixes.collect()}
+    by_prefix = {(a, b) for a, b in pairs if 2 * len(a) >= threshold * (len(a) + len(b)) and heads.get(a, set()) & heads.get(b, set())}
+    assert needed <= set(met) < by_prefix
+
+
 def test_exact_duplicates_and_keys(spark):
     df = spark.createDataFrame([(1, "a"), (1, "a"), (1, "b"), (None, "c"), (None, "c")], "id int, v string")
     row = profile.exact_duplicates(df, "id", "t").first()
