@@ -6,6 +6,7 @@ in a tournament tree of free capacities. What stays in poorly filled bins then f
 
 from __future__ import annotations
 
+import os
 import zlib
 
 import numpy as np
@@ -32,6 +33,8 @@ class TokenTable:
     LIMIT = 1_500_000
 
     def __init__(self, path: str):
+        # A task has one core: threads of the tokenizer beside those of the other tasks only wait for each other.
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -54,8 +57,9 @@ class TokenTable:
             sizes = np.array([len(c) for c in coded], np.int64)
             begin = len(self.ids) + np.cumsum(sizes) - sizes
             self.ids = np.concatenate([self.ids, np.array([i for c in coded for i in c], np.uint32)])
-            order = np.argsort(np.concatenate([self.hashes, found[new]]), kind="stable")
-            self.hashes, self.begin, self.length = (np.concatenate(pair)[order] for pair in ((self.hashes, found[new]), (self.begin, begin), (self.length, sizes)))
+            # Both are in order, so that the new words go to their places without a sort of the table.
+            self.hashes, self.begin, self.length = (
+                np.insert(old, slot[new], more) for old, more in ((self.hashes, found[new]), (self.begin, begin), (self.length, sizes)))
             slot = np.searchsorted(self.hashes, found)
         slot = slot[place]
         # The end of a text is one more word, after its last.

@@ -3,6 +3,7 @@ results against brute force."""
 
 import hashlib
 import math
+import os
 import re
 import struct
 import zlib
@@ -410,3 +411,17 @@ def test_distance():
         kl = lambda x: sum(v * math.log2(v / w) for v, w in zip(x, m) if v)
         return math.sqrt((kl(a) + kl(b)) / 2)
     assert np.allclose(quality.distance(p, q), [plain([0.25, 0.75], [0, 1]), plain([0.5, 0.5], [0, 1]), 0, 1])
+
+
+def test_token_table_grows_in_order_on_one_core(monkeypatch):
+    """Words met block by block keep the table sorted and have the tokenizer's ids; a task starts no threads beside it."""
+    from marketlens.llm.text import utf8
+
+    monkeypatch.delenv("TOKENIZERS_PARALLELISM", raising=False)
+    table = packing.TokenTable(queries.tokenizer_path())
+    assert os.environ["TOKENIZERS_PARALLELISM"] == "false"
+    for texts in (["b a c", "", "Zebra's 12%"], ["a d b d", "é x"], ["c"], ["", "new words, b"]):
+        ids, bounds = table.encode(*utf8(pa.array(texts)))
+        want = [[*e.ids, packing.END_ID] for e in table.tokenizer.encode_batch(texts, add_special_tokens=False)]
+        assert [ids[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:])] == want
+        assert (np.diff(table.hashes.astype(object)) > 0).all()
