@@ -62,12 +62,13 @@ def fit_features(df: DataFrame, categories: Sequence[str] = tuple(CATEGORIES), f
     """The fitted feature stages over raw listing columns: fills, ratios, flags, indicators, one vector `features`.
 
     `fills` are the exact medians of the frame unless given (`fixed.CANDIDATE_DEFAULTS` has the serving defaults). A number
-    without any known value takes its serving default. Categories are counted in one pass of the indexer.
+    without any known value takes its serving default. Categories are counted in one pass of the indexer. The columns read
+    are stored once, since medians, categories and stages are fitted by queries of their own.
     """
     names = [*NUMBERS, *DERIVED, *categories]
     if leaks := leaking_features(names):
         raise ValueError(f"features that give the price away: {leaks}")
-    raw = with_inputs(df)
+    raw = cut_lineage(with_inputs(df).select(*dict.fromkeys([*NUMBERS, "host_is_superhost", *CATEGORIES, *categories])))
     if fills is None:
         known = {c: F.nanvl(F.col(c).try_cast("double"), F.lit(None).cast("double")) for c in NUMBERS}
         medians = grouped(raw, [], quantiles={c: (v, 0.5) for c, v in known.items()}).first().asDict()
@@ -76,12 +77,14 @@ def fit_features(df: DataFrame, categories: Sequence[str] = tuple(CATEGORIES), f
     derived = SQLTransformer(statement=DERIVE_STATEMENT)
     stages = [filled, derived]
     parts = [*[f"_{c}" for c in NUMBERS], *DERIVED]
-    labels = _indexer(categories).fit(raw.select(*categories)).labelsArray if categories else []
+    indexed = _indexer(categories).fit(raw.select(*categories)) if categories else None
+    labels = indexed.labelsArray if categories else []
     kept = [c for c, known in zip(categories, labels) if len(known) > (1 if drop_first else 0)]
     if kept:
         hot = [f"_{c}_hot" for c in kept]
         # An unseen value takes an index behind the known ones, which the encoder drops.
-        stages += [_indexer(kept).fit(raw.select(*kept)), OneHotEncoder(inputCols=[f"_{c}_index" for c in kept], outputCols=hot, dropLast=True)]
+        several = indexed if len(kept) == len(labels) else _indexer(kept).fit(raw.select(*kept))
+        stages += [several, OneHotEncoder(inputCols=[f"_{c}_index" for c in kept], outputCols=hot, dropLast=True)]
         if drop_first:
             count = {c: len(known) for c, known in zip(categories, labels)}
             stages += [VectorSlicer(inputCol=h, outputCol=f"{h}_rest", indices=list(range(1, count[c]))) for c, h in zip(kept, hot)]

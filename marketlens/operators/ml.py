@@ -48,8 +48,11 @@ def fill_mode(df: DataFrame, column: str) -> DataFrame:
 
 
 def prepare_model_table(master: DataFrame, key: str = "id") -> DataFrame:
-    """Priced listings with the model columns: medians and modes filled, flags as t/f."""
-    df = master.select(key, *[c for c in fixed.ML_COLUMNS if c in master.columns]).where(F.col("price").isNotNull())
+    """Priced listings with the model columns: medians and modes filled, flags as t/f.
+
+    The columns are stored once: every median and mode is a query of its own, and each would join the listings again.
+    """
+    df = cut_lineage(master.select(key, *[c for c in fixed.ML_COLUMNS if c in master.columns]).where(F.col("price").isNotNull()))
     df = fill_median(df, ["review_scores_rating", "bedrooms"])
     if has(df, "host_is_superhost"):
         df = fill_mode(df, "host_is_superhost")

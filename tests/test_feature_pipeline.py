@@ -3,6 +3,7 @@
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from marketlens.functions import fixed_values as fixed
 from marketlens.operators import feature_pipeline as fp, ml
@@ -112,3 +113,22 @@ def test_candidate_bundle(spark):
         assert [abs(c.contribution) for c in x.contributions] == sorted((abs(c.contribution) for c in x.contributions), reverse=True)
     first = got[1].contributions[0]
     assert first.feature == "accommodates" and first.contribution > 0 and "guest capacity of 4" in got[1].explanation
+
+
+def test_inputs_of_fills_are_stored_once(spark):
+    """Medians, modes and categories are queries of their own; none of them joins the listings again."""
+    hosts = spark.range(5).select(F.col("id").alias("host"), (F.col("id") > 2).alias("host_is_superhost"))
+    rows = spark.range(60).select("id", (F.col("id") % 5).alias("host"), *[
+        F.when(F.col("id") % (7 + i) != 0, (F.col("id") % (3 + i)).cast("double")).alias(c) for i, c in enumerate((*fp.NUMBERS, "price"))],
+        F.lit("Hotel room").alias("room_type"), F.col("id").cast("string").alias("property_type"), F.lit("A").alias("neighbourhood_cleansed"))
+    master = rows.join(hosts, "host").withColumn("instant_bookable", F.lit(True))
+    table = ml.build_feature_table(ml.prepare_model_table(master))
+    assert "Join" not in table._jdf.queryExecution().analyzed().toString() and table.count() > 0
+    seen = []
+    real = fp.grouped
+    fp.grouped = lambda df, *rest, **more: seen.append(df) or real(df, *rest, **more)
+    try:
+        fp.fit_features(master)
+    finally:
+        fp.grouped = real
+    assert len(seen) == 1 and "Join" not in seen[0]._jdf.queryExecution().analyzed().toString()
