@@ -260,6 +260,12 @@ def _marked(regions: DataFrame) -> DataFrame:
     return regions.select("a", "r", "mult", "windows", "text", bucket.alias("bucket")).groupBy("bucket").applyInArrow(_mark, "a long, r long, runs array<int>")
 
 
+def _merged(marks: DataFrame) -> DataFrame:
+    """One row per region: what a region's parts, or its copies under one key, found stands together, so that a join by
+    region makes no more rows than there are regions to mark."""
+    return marks.groupBy("a", "r").agg(F.flatten(F.collect_set("runs")).alias("runs"))
+
+
 def _cut(batches):
     for batch in (part for whole in batches for part in blocks(whole)):
         n_bytes, n_removed, n_spans, sha, spans, kept = [], [], [], [], [], []
@@ -309,11 +315,12 @@ def repeated_regions(texts: DataFrame) -> DataFrame:
         settled.append(level.join(many, "a", "left_anti"))
         ways.append(parts.select("pa", "pr", "shift", "a", "r"))
         level = cut_lineage(parts.groupBy("a", "r").agg(F.sum("mult").alias("mult"), F.first("windows").alias("windows"), F.first("off").alias("off"), F.first("text").alias("text")))
-    marks = cut_lineage(_marked(level))
+    marks = cut_lineage(_merged(_marked(level)))
     for regions, way in zip(reversed(settled), reversed(ways)):
         back = marks.join(way, ["a", "r"]).select(F.col("pa").alias("a"), F.col("pr").alias("r"), F.transform("runs", lambda x: x + F.col("shift")).alias("runs"))
-        marks = cut_lineage(_marked(regions).unionByName(back))
-    return found.join(marks, ["a", "r"]).groupBy("key").agg(F.collect_list(F.struct("s0", "runs")).alias("marks"))
+        marks = cut_lineage(_merged(_marked(regions).unionByName(back)))
+    # Rows equal in id and text share a key and their regions, which count once.
+    return found.join(marks, ["a", "r"]).groupBy("key").agg(F.collect_set(F.struct("s0", "runs")).alias("marks"))
 
 
 def _cut_rows(rows: DataFrame) -> DataFrame:

@@ -413,6 +413,20 @@ def test_distance():
     assert np.allclose(quality.distance(p, q), [plain([0.25, 0.75], [0, 1]), plain([0.5, 0.5], [0, 1]), 0, 1])
 
 
+@pytest.mark.parametrize("many", [suffixes.MANY, 1])
+def test_marks_are_one_row_per_region(spark, monkeypatch, many):
+    """Neither equal rows nor the parts of a region multiply what is joined back: each region is marked once for a text."""
+    monkeypatch.setattr(suffixes, "MANY", many)
+    passage = " ".join(f"word{i}" for i in range(60))
+    rows = [(i, f"{i * 7919} {'x' * i} {passage} tail {i * 104729}") for i in range(6)] + [(9, f"{passage} again")] * 8
+    texts = lines.keyed(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id", "text").select("key", "text")
+    for row in suffixes.repeated_regions(texts).collect():
+        starts = [m["s0"] for m in row["marks"]]
+        assert len(starts) == len(set(starts))
+    got = {r["doc_id"]: r for r in suffixes.drop_repeated_substrings(texts.selectExpr("hash(key) AS doc_id", "text")).collect()}
+    assert len(got) == 7 and all(r["n_removed"] >= len(passage) for r in got.values())
+
+
 def test_token_table_grows_in_order_on_one_core(monkeypatch):
     """Words met block by block keep the table sorted and have the tokenizer's ids; a task starts no threads beside it."""
     from marketlens.llm.text import utf8
