@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 
 from marketlens.sizing import scanned_bytes
 
-#: Stored bytes of a bucket of the largest table, and buckets at least and at most.
-BUCKET_BYTES, FEWEST, MOST = 128 * 1024 * 1024, 8, 1 << 16
+#: Stored bytes of a bucket of the largest table, and buckets at least and at most. A task sorts a bucket's rows in memory,
+#: where they take some twenty times their stored bytes.
+BUCKET_BYTES, FEWEST, MOST = 8 * 1024 * 1024, 8, 1 << 16
 #: A bucket that holds SKEW times an even share of the rows, and more rows than TASK_ROWS, is too much for one task.
 SKEW, TASK_ROWS = 4.0, 5_000_000
 

@@ -65,3 +65,9 @@ def test_names_of_a_statement_are_its_own(spark):
         sinks.run_sql(spark, "SELECT 1", {"own_view": spark.range(2)})
     assert spark.table("own_view").count() == 1
     spark.catalog.dropTempView("own_view")
+
+
+def test_a_bucket_grows_no_further_than_a_task_can_sort(monkeypatch):
+    for stored in (1 << 26, 1 << 28, 1 << 32):
+        monkeypatch.setattr(clustered, "scanned_bytes", lambda _: stored)
+        assert stored / clustered.bucket_count([None]) <= 8 << 20
