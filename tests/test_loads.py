@@ -101,3 +101,22 @@ def test_readers_stay_on_the_last_whole_run(spark, tmp_path):
     assert sinks.current_tables(spark, folder)["a"].count() == 3
     sinks.publish_tables(spark, {"a": spark.range(9), "b": spark.range(1)}, folder, "two")
     assert sinks.current_tables(spark, folder)["a"].count() == 9
+
+
+def test_cube_of_many_values_is_sliced(spark, monkeypatch):
+    """Rows of counted values, not their compressed bytes, say whether a task may hold them all."""
+    from marketlens.operators import cube, slices
+
+    used = []
+
+    def seen(df, by, aggregates, quantiles, slices, **options):
+        used.append(slices)
+        return grouped(df, by, aggregates, quantiles, slices, **options)
+
+    grouped = cube.grouped
+    monkeypatch.setattr(cube, "grouped", seen)
+    x = spark.range(300).select((F.col("id") % 3).alias("g"), (F.col("id") % 97).cast("double").alias("v"))
+    whole = report_cube(x, ["g"], ["v"]).collect()
+    monkeypatch.setattr(slices, "TASK_VALUES", 50, raising=False)
+    assert sorted(map(str, report_cube(x, ["g"], ["v"]).collect())) == sorted(map(str, whole))
+    assert used[0] == 1 and used[1] > 1
