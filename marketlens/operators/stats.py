@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 import numpy as np
@@ -185,11 +185,32 @@ def average_ranks(df: DataFrame, value: str, out: str, slices: int | None = None
     return ranked.select(value, rank.alias(out))
 
 
+#: Distinct values of a column up to which its ranks are a small table.
+FEW_VALUES = 100_000
+
+
+def _ranks_of_few(df: DataFrame, columns: Mapping[str, str]) -> DataFrame:
+    """Each of `columns`, which have few distinct values, replaced by its ranks under a new name. No row is moved.
+
+    Rows are counted by (column, value) in one pass; the counts are ranked, and a table of ranks per column is broadcast.
+    """
+    names = list(columns)
+    cells = F.inline(F.array(*[F.struct(F.lit(i).alias("_i"), F.col(c).alias("_v")) for i, c in enumerate(names)]))
+    counts = df.select(cells).groupBy("_i", "_v").agg(F.count(F.lit(1)).alias("_n"))
+    upto = F.sum("_n").over(Window.partitionBy("_i").orderBy("_v"))
+    ranks = cut_lineage(counts.select("_i", "_v", (upto - (F.col("_n") - 1) / 2).alias("_r")))
+    for i, c in enumerate(names):
+        own = ranks.where(F.col("_i") == i).select(F.col("_v").alias(c), F.col("_r").alias(columns[c]))
+        df = df.join(F.broadcast(own), c).drop(c)
+    return df
+
+
 def corr_spearman(df: DataFrame, columns: Sequence[str], slices: int | None = None) -> DataFrame:
     """Rank correlation of every pair over complete rows, as (column_a, column_b, rho).
 
     While the input fits one task each column's ranks are computed per distinct value and joined back on the value. Beyond
-    it all columns are ranked together: one ordered shuffle of (column, value), one to bring a row's ranks together.
+    it columns of few distinct values are ranked by their counts, without moving a row, and each other one by an ordered
+    shuffle of the rows (`range_ranks`).
     """
     names = [c for c in columns if c in df.columns]
     slices = slices or slice_count(df)
@@ -200,10 +221,13 @@ def corr_spearman(df: DataFrame, columns: Sequence[str], slices: int | None = No
             ranks = cut_lineage(average_ranks(complete, c, f"_rank{i}", slices))
             ranked = ranked.join(broadcast_if_small(ranks), c).drop(c)
     else:
-        numbered = cut_lineage(complete.withColumn("_row", F.monotonically_increasing_id()))
-        cells = F.inline(F.array(*[F.struct(F.lit(i).alias("_i"), F.col(c).alias("_v")) for i, c in enumerate(names)]))
-        long = range_ranks(numbered.select("_row", cells), "_v", by="_i", parts=range_parts(numbered) * len(names))
-        ranked = long.groupBy("_row").agg(*[F.max(F.when(F.col("_i") == i, F.col("rank"))).alias(f"_rank{i}") for i in range(len(names))])
+        complete = cut_lineage(complete)
+        found = complete.agg(*[F.approx_count_distinct(c).alias(c) for c in names]).first()
+        few = {c: f"_rank{i}" for i, c in enumerate(names) if found[c] <= FEW_VALUES}
+        ranked = _ranks_of_few(complete, few) if few else complete
+        for i, c in enumerate(names):
+            if c not in few:
+                ranked = range_ranks(ranked, c, parts=range_parts(complete)).drop("ties", c).withColumnRenamed("rank", f"_rank{i}")
     found = pair_correlations(ranked, [f"_rank{i}" for i in range(len(names))])
     labels = F.create_map(*[x for i, c in enumerate(names) for x in (F.lit(f"_rank{i}"), F.lit(c))])
     return found.select(labels[F.col("column_a")].alias("column_a"), labels[F.col("column_b")].alias("column_b"), F.col("corr").alias("rho"))

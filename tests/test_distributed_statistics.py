@@ -120,3 +120,22 @@ def test_robust_smoothing_equals_numpy(spark, request, rounds, distributed_plan)
         assert got[g] == pytest.approx(v, abs=1e-8)
     if rounds == 3:
         assert max(abs(v - np.sin(g / 5) * 10) for g, v in got.items()) < 4
+
+
+@pytest.mark.parametrize("few", [2, 100])
+def test_spearman_orders_rows_only_by_columns_of_many_values(spark, monkeypatch, few):
+    """Columns of few values are ranked by their counts; the others by one ordered shuffle of the rows each."""
+    ordered = []
+
+    def seen(df, value, **options):
+        ordered.append((value, df.count()))
+        return ranges.range_ranks(df, value, **options)
+
+    monkeypatch.setattr(stats, "range_ranks", seen)
+    monkeypatch.setattr(stats, "FEW_VALUES", few, raising=False)
+    r = np.random.default_rng(3)
+    pdf = pd.DataFrame({"a": r.integers(0, 4, 700).astype(float), "b": r.normal(size=700), "c": r.integers(-9, 9, 700).astype(float)})
+    expected = pdf.corr("spearman")
+    got = {(r.column_a, r.column_b): r.rho for r in stats.corr_spearman(spark.createDataFrame(pdf), list("abc"), 6).collect()}
+    assert {c for c, _ in ordered} == (set("abc") if few == 2 else {"b"}) and {n for _, n in ordered} == {700}
+    assert all(rho == pytest.approx(expected.loc[a, b], abs=1e-12) for (a, b), rho in got.items())
