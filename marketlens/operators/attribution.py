@@ -7,6 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import array_to_vector
+from pyspark.ml.regression import LinearRegressionModel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -15,8 +16,8 @@ from marketlens.functions.scalar import round_half_even
 from marketlens.operators.filters import sample_rows
 from marketlens.operators.ml import model_feature_list
 from marketlens.operators.quantiles import grouped
-from marketlens.operators.trees import explain_rows, has_exact_contributions
-from marketlens.sizing import join_small, spread
+from marketlens.operators.trees import explain_linear, explain_trees, has_exact_contributions
+from marketlens.sizing import broadcast_if_small, cut_lineage, join_small, spread
 
 
 def _references(background: DataFrame, key: str, names: Sequence[str], references: int, seed: int) -> list[list[float]]:
@@ -35,14 +36,19 @@ def attribution_batch(model: PipelineModel, df: DataFrame, background: DataFrame
     features and over all reference rows, so `std_error` is 0. Other models are walked (`attribution_walks`). A row's
     contributions add up to its prediction minus `base`, the mean prediction of the reference rows.
 
-    Model and references are broadcast, a row is explained where it lies; a hash of the key spreads the rows first.
+    Model and references are broadcast. Trees explain every distinct row of features once, and the rows are joined
+    to what was found for their features; linear models explain a row where it lies. `df` is read several times.
     """
     fitted, names = model.stages[-1], model_feature_list(model)
     if not has_exact_contributions(fitted):
         return attribution_walks(model, df, background, key, references, seed=seed)
     drawn = _references(background, key, names, references, seed)
     rows = df.select(F.col(key), F.array(*[F.col(f"`{n}`").cast("double") for n in names]).alias("_x"))
-    explained, base = explain_rows(fitted, spread(rows, key), key, names, drawn)
+    if isinstance(fitted, LinearRegressionModel):
+        explained, base = explain_linear(fitted, spread(rows, key), names, drawn)
+    else:
+        found, base = explain_trees(fitted, cut_lineage(rows.select("_x").distinct()), names, drawn)
+        explained = rows.join(broadcast_if_small(cut_lineage(found), 100_000), "_x")
     labels = F.array(*[F.lit(n) for n in names])
     each = F.explode(F.arrays_zip(labels.alias("feature"), F.col("_x").alias("feature_value"), F.col("_c").alias("contribution")))
     return explained.select(key, each.alias("_f")).select(key, "_f.*", F.lit(base).alias("base"), F.lit(0.0).alias("std_error"))

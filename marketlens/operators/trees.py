@@ -20,15 +20,18 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml import Model
 from pyspark.ml.regression import DecisionTreeRegressionModel, GBTRegressionModel, LinearRegressionModel, RandomForestRegressionModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
 from marketlens.sizing import let_workers_import, shared_folder
 
-#: Rows that a task explains together, and masks (leaves times rows) of one tree that it holds at a time.
-ROWS, MASKS = 16_384, 1 << 23
+#: Rows that a task explains together, masks (leaves times rows) of one tree that it holds at a time, and tasks per core that
+#: few rows are dealt to.
+ROWS, MASKS, TASKS_PER_CORE = 16_384, 1 << 23, 4
 
 
 @dataclass
@@ -205,48 +208,61 @@ def predict(ensemble: Ensemble, rows: np.ndarray) -> np.ndarray:
     return out
 
 
-def explain_rows(model: Model, rows: DataFrame, key: str, names: list[str], references: list[list[float]]) -> tuple[DataFrame, float]:
-    """Per row of (key, _x): key, _x and the contributions `_c`, in the order of `names`; and the references' mean output.
-
-    The ensemble and the references are broadcast; rows stay in their partitions and are explained in batches.
-    """
+def explain_linear(model: LinearRegressionModel, rows: DataFrame, names: list[str], references: list[list[float]]) -> tuple[DataFrame, float]:
+    """The rows, which have their features in `_x`, with the contributions `_c`, in the order of `names`; and the references' mean output."""
     let_workers_import(rows.sparkSession)
-    context = rows.sparkSession.sparkContext
-    against = np.array(references, float).reshape(len(references), len(names))
-    if not isinstance(model, LinearRegressionModel):
-        ensemble = read_ensemble(model)
-        base = float(predict(ensemble, against).mean())
-        shared = context.broadcast((ensemble, against))
-
-        def explain(x: np.ndarray) -> np.ndarray:
-            ensemble, against = shared.value
-            return contributions(ensemble, x, against)
-    else:
-        weights, means = np.array(model.coefficients.toArray()), against.mean(axis=0)
-        base = float(means @ weights + model.intercept)
-
-        def explain(x: np.ndarray) -> np.ndarray:
-            return (x - means) * weights
-
+    weights, means = np.array(model.coefficients.toArray()), _matrix(references, names).mean(axis=0)
     size = len(names)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def done(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
-            batch = pa.Table.from_batches(parts).combine_chunks().to_batches()[0]
-            x = batch.column("_x").flatten().to_numpy(zero_copy_only=False).reshape(-1, size)
-            values = explain(np.asarray(x, float))
-            each = pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1, dtype=np.int32) * size), pa.array(values.ravel()))
-            return pa.RecordBatch.from_arrays([batch.column(key), batch.column("_x"), each], names=[key, "_x", "_c"])
-
-        held: list[pa.RecordBatch] = []
         for batch in batches:
-            for start in range(0, batch.num_rows, ROWS):
-                held.append(batch.slice(start, ROWS))
-                if sum(b.num_rows for b in held) >= ROWS:
-                    yield done(held)
-                    held = []
-        if held:
-            yield done(held)
-
-    kind = rows.schema[key].dataType.simpleString()
-    return rows.mapInArrow(task, f"`{key}` {kind}, _x array<double>, _c array<double>"), base
+            values = (_features(batch.column("_x"), size) - means) * weights
+            yield pa.RecordBatch.from_arrays([*batch.columns, _lists(values)], names=[*batch.schema.names, "_c"])
+
+    return rows.mapInArrow(task, StructType([*rows.schema.fields, StructField("_c", ArrayType(DoubleType()))])), float(means @ weights + model.intercept)
+
+
+def explain_trees(model: Model, stored: DataFrame, names: list[str], references: list[list[float]]) -> tuple[DataFrame, float]:
+    """Per row of the stored column `_x`, which are distinct, its contributions `_c`, and the references' mean output.
+
+    The ensemble and the references are broadcast. What a leaf costs grows little with the rows, so rows go in large
+    batches; where these are too few for the cores, each batch goes to several tasks that take a part of the trees each,
+    and the parts are added up in their order.
+    """
+    spark, size = stored.sparkSession, len(names)
+    let_workers_import(spark)
+    ensemble, against = read_ensemble(model), _matrix(references, names)
+    batches = max(1, -(-stored.count() * 4 // (ROWS * 3)))  # a hash fills them unevenly
+    parts = max(1, min(len(ensemble.trees), -(-TASKS_PER_CORE * spark.sparkContext.defaultParallelism // batches)))
+    shared = spark.sparkContext.broadcast((ensemble, against))
+
+    def task(received: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if not (held := list(received)):
+            return
+        rows, (ensemble, against) = pa.Table.from_batches(held), shared.value
+        for part in pc.unique(rows["_part"]).to_pylist():
+            x = rows.filter(pc.field("_part") == part)["_x"].combine_chunks()
+            some = Ensemble(ensemble.trees[part::parts], ensemble.splits)
+            values = contributions(some, _features(x, size), against)
+            yield pa.RecordBatch.from_arrays([x, pa.array([part] * len(x), pa.int32()), _lists(values)], names=["_x", "_part", "_c"])
+
+    batch = F.pmod(F.xxhash64("_x"), F.lit(batches)).cast("int")
+    work = stored.select("_x", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("_part"))
+    found = work.repartitionById(batches * parts, batch * parts + F.col("_part")).mapInArrow(task, "_x array<double>, _part int, _c array<double>")
+    if parts > 1:
+        each = F.transform(F.array_sort(F.collect_list(F.struct("_part", "_c"))), lambda p: p["_c"])
+        added = F.aggregate(each, F.array_repeat(F.lit(0.0), size), lambda a, c: F.zip_with(a, c, lambda x, y: x + y))
+        found = found.groupBy("_x").agg(added.alias("_c"))
+    return found.select("_x", "_c"), float(predict(ensemble, against).mean())
+
+
+def _matrix(references: list[list[float]], names: list[str]) -> np.ndarray:
+    return np.array(references, float).reshape(len(references), len(names))
+
+
+def _features(lists: pa.Array, size: int) -> np.ndarray:
+    return np.asarray(lists.flatten().to_numpy(zero_copy_only=False), float).reshape(-1, size)
+
+
+def _lists(values: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(np.arange(len(values) + 1, dtype=np.int32) * values.shape[1]), pa.array(values.ravel()))

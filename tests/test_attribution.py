@@ -64,6 +64,33 @@ def test_contributions_equal_all_orders(spark, rooms, kind):
         assert sum(out[(r.id, n)].contribution for n in NAMES) + got.base == pytest.approx(predicted[r.id], abs=1e-9)
 
 
+@pytest.mark.parametrize("rows_at_a_time", [8, 16_384])
+def test_equal_rows_are_explained_once(spark, rooms, monkeypatch, rows_at_a_time):
+    """Copies of rows, repeated and null keys: all are answered, few are explained, whether batches or trees are dealt out."""
+    model, asked = ml.fit(rooms, ESTIMATORS["forest"]()), []
+    own = trees.explain_trees
+
+    def explain(fitted, stored, *rest):
+        asked.append(stored.count())
+        return own(fitted, stored, *rest)
+
+    monkeypatch.setattr(attribution, "explain_trees", explain)
+    monkeypatch.setattr(trees, "ROWS", rows_at_a_time)
+    some = rooms.where("id < 30")
+    copies = some.crossJoin(spark.range(50).select(F.col("id").alias("copy"))).withColumn(
+        "id", F.when(F.col("copy") == 0, F.lit(None)).when(F.col("copy") == 1, F.lit(7)).otherwise(F.col("id") + 1000 * F.col("copy")))
+    got = attribution.attribution_batch(model, copies, rooms, references=6).collect()
+    assert asked == [some.select(*NAMES).distinct().count()]
+    assert len(got) == 30 * 50 * 3 and sum(r.id is None for r in got) == sum(r.id == 7 for r in got) == 30 * 3
+    ensemble = trees.read_ensemble(model.stages[-1])
+    drawn = np.array([[r[n] for n in NAMES] for r in filters.sample_rows(rooms, "id", 6).collect()])
+    x = some.collect()
+    exact = {r.id: c for r, c in zip(x, trees.contributions(ensemble, np.array([[r[n] for n in NAMES] for r in x]), drawn))}
+    for r in got:
+        if r.id is not None and r.id != 7:
+            assert r.contribution == pytest.approx(exact[r.id % 1000][NAMES.index(r.feature)], abs=1e-12)
+
+
 def test_walks_come_close(spark, rooms):
     model = ml.fit(rooms, ESTIMATORS["forest"]())
     some = rooms.where("id < 8")
