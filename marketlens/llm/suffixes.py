@@ -13,6 +13,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,6 +26,8 @@ MATCH, GRAM = 200, 80
 BUCKET_BYTES, MANY, WIDTHS = 512 << 10, 512, (16, 1)
 #: Text whose regions are found together: each byte takes some twenty numbers while they are.
 REGION_BYTES = 256 << 10
+#: Text that is cut together.
+CUT_BYTES = 1 << 20
 
 
 def sliding_minimum(x: np.ndarray, width: int) -> np.ndarray:
@@ -267,27 +270,35 @@ def _merged(marks: DataFrame) -> DataFrame:
 
 
 def _cut(batches):
-    for batch in (part for whole in batches for part in blocks(whole)):
-        n_bytes, n_removed, n_spans, sha, spans, kept = [], [], [], [], [], []
-        for text, marks in zip(batch.column("text"), batch.column("marks").to_pylist()):
-            raw = text.as_buffer().to_pybytes() if text.is_valid else b""
-            cover = np.zeros(len(raw) + 1, np.int32)
-            for m in marks or ():
-                b, e = np.array(m["runs"][0::2], np.int64) + m["s0"], np.array(m["runs"][1::2], np.int64) + m["s0"] - 1 + MATCH
-                np.add.at(cover, b, 1)
-                np.add.at(cover, e, -1)
-            gone = np.cumsum(cover[:-1]) > 0
-            edge = np.diff(gone.astype(np.int8), prepend=0, append=0)
-            left = np.frombuffer(raw, np.uint8)[~gone].tobytes() if len(raw) else b""
-            n_bytes.append(len(raw))
-            n_removed.append(int(gone.sum()))
-            spans.append([{"start": a, "stop": b} for a, b in zip(np.flatnonzero(edge == 1).tolist(), np.flatnonzero(edge == -1).tolist())])
-            n_spans.append(len(spans[-1]))
-            sha.append(hashlib.sha256(left).hexdigest())
-            kept.append(left.decode(errors="ignore"))
+    for batch in (part for whole in batches for part in blocks(whole, limit=CUT_BYTES)):
+        data, bounds = utf8(batch.column("text"))
+        marks = batch.column("marks")
+        each = marks.flatten()
+        runs, s0 = each.field("runs"), each.field("s0").to_numpy(zero_copy_only=False).astype(np.int64)
+        # Of every mark its text, of every run its mark; a run's begin and end are two numbers in turn.
+        of = np.repeat(np.arange(len(marks)), pc.fill_null(pc.list_value_length(marks), 0).to_numpy(zero_copy_only=False))
+        own = np.repeat(bounds[:-1][of] + s0, pc.fill_null(pc.list_value_length(runs), 0).to_numpy(zero_copy_only=False) // 2)
+        turn = runs.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+        begin, end = own + turn[0::2], own + turn[1::2] - 1 + MATCH
+        size = len(data) + 1
+        gone = np.cumsum(np.bincount(begin, minlength=size) - np.bincount(end, minlength=size))[:-1] > 0
+        # Spans begin and end with their text.
+        edge = gone[1:] != gone[:-1]
+        first, last = np.append(True, edge)[:len(data)], np.append(edge, True)[:len(data)]
+        heads, full = bounds[:-1], np.diff(bounds) > 0
+        first[heads[full]] = last[bounds[1:][full] - 1] = True
+        starts, stops = np.flatnonzero(first & gone), np.flatnonzero(last & gone) + 1
+        begins = np.searchsorted(starts, bounds)
+        text_of = np.searchsorted(bounds[1:], starts, "right")
+        removed = np.concatenate([[0], np.cumsum(gone)])[bounds]
+        left, at = data[~gone].tobytes(), (bounds - removed).tolist()
+        sha = [hashlib.sha256(left[a:b]).hexdigest() for a, b in zip(at[:-1], at[1:])]
+        kept = [left[a:b].decode(errors="ignore") for a, b in zip(at[:-1], at[1:])]
+        spans = pa.StructArray.from_arrays([pa.array(starts - heads[text_of]), pa.array(stops - heads[text_of])], names=["start", "stop"])
         yield pa.RecordBatch.from_arrays([
-            batch.column("doc"), pa.array(n_bytes, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(n_spans, pa.int64()), pa.array(sha, pa.string()),
-            pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))), pa.array(kept, pa.string()),
+            batch.column("doc"), pa.array(np.diff(bounds).astype(np.int64)), pa.array(np.diff(removed).astype(np.int64)),
+            pa.array(np.diff(begins).astype(np.int64)), pa.array(sha, pa.string()),
+            pa.ListArray.from_arrays(pa.array(begins.astype(np.int32)), spans), pa.array(kept, pa.string()),
         ], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans", "kept_text"])
 
 

@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from marketlens.llm import lines, neardup, packing, quality, queries, suffixes
@@ -74,3 +75,29 @@ def test_repeated_bytes(patterned):
         gone = {j for k in range(len(b) - 199) if seen[b[k:k + 200]] > 1 for j in range(k, k + 200)}
         left = bytes(c for j, c in enumerate(b) if j not in gone)
         assert (r["doc_id"], r["n_removed"], r["kept_sha256"]) == (i, len(gone), hashlib.sha256(left).hexdigest())
+
+
+@pytest.mark.parametrize("limit", [64, 1 << 20])
+def test_many_texts_are_cut_together(monkeypatch, limit):
+    """Spans, hashes and rests of texts cut in one go, those without marks, empty and null ones among them, of any slice."""
+    monkeypatch.setattr(suffixes, "CUT_BYTES", limit)
+    r = np.random.default_rng(5)
+    texts = [None, "", *("".join(r.choice(list("aé\n "), int(n))) for n in r.integers(200, 900, 40)), "", None]
+    marks = []
+    for text in texts:
+        size = len((text or "").encode())
+        marks.append([{"s0": int(s), "runs": [0, 1, 9, 9 + int(k)]} for s, k in zip(r.integers(0, max(1, size - 240), 3), r.integers(1, 32, 3))]
+                     if size > 240 and r.random() < 0.7 else None)
+    marks[4] = [{"s0": 0, "runs": [0, len(texts[4].encode()) - 199]}]
+    kind = pa.list_(pa.struct([("s0", pa.int32()), ("runs", pa.list_(pa.int32()))]))
+    whole = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts), pa.array(marks, kind)], names=["doc", "text", "marks"])
+    got = [row for batch in suffixes._cut([whole.slice(0, 9), whole.slice(9)]) for row in batch.to_pylist()]
+    assert [row["doc_id"] for row in got] == list(range(len(texts)))
+    for row, text, own in zip(got, texts, marks):
+        raw = (text or "").encode()
+        gone = {p for m in own or () for b, e in zip(m["runs"][::2], m["runs"][1::2]) for p in range(m["s0"] + b, m["s0"] + e + 199)}
+        left = bytes(c for p, c in enumerate(raw) if p not in gone)
+        starts, stops = sorted(p for p in gone if p - 1 not in gone), sorted(p + 1 for p in gone if p + 1 not in gone)
+        assert row["spans"] == [{"start": a, "stop": b} for a, b in zip(starts, stops)] and row["n_spans"] == len(starts)
+        assert (row["n_bytes"], row["n_removed"]) == (len(raw), len(gone)) and row["kept_sha256"] == hashlib.sha256(left).hexdigest()
+        assert row["kept_text"] == left.decode(errors="ignore")
