@@ -91,6 +91,18 @@ def test_equal_rows_are_explained_once(spark, rooms, monkeypatch, rows_at_a_time
             assert r.contribution == pytest.approx(exact[r.id % 1000][NAMES.index(r.feature)], abs=1e-12)
 
 
+def test_linear_contributions(spark, rooms):
+    model = ml.fit(rooms, ml.ridge(400))
+    drawn = np.array([[r[n] for n in NAMES] for r in filters.sample_rows(rooms, "id", 6).collect()])
+    known, weights = {r.id: r for r in rooms.collect()}, model.stages[-1].coefficients.toArray()
+    got = attribution.attribution_batch(model, rooms, rooms, references=6).collect()
+    assert len(got) == 400 * 3
+    for r in got:
+        j = NAMES.index(r.feature)
+        assert r.feature_value == known[r.id][r.feature]
+        assert r.contribution == pytest.approx((r.feature_value - drawn[:, j].mean()) * weights[j], abs=1e-12)
+
+
 def test_walks_come_close(spark, rooms):
     model = ml.fit(rooms, ESTIMATORS["forest"]())
     some = rooms.where("id < 8")
