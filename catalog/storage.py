@@ -17,7 +17,7 @@ from marketlens.operators import attribution, cleaning, features, ml, profile, s
 from marketlens.operators.quality import land_checked, validate_all
 from marketlens.plans import market_queries as mq
 from marketlens.plans.pipeline import run_pipeline
-from marketlens.sizing import shared_folder
+from marketlens.sizing import cut_lineage, shared_folder
 from marketlens.sources import clustered, raw, sinks
 
 QUERIES = {}
@@ -118,7 +118,8 @@ QUERIES["csv_extract"] = (saved_extract, oracle("SELECT id, price, room_type FRO
 
 def saved_report(s, d):
     folder = scratch(s)
-    report = profile.profile_all({"listings": quality.raw_listings(s, d)})
+    # Stored once: each part of the report scans the listings anew, and would join them anew.
+    report = profile.profile_all({"listings": cut_lineage(quality.raw_listings(s, d))})
     sinks.save_report(report, folder)
     return s.read.csv(f"{folder}/profile_violations.csv", header=True, inferSchema=False).select(
         "dataset", "rule", F.col("violations").cast("bigint").alias("violations"))

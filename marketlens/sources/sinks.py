@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampType
 
 from marketlens.functions.fixed_values import MODEL_FEATURES
+from marketlens.sizing import cut_lineage
 
 LEDGER_SCHEMA = StructType([
     StructField("run_id", StringType()),
@@ -66,8 +67,12 @@ def save_report(report: Mapping[str, DataFrame], folder: str) -> list[str]:
     saved = []
     for key, file in files.items():
         frame = report.get(key)
-        if frame is None or (key in ("domain_violations", "outliers") and frame.isEmpty()):
+        if frame is None:
             continue
+        if key in ("domain_violations", "outliers"):
+            frame = cut_lineage(frame)  # a report's few rows, asked for once and written from there
+            if frame.isEmpty():
+                continue
         save_csv(frame, f"{folder.rstrip('/')}/{file}.csv", single_file=True)
         saved.append(f"{file}.csv")
     return saved

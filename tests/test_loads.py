@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from catalog import core, quality as raw_data, roles
+from catalog import core, quality as raw_data, roles, storage
 from marketlens.operators import market, profile, quality, sketches
 from marketlens.operators.cube import cube_slice, report_cube
 from marketlens.sources import sinks
@@ -120,3 +120,30 @@ def test_cube_of_many_values_is_sliced(spark, monkeypatch):
     monkeypatch.setattr(slices, "TASK_VALUES", 50, raising=False)
     assert sorted(map(str, report_cube(x, ["g"], ["v"]).collect())) == sorted(map(str, whole))
     assert used[0] == 1 and used[1] > 1
+
+
+def test_reports_are_computed_once_before_they_are_saved(spark, tmp_path):
+    computed = spark.sparkContext.accumulator(0)
+
+    def passed(x):
+        computed.add(1)
+        return x > 0
+
+    rows = spark.range(4, numPartitions=1).where(F.udf(passed, "boolean")("id")).groupBy("id").count().where("count > 0")
+    saved = sinks.save_report({"outliers": rows, "domain_violations": spark.range(0)}, str(tmp_path))
+    assert saved == ["profile_outliers.csv"] and computed.value == 4
+    assert {r["id"] for r in spark.read.csv(f"{tmp_path}/profile_outliers.csv", header=True).collect()} == {"1", "2", "3"}
+
+
+def test_report_profiles_stored_listings(spark, monkeypatch):
+    given = {}
+
+    def seen(frames):
+        given.update(frames)
+        raise InterruptedError
+
+    monkeypatch.setattr(storage.profile, "profile_all", seen)
+    with pytest.raises(InterruptedError):
+        storage.saved_report(spark, FOLDER)
+    plan = given["listings"]._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and given["listings"].count() == raw_data.raw_listings(spark, FOLDER).count()
