@@ -6,8 +6,9 @@ as many classes as members in a class. A context vector is the sum of the two pr
 position. A token's probability is a softmax over the classes times a softmax over the members of its class, both products
 of the context vector with a matrix, times its share of the slot. All three are normalised.
 
-Both levels are trained by noise-contrastive estimation in numpy: a task runs over its texts block by block from the same
-start, and the vectors are averaged over the tasks by the steps that moved them, for several rounds. The model is of bounded
+Both levels are trained by noise-contrastive estimation in numpy, in one step for some thousand tokens: noise of the classes is
+shared by all of them, that of the members by those of a class. A task runs over its texts block by block from the same start,
+and the vectors are averaged over the tasks by the steps that moved them, for several rounds. The model is of bounded
 size and broadcast. Counts of all tokens are a table: the tail's are joined to the texts that hold them.
 """
 
@@ -27,12 +28,18 @@ from marketlens.sizing import cut_lineage
 SLOTS, OWN_SHARE, WIDTH = 1 << 16, 0.75, 16
 #: Tokens of fewer training occurrences have no slot of their own.
 MIN_COUNT = 5
-#: Tokens of a step at most, noise that a step shares, rate, rounds of averaging.
-BATCH, NOISE, RATE, ROUNDS = 4096, 48, 0.07, 2
+#: Tokens of a step by classes, noise that a step's tokens share, also inside each class, rate, rounds of averaging.
+STEP, NOISE, RATE, ROUNDS = 128, 48, 0.1, 2
+#: Rows that are summed one by one at most, contexts that are scored at once.
+SHORT, ROWS = 6, 256
+#: Tokens that follow one another in a step.
+STRETCH = 16
 #: Tokens scored at a time; tokens after which a task hands over its vectors and starts again.
 TOKENS, HANDOVER = 1 << 18, 1 << 25
 #: Parts of an octave by which counts are ranked for the slots of their own.
 OCTAVE = 32
+#: Bits of a hash by which tokens with slots of their own are looked up.
+DIRECTORY = 18
 #: Kinds of vectors: contexts, members, classes, positions.
 CONTEXT, MEMBER, CLASS, SCALE = range(4)
 HELD_OUT, FOLDS = 2, 7
@@ -97,6 +104,8 @@ class Space:
         self.class_p = mass.reshape(self.classes, -1).sum(1)
         self.member_p = (mass.reshape(self.classes, -1) / self.class_p[:, None]).ravel()
         self.class_cum = np.cumsum(self.class_p)
+        self.starts = np.searchsorted(self.own >> np.uint64(64 - DIRECTORY), np.arange((1 << DIRECTORY) + 1, dtype=np.uint64))
+        self.deepest = int(np.diff(self.starts).max())
         self.before = int(self.places(np.array([END]))[0][0])
 
     def _slot(self, dealt: np.ndarray) -> np.ndarray:
@@ -107,9 +116,12 @@ class Space:
         out = self._slot(len(self.own) + ((h >> np.uint64(40)) % np.uint64(len(self.shared))).astype(np.int64))
         count = np.zeros(len(h), np.int64)
         if len(self.own):
-            at = np.minimum(np.searchsorted(self.own, h), len(self.own) - 1)
-            mine = self.own[at] == h
-            out[mine], count[mine] = self.place[at[mine]], self.count[at[mine]]
+            first = self.starts.take((h >> np.uint64(64 - DIRECTORY)).view(np.int64))
+            for i in range(self.deepest):
+                at = np.minimum(first + i, len(self.own) - 1)
+                mine = np.flatnonzero(self.own.take(at) == h)
+                at = at[mine]
+                out[mine], count[mine] = self.place[at], self.count[at]
         return out, count
 
     def start(self) -> list[np.ndarray]:
@@ -133,66 +145,126 @@ def _before(place: np.ndarray, bounds: np.ndarray, start: int) -> tuple[np.ndarr
     return one, two
 
 
+def _begins(x: np.ndarray) -> np.ndarray:
+    """Where the stretches of equal values of a sorted array begin."""
+    return np.flatnonzero(np.concatenate([[True], x[1:] != x[:-1]]))
+
+
+def _summed(rows: np.ndarray, order: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Sums of the stretches of `rows[order]` that begin at `at`; most are of a few rows."""
+    n = np.diff(np.append(at, len(order)))
+    out = rows.take(order[at], axis=0)
+    for i in range(1, SHORT):
+        more = np.flatnonzero((n > i) & (n <= SHORT))
+        out[more] += rows.take(order[at[more] + i], axis=0)
+    long = n > SHORT
+    if long.any():
+        sizes = n[long]
+        out[long] = np.add.reduceat(rows.take(order[np.repeat(long, n)], axis=0), np.cumsum(sizes) - sizes)
+    return out
+
+
 def _move(x: np.ndarray, power: np.ndarray, index: np.ndarray, rows: np.ndarray) -> None:
     """AdaGrad step of the indexed rows by their summed gradients."""
     order = np.argsort(index.astype(np.uint16) if len(x) <= 1 << 16 else index, kind="stable")  # short keys sort by digits
-    index = index[order]
-    at = np.flatnonzero(np.concatenate([[True], index[1:] != index[:-1]]))
-    g, k = np.add.reduceat(rows[order], at), index[at]
-    s = power[k] + g * g
-    power[k] = s
-    x[k] += RATE * g / np.sqrt(s)
+    index = index.take(order)
+    at = _begins(index)
+    g, k = _summed(rows, order, at), index[at]
+    s = power.take(k, axis=0)
+    s += g * g
+    whole = np.dtype((np.void, x.itemsize * x.shape[1]))  # rows are written as one item each
+    power.view(whole)[k, 0] = s.view(whole)[:, 0]
+    np.sqrt(s, out=s)
+    g *= np.float32(RATE)
+    g /= s
+    g += x.take(k, axis=0)
+    x.view(whole)[k, 0] = g.view(whole)[:, 0]
 
 
 def _sure(x: np.ndarray) -> np.ndarray:
-    x = np.exp(np.minimum(x, 30))
+    """1 / (1 + exp(x)), in place."""
+    np.exp(x, out=x)  # beyond the largest float the result is 0
     x += 1
     return np.reciprocal(x, out=x)
 
 
-def _contrast(wide: np.ndarray, matrix: np.ndarray, power: np.ndarray, noise_p: np.ndarray, target, drawn) -> np.ndarray:
-    """One NCE step of a softmax: the rows of `matrix` (bias last) that are meant or drawn, against noise that all tokens share.
+def train_block(p: list[np.ndarray], power: list[np.ndarray], space: Space, place, one, two, rng) -> None:
+    """One pass over a block, in steps of some stretches of STRETCH tokens in random order.
 
-    Moves the matrix and gives back the gradient of the contexts.
+    A step contrasts the tokens' classes with noise that all of them share and their members with noise that those of a class
+    share, and moves every vector once.
     """
-    odds = np.log(len(drawn) * noise_p).astype(np.float32)
-    mine, others = matrix[target], matrix[drawn]
-    up = _sure((wide * mine).sum(1) - odds[target])  # how far the data is from certain
-    down = wide @ others.T
-    down -= odds[drawn]
-    down = -_sure(-down)
-    du = up[:, None] * mine[:, :-1] + down @ others[:, :-1]
-    _move(matrix, power, np.concatenate([target, drawn]), np.concatenate([up[:, None] * wide, down.T @ wide]))
-    return du
-
-
-def train_block(p: list[np.ndarray], power: list[np.ndarray], space: Space, place, one, two, rng) -> None:
-    """One pass over a block: all tokens' classes in batches of random order, then class by class the members inside."""
+    class_odds = np.log(NOISE * space.class_p).astype(np.float32)
+    member_odds = np.log(NOISE * space.member_p).astype(np.float32)
+    reach = np.cumsum(space.member_p)  # each class adds 1
+    order, size = rng.permutation(-(-len(place) // STRETCH)), -(-space.classes * STEP // STRETCH)
+    with np.errstate(over="ignore"):
+        for i in range(0, len(order), size):
+            at = (order[i:i + size, None] * STRETCH + np.arange(STRETCH)).ravel()
+            at = at[at < len(place)]
+            _step(p, power, space, place[at], one[at], two[at], rng, class_odds, member_odds, reach)
+
+
+def _step(p, power, space: Space, slot, one, two, rng, class_odds, member_odds, reach) -> None:
     r, members, classes, scale = p
-
-    def step(at, contrast):
-        a, b = r[one[at]], r[two[at]]
-        wide = np.ones((len(at), WIDTH + 1), np.float32)
-        wide[:, :-1] = a * scale[0] + b * scale[1]
-        du = contrast(wide, at)
-        _move(r, power[0], np.concatenate([one[at], two[at]]), np.concatenate([du * scale[0], du * scale[1]]))
-        ds = np.stack([(du * a).sum(0), (du * b).sum(0)])
-        power[3][:] += ds * ds
-        scale[:] += RATE * ds / np.sqrt(power[3])
-
-    own, inside = place // space.members, place % space.members
-    order = rng.permutation(len(place))
-    for i in range(0, len(order), BATCH):
-        drawn = np.minimum(np.searchsorted(space.class_cum, rng.random(NOISE)), space.classes - 1)
-        step(order[i:i + BATCH], lambda wide, at: _contrast(wide, classes, power[2], space.class_p, own[at], drawn))
-    order = order[np.argsort(own[order].astype(np.uint16), kind="stable")]
-    cuts = np.searchsorted(own[order], np.arange(space.classes + 1))
-    for c in rng.permutation(np.flatnonzero(np.diff(cuts))):
-        part = slice(c * space.members, (c + 1) * space.members)
-        matrix, past, noise_p = members[part], power[1][part], space.member_p[part]
-        for i in range(cuts[c], cuts[c + 1], BATCH):
-            drawn = np.minimum(np.searchsorted(np.cumsum(noise_p), rng.random(NOISE)), space.members - 1)
-            step(order[i:min(i + BATCH, cuts[c + 1])], lambda wide, at: _contrast(wide, matrix, past, noise_p, inside[at], drawn))
+    # A token's context before last is mostly the last one of the token before it: those are read and moved once.
+    fresh = np.flatnonzero(np.concatenate([[True], two[1:] != one[:-1]]))
+    a = r.take(one, axis=0)
+    b = np.empty_like(a)
+    b[1:] = a[:-1]
+    b[fresh] = r.take(two[fresh], axis=0)
+    wide = np.ones((len(slot), WIDTH + 1), np.float32)
+    wide[:, :-1] = a * scale[0] + b * scale[1]
+    order = np.argsort(slot.astype(np.uint16) if len(reach) <= 1 << 16 else slot, kind="stable")
+    wide, slot = wide.take(order, axis=0), slot[order]
+    own = slot // space.members
+
+    drawn = np.minimum(np.searchsorted(space.class_cum, rng.random(NOISE)), space.classes - 1)
+    mine, others = classes.take(own, axis=0), classes[drawn]
+    up = _sure(np.einsum("ij,ij->i", wide, mine) - class_odds[own])[:, None]  # how far the data is from certain
+    down = wide @ -others.T
+    down += class_odds[drawn]
+    _sure(down)  # how far noise is from being told
+    mine *= up
+    mine -= down @ others
+    du = mine
+    cuts = _begins(own)
+    kinds = own[cuts]
+    class_rows = np.concatenate([np.add.reduceat(up * wide, cuts), -(down.T @ wide)])
+
+    noise = np.searchsorted(reach, kinds[:, None] + rng.random((len(kinds), NOISE)))
+    noise = np.clip(noise, kinds[:, None] * space.members, (kinds[:, None] + 1) * space.members - 1)
+    mine, others, odds = members.take(slot, axis=0), members.take(noise, axis=0), member_odds[noise]
+    up = _sure(np.einsum("ij,ij->i", wide, mine) - member_odds[slot])[:, None]
+    mine *= up
+    du += mine
+    others *= -1
+    away = np.empty_like(others)
+    for j, (x, y) in enumerate(zip(cuts.tolist(), [*cuts[1:].tolist(), len(slot)])):
+        part, other = wide[x:y], others[j]
+        down = part @ other.T
+        down += odds[j]
+        _sure(down)
+        du[x:y] += down @ other
+        np.matmul(down.T, part, out=away[j])
+    np.negative(away, out=away)
+    met = _begins(slot)
+
+    _move(classes, power[2], np.concatenate([kinds, drawn]), class_rows)
+    _move(members, power[1], np.concatenate([slot[met], noise.ravel()]),
+          np.concatenate([_summed(up * wide, np.arange(len(slot)), met), away.reshape(-1, WIDTH + 1)]))
+    back = np.empty(len(order), np.int64)
+    back[order] = np.arange(len(order))
+    du = du[:, :-1].take(back, axis=0)
+    ds = np.stack([np.einsum("ij,ij->j", du, a), np.einsum("ij,ij->j", du, b)])
+    late = du * scale[1]
+    du *= scale[0]
+    first = late[fresh]
+    late[fresh] = 0
+    du[:-1] += late[1:]
+    _move(r, power[0], np.concatenate([one, two[fresh]]), np.concatenate([du, first]))
+    power[3][:] += ds * ds
+    scale[:] += RATE * ds / np.sqrt(power[3])
 
 
 VECTORS = "kind int, id long, w double, x array<float>"
@@ -233,31 +305,40 @@ def train(batches, space: Space, first: list[np.ndarray]):
         yield from flush()
 
 
-def _softmax_log10(wide: np.ndarray, matrix: np.ndarray, chosen: np.ndarray) -> np.ndarray:
-    """log10 of the normalised probability of the chosen row of `matrix` (bias last) in each context (1 last)."""
-    s = wide @ matrix.T
-    top = s.max(1)
-    mine = s[np.arange(len(s)), chosen]
-    s -= top[:, None]
-    np.exp(s, out=s)
-    return ((mine - top).astype(np.float64) - np.log(s.sum(1).astype(np.float64))) / np.log(10)
+def _softmax_log10(context: np.ndarray, matrix: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+    """log10 of the normalised probability of the chosen row of `matrix` (bias last) in each context."""
+    turned, bias = np.ascontiguousarray(matrix[:, :-1].T), matrix[:, -1]
+    top = bias.max()
+    share = np.exp(bias - top)
+    mine = np.einsum("ij,ij->i", context, matrix[:, :-1].take(chosen, axis=0)) + (bias[chosen] - top)
+    total = np.empty(len(context), np.float32)
+    with np.errstate(over="ignore"):
+        for a in range(0, len(context), ROWS):  # few enough for the caches
+            s = context[a:a + ROWS] @ turned
+            np.matmul(np.exp(s, out=s), share, out=total[a:a + ROWS])
+    out = mine.astype(np.float64) - np.log(np.maximum(total, np.finfo(np.float32).tiny).astype(np.float64))
+    far = np.flatnonzero(~((total > 1e-25) & (total < 1e25)))
+    for a in range(0, len(far), ROWS):  # sums near the ends of a float's range, taken from their largest part
+        at = far[a:a + ROWS]
+        s = context[at].astype(np.float64) @ turned.astype(np.float64) + (bias - top)
+        out[at] = s[np.arange(len(at)), chosen[at]] - s.max(1) - np.log(np.exp(s - s.max(1, keepdims=True)).sum(1))
+    return out / np.log(10)
 
 
 def slot_log10(p: list[np.ndarray], space: Space, place, one, two) -> np.ndarray:
     """log10 of the probability of each token's slot: its class, and its place inside."""
     r, members, classes, scale = p
-    wide = np.ones((len(place), WIDTH + 1), np.float32)
-    wide[:, :-1] = r[one] * scale[0] + r[two] * scale[1]
     own, out = place // space.members, np.empty(len(place), np.float64)
-    for a in range(0, len(place), 1024):  # small enough for the caches
-        out[a:a + 1024] = _softmax_log10(wide[a:a + 1024], classes, own[a:a + 1024])
     order = np.argsort(own.astype(np.uint16), kind="stable")
-    cuts = np.searchsorted(own[order], np.arange(space.classes + 1))
+    own, inside = own[order], place[order] % space.members
+    context = r.take(one[order], axis=0) * scale[0]
+    context += r.take(two[order], axis=0) * scale[1]
+    logs = _softmax_log10(context, classes, own)
+    cuts = np.searchsorted(own, np.arange(space.classes + 1))
     for c in np.flatnonzero(np.diff(cuts)):
-        inside = members[c * space.members:(c + 1) * space.members]
-        for a in range(cuts[c], cuts[c + 1], 1024):
-            at = order[a:min(a + 1024, cuts[c + 1])]
-            out[at] += _softmax_log10(wide[at], inside, place[at] % space.members)
+        part = slice(cuts[c], cuts[c + 1])
+        logs[part] += _softmax_log10(context[part], members[c * space.members:(c + 1) * space.members], inside[part])
+    out[order] = logs
     return out
 
 

@@ -229,6 +229,26 @@ def test_lm_learns_from_context(spark, monkeypatch):
     assert held[0] > 0.6 * held[1]
 
 
+def test_lm_steps_and_sums_are_plain():
+    """Gradients of stretches added up, tokens looked up, and probabilities where sums leave a float's range."""
+    r = np.random.default_rng(4)
+    rows, index = r.normal(size=(500, 5)).astype(np.float32), np.minimum(r.zipf(1.3, 500), 90)
+    order = np.argsort(index, kind="stable")
+    plain = np.zeros((91, 5))
+    np.add.at(plain, index, rows)
+    assert np.allclose(lm._summed(rows, order, lm._begins(index[order])), plain[np.unique(index)], atol=1e-4)
+    own = np.unique(r.integers(1, 1 << 63, 3000, dtype=np.uint64) * np.uint64(2) >> np.uint64(6))  # crowded in the lookup
+    space = lm.Space(own.copy(), np.arange(1, len(own) + 1), 64, 64, np.ones(4096 - len(own)), np.ones(4096 - len(own)))
+    asked = np.concatenate([own[::-1], own + np.uint64(1), np.array([0, 2**64 - 1], np.uint64)])
+    assert space.places(asked)[1].tolist() == [*range(len(own), 0, -1), *(int(np.searchsorted(own, x)) + 1 if x in own else 0 for x in asked[len(own):])]
+    context, matrix = r.normal(0, 12, (400, 16)).astype(np.float32), r.normal(0, 9, (30, 17)).astype(np.float32)
+    context[:9], chosen = 0, r.integers(0, 30, 400)
+    s = context.astype(float) @ matrix[:, :-1].T.astype(float) + matrix[:, -1]
+    s -= s.max(1, keepdims=True)
+    expected = (s[np.arange(400), chosen] - np.log(np.exp(s).sum(1))) / np.log(10)
+    assert np.allclose(lm._softmax_log10(context, matrix, chosen), expected, rtol=1e-4, atol=1e-4)
+
+
 def test_packing(docs, empty):
     from tokenizers import Tokenizer
 
