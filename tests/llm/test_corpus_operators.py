@@ -164,6 +164,19 @@ def test_every_repeated_line_goes(docs):
     assert {r["doc_id"]: r["kept_text"] for r in lines.drop_repeated_units(docs, min_words=8).collect()}[9] == "ONE"
 
 
+def test_short_runs_of_repeated_lines_can_stay(spark):
+    """A short line goes inside a longer repeated passage, blank lines or not, and stays where it repeats alone."""
+    long = "a line of seven words in all\n"
+    rows = [(1, f"Menu\n{long}\nThe end\n{long[:-1]} so\n"), (2, f"own words\nMenu\nmore of them\n{long}\n\nThe end\nlast words"),
+            (3, f"Menu\n{long}"), (4, None), (5, "The end\nThe end\n")]
+    kept = lambda **bound: {r["doc_id"]: (r["n_spans"], r["kept_text"]) for r in lines.drop_repeated_units(
+        spark.createDataFrame(rows, "doc_id long, text string").repartition(3), **bound).collect()}
+    assert kept(min_run_words=9) == {1: (0, rows[0][1]), 2: (2, "own words\nMenu\nmore of them\n\n\nlast words"),
+                                     3: (0, rows[2][1]), 4: (0, ""), 5: (0, rows[4][1])}
+    assert kept(min_run_words=8)[3] == (1, "")
+    assert kept()[2][1] == "own words\nmore of them\n\n\nlast words" and kept()[5] == (1, "")
+
+
 def test_lm(docs, empty):
     got = sorted(lm.score_texts(docs).collect(), key=lambda r: (r["doc_id"] is None, r["doc_id"] or 0))
     held = lambda i: zlib.crc32(("" if i is None else str(i)).encode()) % 7 == 2
