@@ -2,7 +2,8 @@
 
 import numpy as np
 import pytest
-from pyspark.ml.regression import GBTRegressor
+from pyspark.ml.linalg import Vectors
+from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.sql import functions as F
 
 from marketlens.functions import draws
@@ -81,3 +82,81 @@ def test_draws():
     one = draws.XorShift(42)
     assert draws.XorShift(42).doubles(3000).tolist() == [one.double() for _ in range(3000)]
     assert sorted(draws.reservoir(16, 16, 5)) == list(range(16)) and len(set(draws.reservoir(16, 13, 5))) == 13
+
+
+# Forests
+
+
+@pytest.fixture()
+def own_forests(monkeypatch):
+    monkeypatch.setattr(tree_fits, "FOREST_ROWS", 1)
+
+
+def settings_of(rooms, **change):
+    rows = rooms.select(tree_fits.vector_to_array("features").alias("x"), F.col(ml.TARGET).alias("y"))
+    thresholds = tree_fits.find_thresholds(rows, rows.count(), 32, 42)
+    table = rows.toArrow().combine_chunks()
+    x, y = tree_fits._matrix(table["x"].combine_chunks(), len(thresholds)), table["y"].to_numpy()
+    known = dict(trees=1, depth=7, min_rows=5, min_weight=0.0, min_gain=0.0, seed=42, sampling=1.0, features=len(thresholds)) | change
+    return tree_fits.Settings(thresholds, **known), x, y
+
+
+@pytest.mark.parametrize("depth, min_rows", [(0, 1), (3, 1), (12, 1), (12, 5), (12, 300)])
+def test_tree_of_all_rows_is_that_of_mllib(spark, rooms, depth, min_rows):
+    settings, x, y = settings_of(rooms, depth=depth, min_rows=min_rows)
+    tree = RandomForestRegressor(labelCol=ml.TARGET, numTrees=1, maxDepth=depth, minInstancesPerNode=min_rows, seed=42,
+                                 featureSubsetStrategy="all", bootstrap=False).fit(rooms)
+    predicted = np.array([tree.predict(Vectors.dense(row)) for row in x])
+    grown = tree_fits.grow(settings.binned(x), y, np.ones(len(y), np.uint8), settings)
+    np.testing.assert_allclose(grown.value[tree_fits._leaves(grown, settings.binned(x))], predicted, atol=1e-9)
+    assert tree_fits._records(0, grown, settings).num_rows == tree.totalNumNodes
+
+
+def test_rows_with_counts_are_repeated_rows(spark, rooms):
+    settings, x, y = settings_of(rooms)
+    times = np.random.default_rng(1).poisson(1.0, len(y))
+    at = np.flatnonzero(times)
+    bins = settings.binned(x)
+    one = tree_fits.grow(bins[:, at].copy(), y[at], times[at].astype(np.uint8), settings)
+    other = tree_fits.grow(np.repeat(bins, times, axis=1), np.repeat(y, times), np.ones(times.sum(), np.uint8), settings)
+    np.testing.assert_allclose(one.value[tree_fits._leaves(one, bins)], other.value[tree_fits._leaves(other, bins)], atol=1e-9)
+    np.testing.assert_allclose(one.sums[0], [times.sum(), (times * y).sum(), (times * y * y).sum()])
+
+
+def test_large_forests_are_grown_here(spark, rooms, own_forests, tmp_path):
+    """All trees at full depth from few jobs, as a model that scores, is saved and is loaded as MLlib's."""
+    spark.sparkContext.setJobGroup("forest", "")
+    try:
+        model = ml.fit(rooms, ml.random_forest(trees=9, depth=12, min_leaf=1))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    # MLlib runs a job for every level.
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("forest")) < 40
+    forest = model.stages[-1]
+    assert forest.getNumTrees == 9 and forest.getMaxDepth() == 12 and len({t.numNodes for t in forest.trees}) > 1
+    assert sum(forest.featureImportances) == pytest.approx(1.0) and forest.featureImportances[2] == 0
+    scored = model.transform(rooms)
+    error, spread = scored.agg(F.avg(F.pow(F.col("prediction") - F.col(ml.TARGET), 2)), F.var_pop(ml.TARGET)).first()
+    theirs = ml.pipeline(rooms, ml.random_forest(9, 12, 1)).fit(rooms).transform(rooms).agg(F.avg(F.pow(F.col("prediction") - F.col(ml.TARGET), 2))).first()[0]
+    assert error < spread / 10 and error < 2 * theirs
+    ml.save_model(model, str(tmp_path / "model"))
+    again = ml.load_model(str(tmp_path / "model")).transform(rooms)
+    assert scored.select("id", "prediction").exceptAll(again.select("id", "prediction")).count() == 0
+    repeated = ml.fit(rooms, ml.random_forest(trees=9, depth=12, min_leaf=1)).transform(rooms)
+    assert scored.select("id", "prediction").exceptAll(repeated.select("id", "prediction")).count() == 0
+
+
+@pytest.mark.parametrize("node_rows", [1, 150, 500])
+def test_first_levels_are_split_by_all_tasks(spark, rooms, own_forests, monkeypatch, node_rows):
+    """Trees whose rows fill no single task are the trees of one task, but for features that part the drawn rows of a small node alike."""
+    monkeypatch.setattr(tree_fits, "CHUNK", 100)
+    dealt, estimator = rooms.repartition(3, "id"), ml.random_forest(trees=6, depth=6)
+    whole = {r.id: r.prediction for r in ml.fit(dealt, estimator).transform(rooms).collect()}
+    largest, own = [], tree_fits._growth
+    monkeypatch.setattr(tree_fits, "NODE_ROWS", node_rows)
+    monkeypatch.setattr(tree_fits, "_growth", lambda tops, places, s: largest.append(len(places)) or own(tops, places, s))
+    model = ml.fit(dealt, estimator)
+    assert largest[0] == 0 if node_rows == 1 else largest[0] > 6
+    scored = model.transform(rooms).collect()
+    apart = [abs(r.prediction - whole[r.id]) for r in scored]
+    assert len(scored) == 900 and np.mean(np.array(apart) < 1e-9) > 0.98 and np.mean(apart) < 0.01 * np.std([*whole.values()])
