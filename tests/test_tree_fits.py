@@ -160,3 +160,19 @@ def test_first_levels_are_split_by_all_tasks(spark, rooms, own_forests, monkeypa
     scored = model.transform(rooms).collect()
     apart = [abs(r.prediction - whole[r.id]) for r in scored]
     assert len(scored) == 900 and np.mean(np.array(apart) < 1e-9) > 0.98 and np.mean(apart) < 0.01 * np.std([*whole.values()])
+
+
+def test_folds_and_holdouts_are_grown_here(spark, rooms, own_forests, monkeypatch):
+    """Every fold's forest and the boosting of a holdout, whose errors are those of MLlib's fit."""
+    fits, own = [], tree_fits.fit
+    monkeypatch.setattr(tree_fits, "fit", lambda df, estimator: fits.append(type(estimator).__name__) or own(df, estimator))
+    plain = rooms.drop("features").withColumn("price", F.expm1(F.abs(F.col(ml.TARGET)) / 20)).withColumn(ml.TARGET, F.log1p("price"))
+    row = ml.cross_validate(plain, lambda rows, sd: ml.random_forest(4, 6), "forest").first()
+    assert fits == ["RandomForestRegressor"] * 5 and 0 < row["mae_mean"] < plain.agg(F.stddev("price")).first()[0]
+    here = {r.part: r for r in ml.holdout_metrics(plain, ml.boosted_trees(5, 0.3, 3)).collect()}
+    assert fits[5:] == ["GBTRegressor"]
+    monkeypatch.setattr(tree_fits, "grows_here", lambda *_: False)
+    theirs = {r.part: r for r in ml.holdout_metrics(plain, ml.boosted_trees(5, 0.3, 3)).collect()}
+    assert len(fits) == 6 and here.keys() == theirs.keys() == {"train", "test"}
+    for part, r in here.items():
+        assert r.n == theirs[part].n and r.mae == pytest.approx(theirs[part].mae, rel=1e-12)
